@@ -5,18 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import build_index, search
+from .embedding_dedup import near_duplicate_vectors
 from .minhash_dedup import near_duplicates
+from .packing import pack
+from .token_ids import token_ids
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids(_read(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_read(spark, sf_dir, "documents")).drop("ids")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search(build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
 QUERIES = {
+    "op2_token_ids": op2_token_ids,
+    "op6_packing": op6_packing,
+    "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_decontamination": op8_decontamination,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
