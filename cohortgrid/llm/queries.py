@@ -7,19 +7,54 @@ from pyspark.sql import functions as F
 
 from .decontaminate import build_index, search
 from .embedding_dedup import near_duplicate_vectors
+from .language_id import document_evidence, fit, identify, page_evidence
+from .line_dedup import remove_boilerplate
 from .minhash_dedup import near_duplicates
 from .packing import pack
+from .token_counts import edit_aware_counts
 from .token_ids import token_ids
+from .url_filter import judge
+from .warc import archive_pages
+
+#: The rules of the URL filter query, and the domains on its block list.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+BLOCKED_DOMAINS = ("adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_aware_counts(_read(spark, sf_dir, "documents"))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(_read(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    found = identify(document_evidence(documents), fit(documents)).dropDuplicates(["key"])
+    named = documents.select("doc_id", F.xxhash64("doc_id", "lang", "source", "text").alias("key"))
+    return named.join(found, "key").drop("key")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(page_evidence(_read(spark, sf_dir, "pages")), fit(_read(spark, sf_dir, "documents")))
+    return found.withColumnRenamed("key", "page_id")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "key string")
+    return judge(_read(spark, sf_dir, "pages"), URL_RULES, listed)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = remove_boilerplate(_read(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "lines_before", "lines_removed", F.length("text").cast("long").alias("chars_after"), F.md5("text").alias("text_md5"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents")).drop("ids")
 
@@ -33,16 +68,87 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_read(spark, sf_dir, "pages"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_token_ids": op2_token_ids,
+    "op3_language_id": op3_language_id,
+    "op4_url_filter": op4_url_filter,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_warc": op9_warc,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "language_id_pages": language_id_pages,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_RULES = ", ".join(f"('{kind}', '{rule.split('/', 1)[0]}', '/{rule.split('/', 1)[1]}', '{rule}')" for kind, rule in URL_RULES)
+_DOMAINS = ", ".join(f"('{d}')" for d in BLOCKED_DOMAINS)
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_filter": f"""
+WITH p AS (
+  SELECT page_id,
+         CASE WHEN position('://' IN url) > 0 THEN translate(regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*'), '{_UPPER}', '{_LOWER}') ELSE '' END AS host,
+         CASE WHEN position('://' IN url) > 0 THEN regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+rules(kind, owner, below, rule) AS (VALUES {_RULES}),
+blocked(domain) AS (VALUES {_DOMAINS}),
+fit AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(kind, length(rule)) AS kind
+  FROM p JOIN rules ON (host = owner OR ends_with(host, '.' || owner)) AND starts_with(path, below)
+  GROUP BY page_id),
+hit AS (SELECT DISTINCT page_id FROM p JOIN blocked ON host = domain OR ends_with(host, '.' || domain))
+SELECT p.page_id, host, path, fit.rule, coalesce(kind, CASE WHEN hit.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict, hit.page_id IS NOT NULL AS listed
+FROM p LEFT JOIN fit USING (page_id) LEFT JOIN hit USING (page_id)""",
+    "op5_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM documents),
+bad AS (
+  SELECT trim(line) AS line FROM lines WHERE trim(line) <> '' GROUP BY trim(line) HAVING count(DISTINCT source) >= 10),
+kept AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (bad.line IS NOT NULL) AS removed,
+         coalesce(string_agg(lines.line, chr(10) ORDER BY at) FILTER (bad.line IS NULL), '') AS text
+  FROM lines LEFT JOIN bad ON trim(lines.line) = bad.line GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS lines_before, coalesce(removed, 0) AS lines_removed,
+       CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE kept.text END) AS BIGINT) AS chars_after,
+       md5(CASE WHEN d.text IS NULL THEN NULL ELSE kept.text END) AS text_md5
+FROM documents d LEFT JOIN kept USING (doc_id)""",
+    "op7_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    "op8_decontamination": f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT item, array_to_string(w[i:i + 9], ' ') AS win, least(10, len(w)) AS k
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM win),
+at AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, sizes WHERE len(w) >= k)),
+hit AS (SELECT doc_id, i, at.k, item FROM at JOIN win ON at.win = win.win AND at.k = win.k),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
+}

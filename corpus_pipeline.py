@@ -1,22 +1,62 @@
-"""A corpus pipeline: the stages in order, each a function of (spark, docs, sf_dir)."""
+"""A corpus pipeline: the stages in order, each a function of (spark, docs, sf_dir).
+
+Documents without a recognisable language go, boilerplate lines are cut, one document
+of each group of near-duplicates stays, documents with benchmark passages go, and what
+is left is packed into training sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortgrid.llm.decontaminate import build_index, search
+from cohortgrid.llm.language_id import document_evidence, fit, identify
+from cohortgrid.llm.line_dedup import remove_boilerplate
 from cohortgrid.llm.minhash_dedup import near_duplicates
+from cohortgrid.llm.packing import pack
 from cohortgrid.session import materialise
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not recognised go."""
+    rejected = identify(document_evidence(docs), fit(docs)).where("not accepted").select("key").distinct()
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "lang", "source", "text"))
+    return keyed.join(rejected, "key", "left_anti").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on many sites are cut from the texts."""
+    return remove_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     gone = near_duplicates(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("minhash_dedup", minhash_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    gone = search(build_index(docs), benchmark).where("contaminated").select("doc_key").distinct()
+    return docs.withColumn("doc_key", F.xxhash64("doc_id", "text")).join(gone, "doc_key", "left_anti").select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents, by sequence."""
+    return pack(docs).drop("ids")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("minhash_dedup", minhash_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
-#: Near-duplicate components are not expressed in SQL here; tests compare with brute force.
+#: Language scores, near-duplicate components and tokens have no SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
