@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -41,3 +41,131 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     found = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = e.select(F.col("b").alias("node")).unionByName(nodes).distinct().join(found, "node", "left_anti")
     return found.unionByName(roots.select("node", F.col("node").alias("component")))
+
+
+def induced_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with both ends among ``nodes`` (column ``node``)."""
+    names = nodes.select("node").distinct()
+    return edges.join(names.withColumnRenamed("node", "a"), "a", "left_semi").join(names.withColumnRenamed("node", "b"), "b", "left_semi").select(edges.columns)
+
+
+def relabel_edges(edges: DataFrame, id_map: DataFrame, directed_count: bool = False) -> DataFrame:
+    """Edges ``(a, b, score)`` under the names of ``id_map`` ``(id, name)``; unmapped ones and self loops go.
+
+    Links are undirected: both directions are one edge with the larger score, unless ``directed_count`` keeps them apart.
+    """
+    named = edges.join(id_map.select(F.col("id").alias("a"), F.col("name").alias("na")), "a").join(id_map.select(F.col("id").alias("b"), F.col("name").alias("nb")), "b").where("na <> nb")
+    if directed_count:
+        return named.select(F.col("na").alias("a"), F.col("nb").alias("b"), "score").distinct()
+    return named.groupBy(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).agg(F.max("score").alias("score"))
+
+
+def degree(edges: DataFrame) -> DataFrame:
+    """``(node, degree)``."""
+    return edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+
+
+def hubs(edges: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` nodes of the largest degree, equal ones by name."""
+    return degree(edges).orderBy(F.col("degree").desc(), "node").limit(k)
+
+
+def coexpression_edges(measurements: DataFrame, features: DataFrame, r: float = 0.9, most: int = 200) -> DataFrame:
+    """Edges between the first ``most`` features whose Spearman correlation is at least ``r`` in size: ``a, b, score, signed_r``."""
+    from .qc import pair_correlation
+
+    chosen = features.select("feature").distinct().orderBy("feature").limit(most)
+    pairs = pair_correlation(measurements.join(chosen, "feature", "left_semi"), "feature", "spearman")
+    return pairs.where(F.abs("r") >= r).select("a", "b", F.round(F.abs("r") * 1000).cast("long").alias("score"), F.col("r").alias("signed_r"))
+
+
+def network_route(edges: DataFrame, measurements: DataFrame, selected: DataFrame, r: float = 0.9, min_edges: int = 1) -> DataFrame:
+    """Edges among the selected features with ``method``: from the edge table where it has any, else by co-expression, else none."""
+    names = selected.select(F.col("feature").alias("node"))
+    known = induced_edges(edges, names).select("a", "b", F.col("score").cast("double").alias("score"))
+    if known.limit(min_edges).count() >= min_edges:
+        return known.withColumn("method", F.lit("edge_table"))
+    found = coexpression_edges(measurements, selected, r).select("a", "b", F.col("score").cast("double").alias("score"))
+    return found.withColumn("method", F.lit("coexpression"))
+
+
+def largest_component(edges: DataFrame) -> DataFrame:
+    """Edges of the component with most nodes, of equals the one with the smallest name."""
+    named = components(edges)
+    top = named.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "component").limit(1)
+    return induced_edges(edges, named.join(top, "component", "left_semi").select("node"))
+
+
+def thin(edges: DataFrame, max_nodes: int = 200, max_edges: int = 450) -> DataFrame:
+    """Edges among the ``max_nodes`` nodes of largest degree, of these the ``max_edges`` strongest."""
+    kept = induced_edges(edges, hubs(edges, max_nodes).select("node"))
+    return kept.orderBy(F.col("score").desc(), "a", "b").limit(max_edges)
+
+
+def communities(edges: DataFrame, top: int = 4, rounds: int = 10) -> DataFrame:
+    """``(node, community, size)`` by weighted label propagation: each node takes the label of most weight around it, of equals the smallest.
+
+    The ``top`` largest communities are numbered, the others are ``other``.
+    """
+    both = edges.select("a", "b", "score").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+    loops = both.groupBy("a").agg(F.max("score").alias("score")).select("a", F.col("a").alias("b"), "score")
+    both = materialise(both.unionByName(loops), "links")
+    labels = materialise(both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), "labels")
+    for _ in range(rounds):
+        weight = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a", "label").agg(F.sum("score").alias("w"))
+        best = weight.groupBy("a").agg(F.max("w").alias("w")).join(weight, ["a", "w"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label"))
+        new = materialise(best, "labels")
+        moved = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count()
+        labels = new
+        if not moved:
+            break
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    ranked = sizes.orderBy(F.col("size").desc(), "label").limit(top).withColumn("community", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("size").desc(), "label")).cast("string"))
+    return labels.join(sizes, "label").join(ranked.select("label", "community"), "label", "left").select("node", F.coalesce("community", F.lit("other")).alias("community"), "size")
+
+
+def modularity(edges: DataFrame, named: DataFrame) -> DataFrame:
+    """One row with the modularity of a division ``(node, community)``."""
+    m = edges.agg(F.sum("score").alias("m"))
+    label = lambda c: named.select(F.col("node").alias(c), F.col("community").alias(f"c{c}"))
+    inside = edges.join(label("a"), "a").join(label("b"), "b").agg(F.coalesce(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("score"))), F.lit(0)).alias("inside"))
+    k = edges.select(F.explode(F.array("a", "b")).alias("node"), "score").groupBy("node").agg(F.sum("score").alias("k")).join(named, "node").groupBy("community").agg(F.sum("k").alias("k")).agg(F.sum(F.pow("k", F.lit(2))).alias("kk"))
+    return m.join(inside, F.lit(True)).join(k, F.lit(True)).select((F.col("inside") / F.col("m") - F.col("kk") / F.pow(2 * F.col("m"), F.lit(2))).alias("modularity"))
+
+
+def ring_layout(nodes: DataFrame, rings: int = 3) -> DataFrame:
+    """``(node, ring, place, angle, x, y)`` of ``(node, degree, community)``: rings hold numbers of nodes in proportion to their radius, high degrees inside."""
+    from ..functions.stats import global_row_number
+
+    n = nodes.agg(F.count("*").alias("n"))
+    radius = [1.0 + i for i in range(rings)]
+    total = sum(radius)
+    ranked = global_row_number(nodes, [F.col("degree").desc(), F.col("node")]).join(F.broadcast(n), F.lit(True))
+    ring = F.lit(rings)
+    passed = 0.0
+    for i in range(rings - 1):
+        passed += radius[i] / total
+        ring = F.when((ring == rings) & (F.col("rank") <= F.round(F.col("n") * passed)), i + 1).otherwise(ring)
+    out = ranked.withColumn("ring", ring)
+    by = Window.partitionBy("ring")
+    out = out.withColumn("place", F.row_number().over(by.orderBy("community", "node"))).withColumn("angle", 2 * F.pi() * (F.col("place") - 1) / F.count("*").over(by))
+    return out.select("node", "ring", "place", "angle", (F.col("ring") * F.cos("angle")).alias("x"), (F.col("ring") * F.sin("angle")).alias("y"))
+
+
+def compare_signed_sets(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row comparing two tables ``(source, target, sign)``: shared and own pairs, Jaccard, shared sources, agreement of signs."""
+    x = a.groupBy("source", "target").agg(F.min("sign").alias("sa"), F.lit(1).alias("ia"))
+    y = b.groupBy("source", "target").agg(F.min("sign").alias("sb"), F.lit(1).alias("ib"))
+    j = x.join(y, ["source", "target"], "full_outer")
+    both = F.col("ia").isNotNull() & F.col("ib").isNotNull()
+    one = j.agg(
+        F.count_if(both).alias("shared"), F.count_if(F.col("ib").isNull()).alias("only_a"), F.count_if(F.col("ia").isNull()).alias("only_b"), F.count_if(both & (F.col("sa") == F.col("sb"))).alias("sign_agree"), F.count_if(both & (F.col("sa") != F.col("sb"))).alias("sign_conflict")
+    )
+    sources = a.select("source").distinct().join(b.select("source").distinct(), "source", "left_semi").agg(F.count("*").alias("shared_sources"))
+    return one.join(sources, F.lit(True)).withColumn("jaccard", F.col("shared") / (F.col("shared") + F.col("only_a") + F.col("only_b")))
+
+
+def sign_conflicts(a: DataFrame, b: DataFrame, most: int = 20) -> DataFrame:
+    """The first ``most`` pairs of which the two tables give opposite signs."""
+    both = a.select("source", "target", F.col("sign").alias("sign_a")).join(b.select("source", "target", F.col("sign").alias("sign_b")), ["source", "target"])
+    return both.where("sign_a <> sign_b").distinct().orderBy("source", "target").limit(most)
