@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
 _erfc = np.vectorize(math.erfc, otypes=[float])
@@ -66,20 +67,20 @@ def gamma_sf(x: np.ndarray, a: np.ndarray) -> np.ndarray:
         return np.where(x <= 0, 1.0, np.where(x < a + 1, 1 - front * total, front * h))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_sf2(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p-value of Student's t."""
     t, df = _floats(t, df)
     return pd.Series(beta_cdf(df / (df + t * t), df / 2, np.full_like(df, 0.5)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def norm_sf2(z: pd.Series) -> pd.Series:
     """Two-sided p-value of a standard normal."""
     return pd.Series(_erfc(np.abs(_floats(z)[0]) / math.sqrt(2)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_sf(x: pd.Series, df: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution."""
     x, df = _floats(x, df)
@@ -99,12 +100,12 @@ def _psi(x: np.ndarray, order: int) -> np.ndarray:
     return out + 1 / x + r / 2 + r / x * (1 / 6 - r * (1 / 30 - r * (1 / 42 - r / 30)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def digamma(x: pd.Series) -> pd.Series:
     return pd.Series(_psi(_floats(x)[0], 0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def trigamma(x: pd.Series) -> pd.Series:
     return pd.Series(_psi(_floats(x)[0], 1))
 
@@ -130,7 +131,7 @@ def digamma_at(x: float) -> float:
     return float(_psi(np.array([x]), 0)[0])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def hyper_sf(k: pd.Series, universe: pd.Series, hits: pd.Series, drawn: pd.Series) -> pd.Series:
     """P(overlap >= k) when ``drawn`` of ``universe`` are taken and ``hits`` of them count."""
     out = []
