@@ -15,10 +15,10 @@ def gates(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return one.select(F.inline(rows)).withColumn("pass", (F.col("n_rows") > 0) & (F.col("n_pass") == F.col("n_rows")))
 
 
-def search_catalogue(df: DataFrame, organism: str, type_re: str, exclude_re: str, n_min: int, n_max: int, limit: int) -> DataFrame:
-    """Datasets of an organism and type with ``n_min <= n_samples < n_max`` and no excluded platform, the largest first."""
+def search_catalogue(df: DataFrame, organism: str, type_re: str, exclude_re: str, n_min: int, n_max: int, limit: int, tie: Sequence[str] = ("dataset",)) -> DataFrame:
+    """Datasets of an organism and type with ``n_min <= n_samples < n_max`` and no excluded platform, the largest first, equal ones by ``tie``."""
     kept = df.where((F.col("organism") == organism) & F.col("type").rlike(type_re) & ~F.coalesce(F.col("platform"), F.lit("")).rlike(exclude_re))
-    return kept.where((F.col("n_samples") >= n_min) & (F.col("n_samples") < n_max)).orderBy(F.col("n_samples").desc(), "dataset").limit(limit)
+    return kept.where((F.col("n_samples") >= n_min) & (F.col("n_samples") < n_max)).orderBy(F.col("n_samples").desc(), *tie).limit(limit)
 
 
 def candidate_groups(attrs: DataFrame, key_re: str) -> DataFrame:

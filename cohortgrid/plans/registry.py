@@ -1,6 +1,46 @@
-"""All queries of the library proper, with their SQL."""
+"""All queries of the library proper, with their SQL.
+
+P-values of the t, chi-square and normal distributions have no SQL; queries that only order or adjust
+p-values take ``rough_p`` of the statistic, which both engines can compute.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .bindings import Data, with_inputs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded, and without negative zeros, so that two engines' results compare."""
+    return df.select(*((F.round(c, digits) + F.lit(0.0)).alias(c) if kind in ("double", "float") else F.col(c) for c, kind in df.dtypes))
+
+
+def r(expression: str, name: str, digits: int = 6) -> str:
+    return f"round({expression}, {digits}) + 0.0 AS {name}"
+
+
+def query(name: str, sql: str | None = None, recursive: bool = False):
+    """Register a function of :class:`Data` under ``name``, with its SQL where there is one."""
+
+    def add(f: Callable[[Data], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: rounded(f(Data(spark, sf_dir)))
+        if sql:
+            ORACLE_SQL[name] = with_inputs(sql, recursive)
+        return f
+
+    return add
+
+
+def rough_p(t: Column) -> Column:
+    """About the two-sided normal tail, in functions that both engines have."""
+    return F.least(F.lit(1.0), F.exp(-0.717 * F.abs(t) - 0.416 * t * t))
+
+
+from . import survival_queries, test_queries, cleaning_queries, network_queries, set_queries  # noqa: E402,F401
