@@ -35,12 +35,12 @@ def size_window(sets: DataFrame, ranked: DataFrame, lo: int = 15, hi: int = 500)
 
 def _walk(ranked: DataFrame, sets: DataFrame) -> DataFrame:
     """Hits of each set in rank order with the running sum just before and at each hit."""
-    n = ranked.agg(F.count("*").alias("N"))
+    n = ranked.agg(F.count("*").alias("n_all"))
     hits = sets.select("set_id", "feature").join(ranked, "feature").join(F.broadcast(n), F.lit(True)).withColumn("w", F.abs("stat"))
     up, whole = Window.partitionBy("set_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow), Window.partitionBy("set_id")
-    hits = hits.withColumns({"i": F.row_number().over(Window.partitionBy("set_id").orderBy("rank")), "m": F.count("*").over(whole), "W": F.sum("w").over(whole), "cum": F.sum("w").over(up)})
-    miss = F.when(F.col("N") > F.col("m"), (F.col("rank") - F.col("i")) / (F.col("N") - F.col("m"))).otherwise(0.0)
-    return hits.where("W > 0").withColumns({"at": F.col("cum") / F.col("W") - miss, "before": (F.col("cum") - F.col("w")) / F.col("W") - miss})
+    hits = hits.withColumns({"i": F.row_number().over(Window.partitionBy("set_id").orderBy("rank")), "m": F.count("*").over(whole), "total": F.sum("w").over(whole), "cum": F.sum("w").over(up)})
+    miss = F.when(F.col("n_all") > F.col("m"), (F.col("rank") - F.col("i")) / (F.col("n_all") - F.col("m"))).otherwise(0.0)
+    return hits.where("total > 0").withColumns({"at": F.col("cum") / F.col("total") - miss, "before": (F.col("cum") - F.col("w")) / F.col("total") - miss})
 
 
 def running_sum(ranked: DataFrame, sets: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ class Data:
     def risk(self) -> DataFrame:
         """A risk for every visit: its mean event value, in steps."""
         x = self.table("events").select((F.col("user_id") * 100000 + F.datediff(F.to_date("ts"), F.lit("2000-01-01"))).alias("subject"), "value")
-        return x.groupBy("subject").agg(F.round(F.avg("value") / 10, 2).alias("risk"))
+        return x.groupBy("subject").agg((F.floor(F.round(F.avg("value"), 6) * 10 + 0.5) / 100).alias("risk"))
 
     @property
     def sets(self) -> DataFrame:
@@ -152,7 +152,7 @@ SQL = {
     "surv": "SELECT subject, time, event FROM visits WHERE cohort = 'train'",
     "surv2": "SELECT subject, time, event FROM visits WHERE cohort = 'test'",
     "covariates": f"SELECT v.subject, t.feature, coalesce(c.v, 0.0) AS value FROM visits v CROSS JOIN (SELECT DISTINCT event_type AS feature FROM events) t LEFT JOIN (SELECT {_VISIT} AS subject, event_type AS feature, round(avg(value), 6) AS v FROM events GROUP BY 1, 2) c ON c.subject = v.subject AND c.feature = t.feature",
-    "risk": f"SELECT {_VISIT} AS subject, round(avg(value) / 10, 2) AS risk FROM events GROUP BY 1",
+    "risk": f"SELECT {_VISIT} AS subject, floor(round(avg(value), 6) * 10 + 0.5) / 100 AS risk FROM events GROUP BY 1",
     "sets": "SELECT p_brand AS set_id, CAST(p_partkey AS VARCHAR) AS feature FROM part",
     "part_stat": "SELECT feature, round((r - a) / s, 6) AS t FROM (SELECT CAST(l_partkey AS VARCHAR) AS feature, avg(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS r, avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS a, stddev_samp(l_quantity) AS s FROM lineitem GROUP BY 1) WHERE r IS NOT NULL AND a IS NOT NULL AND s > 0",
     "signed": "SELECT substr(feature, 1, 2) AS source, feature AS target, CASE WHEN length(feature) % 5 = 0 THEN NULL WHEN length(feature) % 2 = 0 THEN 1 ELSE -1 END AS sign FROM (SELECT DISTINCT feature FROM m3 WHERE length(feature) > 1)",
@@ -173,8 +173,8 @@ SQL |= {
     "fsym": "SELECT a, b, r FROM fpairs UNION ALL SELECT b, a, r FROM fpairs",
     "ranked": "SELECT feature, t AS stat, row_number() OVER (ORDER BY t DESC, feature) AS rank FROM part_stat",
     "members": "SELECT set_id, feature FROM sets SEMI JOIN ranked USING (feature)",
-    "walk": "SELECT *, cum / W - miss AS at, (cum - w) / W - miss AS before FROM (SELECT *, CASE WHEN N > m THEN (rank - i) * 1.0 / (N - m) ELSE 0.0 END AS miss FROM (SELECT set_id, feature, rank, abs(stat) AS w, row_number() OVER (PARTITION BY set_id ORDER BY rank) AS i, count(*) OVER (PARTITION BY set_id) AS m, sum(abs(stat)) OVER (PARTITION BY set_id) AS W, sum(abs(stat)) OVER (PARTITION BY set_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, (SELECT count(*) FROM ranked) AS N FROM members JOIN ranked USING (feature))) WHERE W > 0",
-    "es": "SELECT set_id, max(m) AS size, CASE WHEN max(at) >= -min(before) THEN max(at) ELSE min(before) END AS es FROM walk GROUP BY set_id",
+    "walk": "SELECT *, cum / tw - miss AS hit_at, (cum - w) / tw - miss AS hit_before FROM (SELECT *, CASE WHEN total_n > m THEN (rank - i) * 1.0 / (total_n - m) ELSE 0.0 END AS miss FROM (SELECT set_id, feature, rank, abs(stat) AS w, row_number() OVER (PARTITION BY set_id ORDER BY rank) AS i, count(*) OVER (PARTITION BY set_id) AS m, sum(abs(stat)) OVER (PARTITION BY set_id) AS tw, sum(abs(stat)) OVER (PARTITION BY set_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, (SELECT count(*) FROM ranked) AS total_n FROM members JOIN ranked USING (feature))) WHERE tw > 0",
+    "es": "SELECT set_id, max(m) AS size, CASE WHEN max(hit_at) >= -min(hit_before) THEN max(hit_at) ELSE min(hit_before) END AS es FROM walk GROUP BY set_id",
     "selected": "SELECT feature, CASE WHEN t > 0 THEN 'up' ELSE 'down' END AS direction FROM part_stat WHERE abs(t) > 0.5",
     "km": "SELECT cohort AS stratum, time, n_risk, events, n - events AS censored, CASE WHEN gone THEN 0.0 ELSE exp(logs) END AS survival FROM (SELECT *, sum(CASE WHEN events < n_risk THEN ln(1 - events / n_risk) ELSE 0.0 END) OVER (PARTITION BY cohort ORDER BY time) AS logs, max(CASE WHEN events >= n_risk THEN 1 ELSE 0 END) OVER (PARTITION BY cohort ORDER BY time) = 1 AS gone FROM (SELECT cohort, time, count(*) AS n, sum(event) AS events, sum(count(*)) OVER (PARTITION BY cohort ORDER BY time DESC) AS n_risk FROM visits GROUP BY cohort, time))",
     "activity": "SELECT source, sample, sum(coalesce(sign, 1) * z) / sum(abs(coalesce(sign, 1))) AS activity, count(*) AS n_targets FROM (SELECT source, sample, sign, z FROM (SELECT feature, sample, CASE WHEN stddev_samp(value) OVER w > 0 THEN (value - avg(value) OVER w) / stddev_samp(value) OVER w ELSE 0.0 END AS z FROM m3 WINDOW w AS (PARTITION BY feature)) JOIN signed ON feature = target) GROUP BY 1, 2 HAVING count(*) >= 5",

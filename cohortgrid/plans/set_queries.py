@@ -43,7 +43,7 @@ def f4(d: Data) -> DataFrame:
     return sets.set_null(ranked(d), members(d), 50)
 
 
-@query("f5_leading_edge", f"WITH x AS (SELECT walk.*, es FROM walk JOIN es USING (set_id)), e AS (SELECT set_id, min(rank) FILTER (at = es) AS hi, max(rank) FILTER (before = es) AS lo FROM x GROUP BY set_id) SELECT set_id, {r('es', 'es')}, string_agg(feature, '/' ORDER BY feature) AS edge FROM x JOIN e USING (set_id) WHERE CASE WHEN es >= 0 THEN rank <= hi ELSE rank >= lo END GROUP BY set_id, es")
+@query("f5_leading_edge", f"WITH x AS (SELECT walk.*, es FROM walk JOIN es USING (set_id)), e AS (SELECT set_id, min(rank) FILTER (hit_at = es) AS hi, max(rank) FILTER (hit_before = es) AS lo FROM x GROUP BY set_id) SELECT set_id, {r('es', 'es')}, string_agg(feature, '/' ORDER BY feature) AS edge FROM x JOIN e USING (set_id) WHERE CASE WHEN es >= 0 THEN rank <= hi ELSE rank >= lo END GROUP BY set_id, es")
 def f5(d: Data) -> DataFrame:
     return sets.leading_edge(ranked(d), members(d))
 
