@@ -133,23 +133,24 @@ def modularity(edges: DataFrame, named: DataFrame) -> DataFrame:
     return m.join(inside, F.lit(True)).join(k, F.lit(True)).select((F.col("inside") / F.col("m") - F.col("kk") / F.pow(2 * F.col("m"), F.lit(2))).alias("modularity"))
 
 
-def ring_layout(nodes: DataFrame, rings: int = 3) -> DataFrame:
-    """``(node, ring, place, angle, x, y)`` of ``(node, degree, community)``: rings hold numbers of nodes in proportion to their radius, high degrees inside."""
+def ring_layout(nodes: DataFrame, rings: int = 3, gap: float = 0.72) -> DataFrame:
+    """``(node, ring, place, angle, x, y)`` of ``(node, degree, community)``.
+
+    Rings hold numbers of nodes in proportion to their radius, high degrees inside, at most one ring for
+    each twelve nodes; within a ring communities lie together, from the top on.
+    """
     from ..functions.stats import global_row_number
 
-    n = nodes.agg(F.count("*").alias("n"))
-    radius = [1.0 + i for i in range(rings)]
-    total = sum(radius)
-    ranked = global_row_number(nodes, [F.col("degree").desc(), F.col("node")]).join(F.broadcast(n), F.lit(True))
-    ring = F.lit(rings)
-    passed = 0.0
-    for i in range(rings - 1):
-        passed += radius[i] / total
-        ring = F.when((ring == rings) & (F.col("rank") <= F.round(F.col("n") * passed)), i + 1).otherwise(ring)
-    out = ranked.withColumn("ring", ring)
+    n = nodes.count()
+    radii = [1 + gap * i for i in range(min(rings, max(1, n // 12)))]
+    sizes = [max(1, round(n * r / sum(radii))) for r in radii[:-1]]
+    cuts = [sum(sizes[: i + 1]) for i in range(len(sizes))]
+    ranked = global_row_number(nodes, [F.col("degree").desc(), F.col("node")])
+    out = ranked.withColumn("ring", sum(((F.col("rank") > c).cast("int") for c in cuts), F.lit(1)))
     by = Window.partitionBy("ring")
-    out = out.withColumn("place", F.row_number().over(by.orderBy("community", "node"))).withColumn("angle", 2 * F.pi() * (F.col("place") - 1) / F.count("*").over(by))
-    return out.select("node", "ring", "place", "angle", (F.col("ring") * F.cos("angle")).alias("x"), (F.col("ring") * F.sin("angle")).alias("y"))
+    out = out.withColumn("place", F.row_number().over(by.orderBy("community", F.col("degree").desc(), "node"))).withColumn("angle", 2 * F.pi() * (F.col("place") - 1) / F.count("*").over(by) + F.pi() / 2)
+    radius = 1 + (F.col("ring") - 1) * gap
+    return out.select("node", "ring", "place", "angle", (radius * F.cos("angle")).alias("x"), (radius * F.sin("angle")).alias("y"))
 
 
 def compare_signed_sets(a: DataFrame, b: DataFrame) -> DataFrame:

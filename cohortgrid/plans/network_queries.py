@@ -79,10 +79,10 @@ def g8_modularity(d: Data) -> DataFrame:
     return graph.modularity(d.edges, graph.communities(d.edges))
 
 
-_RING = f"{_DEG}, k AS (SELECT node, node % 4 AS community, row_number() OVER (ORDER BY degree DESC, node) AS k, count(*) OVER () AS n FROM deg), g AS (SELECT *, CASE WHEN k <= round(n * (1.0 / 6)) THEN 1 WHEN k <= round(n * (1.0 / 6 + 2.0 / 6)) THEN 2 ELSE 3 END AS ring FROM k), p AS (SELECT node, ring, row_number() OVER (PARTITION BY ring ORDER BY community, node) AS place, count(*) OVER (PARTITION BY ring) AS m FROM g), q AS (SELECT *, 2 * pi() * (place - 1) / m AS angle FROM p)"
+_RING = f"{_DEG}, k AS (SELECT node, node % 4 AS community, degree, row_number() OVER (ORDER BY degree DESC, node) AS k, count(*) OVER () AS n, least(3, greatest(1, count(*) OVER () // 12)) AS rings FROM deg), c AS (SELECT *, CASE rings WHEN 1 THEN n WHEN 2 THEN greatest(1, round(n / 2.72)) ELSE greatest(1, round(n / 5.16)) END AS c1, CASE rings WHEN 3 THEN greatest(1, round(n / 5.16)) + greatest(1, round(n * 1.72 / 5.16)) ELSE n END AS c2 FROM k), g AS (SELECT *, CASE WHEN k <= c1 THEN 1 WHEN k <= c2 THEN 2 ELSE 3 END AS ring FROM c), p AS (SELECT node, ring, row_number() OVER (PARTITION BY ring ORDER BY community, degree DESC, node) AS place, count(*) OVER (PARTITION BY ring) AS m FROM g), q AS (SELECT *, 2 * pi() * (place - 1) / m + pi() / 2 AS angle, 1 + 0.72 * (ring - 1) AS radius FROM p)"
 
 
-@query("g9_rings", f"WITH {_RING} SELECT node, ring, CAST(place AS INT) AS place, {r('angle', 'angle')}, {r('ring * cos(angle)', 'x')}, {r('ring * sin(angle)', 'y')} FROM q")
+@query("g9_rings", f"WITH {_RING} SELECT node, ring, CAST(place AS INT) AS place, {r('angle', 'angle')}, {r('radius * cos(angle)', 'x')}, {r('radius * sin(angle)', 'y')} FROM q")
 def g9(d: Data) -> DataFrame:
     return graph.ring_layout(graph.degree(d.edges).withColumn("community", F.col("node") % 4))
 
