@@ -208,9 +208,9 @@ def search(index: str, tests: DataFrame, width: int = 10, slop: int = 0, id_col:
     or wordless documents have zero words. An item without an id is called ``null``.
     """
     spark = tests.sparkSession
-    schema = "segment long, term string, n long, postings binary, doc_id long, doc_key long"
-    terms = spark.read.schema(schema).parquet(f"{index}/part=terms").select("segment", "term", "n", "postings")
-    docs = spark.read.schema(schema).parquet(f"{index}/part=docs").select("segment", "doc_id", "doc_key", "n", "postings")
+    stored = lambda part: spark.read.schema(_INDEX).parquet(index).where(F.col("part") == part)
+    terms = stored("terms").select("segment", "term", "n", "postings")
+    docs = stored("docs").select("segment", "doc_id", "doc_key", "n", "postings")
     items = tests.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_BYTES))
