@@ -30,7 +30,7 @@ def read_block_table(spark: SparkSession, path: str, begin: str, end: str, sep:
 
     Short rows are padded with nulls and surplus fields dropped. A file is one row here, so this is for annotation files, not for matrices.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     block = F.regexp_extract("value", rf"(?s)(?:^|\n){begin}[^\n]*\n(.*?)\n{end}", 1)
     lines = files.select("file", F.split(block, r"\r?\n").alias("lines"))
     head = F.split(F.get("lines", 0), sep)
