@@ -113,12 +113,12 @@ SELECT p.page_id, host, path, fit.rule, coalesce(kind, CASE WHEN hit.page_id IS
 FROM p LEFT JOIN fit USING (page_id) LEFT JOIN hit USING (page_id)""",
     "op5_line_dedup": """
 WITH lines AS (
-  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM documents),
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
 bad AS (
   SELECT trim(line) AS line FROM lines WHERE trim(line) <> '' GROUP BY trim(line) HAVING count(DISTINCT source) >= 10),
 kept AS (
   SELECT doc_id, count(*) AS n, count(*) FILTER (bad.line IS NOT NULL) AS removed,
-         coalesce(string_agg(lines.line, chr(10) ORDER BY at) FILTER (bad.line IS NULL), '') AS text
+         coalesce(string_agg(lines.line, chr(10) ORDER BY place) FILTER (bad.line IS NULL), '') AS text
   FROM lines LEFT JOIN bad ON trim(lines.line) = bad.line GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS lines_before, coalesce(removed, 0) AS lines_removed,
        CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE kept.text END) AS BIGINT) AS chars_after,
@@ -143,12 +143,25 @@ win AS (
   SELECT item, array_to_string(w[i:i + 9], ' ') AS win, least(10, len(w)) AS k
   FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT k FROM win),
-at AS (
+runs AS (
   SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win
   FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, sizes WHERE len(w) >= k)),
-hit AS (SELECT doc_id, i, at.k, item FROM at JOIN win ON at.win = win.win AND at.k = win.k),
+hit AS (SELECT doc_id, i, runs.k, item FROM runs JOIN win ON runs.win = win.win AND runs.k = win.k),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hit) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op10_minhash_dedup": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, d.doc_id = c AS kept
+FROM d JOIN comp ON comp.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
 }
