@@ -10,10 +10,12 @@ hashes of its set (its sketch); texts with equal sets form one class and go on a
     documents share are common, and so rarely listed.
 2.  Stars. In each list the members of about one size are paired with the smallest id
     alone: linear in the list, whatever its length.
-3.  The rest. Lists whose members are not yet in one component are compared in full,
-    members of different components only, in blocks of bounded size.
-4.  In both steps the sketch of the union estimates similarity; pairs that may reach the
-    threshold are verified on their full sets.
+3.  The rest. Documents in lists whose members are not yet in one component are listed again,
+    now by the rarest values of their full sets, as many as must hold a common one: an
+    exact bound. Such lists are compared in full, members of different components
+    only, in blocks of bounded size; no pair leaves a block that isn't a likely link.
+4.  In both steps the sketch of the union estimates similarity, and pairs that may reach the
+    threshold are verified on their full sets. A sketch that holds a whole set verifies at once.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from .arrow import lists, slices
 from .words import NONSPACE, Words
 
 K = 64
+WIDE = 256
 BLOCK = 1024
 
 
@@ -104,10 +107,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     return both.where(F.col("hits") >= _floor_hits(F.size("u"), percent)).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialise(full_sets(documents, nodes, width, id_col, text_col), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
@@ -115,53 +116,83 @@ def _verified(pairs: DataFrame, documents: DataFrame, width: int, percent: int,
 
 
 def _block_pairs(k: int, percent: int):
-    """Compare two blocks of one list (or one with itself) by sketches, across components and within the size ratio."""
+    """Compare two blocks of one list (or one with itself) by sketches, across components and within the size ratio.
+
+    Returns likely links, and for the sure ones (both sketches hold whole sets) a spanning set.
+    """
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": [], "sure": []}).astype({"a": "int64", "b": "int64", "sure": bool})
         own = pdf.i.iat[0] == pdf.j.iat[0]
         left, right = (pdf, pdf) if own else (pdf[pdf.side == 0], pdf[pdf.side == 1])
-        if left.empty or right.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        out_a, out_b = [], []
+        if left.empty or right.empty or pdf.comp.nunique() < 2:
+            return none
         stack = [np.asarray(x, np.int64).view(np.uint64) for x in right.sketch]
         flat = np.concatenate(stack)
-        owner = np.repeat(np.arange(len(stack)), [len(s) for s in stack])
+        lengths = np.array([len(x) for x in stack])
+        owner = np.repeat(np.arange(len(stack)), lengths)
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
         sizes, comps, ids = right.n.to_numpy(), right.comp.to_numpy(), right.node.to_numpy()
-        lengths = np.array([len(s) for s in stack])
+        out_a, out_b, out_sure = [], [], []
         for node, comp, n, sketch in zip(left.node, left.comp, left.n, left.sketch):
-            s = np.asarray(sketch, np.int64).view(np.uint64)
-            lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
-            spans = hi - lo
-            at = np.repeat(lo - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
-            shared = np.bincount(owner[at], minlength=len(stack))
-            u = np.minimum(k, len(s) + lengths - shared)
-            # Shared values beyond the sketch of the union are few; this bound keeps every pair that the estimate would keep.
-            near = (shared >= _floor_hits(u, percent)) & (comps != comp)
+            near = (comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
             if own:
                 near &= ids > node
-            near &= 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
-            hit = ids[near]
-            out_a.append(np.full(len(hit), node))
-            out_b.append(hit)
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)}).astype("int64")
+            if not near.any():
+                continue
+            x = np.asarray(sketch, np.int64).view(np.uint64)
+            lo = np.searchsorted(flat, x, "left")
+            spans = np.searchsorted(flat, x, "right") - lo
+            at = np.repeat(lo - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+            shared = np.bincount(owner[at], minlength=len(stack))
+            whole = (n <= k) & (sizes <= k)
+            u = np.where(whole, n + sizes - shared, np.minimum(k, len(x) + lengths - shared))
+            # Where a sketch is cut, all shared values count, also those beyond the union's sketch: no link is lost by that.
+            near &= np.where(whole, 100 * shared >= percent * u, shared >= _floor_hits(u, percent))
+            out_a.append(np.full(near.sum(), node))
+            out_b.append(ids[near])
+            out_sure.append(whole[near])
+        if not out_a:
+            return none
+        a, b, sure = np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_sure)
+        names, at = np.unique(np.concatenate((a[sure], b[sure])), return_inverse=True)
+        low, p, q = np.arange(len(names)), at[: len(at) // 2], at[len(at) // 2 :]
+        while True:
+            before = low.copy()
+            np.minimum.at(low, p, low[q])
+            np.minimum.at(low, q, low[p])
+            if (low == before).all():
+                break
+        tree = names[low] != names
+        return pd.DataFrame({"a": np.concatenate((a[~sure], names[low][tree])), "b": np.concatenate((b[~sure], names[tree])), "sure": np.concatenate((np.zeros((~sure).sum(), bool), np.ones(tree.sum(), bool)))})
 
     return compare
 
 
-def _across(listed: DataFrame, comps: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Candidate pairs between components, from lists whose members are in more than one."""
+def _across(listed: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, sure)``: likely links between components, from lists whose members are in more than one."""
+
+    def open_rows(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi")
+        return rows.join(ends.select("v", "members"), "v")
+
     named = listed.join(comps.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_lists = named.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi")
+    rest = materialise(open_rows(named).select("node", "comp").distinct().join(sets, "node"), "rest")
+    values = rest.select("node", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("v"))
+    shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    held = values.join(shared, "v").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("held"))
+    slots = (F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1 - (F.col("n") - F.size("held"))).cast("int")
+    rows = held.withColumn("slots", slots).where("slots > 0").select("node", "comp", "n", F.explode(F.slice("held", F.lit(1), F.col("slots"))).alias("x"))
+    rows = open_rows(materialise(rows.select(F.col("x.v").alias("v"), "node", "comp", "n"), "listed"))
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    rows = named.join(open_lists.select("v", blocks.alias("blocks")), "v")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")).cast("int"))
-    # Block i meets every block j >= i once; a list of one block makes one task's group.
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")).cast("int"))
+    # Block i meets every block j >= i once; a list of one block makes one group.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
-    rows = rows.withColumn("meet", F.explode(meets)).select("v", "node", "n", "comp", "meet.*")
-    rows = rows.join(classes.select("node", "sketch"), "node")
-    return rows.groupBy("v", "i", "j").applyInPandas(_block_pairs(k, percent), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows = rows.withColumn("meet", F.explode(meets)).select("v", "node", "comp", "n", "meet.*")
+    rows = rows.join(rest.select("node", F.slice("shingles", 1, WIDE).alias("sketch")), "node")
+    found = rows.groupBy("v", "i", "j").applyInPandas(_block_pairs(WIDE, percent), "a long, b long, sure boolean")
+    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sure").alias("sure"))
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,10 +214,11 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, k:
     hubs = sized.groupBy("v", "size_step").agg(F.min(F.struct("node", "n")).alias("hub"))
     star = sized.join(hubs, ["v", "size_step"]).where("hub.node <> node").where(F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent)
     star = materialise(star.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    links = materialise(_verified(_estimated(star, classes, k, percent), documents, width, percent, id_col, text_col), "links")
+    sets = materialise(full_sets(documents, listed.select("node").distinct(), width, id_col, text_col), "sets")
+    links = materialise(_verified(_estimated(star, classes, k, percent), sets, percent), "links")
 
-    rest = _across(listed, components(links), classes, k, percent).join(star, ["a", "b"], "left_anti")
-    more = materialise(_verified(materialise(rest, "rest"), documents, width, percent, id_col, text_col), "links")
+    rest = materialise(_across(listed, components(links), sets, percent), "rest")
+    more = materialise(_verified(rest.where("not sure"), sets, percent).unionByName(rest.where("sure").select("a", "b")), "links")
     comps = components(links.unionByName(more))
 
     named = classes.select("h1", "h2", "node").join(comps, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("named"))
