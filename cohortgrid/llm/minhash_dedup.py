@@ -135,8 +135,11 @@ def _block_pairs(k: int, percent: int):
         flat, owner = flat[order], owner[order]
         sizes, comps, ids = right.n.to_numpy(), right.comp.to_numpy(), right.node.to_numpy()
         out_a, out_b, out_sure = [], [], []
-        for node, comp, n, sketch in zip(left.node, left.comp, left.n, left.sketch):
+        after = sizes - right.place.to_numpy()
+        for node, comp, n, left_after, sketch in zip(left.node, left.comp, left.n, left.n - left.place, left.sketch):
             near = (comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+            # In the first list that a pair shares, all its common values are at or after the list's place in both sets.
+            near &= np.minimum(after, left_after) * (100 + percent) >= percent * (sizes + n)
             if own:
                 near &= ids > node
             if not near.any():
@@ -183,13 +186,13 @@ def _across(listed: DataFrame, comps: DataFrame, sets: DataFrame, percent: int)
     shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     held = values.join(shared, "v").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("held"))
     slots = (F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1 - (F.col("n") - F.size("held"))).cast("int")
-    rows = held.withColumn("slots", slots).where("slots > 0").select("node", "comp", "n", F.explode(F.slice("held", F.lit(1), F.col("slots"))).alias("x"))
-    rows = open_rows(materialise(rows.select(F.col("x.v").alias("v"), "node", "comp", "n"), "listed"))
+    rows = held.withColumn("slots", slots).where("slots > 0").select("node", "comp", "n", (F.col("n") - F.size("held")).alias("alone"), F.posexplode(F.slice("held", F.lit(1), F.col("slots"))).alias("at", "x"))
+    rows = open_rows(materialise(rows.select(F.col("x.v").alias("v"), "node", "comp", "n", (F.col("alone") + F.col("at")).alias("place")), "listed"))
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")).cast("int"))
     # Block i meets every block j >= i once; a list of one block makes one group.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
-    rows = rows.withColumn("meet", F.explode(meets)).select("v", "node", "comp", "n", "meet.*")
+    rows = rows.withColumn("meet", F.explode(meets)).select("v", "node", "comp", "n", "place", "meet.*")
     rows = rows.join(rest.select("node", F.slice("shingles", 1, WIDE).alias("sketch")), "node")
     found = rows.groupBy("v", "i", "j").applyInPandas(_block_pairs(WIDE, percent), "a long, b long, sure boolean")
     return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sure").alias("sure"))
