@@ -43,7 +43,7 @@ class _Numbers(dict):
 class Encoder:
     """Encodes batches of texts; at most ``most_words`` pre-tokens are remembered between batches."""
 
-    def __init__(self, path: str, most_words: int = 1_500_000):
+    def __init__(self, path: str, most_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -10,7 +10,7 @@ run of pre-tokens, or none; its ends stay boundaries of pre-tokens.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -155,20 +155,10 @@ def redactions(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def redaction_edits(versions: DataFrame) -> DataFrame:
-    """``versions`` with the redactions of each text in the column ``edits``."""
+def apply_edits(versions: DataFrame, tokenizer: str | None = None, find: Callable[[str], list[tuple[int, int, str]]] | None = None) -> DataFrame:
+    """Apply the edits that ``find`` sees in each text, or else those of the column ``edits`` (``start, length, insert``).
 
-    @F.pandas_udf(EDITS)
-    def find(texts):
-        return texts.map(lambda t: [{"start": a, "length": n, "insert": by} for a, n, by in redactions(t or "")])
-
-    return versions.withColumn("edits", find("text"))
-
-
-def apply_edits(versions: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Apply the column ``edits`` (``start, length, insert`` in characters of the old text, in order, without overlap).
-
-    Returns the new versions, and beside them ``n_chars_before, n_tokens_before, n_edits`` and ``n_encoded``, the
+    Edits are in characters of the old text, in order and without overlap. Returns the new versions, and beside them ``n_chars_before, n_tokens_before, n_edits`` and ``n_encoded``, the
     pre-tokens that were encoded again. Null edits are none; edits beyond the text's end are cut to it.
     """
     tokenizer = tokenizer or vocabulary("byte_bpe_50k.json")
@@ -178,25 +168,27 @@ def apply_edits(versions: DataFrame, tokenizer: str | None = None) -> DataFrame:
         tokens = encoder(tokenizer)
         for batch in slices(batches, "text"):
             columns: list[list] = [[] for _ in range(9)]
-            for doc_id, text, n_tokens, chars, counts, edits in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, text, n_tokens, chars, counts, given in zip(*(c.to_pylist() for c in batch.columns)):
                 new, encoded = text or "", 0
+                edits = find(new) if find else [(e["start"], e["length"], e["insert"] or "") for e in given or ()]
                 if edits:
                     tree = PretokenTree(_unpacked(chars), _unpacked(counts))
-                    for e in reversed(edits):
-                        start = min(e["start"], len(new))
-                        new, n = edit(tokens, new, tree, start, min(e["length"], len(new) - start), e["insert"] or "")
+                    for start, length, insert in reversed(edits):
+                        start = min(start, len(new))
+                        new, n = edit(tokens, new, tree, start, min(length, len(new) - start), insert)
                         encoded += n
                     leaves = tree.sums[tree.size :]
                     leaves = leaves[leaves[:, 0] > 0]
                     after, chars, counts = tree.tokens, _packed(leaves[:, 0]), _packed(leaves[:, 1])
                 else:
                     after = n_tokens
-                for column, value in zip(columns, (doc_id, new, after, chars, counts, len(text or ""), n_tokens, len(edits or ()), encoded)):
+                for column, value in zip(columns, (doc_id, new, after, chars, counts, len(text or ""), n_tokens, len(edits), encoded)):
                     column.append(value)
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", *extra])
 
-    rows = versions.select("doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", F.col("edits").cast(EDITS).alias("edits"))
+    edits = F.lit(None) if find else F.col("edits")
+    rows = versions.select("doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", edits.cast(EDITS).alias("edits"))
     return rows.mapInArrow(run, VERSION + "".join(f", {c} long" for c in extra))
 
 
@@ -206,5 +198,5 @@ def edit_aware_counts(documents: DataFrame, tokenizer: str | None = None) -> Dat
     One row per document: ``doc_id, n_chars, n_tokens, n_edits, n_encoded, n_chars_after, n_tokens_after``.
     """
     versions = materialise(build_trees(documents, tokenizer), "versions")
-    out = apply_edits(redaction_edits(versions), tokenizer)
+    out = apply_edits(versions, tokenizer, redactions)
     return out.select("doc_id", F.col("n_chars_before").alias("n_chars"), F.col("n_tokens_before").alias("n_tokens"), "n_edits", "n_encoded", F.length("text").cast("long").alias("n_chars_after"), F.col("n_tokens").alias("n_tokens_after"))
