@@ -155,11 +155,17 @@ def average_rank(value: Column | str, by: list[str]) -> Column:
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rank", partitions: int | None = None) -> DataFrame:
-    """``row_number`` over the whole table without a single-task window: ranges are sorted apart and offset by the sizes of those before."""
+    """``row_number`` over the whole table without a single-task window: ranges are sorted apart and offset by the sizes of those before.
+
+    The dealt rows are written once, since a second sample could cut the ranges elsewhere.
+    """
+    from ..session import materialise
+
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     dealt = dealt.withColumn("_place", F.monotonically_increasing_id())
     dealt = dealt.withColumn("_part", F.shiftright("_place", 33)).withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
+    dealt = materialise(dealt, "ranges")
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each partition.
