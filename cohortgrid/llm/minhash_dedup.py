@@ -25,7 +25,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,60 +114,103 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("i") * 100 >= (F.size("sa") + F.size("sb") - F.col("i")) * percent).select("a", "b")
 
 
-def _block_pairs(k: int, percent: int):
-    """Compare two blocks of one list (or one with itself) by sketches, across components and within the size ratio.
+class _Rows:
+    """Rows of one or more lists as arrays; ``sketch(i)`` is a sorted array."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        for name in ("v", "i", "j", "node", "comp", "n", "place", "side"):
+            setattr(self, name, batch.column(name).to_numpy())
+        sketches = batch.column("sketch")
+        self.flat = sketches.flatten().to_numpy().view(np.uint64)
+        self.ends = np.cumsum(sketches.value_lengths().to_numpy())
+
+    def sketch(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i - 1] if i else 0 : self.ends[i]]
+
+
+def _likely_links(rows: _Rows, lo: int, hi: int, k: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers ``(left, right)`` of likely links among the rows of one block pair, and which of them are sure."""
+    own = rows.i[lo] == rows.j[lo]
+    at = np.arange(lo, hi)
+    left, right = (at, at) if own else (at[rows.side[lo:hi] == 0], at[rows.side[lo:hi] == 1])
+    n, after = rows.n, rows.n - rows.place
+    found = []
+    cat = owner = None
+    for x in left:
+        near = (rows.comp[right] != rows.comp[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))
+        # In the first list that a pair shares, all its common values are at or after the list's place in both sets.
+        near &= np.minimum(after[right], after[x]) * (100 + percent) >= percent * (n[right] + n[x])
+        if own:
+            near &= right > x
+        partners = right[near]
+        if not len(partners):
+            continue
+        s = rows.sketch(x)
+        if len(partners) <= 16:
+            shared = np.array([int((s[np.minimum(np.searchsorted(s, y), len(s) - 1)] == y).sum()) for y in map(rows.sketch, partners)])
+        else:
+            if cat is None:
+                parts = [rows.sketch(r) for r in right]
+                cat, owner = np.concatenate(parts), np.repeat(np.arange(len(right)), [len(y) for y in parts])
+                order = np.argsort(cat, kind="stable")
+                cat, owner = cat[order], owner[order]
+            first = np.searchsorted(cat, s, "left")
+            spans = np.searchsorted(cat, s, "right") - first
+            places = np.repeat(first - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+            shared = np.bincount(owner[places], minlength=len(right))[near]
+        whole = (n[x] <= k) & (n[partners] <= k)
+        u = np.where(whole, n[x] + n[partners] - shared, np.minimum(k, len(s) + np.minimum(n[partners], k) - shared))
+        # Where a sketch is cut, all shared values count, also those beyond the union's sketch: no link is lost by that.
+        ok = np.where(whole, 100 * shared >= percent * u, shared >= _floor_hits(u, percent))
+        if ok.any():
+            found.append((np.full(ok.sum(), x), partners[ok], whole[ok]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few links as keep the same nodes connected."""
+    names, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    low, p, q = np.arange(len(names)), at[: len(a)], at[len(a) :]
+    while True:
+        before = low.copy()
+        np.minimum.at(low, p, low[q])
+        np.minimum.at(low, q, low[p])
+        if (low == before).all():
+            tree = names[low] != names
+            return names[low][tree], names[tree]
+
+
+def _compare_lists(k: int, percent: int):
+    """Compare the lists of a partition, whose rows come sorted; a list that goes on in the next batch waits for it.
 
     Returns likely links, and for the sure ones (both sketches hold whole sets) a spanning set.
     """
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": [], "b": [], "sure": []}).astype({"a": "int64", "b": "int64", "sure": bool})
-        own = pdf.i.iat[0] == pdf.j.iat[0]
-        left, right = (pdf, pdf) if own else (pdf[pdf.side == 0], pdf[pdf.side == 1])
-        if left.empty or right.empty or pdf.comp.nunique() < 2:
-            return none
-        stack = [np.asarray(x, np.int64).view(np.uint64) for x in right.sketch]
-        flat = np.concatenate(stack)
-        lengths = np.array([len(x) for x in stack])
-        owner = np.repeat(np.arange(len(stack)), lengths)
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        sizes, comps, ids = right.n.to_numpy(), right.comp.to_numpy(), right.node.to_numpy()
-        out_a, out_b, out_sure = [], [], []
-        after = sizes - right.place.to_numpy()
-        for node, comp, n, left_after, sketch in zip(left.node, left.comp, left.n, left.n - left.place, left.sketch):
-            near = (comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
-            # In the first list that a pair shares, all its common values are at or after the list's place in both sets.
-            near &= np.minimum(after, left_after) * (100 + percent) >= percent * (sizes + n)
-            if own:
-                near &= ids > node
-            if not near.any():
-                continue
-            x = np.asarray(sketch, np.int64).view(np.uint64)
-            lo = np.searchsorted(flat, x, "left")
-            spans = np.searchsorted(flat, x, "right") - lo
-            at = np.repeat(lo - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
-            shared = np.bincount(owner[at], minlength=len(stack))
-            whole = (n <= k) & (sizes <= k)
-            u = np.where(whole, n + sizes - shared, np.minimum(k, len(x) + lengths - shared))
-            # Where a sketch is cut, all shared values count, also those beyond the union's sketch: no link is lost by that.
-            near &= np.where(whole, 100 * shared >= percent * u, shared >= _floor_hits(u, percent))
-            out_a.append(np.full(near.sum(), node))
-            out_b.append(ids[near])
-            out_sure.append(whole[near])
-        if not out_a:
-            return none
-        a, b, sure = np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_sure)
-        names, at = np.unique(np.concatenate((a[sure], b[sure])), return_inverse=True)
-        low, p, q = np.arange(len(names)), at[: len(at) // 2], at[len(at) // 2 :]
-        while True:
-            before = low.copy()
-            np.minimum.at(low, p, low[q])
-            np.minimum.at(low, q, low[p])
-            if (low == before).all():
-                break
-        tree = names[low] != names
-        return pd.DataFrame({"a": np.concatenate((a[~sure], names[low][tree])), "b": np.concatenate((b[~sure], names[tree])), "sure": np.concatenate((np.zeros((~sure).sum(), bool), np.ones(tree.sum(), bool)))})
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: _Rows, cuts: np.ndarray) -> pa.RecordBatch:
+            out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi - lo > 1 and (rows.comp[lo:hi] != rows.comp[lo]).any():
+                    a, b, sure = _likely_links(rows, lo, hi, k, percent)
+                    if len(a):
+                        out.append((rows.node[a[~sure]], rows.node[b[~sure]], np.zeros((~sure).sum(), bool)))
+                        x, y = _spanning(rows.node[a[sure]], rows.node[b[sure]])
+                        out.append((x, y, np.ones(len(x), bool)))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["a", "b", "sure"])
+
+        waiting = None
+        for batch in batches:
+            if waiting is not None:
+                batch = pa.Table.from_batches([waiting, batch]).combine_chunks().to_batches()[0]
+            rows = _Rows(batch)
+            new = (np.diff(rows.v) != 0) | (np.diff(rows.i) != 0) | (np.diff(rows.j) != 0)
+            cuts = np.concatenate(([0], np.flatnonzero(new) + 1))
+            waiting = batch.slice(int(cuts[-1]))
+            yield found(rows, cuts)
+        if waiting is not None:
+            yield found(_Rows(waiting), np.array([0, waiting.num_rows]))
 
     return compare
 
@@ -194,7 +236,8 @@ def _across(listed: DataFrame, comps: DataFrame, sets: DataFrame, percent: int)
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
     rows = rows.withColumn("meet", F.explode(meets)).select("v", "node", "comp", "n", "place", "meet.*")
     rows = rows.join(rest.select("node", F.slice("shingles", 1, WIDE).alias("sketch")), "node")
-    found = rows.groupBy("v", "i", "j").applyInPandas(_block_pairs(WIDE, percent), "a long, b long, sure boolean")
+    rows = rows.select("v", "i", "j", "node", "comp", F.col("n").cast("long").alias("n"), F.col("place").cast("long").alias("place"), "side", "sketch")
+    found = rows.repartition("v", "i", "j").sortWithinPartitions("v", "i", "j").mapInArrow(_compare_lists(WIDE, percent), "a long, b long, sure boolean")
     return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sure").alias("sure"))
 
 
