@@ -1,8 +1,8 @@
 """WARC archives of pages, and their index in global order.
 
 Each task writes its pages as records sorted by URL key and time, so that every archive is a
-sorted run of captures. The archives are read back and parsed by the lengths in their
-headers. The index entries of all runs are dealt by ranges of (URL key, time), and in each
+sorted run of captures. Archives are compressed; offsets count bytes of the plain stream. They are
+read back and parsed by the lengths in their headers. The index entries of all runs are dealt by ranges of (URL key, time), and in each
 range the runs' slices are merged by a loser tree: the ranges in turn are the global
 order. A hot URL is split by time and page.
 """
@@ -10,6 +10,7 @@ order. A hot URL is split by time and page.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -73,7 +74,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
         body,
     )
     ordered = rows.sortWithinPartitions("key", "time", "page_id").select(record.alias("value"))
-    ordered.write.option("lineSep", END).option("compression", "none").option("maxRecordsPerFile", max_records).text(path)
+    ordered.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", max_records).text(path)
 
 
 INDEX = "run string, place long, url_key string, capture_time string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, offset long, length long"
@@ -103,7 +104,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
-                entries = list(parse(content.as_buffer().to_pybytes()))
+                entries = list(parse(gzip.decompress(content.as_buffer())))
                 columns = list(zip(*entries)) or [()] * 9
                 text, number = pa.string(), pa.int64()
                 kinds = [text, text, number, text, number, text, number, number, number]
