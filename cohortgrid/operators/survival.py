@@ -125,9 +125,9 @@ def log_rank(surv: DataFrame) -> DataFrame:
     x = x.join(F.broadcast(first), F.lit(True)).withColumn("own", (F.col("stratum") == F.col("first")).cast("int"))
     per = x.groupBy("time").agg(F.count("*").alias("n"), F.sum("own").alias("n1"), F.sum("event").alias("d"), F.sum(F.col("event") * F.col("own")).alias("d1"))
     down = Window.partitionBy(F.lit(1)).orderBy(F.col("time").desc())
-    per = per.withColumns({"N": F.sum("n").over(down), "N1": F.sum("n1").over(down)}).where("d > 0")
-    v = F.when(F.col("N") > 1, F.col("d") * (F.col("N1") / F.col("N")) * (1 - F.col("N1") / F.col("N")) * (F.col("N") - F.col("d")) / (F.col("N") - 1)).otherwise(0.0)
-    one = per.agg(F.sum("d1").cast("long").alias("observed"), F.sum(F.col("d") * F.col("N1") / F.col("N")).alias("expected"), F.sum(v).alias("variance"))
+    per = per.withColumns({"at_risk": F.sum("n").over(down), "own_risk": F.sum("n1").over(down)}).where("d > 0")
+    v = F.when(F.col("at_risk") > 1, F.col("d") * (F.col("own_risk") / F.col("at_risk")) * (1 - F.col("own_risk") / F.col("at_risk")) * (F.col("at_risk") - F.col("d")) / (F.col("at_risk") - 1)).otherwise(0.0)
+    one = per.agg(F.sum("d1").cast("long").alias("observed"), F.sum(F.col("d") * F.col("own_risk") / F.col("at_risk")).alias("expected"), F.sum(v).alias("variance"))
     return one.withColumn("chi2", F.when(F.col("variance") > 0, F.pow(F.col("observed") - F.col("expected"), F.lit(2)) / F.col("variance")))
 
 
