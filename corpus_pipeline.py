@@ -31,9 +31,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near-duplicates stays: the one with the smallest doc_id.
+
+    Rows are told apart by doc_id and text, so ids may repeat or be null; of full repeats one row stays.
+    """
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    found = materialise(near_duplicates(keyed, id_col="key").where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"), "groups")
+    named = found.join(keyed.select("key", "doc_id").distinct(), "key")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("first"))
+    rows = found.groupBy("key", "component_id").agg(F.count("*").alias("n")).join(first, "component_id")
+    # Rows that don't simply stay: those of the other keys, and the kept key's own where they repeat.
+    touched = materialise(rows.where("key <> first or n > 1").select("key", (F.col("key") == F.col("first")).alias("again")), "touched")
+    repeats = keyed.join(touched.where("again").select("key"), "key", "left_semi")
+    one = repeats.groupBy("key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return keyed.join(touched, "key", "left_anti").select(docs.columns).unionByName(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

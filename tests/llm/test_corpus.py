@@ -388,3 +388,18 @@ def test_pipeline(spark, tmp_path):
     assert ids == {*range(24), 50}
     assert docs.where(F.col("text").contains("footer")).count() == 0
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == ids
+
+
+def test_pipeline_dedup_of_repeated_ids(spark):
+    """Rows go by their id and text: a clean text under a repeated id stays, and so does one row of each group."""
+    import corpus_pipeline
+
+    rng = random.Random(14)
+    a, b, x, y, z = (prose(rng, 40) for _ in range(5))
+    rows = [(1, b), (5, a), (5, b), (7, x), (7, x), (None, y), (None, y), (None, z), (9, z + " tail"), (None, None), (None, None), (8, ""), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    got = corpus_pipeline.minhash_dedup(spark, docs, "")
+    want = [(1, b), (5, a), (7, x), (None, y), (9, z + " tail"), (None, None), (None, None), (8, ""), (8, "")]
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
+    assert corpus_pipeline.minhash_dedup(spark, docs.limit(0), "").count() == 0
