@@ -2,7 +2,8 @@
 
 The text's likelihood comes from byte trigrams, with counts summed over all labelled rows. The
 reliability of a declared markup language is the share with which it meets each language of the
-texts. The prior of a host is smoothed towards its address suffix, and that towards the whole
+texts. Texts that fit every language worse than the languages' own texts fit each other's models
+are of none of them. The prior of a host is smoothed towards its address suffix, and that towards the whole
 corpus; the counts behind all of these are grouped sums of the texts' own posteriors, and a row's own share is
 taken out before it is judged.
 """
@@ -69,16 +70,33 @@ def fit(rows: DataFrame, languages: Sequence[str] = LANGUAGES, text_col: str = "
     return np.log(counts / counts.sum(1, keepdims=True))
 
 
+def background(model: np.ndarray) -> float:
+    """The log-probability per trigram below which a text is of no language of the model.
+
+    That is what text of a fitted language has on average under the best of the other
+    models: about what text of an unknown language has. Where only one language has labelled rows,
+    it is that of a trigram drawn at random.
+    """
+    seen = np.exp(model) - np.exp(model.min(1, keepdims=True))
+    fitted = np.flatnonzero(seen.sum(1) > 1e-9)
+    if len(fitted) < 2:
+        return -np.log(model.shape[1])
+    p = seen[fitted] / seen[fitted].sum(1, keepdims=True)
+    cross = p @ model[fitted].T
+    np.fill_diagonal(cross, -np.inf)
+    return float(cross.max(1).mean())
+
+
 def identify(rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES, smoothing: float = 20.0, min_confidence: float = 0.5) -> DataFrame:
     """Judge rows with the columns ``key, text, declared, suffix, host``; any but ``key`` may be null.
 
-    Returns ``key, language, confidence, text_language, accepted``. A text without letters has no
-    language (``und``) and is not accepted, nor is one whose best language has less than
-    ``min_confidence`` of the posterior. Null evidence is left out of the product. Ties go to the language
+    Returns ``key, language, confidence, text_language, accepted``. A text without letters, or one
+    less likely than ``background`` under each language, has no language (``und``) and is not
+    accepted, nor is one whose best language has less than ``min_confidence`` of the posterior. Null evidence is left out of the product. Ties go to the language
     first in ``languages``.
     """
     names = list(languages)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared, floor = rows.sparkSession.sparkContext.broadcast(model), background(model) * TEMPER
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -87,11 +105,12 @@ def identify(rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANG
             n = batch.num_rows
             ll = np.stack([np.bincount(row, table[k][code], n) for k in range(len(names))], 1) * TEMPER
             size = np.bincount(row, minlength=n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(size), lists(list(ll - ll.max(1, keepdims=True)), pa.float64())], ["key", "declared", "suffix", "host", "grams", "ll"])
+            known = (size > 0) & (ll.max(1) >= size * floor)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(known), lists(list(ll - ll.max(1, keepdims=True)), pa.float64())], ["key", "declared", "suffix", "host", "known", "ll"])
 
     rows = rows.select(F.col("key").cast("long").alias("key"), *(F.col(c).cast("string").alias(c) for c in ("text", "declared", "suffix", "host")))
-    scored = rows.mapInArrow(score, "key long, declared string, suffix string, host string, grams long, ll array<double>")
-    scored = materialise(scored.withColumn("p", _softmax(F.col("ll"))).withColumn("p", F.when(F.col("grams") > 0, F.col("p")).otherwise(F.array(*[F.lit(0.0)] * len(names)))), "evidence")
+    scored = rows.mapInArrow(score, "key long, declared string, suffix string, host string, known boolean, ll array<double>")
+    scored = materialise(scored.withColumn("p", _softmax(F.col("ll"))).withColumn("p", F.when(F.col("known"), F.col("p")).otherwise(F.array(*[F.lit(0.0)] * len(names)))), "evidence")
 
     def sums(by: str | None, name: str) -> DataFrame:
         vector = F.array(*(F.sum(F.col("p")[k]) for k in range(len(names)))).alias(name)
@@ -115,10 +134,10 @@ def identify(rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANG
     declared = F.when(F.col("n_declared").isNull(), F.transform("p", lambda x: F.lit(1.0))).otherwise(met)
     fused = F.zip_with(F.zip_with("ll", prior, lambda a, b: a + F.ln(b)), declared, lambda a, b: a + F.ln(b))
     out = out.withColumn("fused", _softmax(fused)).withColumn("confidence", F.array_max("fused"))
-    known = F.array(*(F.lit(x) for x in names))
-    pick = lambda v: F.element_at(known, F.array_position(v, F.array_max(v)).cast("int"))
-    language = F.when(F.col("grams") > 0, pick(F.col("fused"))).otherwise("und")
-    return out.select("key", language.alias("language"), F.round("confidence", 6).alias("confidence"), F.when(F.col("grams") > 0, pick(F.col("p"))).otherwise("und").alias("text_language"), ((F.col("grams") > 0) & (F.col("confidence") >= min_confidence)).alias("accepted"))
+    labels = F.array(*(F.lit(x) for x in names))
+    pick = lambda v: F.element_at(labels, F.array_position(v, F.array_max(v)).cast("int"))
+    language = F.when(F.col("known"), pick(F.col("fused"))).otherwise("und")
+    return out.select("key", language.alias("language"), F.round("confidence", 6).alias("confidence"), F.when(F.col("known"), pick(F.col("p"))).otherwise("und").alias("text_language"), (F.col("known") & (F.col("confidence") >= min_confidence)).alias("accepted"))
 
 
 def _softmax(v: Column) -> Column:

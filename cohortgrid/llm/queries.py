@@ -34,10 +34,14 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _read(spark, sf_dir, "documents")
-    found = identify(document_evidence(documents), fit(documents)).dropDuplicates(["key"])
-    named = documents.select("doc_id", F.xxhash64("doc_id", "lang", "source", "text").alias("key"))
-    return named.join(found, "key").drop("key")
+    documents, pages = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "pages")
+    model = fit(documents)
+    found = identify(document_evidence(documents), model).dropDuplicates(["key"])
+    named = documents.select("doc_id", F.lit(None).cast("long").alias("page_id"), F.xxhash64("doc_id", "lang", "source", "text").alias("key"))
+    keyed = pages.withColumn("row", F.xxhash64("page_id", "url", "html"))
+    found_pages = identify(page_evidence(keyed, "row"), model).dropDuplicates(["key"])
+    named_pages = keyed.select(F.lit(None).cast("long").alias("doc_id"), "page_id", F.col("row").alias("key"))
+    return named.join(found, "key").unionByName(named_pages.join(found_pages, "key")).drop("key")
 
 
 def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -403,3 +403,27 @@ def test_pipeline_dedup_of_repeated_ids(spark):
     assert got.columns == docs.columns
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
     assert corpus_pipeline.minhash_dedup(spark, docs.limit(0), "").count() == 0
+
+
+def test_language_of_none(spark):
+    """Text in none of the fitted languages is rejected, whatever else speaks for one of them."""
+    rng = random.Random(15)
+    lexicon = {"de": "der die und nicht ist für über schön", "en": "the and of with this that which have", "es": "el los una niño señor pero que como", "fr": "le les une être où çà mais avec"}
+    df = spark.createDataFrame([(i, " ".join(rng.choices(lexicon[la].split(), k=30)), la, "s", None) for i, la in enumerate(list(lexicon) * 30)], SCHEMA)
+    model = language_id.fit(df)
+    odd = ["Все люди рождаются свободными и равными", "人人生而自由,在尊严和权利上一律平等", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina", "qwpx zxcvk jkjhg fghjk wqrtz"]
+    rows = df.unionByName(spark.createDataFrame([(1000 + i, t, "en", "s", None) for i, t in enumerate(odd)], SCHEMA))
+    keys = {r.key: r.doc_id for r in rows.select("doc_id", F.xxhash64("doc_id", "lang", "source", "text").alias("key")).collect()}
+    found = {keys[r.key]: r for r in language_id.identify(language_id.document_evidence(rows), model).collect()}
+    assert [(found[1000 + i].language, found[1000 + i].accepted) for i in range(len(odd))] == [("und", False)] * len(odd)
+    assert all(found[i].accepted for i in range(120))
+
+
+def test_language_query_covers_pages(spark, tmp_path):
+    from cohortgrid.llm.queries import op3_language_id
+
+    spark.createDataFrame([(1, "the and of with this that", "en", "s", 1), (2, "le les une avec mais où", "fr", "s", 1)], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    pages = [(7, "http://x.fr/a", '<html lang="fr"><p>le les une avec mais</p>'), (7, "http://x.org/b", "<p>the and of with</p>"), (None, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((r.doc_id or 0, r.page_id or 0, r.language) for r in op3_language_id(spark, str(tmp_path)).collect())
+    assert got == [(0, 0, "und"), (0, 7, "en"), (0, 7, "fr"), (1, 0, "en"), (2, 0, "fr")]
