@@ -13,12 +13,11 @@ from .minhash_dedup import near_duplicates
 from .packing import pack
 from .token_counts import edit_aware_counts
 from .token_ids import token_ids
-from .url_filter import judge
+from .url_filter import host_of, judge, path_of
 from .warc import archive_pages
 
-#: The rules of the URL filter query, and the domains on its block list.
+#: The rules of the URL filter query.
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-BLOCKED_DOMAINS = ("adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,9 +48,18 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "page_id")
 
 
+def blocked_keys(pages: DataFrame) -> DataFrame:
+    """The block list of the query: an eighth of all hosts and a sixteenth of all addresses, by the first digit of their MD5."""
+    rows = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).where("host <> ''")
+    digit = lambda c: F.substring(F.md5(c), 1, 1)
+    hosts = rows.where(digit(F.col("host")).isin("0", "1")).select(F.col("host").alias("key"))
+    whole = rows.select(F.concat("host", "path").alias("key"))
+    return hosts.unionByName(whole.where(digit(F.col("key")) == "0")).distinct()
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "key string")
-    return judge(_read(spark, sf_dir, "pages"), URL_RULES, listed)
+    pages = _read(spark, sf_dir, "pages")
+    return judge(pages, URL_RULES, blocked_keys(pages))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +105,6 @@ QUERIES = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _RULES = ", ".join(f"('{kind}', '{rule.split('/', 1)[0]}', '/{rule.split('/', 1)[1]}', '{rule}')" for kind, rule in URL_RULES)
-_DOMAINS = ", ".join(f"('{d}')" for d in BLOCKED_DOMAINS)
 
 ORACLE_SQL: dict[str, str] = {
     "op4_url_filter": f"""
@@ -107,12 +114,17 @@ WITH p AS (
          CASE WHEN position('://' IN url) > 0 THEN regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM pages),
 rules(kind, owner, below, rule) AS (VALUES {_RULES}),
-blocked(domain) AS (VALUES {_DOMAINS}),
+keys AS (
+  SELECT page_id, unnest(list_distinct(list_append([array_to_string(labels[i:], '.') FOR i IN range(1, len(labels) + 1)], host || path))) AS key
+  FROM (SELECT *, string_split(host, '.') AS labels FROM p WHERE host <> '')),
+blocked AS (
+  SELECT host AS key FROM p WHERE host <> '' AND substr(md5(host), 1, 1) IN ('0', '1')
+  UNION SELECT host || path FROM p WHERE host <> '' AND substr(md5(host || path), 1, 1) = '0'),
 fit AS (
   SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(kind, length(rule)) AS kind
   FROM p JOIN rules ON (host = owner OR ends_with(host, '.' || owner)) AND starts_with(path, below)
   GROUP BY page_id),
-hit AS (SELECT DISTINCT page_id FROM p JOIN blocked ON host = domain OR ends_with(host, '.' || domain))
+hit AS (SELECT DISTINCT page_id FROM keys SEMI JOIN blocked USING (key))
 SELECT p.page_id, host, path, fit.rule, coalesce(kind, CASE WHEN hit.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict, hit.page_id IS NOT NULL AS listed
 FROM p LEFT JOIN fit USING (page_id) LEFT JOIN hit USING (page_id)""",
     "op5_line_dedup": """

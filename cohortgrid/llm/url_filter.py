@@ -4,6 +4,10 @@ Level 0 encodes the listed keys; level 1 those keys of the corpus that are not l
 pass level 0; level 2 the listed ones that pass level 1; and so on until nothing
 passes wrongly. Since the corpus's complete set of keys takes part, the answer is exact for
 every row, and rows are judged without a join: the filters are scalar values of the plan.
+
+Keys are dealt to shards by their hash, as many as keep the filters of one shard near
+``SHARD_BYTES``. Each shard has a cascade of its own, built by all tasks over its keys and applied in a pass of its
+own, so that the memory of a task doesn't grow with the list.
 """
 
 from __future__ import annotations
@@ -17,8 +21,10 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Filters of up to this many bytes in all are sent to the tasks; beyond, listed keys are joined.
-MOST_BYTES = 64 << 20
+#: About how many bytes the filters of one shard have in all.
+SHARD_BYTES = 8 << 20
+MOST_LEVELS = 60
+FEW = 1 << 12
 
 
 def host_of(url: Column) -> Column:
@@ -52,44 +58,41 @@ def address_keys(host: Column, path: Column) -> Column:
 
 
 def _places(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(level), F.lit(j)), F.lit(bits)) for j in range(hashes)]
+    # The seeds come first, so that keys whose hashes meet on one level part on the next.
+    return [F.pmod(F.xxhash64(F.lit(level), F.lit(j), key), F.lit(bits)) for j in range(hashes)]
 
 
 class Cascade:
-    """The levels over ``universe`` (``key``, ``listed``), all distinct keys of the corpus.
+    """The levels over ``universe`` (``key``, ``listed``), all distinct keys of the corpus or of one shard of it.
 
-    ``columns()`` are to be added to the rows once; ``holds(key)`` then tells whether a key of
-    the universe is listed.
+    ``holds(key)`` tells whether a key of the universe is listed.
     """
 
     def __init__(self, universe: DataFrame, rate: float = 0.1):
         self.levels: list[tuple[int, int, DataFrame]] = []
+        self.sizes: list[int] = []
         inside, outside = universe.where("listed").select("key"), universe.where("not listed").select("key")
         n, others = inside.count(), outside.count()
         while n:
-            p = max(1e-9, min(rate, n / max(1, others))) if not self.levels else rate
-            hashes = max(1, round(-math.log2(p)))
-            bits = max(64, math.ceil(n * hashes / math.log(2)))
             level = len(self.levels)
+            if level == MOST_LEVELS:
+                raise RuntimeError(f"{n} keys still pass wrongly after {level} levels")
+            # Deep levels hold few keys: a finer filter for them costs little and ends the cascade.
+            p = first_rate(n, others, rate) if not level else 1e-4 if level > 1 and n <= FEW else rate
+            hashes, bits = filter_shape(n, p)
             places = inside.select(F.explode(F.array(*_places(F.col("key"), level, bits, hashes))).alias("at"))
             words = places.groupBy((F.col("at") / 64).cast("long").alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("word"))
-            every = universe.sparkSession.range(-(-bits // 64)).join(words, "id", "left").select("id", F.coalesce("word", F.lit(0)).alias("word"))
-            packed = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "word"))), lambda x: x["word"]).alias("filter"))
+            every = universe.sparkSession.range(-(-bits // 64)).select("id", F.lit(0).cast("long").alias("word"))
+            words = words.unionByName(every).groupBy("id").agg(F.bit_or("word").alias("word"))
+            packed = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "word"))), lambda x: x["word"]).alias("filter"))
             self.levels.append((bits, hashes, materialise(packed, "filter")))
-            wrong = outside.withColumns(self.columns([level])).where(self._passes(F.col("key"), level)).select("key")
-            inside, outside = materialise(wrong, "level"), inside
+            self.sizes.append(n)
+            inside, outside = materialise(outside.where(self._passes(F.col("key"), level)), "level"), inside
             n = inside.count()
 
-    @property
-    def bytes(self) -> int:
-        return sum(bits // 8 for bits, _, _ in self.levels)
-
-    def columns(self, levels: Sequence[int] | None = None) -> dict[str, Column]:
-        return {f"_filter{i}": self.levels[i][2].scalar() for i in (range(len(self.levels)) if levels is None else levels)}
-
     def _passes(self, key: Column, level: int) -> Column:
-        bits, hashes, _ = self.levels[level]
-        tests = [F.getbit(F.get(F.col(f"_filter{level}"), (at / 64).cast("int")), (at % 64).cast("int")) == 1 for at in _places(key, level, bits, hashes)]
+        bits, hashes, stored = self.levels[level]
+        tests = [F.getbit(F.get(stored.scalar(), (at / 64).cast("int")), (at % 64).cast("int")) == 1 for at in _places(key, level, bits, hashes)]
         out = tests[0]
         for t in tests[1:]:
             out = out & t
@@ -102,23 +105,57 @@ class Cascade:
         return out
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], listed: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def first_rate(n: int, others: int, rate: float) -> float:
+    """The share of the other keys that may pass level 0: about as many as there are listed ones."""
+    return max(1e-9, min(rate, n / max(1, others)))
+
+
+def filter_shape(n: int, rate: float) -> tuple[int, int]:
+    """``(hashes, bits)`` of a filter of ``n`` keys."""
+    hashes = max(1, round(-math.log2(rate)))
+    return hashes, max(64, math.ceil(n * hashes / math.log(2)))
+
+
+def membership(asked: DataFrame, listed: DataFrame, rate: float = 0.1, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``asked`` with the column ``listed``: whether its ``key`` is a key of ``listed``. Null keys are not.
+
+    The universe of keys is grouped from both tables; then each shard is one pass over ``asked``.
+    """
+    keys = asked.select("key", F.lit(False).alias("listed"), F.lit(True).alias("known"))
+    keys = keys.unionByName(listed.select(F.col("key").cast("string").alias("key"), F.lit(True).alias("listed"), F.lit(False).alias("known"))).where("key is not null")
+    universe = keys.groupBy("key").agg(F.max("listed").alias("listed"), F.max("known").alias("known")).where("known").select("key", "listed")
+    universe = materialise(universe, "universe")
+    n, every = universe.agg(F.count_if("listed"), F.count("*")).first()
+    # All levels together have at most about twice the bits of the first.
+    shards = max(1, -(-2 * filter_shape(n, first_rate(n, every - n, rate))[1] // 8 // shard_bytes))
+    own = F.pmod(F.xxhash64(F.lit("shard"), F.col("key")), F.lit(shards)).cast("int")
+    if shards > 1:
+        universe = materialise(universe.withColumn("shard", own).repartitionByRange("shard", "key"), "shards")
+    out = asked.withColumn("listed", F.lit(False))
+    for shard in range(shards):
+        cascade = Cascade(universe.where(F.col("shard") == shard) if shards > 1 else universe, rate)
+        here = F.col("key").isNotNull() & (own == shard)
+        out = out.withColumn("listed", F.col("listed") | F.when(here, cascade.holds(F.col("key"))).otherwise(False))
+        if shard + 1 < shards:
+            out = materialise(out, "pass")
+    return out
+
+
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], listed: DataFrame, id_col: str = "page_id", url_col: str = "url", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, listed``.
 
     The longest fitting rule decides; where none fits, an address of which a key
     (``address_keys``) is in ``listed`` (column ``key``) is blocked and any other allowed. Null urls
     and urls without ``://`` have an empty host and path, which no rule or list entry fits.
-    Repeated rows and null page ids are judged like others; other columns are ignored.
+    Repeated rows and null page ids are judged like others, each row once. Null and repeated keys of the list
+    change nothing; an empty list blocks nothing and an empty table gives no rows. Other columns are ignored, whatever their names.
     """
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")).withColumn("keys", address_keys(F.col("host"), F.col("path")))
-    known = listed.select(F.col("key").cast("string").alias("key")).where("key is not null").distinct().withColumn("listed", F.lit(True))
-    universe = rows.select(F.explode("keys").alias("key")).distinct().join(known, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
-    cascade = Cascade(materialise(universe, "universe"))
-    if cascade.bytes <= MOST_BYTES:
-        rows = rows.withColumns(cascade.columns()).withColumn("listed", F.exists("keys", cascade.holds))
-    else:
-        named = rows.select("host", "path", F.explode("keys").alias("key")).distinct().join(known, "key").select("host", "path").distinct()
-        rows = rows.join(named.withColumn("listed", F.lit(True)), ["host", "path"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    asked = rows.select("page_id", "host", "path", F.posexplode_outer(address_keys(F.col("host"), F.col("path"))).alias("place", "key"))
+    found = membership(asked, listed, shard_bytes=shard_bytes)
+    # Pages equal in all three columns have one verdict; it is given as often as there are such pages.
+    told = found.groupBy("page_id", "host", "path").agg(F.count_if(F.coalesce("place", F.lit(0)) == 0).alias("copies"), F.max("listed").alias("listed"))
+    told = told.select("page_id", "host", "path", "listed", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     rule, verdict = best_rule(F.col("host"), F.col("path"), rules)
-    return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
+    return told.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
