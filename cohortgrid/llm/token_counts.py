@@ -26,8 +26,9 @@ VERSION = "doc_id long, text string, n_tokens long, leaf_chars binary, leaf_toke
 EDITS = "array<struct<start:int,length:int,insert:string>>"
 
 #: What the redaction query takes out of texts: mail and web addresses, numbers of networks, cards and telephones, long keys.
+#: Each starts at the edge of a run of its characters, so that a very long run is scanned once.
 REDACTIONS = [
-    (re.compile(r"[\w.+-]+@[\w-]+\.[\w.-]+"), "<mail>"),
+    (re.compile(r"(?<![\w.+-])[\w.+-]+@[\w-]+\.[\w.-]+"), "<mail>"),
     (re.compile(r"https?://\S+"), "<url>"),
     (re.compile(r"\b\d{1,3}(?:\.\d{1,3}){3}\b"), "<ip>"),
     (re.compile(r"(?<!\w)\+?\d[\d ().-]{6,}\d(?!\w)"), "<number>"),
@@ -74,13 +75,6 @@ class PretokenTree:
             self.sums[a:b] = self.sums[2 * a : 2 * b : 2] + self.sums[2 * a + 1 : 2 * b : 2]
 
 
-def split(tokens: Encoder, text: str) -> list[str]:
-    """The pre-tokens of any text; names of special tokens are ordinary text."""
-    if tokens.plain(text):
-        return tokens.pieces(text)
-    return [text[a:b] for _, (a, b) in tokens.library.pre_tokenizer.pre_tokenize_str(text)]
-
-
 def edit(tokens: Encoder, text: str, tree: PretokenTree, start: int, length: int, insert: str) -> tuple[str, int]:
     """Replace ``length`` characters at ``start``; returns the new text and how many pre-tokens were encoded."""
     new = text[:start] + insert + text[start + length :]
@@ -95,7 +89,7 @@ def edit(tokens: Encoder, text: str, tree: PretokenTree, start: int, length: int
         stop = min(len(new), goal + 2)
         while stop < len(new) and new[stop - 1].isspace():
             stop += 1
-        pieces = split(tokens, new[begin:stop])
+        pieces = tokens.split(new[begin:stop])
         bounds = begin + np.cumsum([0, *map(len, pieces)])
         if goal >= len(new) or goal in bounds:
             break
@@ -124,19 +118,20 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def build_trees(documents: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Count whole texts: ``doc_id, text, n_tokens`` and the leaves of the tree. A null text is empty."""
+    """Count whole texts: ``doc_id, text, n_tokens`` and the leaves of the tree.
+
+    A null text is empty and has no leaf. Each row is a document of its own, also where ids are null or
+    repeated or rows are equal; an empty table gives no rows. Other columns are ignored, whatever their names.
+    """
     tokenizer = tokenizer or vocabulary("byte_bpe_50k.json")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer)
         for batch in slices(batches, "text"):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            pieces = [split(tokens, t) for t in texts]
-            counts = tokens.count([p for own in pieces for p in own])
-            cuts = np.cumsum([0, *map(len, pieces)])
-            parts = [counts[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            leaves = tokens.leaves(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string()), pa.array([int(c.sum()) for c in parts], pa.int64()), pa.array([_packed(np.fromiter(map(len, p), np.int64, len(p))) for p in pieces], pa.binary()), pa.array([_packed(c) for c in parts], pa.binary())],
+                [batch.column(0), pa.array(texts, pa.string()), pa.array([int(n.sum()) for _, n in leaves], pa.int64()), pa.array([_packed(c) for c, _ in leaves], pa.binary()), pa.array([_packed(n) for _, n in leaves], pa.binary())],
                 ["doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens"],
             )
 
@@ -195,7 +190,9 @@ def apply_edits(versions: DataFrame, tokenizer: str | None = None, find: Callabl
 def edit_aware_counts(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Count all documents, redact them, and count again by the trees alone.
 
-    One row per document: ``doc_id, n_chars, n_tokens, n_edits, n_encoded, n_chars_after, n_tokens_after``.
+    One row per row of the table: ``doc_id, n_chars, n_tokens, n_edits, n_encoded, n_chars_after,
+    n_tokens_after``. A null text is empty and has no edits. Ids may be null or repeated, and equal rows stay apart;
+    an empty table gives no rows. Other columns are ignored, whatever their names.
     """
     versions = materialise(build_trees(documents, tokenizer), "versions")
     out = apply_edits(versions, tokenizer, redactions)

@@ -29,7 +29,9 @@ def write_token_ids(documents: DataFrame, path: str, tokenizer: str, end_id: int
     """Encode every whole text, append ``end_id`` and write the ids in ascending doc_id order.
 
     A null text is empty and has the end id alone. Null ids come first; rows with equal
-    ids follow each other in the order of their texts' hashes.
+    ids follow each other in the order of their texts' hashes, so a repeated id is cut into ranges too. Rows equal in id and
+    text stay in one range, each written; their pre-tokens are encoded once. An empty table
+    writes no rows. Other columns are ignored, whatever their names.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,6 +84,7 @@ def test_encoder_equals_library(name):
     own = encoding.Encoder(path, most_words=200)
     for _ in range(2):
         got = own.encode(texts)
+        assert own.n <= 200
         assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids if t else [] for t in texts]
 
 
@@ -126,6 +127,58 @@ def test_packing(spark):
     assert packing.pack(empty(df)).count() == 0
 
 
+def test_encoder_remembers_what_it_met_again():
+    own = encoding.Encoder(public_tokenizers.path("word_bpe_49k.json"), most_words=400)
+    assert own.family == "word" and encoding.Encoder(public_tokenizers.path("byte_bpe_50k.json")).family == "byte"
+    rng = random.Random(3)
+    for _ in range(20):
+        texts = ["often again " + "".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(6)]
+        assert [x.tolist() for x in own.encode(texts)] == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        own._make_room(350)
+        kept = own.n
+        assert kept <= 50
+        own.encode(["often again"] * 3)
+    long = "x" * 5000 + " a" + " word's 12\n" * 60000 + "é" * 700
+    assert own.encode([long])[0].tolist() == own.library.encode(long, add_special_tokens=False).ids
+    wide = encoding.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert wide.encode([long])[0].tolist() == wide.library.encode(long, add_special_tokens=False).ids
+    assert [(int(c.sum()), int(n.sum())) for c, n in wide.leaves([long[:9000], ""])] == [(9000, len(wide.library.encode(long[:9000]).ids)), (0, 0)]
+
+
+def test_redactions_are_linear_in_long_words():
+    import time
+
+    began = time.time()
+    text = "a" * 300_000 + " b@c.de " + "1" * 300_000 + "x " + "a.b-" * 100_000
+    assert (300_001, 6, "<mail>") in token_counts.redactions(text)
+    assert time.time() - began < 5
+
+
+def test_equal_rows_and_null_ids_count_alone(spark):
+    df = spark.createDataFrame([(1, "same text"), (1, "same text"), (None, "same text"), (None, None)], "doc_id long, text string")
+    assert token_counts.edit_aware_counts(clashing(df)).count() == 4
+    rows = token_ids.token_ids(clashing(df)).collect()
+    assert sorted((r.doc_id is None, r.start, r.n_tokens) for r in rows) in ([(False, 4, 3), (False, 7, 3), (True, 0, 1), (True, 1, 3)], [(False, 4, 3), (False, 7, 3), (True, 0, 3), (True, 3, 1)])
+    pieces = packing.pack(clashing(df)).collect()
+    assert sum(r.length for r in pieces) == 10 and len({(r.sequence_id, r.offset) for r in pieces}) == len(pieces)
+
+
+def test_little_is_moved_out_of_its_place():
+    rng, moved, total = random.Random(8), 0, 0
+    for _ in range(4):
+        p = packing.SumOfSquares(4096)
+        for _ in range(2500):
+            size = int(rng.lognormvariate(6, 1)) + 1
+            total += size
+            p.add((0, 0, np.zeros(size, np.uint32), size))
+        p.finish()
+        moved += p.moved
+        sizes = [sum(len(x[2]) for x in s) for s in p.closed]
+        assert all(x == 4096 or x & (x - 1) == 0 for x in sizes)
+    assert moved < 0.05 * total
+
+
 def test_sum_of_squares_rule():
     rng = random.Random(4)
     p = packing.SumOfSquares(64)
@@ -173,7 +226,7 @@ def test_edits_of_any_kind():
     pieces = ["a", "b", " ", "  ", "\n", "'", "'re", "s", "1", "23", "!", "é", "\u3000", "日本", "ß ", "\t", "\r\n", "_", "<|endoftext|>", "\u0301"]
     for _ in range(400):
         text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 40)))
-        own = token_counts.split(tokens, text)
+        own = tokens.split(text)
         tree = token_counts.PretokenTree(np.array([len(x) for x in own], int), tokens.count(own))
         for _ in range(4):
             a = rng.randint(0, len(text))
@@ -317,13 +370,24 @@ def test_url_filter(spark):
     assert [got[i][3] for i in range(7, 13)] == ["block", "block", "allow", "allow", "block", "allow"]
     assert url_filter.judge(df.limit(0), rules, listed).count() == 0
     assert url_filter.judge(df, [], listed.limit(0)).where("verdict = 'block'").count() == 0
+    twice = url_filter.judge(clashing(df.union(df).drop("key")).withColumn("host", F.lit("x")).withColumn("page_id", F.expr("nullif(page_id, 7)")), rules, listed).collect()
+    assert len(twice) == 26 and sorted(r.verdict for r in twice if r.page_id is None) == ["block", "block"]
 
 
 def test_cascade_is_exact(spark):
     universe = spark.range(5000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), (F.col("id") % 7 == 0).alias("listed"))
     cascade = url_filter.Cascade(universe, rate=0.4)
-    assert len(cascade.levels) > 2
-    assert universe.withColumns(cascade.columns()).where(cascade.holds(F.col("key")) != F.col("listed")).count() == 0
+    assert len(cascade.levels) > 2 and sum(n > 0 for n in cascade.sizes) > 2
+    assert universe.where(cascade.holds(F.col("key")) != F.col("listed")).count() == 0
+
+
+def test_shards_give_the_same_answer(spark):
+    asked = spark.range(3000).select(F.concat(F.lit("k"), (F.col("id") % 1500).cast("string")).alias("key"))
+    listed = asked.where("key like '%7%'").unionByName(spark.createDataFrame([("absent",), (None,)], "key string"))
+    for shard_bytes in (1 << 20, 200):
+        found = url_filter.membership(asked.unionByName(listed.where("key is null")), listed, shard_bytes=shard_bytes)
+        assert found.count() == 3001
+        assert found.where(F.col("listed") != F.coalesce(F.col("key").contains("7"), F.lit(False))).count() == 0
 
 
 def test_warc(spark):
