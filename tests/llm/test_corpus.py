@@ -298,6 +298,26 @@ def test_embedding_dedup(spark, monkeypatch):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_scale_and_repeated_ids(spark):
+    rows = [(1, [1e-200, 2e-200], 0), (2, [1e-200, 2e-200], 0), (3, [1e200, 2e200], 0), (4, [2e200, 4e200], 0), (5, [5e-324, 0.0], 0), (6, [1.0, 0.0], 0)]
+    rows += [(7, [0.0, 1.0], 0), (7, [-1.0, 0.0], 0), (8, [0.0, 2.0], 0), (9, [-3.0, 0.0], 0), (9, [-3.0, 0.0], 0), (10, [0.0, 3.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.near_duplicate_vectors(clashing(df).withColumns({"cls": F.lit(0), "weight": F.lit(0)})).collect()
+    want = [(i, 3, 1) for i in (1, 2, 3, 4)] + [(5, 1, 5), (6, 1, 5), (7, 1, 7), (7, 2, 7), (8, 1, 7), (9, 2, 7), (9, 2, 7), (10, 0, 10)]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
+
+
+def test_recall_of_vector_links(spark):
+    rng = np.random.default_rng(12)
+    v = np.concatenate([b + rng.normal(scale=rng.choice([0.05, 0.12, 0.14]), size=(14, 64)) for b in rng.normal(size=(120, 64))])
+    label = rng.integers(0, 2, len(v))
+    table = spark.createDataFrame([(i, x.tolist(), int(la)) for i, (x, la) in enumerate(zip(v, label))], "vec_id long, embedding array<double>, label int")
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    true = int(((v @ v.T >= 0.98) & (label[:, None] == label)).sum()) - len(v)
+    found = embedding_dedup.near_duplicate_vectors(table).agg(F.sum("n_links")).first()[0]
+    assert true and 0.9 * true <= found <= true
+
+
 @pytest.mark.parametrize("slop", [0, 2])
 def test_decontamination(spark, monkeypatch, slop):
     monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", 3000)
