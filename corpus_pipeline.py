@@ -19,21 +19,28 @@ from cohortgrid.session import materialise
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not recognised go."""
+    """Documents whose language is not recognised go: null and letterless texts, and text in none of the labelled languages.
+
+    Ids may be null or repeated: rows equal in id, language, source and text stay or go together. An empty table stays empty.
+    """
     rejected = identify(document_evidence(docs), fit(docs)).where("not accepted").select("key").distinct()
     keyed = docs.withColumn("key", F.xxhash64("doc_id", "lang", "source", "text"))
     return keyed.join(rejected, "key", "left_anti").select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many sites are cut from the texts."""
+    """Lines on many sites are cut from the texts, and ``n_chars`` follows.
+
+    All rows stay, repeated ones too; a null text stays null, a text of such lines alone becomes empty. An empty table stays empty.
+    """
     return remove_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest doc_id.
 
-    Rows are told apart by doc_id and text, so ids may repeat or be null; of full repeats one row stays.
+    Rows are told apart by doc_id and text, so ids may repeat or be null; of full repeats one row stays. Null and
+    empty texts have no near-duplicates and stay, as does every row of a repeated id that no other text is near to. An empty table stays empty.
     """
     keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     found = materialise(near_duplicates(keyed, id_col="key").where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"), "groups")
@@ -48,15 +55,21 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark window go."""
+    """Documents with a benchmark window go.
+
+    Null and wordless texts have none and stay; rows equal in id and text stay or go together. An empty benchmark or table changes nothing.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = search(build_index(docs), benchmark).where("contaminated").select("doc_key").distinct()
     return docs.withColumn("doc_key", F.xxhash64("doc_id", "text")).join(gone, "doc_key", "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all remaining documents, by sequence."""
-    return pack(docs).drop("ids")
+    """The pieces of all remaining documents with their token ids, by sequence.
+
+    Each row is a document of its own, also where ids are null or repeated; a null or empty text packs its end id. An empty table gives no pieces.
+    """
+    return pack(docs)
 
 
 STAGES = [
