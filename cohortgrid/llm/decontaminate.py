@@ -6,8 +6,8 @@ integers, and a table of the segment's documents; a document never spans segment
 no shuffle is needed. ``search`` fetches the lists of the test terms, and within a
 segment intersects the lists of a window from the rarest term on, each shifted by the
 term's offset. With ``slop`` the terms may also lie up to so many words further apart,
-in order (proximity). Test items are taken in blocks of bounded size, so that what is
-broadcast does not grow with the benchmark.
+in order (proximity). Test items are taken in blocks of bounded size, one after the other, so that neither
+what is broadcast nor what the driver holds grows with the benchmark.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import materialise, work_path
 from .arrow import slices
 from .words import ALNUM, LOWER, Words
 
@@ -205,7 +205,8 @@ def search(index: str, tests: DataFrame, width: int = 10, slop: int = 0, id_col:
     ``items`` are the ids, as sorted strings, of the test items of which a window of
     ``width`` words occurs; ``n_hit`` counts the document's words inside any occurrence.
     An item of fewer words is one window; null or wordless items never match and null
-    or wordless documents have zero words. An item without an id is called ``null``.
+    or wordless documents have zero words. An item without an id is called ``null``. Documents may repeat, each row
+    is judged; an empty index gives no rows and an empty benchmark no hits. Other columns are ignored, whatever their names.
     """
     spark = tests.sparkSession
     stored = lambda part: spark.read.schema(_INDEX).parquet(index).where(F.col("part") == part)
@@ -214,18 +215,19 @@ def search(index: str, tests: DataFrame, width: int = 10, slop: int = 0, id_col:
     items = tests.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_BYTES))
-    parts = []
+    found = None
     for b in range(n_blocks):
         block = Tests([tuple(r) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).collect()], width)
         shared = spark.sparkContext.broadcast(block)
         words = F.broadcast(spark.createDataFrame([(t,) for t in block.vocabulary], "term string"))
         wanted = terms.join(words, "term", "left_semi")
-
-        parts.append(wanted.groupBy("segment").cogroup(docs.groupBy("segment")).applyInPandas(_matcher(shared, slop), _FOUND))
-    found = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            found = found.unionByName(p)
+        part = wanted.groupBy("segment").cogroup(docs.groupBy("segment")).applyInPandas(_matcher(shared, slop), _FOUND)
+        if n_blocks > 1:
+            # The first block's part lists all documents, later ones those with hits.
+            part = materialise(part.where("size(hits) > 0") if b else part, "block")
+            shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    if n_blocks > 1:
         found = found.groupBy("segment", "ord", "doc_id", "doc_key", "n_words").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
     zero = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("end"))
     step = lambda acc, x: F.struct((acc["total"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], acc["end"]))).alias("total"), F.greatest(acc["end"], x["e"]).alias("end"))

@@ -11,6 +11,7 @@ taken out before it is judged.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ from .arrow import lists, slices
 from .words import LOWER
 
 BUCKETS = 1 << 14
-LANGUAGES = ("de", "en", "es", "fr")
+#: A label is a language of the model where it is on at least this share of the labelled rows, so there are a thousand at most.
+LEAST_SHARE = 0.001
 #: Each character is in three trigrams, which are far from independent.
 TEMPER = 1 / 6
 
@@ -31,6 +33,13 @@ _KEEP = np.zeros(256, bool)
 _KEEP[97:123] = _KEEP[128:] = True
 
 
+class Model(NamedTuple):
+    """Languages, and log-probabilities ``(language, bucket)`` of trigrams."""
+
+    languages: list[str]
+    table: np.ndarray
+
+
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row and bucket of each trigram of letters, A-Z in lower case and all else as one space."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -49,9 +58,18 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row[ok], code[ok].astype(np.int64)
 
 
-def fit(rows: DataFrame, languages: Sequence[str] = LANGUAGES, text_col: str = "text", label_col: str = "lang") -> np.ndarray:
-    """Log-probabilities ``(language, bucket)`` from all rows labelled with one of ``languages``; one table of fixed size reaches the driver."""
-    names = list(languages)
+def fit(rows: DataFrame, languages: Sequence[str] | None = None, text_col: str = "text", label_col: str = "lang") -> Model:
+    """The model of all rows labelled with one of ``languages``; by default those on ``LEAST_SHARE`` of the labelled rows.
+
+    Labels are compared in lower case. Null texts and labels count for nothing; a table without labels gives a model of no language,
+    by which every text is ``und``. One table of bounded size reaches the driver.
+    """
+    labelled = rows.select(F.col(text_col).cast("string").alias("text"), F.lower(F.trim(F.col(label_col).cast("string"))).alias("label")).where("label <> ''")
+    if languages is None:
+        n = labelled.groupBy("label").agg(F.count("*").alias("n"))
+        total = n.agg(F.sum("n")).first()[0] or 0
+        languages = sorted(r[0] for r in n.where(F.col("n") >= LEAST_SHARE * total).collect())
+    names = list(languages) or ["und"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(names), BUCKETS), np.int64)
@@ -62,12 +80,11 @@ def fit(rows: DataFrame, languages: Sequence[str] = LANGUAGES, text_col: str = "
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
 
-    labelled = rows.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label")).where(F.col("label").isin(names))
-    sums = labelled.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    sums = labelled.where(F.col("label").isin(names)).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     counts = np.full(len(names) * BUCKETS, 0.1)
     counts[sums["at"].to_numpy(np.int64)] += sums["n"].to_numpy(float)
     counts = counts.reshape(len(names), BUCKETS)
-    return np.log(counts / counts.sum(1, keepdims=True))
+    return Model(names, np.log(counts / counts.sum(1, keepdims=True)))
 
 
 def background(model: np.ndarray) -> float:
@@ -87,16 +104,17 @@ def background(model: np.ndarray) -> float:
     return float(cross.max(1).mean())
 
 
-def identify(rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES, smoothing: float = 20.0, min_confidence: float = 0.5) -> DataFrame:
+def identify(rows: DataFrame, model: Model, smoothing: float = 20.0, min_confidence: float = 0.5) -> DataFrame:
     """Judge rows with the columns ``key, text, declared, suffix, host``; any but ``key`` may be null.
 
     Returns ``key, language, confidence, text_language, accepted``. A text without letters, or one
     less likely than ``background`` under each language, has no language (``und``) and is not
     accepted, nor is one whose best language has less than ``min_confidence`` of the posterior. Null evidence is left out of the product. Ties go to the language
-    first in ``languages``.
+    first by name. Each row gives one row, also where keys are null or repeated, and an empty table none; repeated rows count
+    towards the priors each. Other columns are ignored, whatever their names.
     """
-    names = list(languages)
-    shared, floor = rows.sparkSession.sparkContext.broadcast(model), background(model) * TEMPER
+    names = model.languages
+    shared, floor = rows.sparkSession.sparkContext.broadcast(model.table), background(model.table) * TEMPER
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value

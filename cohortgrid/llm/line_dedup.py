@@ -1,8 +1,8 @@
 """Boilerplate lines by the number of different sites that have them.
 
-Only lines that occur at least ``min_sites`` times can be on so many sites. For those a
-HyperLogLog sketch of the sites is kept per line hash; sketches merge in the aggregation. Lines whose
-estimate is within ``margin`` of the threshold are counted exactly, so the
+Each task counts a line hash's occurrences and sketches its sites by HyperLogLog; the
+counts and sketches of tasks merge, so a very common line reaches the merge as one row per task. Lines whose
+estimate is within ``margin`` of the threshold are counted exactly from different (line, site) pairs, so the
 result is that of exact counts but for an estimate off by more than the margin, six
 standard errors here.
 """
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 LG_K = 12
+#: Up to so many line keys (16 bytes each) are sent to all tasks; of more, only the commonest.
+MOST_KEYS = 200_000
+HOT_SHARE = 1000
 
 
 def line_key(line: Column) -> Column:
@@ -23,29 +26,44 @@ def line_key(line: Column) -> Column:
 
 
 def boilerplate_lines(documents: DataFrame, min_sites: int = 10, margin: float = 0.1, text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """``(line, sites, exact)``: the keys of lines on at least ``min_sites`` sites. Rows without a site count for none, blank lines never."""
+    """``(line, n, sites, exact)``: the keys of lines on at least ``min_sites`` sites, with their occurrences. Rows without a site count for none, blank lines never."""
     lines = documents.select(F.col(site_col).cast("string").alias("site"), F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("text")).where(F.trim("text") != "")
     keyed = lines.select(line_key(F.col("text")).alias("line"), "site").where("site is not null")
-    often = keyed.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line")
-    spread = keyed.join(often, "line", "left_semi").groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"))
-    spread = materialise(spread.select("line", F.hll_sketch_estimate("sketch").alias("sites")), "spread")
+    spread = keyed.groupBy("line").agg(F.count("*").alias("n"), F.hll_sketch_agg("site", LG_K).alias("sketch")).where(F.col("n") >= min_sites)
+    spread = materialise(spread.select("line", "n", F.hll_sketch_estimate("sketch").alias("sites")), "spread")
     close = F.abs(F.col("sites") - min_sites) <= F.ceil(F.lit(margin * min_sites))
-    exact = keyed.join(spread.where(close).select("line"), "line", "left_semi").distinct().groupBy("line").agg(F.count("*").alias("sites"))
-    clear = spread.where(~close & (F.col("sites") > min_sites)).select("line", "sites", F.lit(False).alias("exact"))
-    return clear.unionByName(exact.where(F.col("sites") >= min_sites).select("line", "sites", F.lit(True).alias("exact")))
+    # The pairs are made different before they meet the close lines, so that a common line has one row for each site.
+    exact = keyed.distinct().join(spread.where(close).select("line", "n"), "line").groupBy("line", "n").agg(F.count("*").alias("sites"))
+    clear = spread.where(~close & (F.col("sites") > min_sites)).select("line", "n", "sites", F.lit(False).alias("exact"))
+    return clear.unionByName(exact.where(F.col("sites") >= min_sites).select("line", "n", "sites", F.lit(True).alias("exact")))
+
+
+def _occurrences(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``found`` (``_row, line``) of which ``known`` has the line.
+
+    Few lines go to all tasks. Of more, those that make up a thousandth of all occurrences each, a thousand at most, do; the others
+    are joined by line, none of them common.
+    """
+    count, total = known.agg(F.count("*"), F.sum("n")).first()
+    if count <= MOST_KEYS:
+        return found.join(F.broadcast(known.select("line")), "line")
+    hot = F.col("n") * HOT_SHARE >= total
+    common, others = F.broadcast(known.where(hot).select("line")), known.where(~hot).select("line")
+    return found.join(common, "line").unionByName(found.join(common, "line", "left_anti").join(others, "line"))
 
 
 def remove_boilerplate(documents: DataFrame, min_sites: int = 10, margin: float = 0.1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """All columns of ``documents`` with boilerplate lines cut from the text, and ``lines_before`` and ``lines_removed``.
 
     Lines end at newlines; blank lines stay. Each occurrence goes, on every site, also from rows
-    without a site. A null text stays null and has no lines. Ids may be null or repeated.
+    without a site. A null text stays null and has no lines. Ids may be null or repeated, and equal rows all stay;
+    an empty table gives no rows. Other columns stay as they are; names beginning with ``_`` are the operator's own.
     """
-    known = materialise(boilerplate_lines(documents, min_sites, margin, text_col, site_col), "boilerplate").select("line")
+    known = materialise(boilerplate_lines(documents, min_sites, margin, text_col, site_col), "boilerplate").select("line", "n")
     text = F.col(text_col).cast("string")
     keyed = documents.withColumn("_row", F.struct(F.xxhash64(id_col, text).alias("a"), F.xxhash64(F.lit(1), id_col, text).alias("b")))
     found = keyed.select("_row", F.explode(F.split(text, "\n")).alias("line")).select("_row", line_key(F.col("line")).alias("line"))
-    marked = found.join(known, "line").groupBy("_row").agg(F.collect_set("line").alias("_bad"))
+    marked = _occurrences(found, known).groupBy("_row").agg(F.collect_set("line").alias("_bad"))
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_bad"), line_key(x)) | (F.trim(x) == ""))
     out = keyed.join(marked, "_row", "left").withColumn("lines_before", F.coalesce(F.size(lines), F.lit(0)).cast("long"))

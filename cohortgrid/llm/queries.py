@@ -81,7 +81,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_pages(_read(spark, sf_dir, "pages"))
+    index = archive_pages(_read(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +105,7 @@ QUERIES = {
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _RULES = ", ".join(f"('{kind}', '{rule.split('/', 1)[0]}', '/{rule.split('/', 1)[1]}', '{rule}')" for kind, rule in URL_RULES)
 
 ORACLE_SQL: dict[str, str] = {
@@ -167,6 +169,15 @@ pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(genera
 it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op9_warc": f"""
+WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+       array_to_string([{" || ".join(f"substr('{_BASE32}', CAST((v >> {bits}) & 31 AS INT) + 1, 1)" for bits in (15, 10, 5, 0))}
+                        FOR v IN [CAST('0x' || substr(digest, 5 * g + 1, 5) AS BIGINT) FOR g IN range(8)]], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f""",
     "op10_minhash_dedup": f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),

@@ -1,8 +1,10 @@
 """WARC archives of pages, and their index in global order.
 
 Each task writes its pages as records sorted by URL key and time, so that every archive is a
-sorted run of captures. Archives are compressed; offsets count bytes of the plain stream. They are
-read back and parsed by the lengths in their headers. The index entries of all runs are dealt by ranges of (URL key, time), and in each
+sorted run of captures. Archives are compressed as a whole, so offsets count bytes of the plain stream
+(``read_record`` reads on to them). Pages of like size share archives, whose number of records bounds
+their bytes. Archives are read back as streams and parsed by the lengths in their headers. The index entries of all runs are dealt by
+ranges of (URL key, time), as many as keep a range near ``RANGE_ENTRIES``, and in each
 range the runs' slices are merged by a loser tree: the ranges in turn are the global
 order. A hot URL is split by time and page.
 """
@@ -12,9 +14,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +28,9 @@ from ..session import materialise, work_path
 
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8" + END
+#: Payloads of up to so many bytes, and how many of them an archive has at most.
+SIZES = ((1 << 16, 2000), (1 << 20, 128), (1 << 24, 8), (1 << 31, 1))
+RANGE_ENTRIES = 250_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -42,8 +49,8 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.when(tail.startswith("/"), tail).otherwise(F.concat(F.lit("/"), tail)))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records: int = 2000, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
-    """One record per page, in archives of at most ``max_records`` records.
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+    """One record per page, in archives of at most about 128 MB below ``path``.
 
     Of pages with equal payloads of at least ``min_bytes`` bytes, the one with the smallest
     id is a response and the others are revisits of it; a null payload is empty. The capture
@@ -73,45 +80,67 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
         F.lit(END),
         body,
     )
-    ordered = rows.sortWithinPartitions("key", "time", "page_id").select(record.alias("value"))
-    ordered.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", max_records).text(path)
+    above = [-1, *(most for most, _ in SIZES[:-1])]
+    inside = [(F.col("bytes") > low) & (F.col("bytes") <= most) for low, (most, _) in zip(above, SIZES)]
+    there = pages.select(F.octet_length(F.coalesce(F.col(payload_col).cast("string"), F.lit(""))).alias("bytes")).agg(*map(F.count_if, inside)).first()
+    for k, (own, (_, most), n) in enumerate(zip(inside, SIZES, there)):
+        if n or not k:
+            ordered = rows.where(own).sortWithinPartitions("key", "time", "page_id").select(record.alias("value"))
+            ordered.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(f"{path}/size-{k}")
 
 
 INDEX = "run string, place long, url_key string, capture_time string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, offset long, length long"
 
 
-def parse(data: bytes) -> Iterator[tuple]:
-    """``(url_key, time, page_id, type, payload bytes, digest, refers to, offset, length)`` of each record; a response whose digest does not fit is an error."""
+def parse(stream: BinaryIO) -> Iterator[tuple]:
+    """``(url_key, time, page_id, type, payload bytes, digest, refers to, offset, length)`` of each record; a response whose digest does not fit is an error.
+
+    One record at a time is in memory.
+    """
     at, end = 0, END.encode()
     number = lambda v: int(v.rsplit(":", 1)[1].rstrip(">")) if v else None
-    while at < len(data):
-        head_end = data.index(end, at)
-        head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in data[at:head_end].decode().split("\r\n")[1:])
-        start = head_end + len(end)
-        stop = start + int(head["Content-Length"])
+    while first := stream.readline():
+        size, head = len(first), {}
+        while (line := stream.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"the record at {at} is cut off")
+            size += len(line)
+            name, _, value = line[:-2].decode().partition(":")
+            head[name] = value.strip(" ")
+        body = stream.read(int(head["Content-Length"]))
+        size += 2 + len(body) + len(stream.read(len(end)))
         digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
         if head["WARC-Type"] == "response":
-            payload = data[data.index(end, start) + len(end) : stop]
+            payload = memoryview(body)[body.index(end) + len(end) :]
             if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest or len(payload) != int(head["X-Payload-Length"]):
                 raise ValueError(f"the payload at {at} does not fit its digest")
-        yield head["X-URL-Key"], head["WARC-Date"], number(head.get("WARC-Record-ID")), head["WARC-Type"], int(head["X-Payload-Length"]), digest, number(head.get("WARC-Refers-To")), at, stop + len(end) - at
-        at = stop + len(end)
+        yield head["X-URL-Key"], head["WARC-Date"], number(head.get("WARC-Record-ID")), head["WARC-Type"], int(head["X-Payload-Length"]), digest, number(head.get("WARC-Refers-To")), at, size
+        at += size
+
+
+def read_record(content: bytes, offset: int, length: int) -> bytes:
+    """One record of an archive's content, by its place in the index."""
+    with gzip.open(io.BytesIO(content)) as stream:
+        stream.seek(offset)
+        return stream.read(length)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Index entries of all archives, each archive a run in its own order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, number = pa.string(), pa.int64()
+        kinds = [text, text, number, text, number, text, number, number, number]
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
-                entries = list(parse(gzip.decompress(content.as_buffer())))
+                with gzip.open(pa.BufferReader(content.as_buffer())) as stream:
+                    entries = list(parse(stream))
                 columns = list(zip(*entries)) or [()] * 9
-                text, number = pa.string(), pa.int64()
-                kinds = [text, text, number, text, number, text, number, number, number]
                 own = name.as_py().rsplit("/", 1)[-1]
                 yield pa.RecordBatch.from_arrays([pa.array([own] * len(entries), text), pa.array(range(len(entries)), number), *(pa.array(c, k) for c, k in zip(columns, kinds))], INDEX_NAMES)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, INDEX)
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
+    return stored.select("path", "content").mapInArrow(run, INDEX)
 
 
 INDEX_NAMES = [c.split()[0] for c in INDEX.split(", ")]
@@ -156,35 +185,36 @@ class LoserTree:
 
 
 def merge_index(entries: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The entries in the order of URL key, time and page, with ``position`` rising over the whole result."""
-    partitions = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """The entries in the order of URL key, time and page, with ``position`` rising over the whole result. Null page ids come first."""
+    partitions = partitions or max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-entries.count() // RANGE_ENTRIES))
     order = ["url_key", "capture_time", "page_id"]
 
-    def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(frames) or [pd.DataFrame(columns=INDEX_NAMES)], ignore_index=True)
-        if frame.empty:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
-        keys = list(zip(frame.url_key, frame.capture_time, frame.page_id.fillna(-1), range(len(frame))))
-        cut = [0, *(i for i in range(1, len(frame)) if frame.run.iat[i] != frame.run.iat[i - 1]), len(frame)]
-        merged = [k[3] for k in LoserTree([keys[a:b] for a, b in zip(cut[:-1], cut[1:])])]
-        out = frame.iloc[merged].reset_index(drop=True)
-        out["position"] = (TaskContext.get().partitionId() << 40) + out.index
-        for c in ("page_id", "refers_to"):
-            out[c] = out[c].astype("Int64")
-        yield out
+        table = pa.Table.from_batches(batches)
+        ids = [-1 if x is None else x for x in table["page_id"].to_pylist()]
+        keys = list(zip(table["url_key"].to_pylist(), table["capture_time"].to_pylist(), ids, range(len(ids))))
+        run = table["run"].to_pylist()
+        cut = [0, *(i for i in range(1, len(run)) if run[i] != run[i - 1]), len(run)]
+        merged = table.take(pa.array([k[3] for k in LoserTree([keys[a:b] for a, b in zip(cut[:-1], cut[1:])])], pa.int64()))
+        first = TaskContext.get().partitionId() << 40
+        yield from merged.append_column("position", pa.array(np.arange(first, first + len(ids)))).to_batches()
 
     dealt = entries.repartitionByRange(partitions, *order).sortWithinPartitions("run", "place")
-    return dealt.mapInPandas(merge, INDEX + ", position long")
+    return dealt.mapInArrow(merge, INDEX + ", position long")
 
 
 def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write all pages as WARC records, read the archives back and return their merged index.
 
-    One row per page: ``page_id, payload_bytes, payload_digest, record_type, refers_to`` and ``url_key,
-    capture_time, run, offset, length, position``. A page without an id is never referred to; rows
-    that repeat the smallest id of a payload are all responses.
+    One row per page: ``page_id, payload_bytes, payload_digest, record_type, refers_to, url_key,
+    capture_time, run, offset, length, position``. A null payload is empty. A page without an id is never referred to; rows
+    that repeat the smallest id of a payload are all responses. An empty table gives no rows. Other columns are ignored, whatever their names.
     """
     spark = pages.sparkSession
     path = work_path(spark, "warc")
     write_archives(pages, path, min_bytes)
-    return merge_index(materialise(read_archives(spark, path), "captures")).drop("place")
+    found = merge_index(materialise(read_archives(spark, path), "captures"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_time", "run", "offset", "length", "position")

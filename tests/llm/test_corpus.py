@@ -361,7 +361,7 @@ def test_decontamination(spark, monkeypatch, slop):
     assert decontaminate.search(decontaminate.build_index(df), tests.limit(0)).where("n_hit > 0").count() == 0
 
 
-def test_line_dedup(spark):
+def test_line_dedup(spark, monkeypatch):
     rows = []
     for i in range(40):
         lines = [f"own {i}", "shared by all", "", "  padded ", f"pair {i // 2}"] + (["on three sites"] if i % 10 < 3 else [])
@@ -376,6 +376,12 @@ def test_line_dedup(spark):
     exact = line_dedup.boilerplate_lines(df, min_sites=3)
     assert sorted(r.sites for r in exact.collect()) == [3, 10, 10]
     assert line_dedup.remove_boilerplate(df.limit(0)).count() == 0
+    once = line_dedup.remove_boilerplate(df).collect()
+    twice = line_dedup.remove_boilerplate(clashing(df.union(df))).select("doc_id", "text", "lines_removed").collect()
+    assert sorted(map(str, twice)) == sorted(map(str, line_dedup.remove_boilerplate(df).select("doc_id", "text", "lines_removed").collect() * 2))
+    monkeypatch.setattr(line_dedup, "MOST_KEYS", 0)
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", 2)
+    assert sorted(map(str, line_dedup.remove_boilerplate(df).collect())) == sorted(map(str, once))
 
 
 def test_url_filter(spark):
@@ -422,10 +428,33 @@ def test_warc(spark):
     assert {i: (r.record_type, r.refers_to) for i, r in by.items() if r.record_type == "revisit"} == {5: ("revisit", 2), 9: ("revisit", 3), None: ("revisit", 2)}
     order = [(r.url_key, r.capture_time) for r in sorted(got, key=lambda r: r.position)]
     assert order == sorted(order)
+    assert got[0].__fields__[:5] == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert {r.record_type for r in warc.archive_pages(df, min_bytes=10).collect()} == {"response"}
     assert warc.archive_pages(df.limit(0)).count() == 0
 
 
+def test_warc_records_by_place(spark, monkeypatch):
+    """A record is found by run, offset and length; pages of unlike size are in archives of their own; repeats stay."""
+    monkeypatch.setattr(warc, "SIZES", ((100, 3), (3000, 2), (1 << 31, 1)))
+    monkeypatch.setattr(warc, "RANGE_ENTRIES", 4)
+    pages = [(i, f"http://h{i % 4}.org/{i}", "p" * (40 * i * i)) for i in range(14)] + [(3, "http://h3.org/3", "p" * 360), (3, "http://h3.org/3", "p" * 360), (20, "http://x.org", "p" * 360)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    path = work_path(spark, "warc")
+    warc.write_archives(df, path)
+    index = warc.merge_index(warc.read_archives(spark, path)).collect()
+    assert len(index) == len(pages) and len({r.position for r in index}) == len(pages)
+    order = [(r.url_key, r.capture_time, r.page_id) for r in sorted(index, key=lambda r: r.position)]
+    assert order == sorted(order)
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in index if r.payload_bytes == 360) == [(3, "response", None)] * 3 + [(20, "revisit", 3)]
+    stored = {r.path.rsplit("/", 1)[-1]: bytes(r.content) for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).collect()}
+    for r in index:
+        record = warc.read_record(stored[r.run], r.offset, r.length)
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+        assert f"page:{r.page_id}>".encode() in record
+        if r.record_type == "response":
+            assert record[:-4].endswith(b"p" * r.payload_bytes)
+
+
 def test_loser_tree():
     rng = random.Random(11)
     for k in range(0, 9):
@@ -452,6 +481,53 @@ def test_language_id(spark):
     assert language_id.identify(language_id.document_evidence(df.limit(0)), model).count() == 0
 
 
+def test_fusion_equals_brute_force(spark):
+    """Priors, own shares taken out, reliability of the declared language and the fused posterior, recomputed row by row."""
+    rng = random.Random(21)
+    lexicon = {"de": "der die und nicht ist für über schön", "en": "the and of with this that which have", "fr": "le les une être où çà mais avec", "it": "il gli una perché che sono anche"}
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(lexicon[la].split(), k=20)), la.upper() if i % 2 else la, "s", None) for i, la in enumerate(list(lexicon) * 20)], SCHEMA)
+    model = language_id.fit(docs)
+    assert model.languages == sorted(lexicon)
+    rows = []
+    for i in range(120):
+        words = [w for la in rng.sample(sorted(lexicon), 2) for w in rng.choices(lexicon[la].split(), k=rng.randint(1, 3))]
+        rows.append((i, rng.choice([None, "", "12", "цитата слова", " ".join(words), " ".join(words)]), rng.choice([None, "de", "en", "xx"]), rng.choice([None, "de", "org"]), rng.choice([None, "a.de", "b.org", "c.org"])))
+    rows += [(200, "und nicht the", "de", "de", "a.de")] * 2
+    table = spark.createDataFrame(rows, "key long, text string, declared string, suffix string, host string")
+    got = language_id.identify(clashing(table.withColumnsRenamed({"key": "k", "host": "h"})).withColumns({"key": F.col("k"), "host": F.col("h")}), model).collect()
+
+    names, logs = model
+    soft = lambda v: np.exp(v - v.max()) / np.exp(v - v.max()).sum()
+    lls, ps, known = [], [], []
+    for _, text, *_ in rows:
+        _, code = language_id.trigrams(pa.array([text], pa.string()))
+        ll = logs[:, code].sum(1) * language_id.TEMPER
+        known.append(len(code) > 0 and ll.max() >= len(code) * language_id.background(logs) * language_id.TEMPER)
+        lls.append(ll - ll.max())
+        ps.append(soft(ll) if known[-1] else np.zeros(len(names)))
+    total = sum(ps)
+    base = (total + 1) / (total.sum() + len(names))
+    sums = [{}, {}, {}]
+    for r, p in zip(rows, ps):
+        for by, value in zip(sums, r[2:]):
+            if value is not None:
+                by[value] = by.get(value, 0) + p
+    want = []
+    for r, p, ll, ok in zip(rows, ps, lls, known):
+        prior = base
+        for by, value in ((sums[1], r[3]), (sums[2], r[4])):
+            if value is not None:
+                own = np.maximum(by[value] - p, 0)
+                prior = (own + prior * 20) / (own.sum() + 20)
+        met = (np.maximum(sums[0][r[2]] - p, 0) + 1) / (total + 1 + len(sums[0])) if r[2] is not None else np.ones(len(names))
+        fused = soft(ll + np.log(prior) + np.log(met))
+        want.append((r[0], names[int(fused.argmax())] if ok else "und", bool(ok and fused.max() >= 0.5), fused.max()))
+    assert len(got) == len(rows)
+    for a, b in zip(sorted((r.key, r.language, r.accepted, r.confidence) for r in got), sorted(want)):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-5
+    assert {r[1] for r in want} > {"und", "de", "en"}
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
