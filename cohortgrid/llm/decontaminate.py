@@ -25,7 +25,7 @@ from ..session import materialise, work_path
 from .arrow import slices
 from .words import ALNUM, LOWER, Words
 
-SEGMENT_BYTES = 1 << 22
+SEGMENT_BYTES = 1 << 21
 BLOCK_BYTES = 1 << 22
 
 

@@ -7,7 +7,7 @@ each different one once per worker, and the ids of the batch are gathered. Which
 belongs to is read from its file. Texts of other vocabularies, texts with characters whose class might depend on a
 Unicode version, and texts with a special token's name or a very long pre-token go to the library as they are.
 
-Memory is bounded: at most ``most_words`` pre-tokens of ``MOST_CHARS`` characters are remembered, about 150 MB
+Memory is bounded: at most ``most_words`` pre-tokens of ``MOST_CHARS`` characters are remembered, about 70 MB
 in all. When they are full those met only once are forgotten. Among so many 64-bit hashes two collide with a
 chance of 1 in 10 million.
 """
@@ -29,7 +29,7 @@ from .words import mix
 #: Characters that the classes below hold as the library does.
 PLAIN = re.compile("[\t\n\r -~¡§«»¿À-ÿŒœ‘’“”„…–—€]*")
 MOST_CHARS = 256
-PART = 1 << 19
+PART = 1 << 18
 
 SPACE, LETTER, DIGIT, OTHER = 1, 2, 3, 4
 
@@ -127,7 +127,7 @@ class Memory:
 class Encoder:
     """Encodes batches of texts; at most ``most_words`` pre-tokens are remembered between batches."""
 
-    def __init__(self, path: str, most_words: int = 1 << 21):
+    def __init__(self, path: str, most_words: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
