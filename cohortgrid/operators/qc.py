@@ -6,6 +6,8 @@ import math
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,18 +64,67 @@ def normal_ellipse(points: DataFrame, chi2: float = 5.991464547107979, n: int =
     return m.select("arm", "step", (F.col("mx") + u * F.cos("turn") - v * F.sin("turn")).alias("x"), (F.col("my") + u * F.sin("turn") + v * F.cos("turn")).alias("y"))
 
 
+#: Items and cells of one block of a pair product.
+BLOCK_ITEMS, BLOCK_CELLS = 256, 4096
+
+
+def _pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Counts and sums over the cells that each pair of items of two blocks has in common, as matrix products."""
+    own = pdf.i.iat[0] == pdf.j.iat[0]
+    left, right = (pdf, pdf) if own else (pdf[pdf.side == 0], pdf[pdf.side == 1])
+    names, at = np.unique(np.concatenate([*left.h, *right.h]), return_inverse=True)
+    cut = int(left.h.map(len).sum())
+
+    def dense(rows: pd.DataFrame, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values, has = np.zeros((len(rows), len(names))), np.zeros((len(rows), len(names)))
+        owner = np.repeat(np.arange(len(rows)), rows.h.map(len).to_numpy())
+        if len(owner):
+            values[owner, at], has[owner, at] = np.concatenate(list(rows.v)), 1.0
+        return values, has
+
+    (x, mx), (y, my) = dense(left, at[:cut]), dense(right, at[cut:])
+    sums = {"n": mx @ my.T, "sa": x @ my.T, "sb": mx @ y.T, "saa": (x * x) @ my.T, "sbb": mx @ (y * y).T, "sab": x @ y.T}
+    a, b = left.item.to_numpy()[:, None], right.item.to_numpy()[None, :]
+    ta, tb = left.top.to_numpy()[:, None], right.top.to_numpy()[None, :]
+    parts = []
+    # Each pair is named with the smaller item first, whichever block that is in.
+    for wanted, flip in ((a < b, False), (a > b, True)):
+        p, q = np.nonzero(wanted & (sums["n"] > 0))
+        if flip and own:
+            continue
+        one, two = ("sb", "sbb"), ("sa", "saa")
+        first, second = (one, two) if flip else (two, one)
+        parts.append(pd.DataFrame({"a": (b[0, q] if flip else a[p, 0]), "b": (a[p, 0] if flip else b[0, q]), "n": sums["n"][p, q].astype("int64"), "sa": sums[first[0]][p, q], "sb": sums[second[0]][p, q], "saa": sums[first[1]][p, q], "sbb": sums[second[1]][p, q], "sab": sums["sab"][p, q], "ta": (tb[0, q] if flip else ta[p, 0]), "tb": (ta[p, 0] if flip else tb[0, q])}))
+    return pd.concat(parts, ignore_index=True)
+
+
 def pair_correlation(measurements: DataFrame, axis: str = "sample", method: str = "pearson") -> DataFrame:
     """``(a, b, n, r)`` with ``a < b`` along ``axis`` over cells both have; Spearman ranks within each item first.
 
-    The join makes one row for each pair and shared cell, which is the work of the result itself;
-    choose items with :func:`top_variance` before asking for all pairs of features.
+    Items go in blocks, and each pair of blocks is a matrix product over a bounded slice of the cells, so no row is made
+    for a pair and a shared cell. A pair with one shared cell, or with equal values of an item, has a null ``r``.
     """
     other = "feature" if axis == "sample" else "sample"
-    cells = present(measurements).select(F.col(axis).alias("item"), F.col(other).alias("at"), "value")
+    cells = present(measurements).select(F.col(axis).alias("item"), F.xxhash64(F.col(other)).alias("h"), "value")
     if method == "spearman":
         cells = cells.withColumn("value", average_rank("value", ["item"]))
-    left, right = cells.select(F.col("item").alias("a"), "at", F.col("value").alias("x")), cells.select(F.col("item").alias("b"), "at", F.col("value").alias("y"))
-    return left.join(right, "at").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"))
+    size = cells.agg(F.approx_count_distinct("item"), F.approx_count_distinct("h")).first()
+    blocks, slices = max(1, -(-size[0] // BLOCK_ITEMS)), max(1, -(-size[1] // BLOCK_CELLS))
+    # Correlation doesn't change with an item's level; without it the sums lose fewer digits.
+    level = cells.groupBy("item").agg(F.avg("value").alias("level"), F.max(F.abs("value")).alias("top"))
+    rows = cells.withColumn("slice", F.pmod("h", F.lit(slices)).cast("int")).groupBy("item", "slice").agg(F.collect_list(F.struct("h", "value")).alias("cells")).join(level, "item")
+    rows = rows.select("item", "slice", "top", F.transform("cells", lambda c: c["h"]).alias("h"), F.transform("cells", lambda c: c["value"] - F.col("level")).alias("v"), F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block"))
+    meets = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
+    rows = rows.withColumn("meet", F.explode(meets)).select("item", "slice", "top", "h", "v", "meet.*")
+    kind = rows.schema["item"].dataType.simpleString()
+    sums = ("sa", "sb", "saa", "sbb", "sab")
+    found = rows.groupBy("i", "j", "slice").applyInPandas(_pair_sums, f"a {kind}, b {kind}, n long, " + ", ".join(f"{c} double" for c in (*sums, "ta", "tb")))
+    if slices > 1:
+        found = found.groupBy("a", "b", "ta", "tb").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in sums))
+    va, vb = (F.col(f"s{c}{c}") - F.col(f"s{c}") * F.col(f"s{c}") / F.col("n") for c in "ab")
+    varies = (F.col("n") > 1) & (va > F.pow(F.col("ta") * 1e-12, F.lit(2)) * F.col("n")) & (vb > F.pow(F.col("tb") * 1e-12, F.lit(2)) * F.col("n"))
+    r = (F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")) / (F.sqrt(va) * F.sqrt(vb))
+    return found.select("a", "b", "n", F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
 
 
 def symmetric(pairs: DataFrame) -> DataFrame:

@@ -115,7 +115,7 @@ class Data:
     @property
     def edges(self) -> DataFrame:
         """Parts that orders have in common by supplier: suppliers linked by the number of parts they share."""
-        x = self.table("lineitem").where("l_partkey % 10 = 0").select("l_suppkey", "l_partkey").distinct()
+        x = self.table("lineitem").select("l_suppkey", "l_partkey").distinct()
         y = x.select(F.col("l_suppkey").alias("b"), "l_partkey")
         return x.withColumnRenamed("l_suppkey", "a").join(y, "l_partkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("score"))
 
@@ -156,7 +156,7 @@ SQL = {
     "sets": "SELECT p_brand AS set_id, CAST(p_partkey AS VARCHAR) AS feature FROM part",
     "part_stat": "SELECT feature, round((r - a) / s, 6) AS t FROM (SELECT CAST(l_partkey AS VARCHAR) AS feature, avg(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS r, avg(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS a, stddev_samp(l_quantity) AS s FROM lineitem GROUP BY 1) WHERE r IS NOT NULL AND a IS NOT NULL AND s > 0",
     "signed": "SELECT substr(feature, 1, 2) AS source, feature AS target, CASE WHEN length(feature) % 5 = 0 THEN NULL WHEN length(feature) % 2 = 0 THEN 1 ELSE -1 END AS sign FROM (SELECT DISTINCT feature FROM m3 WHERE length(feature) > 1)",
-    "edges": "SELECT x.l_suppkey AS a, y.l_suppkey AS b, count(*) AS score FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_partkey % 10 = 0) x JOIN (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_partkey % 10 = 0) y ON x.l_partkey = y.l_partkey AND x.l_suppkey < y.l_suppkey GROUP BY 1, 2",
+    "edges": "SELECT x.l_suppkey AS a, y.l_suppkey AS b, count(*) AS score FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) x JOIN (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) y ON x.l_partkey = y.l_partkey AND x.l_suppkey < y.l_suppkey GROUP BY 1, 2",
     "attrs": "SELECT CAST(o_orderkey AS VARCHAR) AS sample, key, value FROM (SELECT o_orderkey, 'status' AS key, o_orderstatus AS value FROM orders UNION ALL SELECT o_orderkey, 'priority', o_orderpriority FROM orders UNION ALL SELECT o_orderkey, 'price (days)', CASE WHEN o_orderkey % 10 > 0 THEN CAST(CAST(round(o_totalprice, 0) AS BIGINT) AS VARCHAR) END FROM orders UNION ALL SELECT o_orderkey, 'late event', CASE WHEN o_totalprice > 150000 THEN '1' ELSE '0' END FROM orders) WHERE value IS NOT NULL",
     "attr_samples": "SELECT CAST(o_orderkey AS VARCHAR) AS sample FROM orders",
 }
@@ -167,7 +167,7 @@ SQL |= {
     "tstat": "SELECT feature, lfc, ave, df, lfc / sqrt(s2 * (1.0 / n1 + 1.0 / n0)) AS t FROM fit",
     "pvals": "SELECT feature, lfc, ave, t, least(1.0, exp(-0.717 * abs(t) - 0.416 * t * t)) AS p FROM tstat",
     "test": "SELECT *, least(1.0, min(p * m / k) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS adj_p FROM (SELECT *, count(*) OVER () AS m, count(*) OVER (ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM pvals)",
-    "cpairs": "SELECT a, b, count(*) AS n, corr(x, y) AS r FROM (SELECT x.sample AS a, y.sample AS b, x.value AS x, y.value AS y FROM m1_arms x JOIN m1_arms y ON x.feature = y.feature AND x.sample < y.sample) GROUP BY a, b",
+    "cpairs": "SELECT a, b, count(*) AS n, corr(x, y) AS r FROM (SELECT x.sample AS a, y.sample AS b, x.value AS x, y.value AS y FROM m1 x JOIN m1 y ON x.feature = y.feature AND x.sample < y.sample) GROUP BY a, b",
     "csym": "SELECT a, b, r FROM cpairs UNION ALL SELECT b, a, r FROM cpairs",
     "fpairs": "SELECT a, b, count(*) AS n, corr(x, y) AS r FROM (SELECT x.feature AS a, y.feature AS b, x.value AS x, y.value AS y FROM m1 x JOIN m1 y ON x.sample = y.sample AND x.feature < y.feature) GROUP BY a, b",
     "fsym": "SELECT a, b, r FROM fpairs UNION ALL SELECT b, a, r FROM fpairs",

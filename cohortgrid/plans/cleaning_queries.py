@@ -226,11 +226,10 @@ def c8(d: Data) -> DataFrame:
 
 @query(
     "c9_knn_impute",
-    f"WITH few AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS sample FROM customer WHERE c_custkey <= 40), x AS (SELECT m2.* FROM m2 SEMI JOIN few USING (sample)), gappy AS (SELECT feature FROM x GROUP BY feature HAVING count(*) < (SELECT count(*) FROM few)), near AS (SELECT a.feature AS f, b.feature AS g, avg((a.value - b.value) * (a.value - b.value)) AS dist FROM x a JOIN gappy ON a.feature = gappy.feature JOIN x b ON a.sample = b.sample AND a.feature <> b.feature GROUP BY 1, 2), gaps AS (SELECT g.feature AS f, few.sample FROM gappy g CROSS JOIN few ANTI JOIN x ON x.feature = g.feature AND x.sample = few.sample), opt AS (SELECT gaps.f, gaps.sample, x.value, row_number() OVER (PARTITION BY gaps.f, gaps.sample ORDER BY dist, near.g) AS k FROM gaps JOIN near ON near.f = gaps.f JOIN x ON x.feature = near.g AND x.sample = gaps.sample) SELECT feature, sample, {r('value', 'value', 4)}, false AS imputed FROM x UNION ALL SELECT f, sample, {r('avg(value)', 'value', 4)}, true FROM opt WHERE k <= 5 GROUP BY 1, 2",
+    f"WITH few AS (SELECT DISTINCT sample FROM m2), x AS (SELECT m2.* FROM m2 SEMI JOIN few USING (sample)), gappy AS (SELECT feature FROM x GROUP BY feature HAVING count(*) < (SELECT count(*) FROM few)), near AS (SELECT a.feature AS f, b.feature AS g, avg((a.value - b.value) * (a.value - b.value)) AS dist FROM x a JOIN gappy ON a.feature = gappy.feature JOIN x b ON a.sample = b.sample AND a.feature <> b.feature GROUP BY 1, 2), gaps AS (SELECT g.feature AS f, few.sample FROM gappy g CROSS JOIN few ANTI JOIN x ON x.feature = g.feature AND x.sample = few.sample), opt AS (SELECT gaps.f, gaps.sample, x.value, row_number() OVER (PARTITION BY gaps.f, gaps.sample ORDER BY dist, near.g) AS k FROM gaps JOIN near ON near.f = gaps.f JOIN x ON x.feature = near.g AND x.sample = gaps.sample) SELECT feature, sample, {r('value', 'value', 4)}, false AS imputed FROM x UNION ALL SELECT f, sample, {r('avg(value)', 'value', 4)}, true FROM opt WHERE k <= 5 GROUP BY 1, 2",
 )
 def c9(d: Data) -> DataFrame:
-    few = d.table("customer").where("c_custkey <= 40").select(F.col("c_custkey").cast("string").alias("sample"))
-    out = matrix.knn_impute(d.m2.join(few, "sample", "left_semi"), few, 5)
+    out = matrix.knn_impute(d.m2, d.m2.select("sample").distinct(), 5)
     return out.withColumn("value", F.round("value", 4))
 
 

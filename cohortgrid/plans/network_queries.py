@@ -123,7 +123,7 @@ def m2(d: Data) -> DataFrame:
 
 @query("m3_sample_outliers", f"WITH dd AS (SELECT a AS sample, avg(1 - r) AS distance FROM csym GROUP BY a) SELECT sample, {r('distance', 'distance')}, distance > 1.5 * (SELECT median(distance) FROM dd) AS outlier FROM dd")
 def m3(d: Data) -> DataFrame:
-    return modules.sample_outliers(qc.pair_correlation(d.m1_arms))
+    return modules.sample_outliers(qc.pair_correlation(d.m1))
 
 
 _SOFT = "k AS (SELECT a, power, sum(pow((1 + r) / 2, power)) AS k FROM fsym, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 16, 18, 20]) AS power) GROUP BY 1, 2), e AS (SELECT power, min(k) AS lo, max(k) AS hi, avg(k) AS mean_k, median(k) AS median_k, count(*) AS n FROM k GROUP BY power), bins AS (SELECT power, n, mean_k, median_k, avg(k) AS kb, count(*) AS nb FROM k JOIN e USING (power) GROUP BY power, n, mean_k, median_k, least(floor((k - lo) / (hi - lo) * 10), 9)), soft AS (SELECT power, mean_k, median_k, regr_slope(log10(nb * 1.0 / n), log10(kb)) AS slope, regr_r2(log10(nb * 1.0 / n), log10(kb)) AS fit FROM bins GROUP BY power, mean_k, median_k)"
@@ -164,7 +164,7 @@ def given(d: Data) -> DataFrame:
 
 @query("m7_merge_modules")
 def m7(d: Data) -> DataFrame:
-    return modules.merge_modules(d.m1_arms, given(d), 0.9)
+    return modules.merge_modules(d.m1, given(d), 0.9)
 
 
 @query("m8_module_sizes", f"WITH {_MODS} SELECT module, count(*) AS size FROM mods GROUP BY module")
@@ -174,12 +174,12 @@ def m8(d: Data) -> DataFrame:
 
 @query("m9_eigen_profiles")
 def m9(d: Data) -> DataFrame:
-    return modules.eigen_profiles(d.m1_arms, given(d))
+    return modules.eigen_profiles(d.m1, given(d))
 
 
 @query("m10_membership")
 def m10(d: Data) -> DataFrame:
-    x = d.m1_arms
+    x = d.m1
     return modules.membership(x, modules.eigen_profiles(x, given(d)), given(d))
 
 

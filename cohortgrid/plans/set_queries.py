@@ -72,14 +72,14 @@ def f8(d: Data) -> DataFrame:
     return sets.stack_common([x.where("direction = 'up'").select("direction", "set_id", "k", "set_size"), x.where("direction = 'down'").select("direction", "set_id", "k", "n_input")])
 
 
-_FOLD = "mem AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS set_id, CAST(l_partkey % 50 AS VARCHAR) AS feature FROM lineitem WHERE l_suppkey % 5 = 0), z AS (SELECT set_id, count(*) AS n FROM mem GROUP BY 1), jp AS (SELECT x.set_id AS a, y.set_id AS b FROM mem x JOIN mem y ON x.feature = y.feature AND x.set_id <> y.set_id JOIN z zx ON zx.set_id = x.set_id JOIN z zy ON zy.set_id = y.set_id GROUP BY 1, 2, zx.n, zy.n HAVING count(*) * 1.0 / (zx.n + zy.n - count(*)) >= 0.75), reach(a, b) AS (SELECT set_id, set_id FROM z UNION SELECT reach.a, jp.b FROM reach JOIN jp ON reach.b = jp.a), comp AS (SELECT a AS set_id, min(b) AS cluster FROM reach GROUP BY a)"
+_FOLD = "mem AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS set_id, CAST(l_partkey AS VARCHAR) AS feature FROM lineitem), z AS (SELECT set_id, count(*) AS n FROM mem GROUP BY 1), jp AS (SELECT x.set_id AS a, y.set_id AS b FROM mem x JOIN mem y ON x.feature = y.feature AND x.set_id <> y.set_id JOIN z zx ON zx.set_id = x.set_id JOIN z zy ON zy.set_id = y.set_id GROUP BY 1, 2, zx.n, zy.n HAVING count(*) * 1.0 / (zx.n + zy.n - count(*)) >= 0.16), reach(a, b) AS (SELECT set_id, set_id FROM z UNION SELECT reach.a, jp.b FROM reach JOIN jp ON reach.b = jp.a), comp AS (SELECT a AS set_id, min(b) AS cluster FROM reach GROUP BY a)"
 
 
 @query("f9_fold_redundant", f"WITH {_FOLD} SELECT set_id, {r('1.0 / (CAST(set_id AS INT) + 1)', 'adj_p')}, cluster, count(*) OVER (PARTITION BY cluster) AS cluster_size, row_number() OVER (PARTITION BY cluster ORDER BY 1.0 / (CAST(set_id AS INT) + 1), set_id) = 1 AS representative FROM comp", recursive=True)
 def f9(d: Data) -> DataFrame:
-    mem = d.table("lineitem").where("l_suppkey % 5 = 0").select(F.col("l_suppkey").cast("string").alias("set_id"), (F.col("l_partkey") % 50).cast("string").alias("feature")).distinct()
+    mem = d.table("lineitem").select(F.col("l_suppkey").cast("string").alias("set_id"), F.col("l_partkey").cast("string").alias("feature")).distinct()
     terms = mem.select("set_id").distinct().withColumn("adj_p", 1.0 / (F.col("set_id").cast("int") + 1))
-    return sets.fold_redundant(terms, mem, 0.75).select("set_id", "adj_p", "cluster", "cluster_size", "representative")
+    return sets.fold_redundant(terms, mem, 0.16).select("set_id", "adj_p", "cluster", "cluster_size", "representative")
 
 
 @query("f10_top_terms", f"WITH {_COUNTS}, t AS (SELECT direction, set_id, k, CAST(row_number() OVER (PARTITION BY direction ORDER BY k, set_id) AS INT) AS term_rank FROM ov) SELECT * FROM t WHERE term_rank <= 15")

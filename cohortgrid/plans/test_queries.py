@@ -49,7 +49,7 @@ def d4(d: Data) -> DataFrame:
 
 @query("d5_pair_correlation", f"SELECT a, b, n, {r('r', 'r')} FROM cpairs")
 def d5(d: Data) -> DataFrame:
-    return qc.pair_correlation(d.m1_arms)
+    return qc.pair_correlation(d.m1)
 
 
 @query("d6_spearman", f"WITH k AS (SELECT feature, sample, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS value FROM m1) SELECT x.feature AS a, y.feature AS b, count(*) AS n, {r('corr(x.value, y.value)', 'r')} FROM k x JOIN k y ON x.sample = y.sample AND x.feature < y.feature GROUP BY 1, 2")
@@ -59,7 +59,7 @@ def d6(d: Data) -> DataFrame:
 
 @query("d7_outliers", f"SELECT a AS sample, {r('min(r)', 'min_r')}, min(r) < 0.8 AS outlier FROM csym GROUP BY a")
 def d7(d: Data) -> DataFrame:
-    return qc.correlation_outliers(qc.pair_correlation(d.m1_arms))
+    return qc.correlation_outliers(qc.pair_correlation(d.m1))
 
 
 _ARM = "arms AS (SELECT c.a, x.arm AS arm_a, y.arm AS arm_b, r FROM csym c JOIN s1 x ON x.sample = c.a JOIN s1 y ON y.sample = c.b)"
@@ -67,22 +67,26 @@ _ARM = "arms AS (SELECT c.a, x.arm AS arm_a, y.arm AS arm_b, r FROM csym c JOIN
 
 @query("d8_arm_correlation", f"WITH {_ARM} SELECT a AS sample, arm_a AS arm, {r('avg(r) FILTER (arm_a = arm_b)', 'within')}, {r('avg(r) FILTER (arm_a <> arm_b)', 'between')} FROM arms GROUP BY a, arm_a UNION ALL SELECT NULL, NULL, {r('avg(r) FILTER (arm_a = arm_b)', 'within')}, {r('avg(r) FILTER (arm_a <> arm_b)', 'between')} FROM arms")
 def d8(d: Data) -> DataFrame:
-    return qc.arm_correlation(qc.pair_correlation(d.m1_arms), d.s1)
+    return qc.arm_correlation(qc.pair_correlation(d.m1), d.s1)
 
 
 @query("d9_shift_confounded", f"WITH {_ARM} SELECT {r('avg(r) FILTER (arm_a = arm_b)', 'within')}, {r('avg(r) FILTER (arm_a <> arm_b)', 'between')}, avg(r) FILTER (arm_a <> arm_b) < 0.8 AS shift_confounded FROM arms")
 def d9(d: Data) -> DataFrame:
-    return qc.shift_confounded(qc.arm_correlation(qc.pair_correlation(d.m1_arms), d.s1))
+    return qc.shift_confounded(qc.arm_correlation(qc.pair_correlation(d.m1), d.s1))
 
 
 @query("d10_clusters", "WITH e AS (SELECT a, b FROM csym WHERE r >= 0.9), nodes AS (SELECT DISTINCT a FROM csym), reach(a, b) AS (SELECT a, a FROM nodes UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a) SELECT a AS sample, min(b) AS cluster FROM reach GROUP BY a", recursive=True)
 def d10(d: Data) -> DataFrame:
-    return qc.correlation_clusters(qc.pair_correlation(d.m1_arms))
+    return qc.correlation_clusters(qc.pair_correlation(d.m1))
 
 
-@query("d10_cluster_verdict")
+@query(
+    "d10_cluster_verdict",
+    f"WITH e AS (SELECT a, b FROM csym WHERE r >= 0.9), nodes AS (SELECT DISTINCT a FROM csym), reach(a, b) AS (SELECT a, a FROM nodes UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a), cl AS (SELECT a, min(b) AS c FROM reach GROUP BY a), m AS (SELECT avg(r) FILTER (x.c = y.c) AS within, avg(r) FILTER (x.c <> y.c) AS between FROM cpairs p JOIN cl x ON x.a = p.a JOIN cl y ON y.a = p.b) SELECT (SELECT count(DISTINCT c) FROM cl) AS n_clusters, {r('within', 'within')}, {r('between', 'between')}, CASE WHEN (SELECT count(DISTINCT c) FROM cl) = 1 THEN 'one_cluster' WHEN within - between >= 0.1 THEN 'separated' ELSE 'weak' END AS verdict FROM m",
+    recursive=True,
+)
 def d10_verdict(d: Data) -> DataFrame:
-    pairs = qc.pair_correlation(d.m1_arms)
+    pairs = qc.pair_correlation(d.m1)
     return qc.cluster_verdict(pairs, qc.correlation_clusters(pairs))
 
 
