@@ -173,13 +173,41 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank", pa
     return dealt.join(F.broadcast(base), "_part").withColumn(name, F.col("_base") + F.col("_row") + 1).drop("_place", "_part", "_row", "_base")
 
 
+def global_running(df: DataFrame, order: Column, sums: dict[str, Column | str] | None = None, mins: dict[str, Column | str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Running sums and minima over the whole table in ``order``, rows of equal order at their common end, without a single-task window.
+
+    Ranges of the order are summed apart; what the ranges before a range come to, one row for each range, is added.
+    Ties share a range. The dealt rows are written once.
+    """
+    from ..session import materialise
+
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = {k: (F.sum, v) for k, v in (sums or {}).items()} | {k: (F.min, v) for k, v in (mins or {}).items()}
+    column = lambda v: F.col(v) if isinstance(v, str) else v
+    dealt = materialise(df.repartitionByRange(n, order).withColumn("_range", F.spark_partition_id()), "ranges")
+    inside, before = Window.partitionBy("_range").orderBy(order), Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = dealt.groupBy("_range").agg(*(f(column(v)).alias(f"_of_{k}") for k, (f, v) in asked.items()))
+    carry = whole.select("_range", *(f(f"_of_{k}").over(before).alias(f"_to_{k}") for k, (f, _) in asked.items()))
+    out = dealt.withColumns({k: f(column(v)).over(inside) for k, (f, v) in asked.items()}).join(F.broadcast(carry), "_range")
+    joined = {k: F.col(k) + F.coalesce(f"_to_{k}", F.lit(0)) if f is F.sum else F.least(k, f"_to_{k}") for k, (f, _) in asked.items()}
+    return out.withColumns(joined).drop("_range", *(f"_to_{k}" for k in asked))
+
+
 def bh_adjust(df: DataFrame, p_col: str, by: list[str] | None = None, out: str = "adj_p") -> DataFrame:
-    """Benjamini-Hochberg adjusted p-values, within ``by`` where given; null p-values are not counted and stay null."""
-    keys = by or []
-    by_all = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    up = by_all.orderBy(F.col(p_col).asc())
-    m = F.count(p_col).over(by_all)
+    """Benjamini-Hochberg adjusted p-values, within ``by`` where given; null p-values are not counted and stay null.
+
+    Over the whole table ranges of p are adjusted apart; groups are windows of their own.
+    """
+    p = F.col(p_col)
+    if not by:
+        m = F.broadcast(df.agg(F.count(p_col).alias("_m")))
+        ranked = global_running(df, p.asc_nulls_last(), sums={"_rank": F.col(p_col).isNotNull().cast("long")}).join(m, F.lit(True))
+        ranked = ranked.withColumn("_raw", F.when(p.isNotNull(), p * F.col("_m") / F.col("_rank")))
+        ranked = global_running(ranked, p.desc_nulls_last(), mins={"_low": "_raw"})
+        return ranked.withColumn(out, F.when(p.isNotNull(), F.least(F.lit(1.0), "_low"))).drop("_raw", "_rank", "_m", "_low")
+    by_all = Window.partitionBy(*by)
+    up = by_all.orderBy(p.asc())
     rank = F.count(p_col).over(up.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = df.withColumn("_raw", F.when(F.col(p_col).isNotNull(), F.col(p_col) * m / rank))
-    down = by_all.orderBy(F.col(p_col).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranked.withColumn(out, F.when(F.col(p_col).isNotNull(), F.least(F.lit(1.0), F.min("_raw").over(down)))).drop("_raw")
+    ranked = df.withColumn("_raw", F.when(p.isNotNull(), p * F.count(p_col).over(by_all) / rank))
+    down = by_all.orderBy(p.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranked.withColumn(out, F.when(p.isNotNull(), F.least(F.lit(1.0), F.min("_raw").over(down)))).drop("_raw")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,12 +66,15 @@ def normal_ellipse(points: DataFrame, chi2: float = 5.991464547107979, n: int =
 
 #: Items and cells of one block of a pair product.
 BLOCK_ITEMS, BLOCK_CELLS = 256, 4096
+SUMS = ("a", "b", "n", "sa", "sb", "saa", "sbb", "sab", "ta", "tb")
 
 
 def _pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
     """Counts and sums over the cells that each pair of items of two blocks has in common, as matrix products."""
     own = pdf.i.iat[0] == pdf.j.iat[0]
     left, right = (pdf, pdf) if own else (pdf[pdf.side == 0], pdf[pdf.side == 1])
+    if left.empty or right.empty:
+        return pd.DataFrame({c: pd.Series([], dtype=object if c in "ab" else float) for c in SUMS})
     names, at = np.unique(np.concatenate([*left.h, *right.h]), return_inverse=True)
     cut = int(left.h.map(len).sum())
 
@@ -88,14 +91,13 @@ def _pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
     ta, tb = left.top.to_numpy()[:, None], right.top.to_numpy()[None, :]
     parts = []
     # Each pair is named with the smaller item first, whichever block that is in.
-    for wanted, flip in ((a < b, False), (a > b, True)):
-        p, q = np.nonzero(wanted & (sums["n"] > 0))
-        if flip and own:
-            continue
-        one, two = ("sb", "sbb"), ("sa", "saa")
-        first, second = (one, two) if flip else (two, one)
-        parts.append(pd.DataFrame({"a": (b[0, q] if flip else a[p, 0]), "b": (a[p, 0] if flip else b[0, q]), "n": sums["n"][p, q].astype("int64"), "sa": sums[first[0]][p, q], "sb": sums[second[0]][p, q], "saa": sums[first[1]][p, q], "sbb": sums[second[1]][p, q], "sab": sums["sab"][p, q], "ta": (tb[0, q] if flip else ta[p, 0]), "tb": (ta[p, 0] if flip else tb[0, q])}))
-    return pd.concat(parts, ignore_index=True)
+    p, q = np.nonzero((a < b) & (sums["n"] > 0))
+    parts.append((a[p, 0], b[0, q], *(sums[c][p, q] for c in ("n", "sa", "sb", "saa", "sbb", "sab")), ta[p, 0], tb[0, q]))
+    if not own:
+        p, q = np.nonzero((a > b) & (sums["n"] > 0))
+        parts.append((b[0, q], a[p, 0], *(sums[c][p, q] for c in ("n", "sb", "sa", "sbb", "saa", "sab")), tb[0, q], ta[p, 0]))
+    found = pd.DataFrame(dict(zip(SUMS, map(np.concatenate, zip(*parts)))))
+    return found.astype({"a": object, "b": object, "n": "int64"})
 
 
 def pair_correlation(measurements: DataFrame, axis: str = "sample", method: str = "pearson") -> DataFrame:

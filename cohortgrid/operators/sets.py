@@ -140,7 +140,12 @@ def top_terms(terms: DataFrame, n: int = 15, by: str = "direction", order: str =
 
 def q_values(df: DataFrame, p_col: str, by: list[str], lam: float = 0.5) -> DataFrame:
     """``df`` with ``q``: adjusted p-values scaled by the share of true nulls, from the p-values above ``lam``."""
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    pi0 = F.least(F.lit(1.0), F.count(F.when(F.col(p_col) > lam, 1)).over(whole) / (F.count(p_col).over(whole) * (1 - lam)))
-    out = bh_adjust(df, p_col, by, "_bh").withColumn("_pi0", F.when(pi0 > 0, pi0).otherwise(1.0))
-    return out.withColumn("q", F.col("_bh") * F.col("_pi0")).drop("_bh", "_pi0")
+    share = lambda above, n: F.least(F.lit(1.0), above / (n * (1 - lam)))
+    above, n = F.count(F.when(F.col(p_col) > lam, 1)), F.count(p_col)
+    if by:
+        whole = Window.partitionBy(*by)
+        pi0, rows = share(above.over(whole), n.over(whole)), df
+    else:
+        pi0, rows = share(F.col("_above"), F.col("_n")), df.join(F.broadcast(df.agg(above.alias("_above"), n.alias("_n"))), F.lit(True))
+    out = bh_adjust(rows, p_col, by, "_bh").withColumn("_pi0", F.when(pi0 > 0, pi0).otherwise(1.0))
+    return out.withColumn("q", F.col("_bh") * F.col("_pi0")).drop("_bh", "_pi0", "_above", "_n")

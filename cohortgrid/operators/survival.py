@@ -12,6 +12,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import global_running
+from ..session import materialise
+
 
 def survival_table(rows: DataFrame, time_col: str, event_col: str, event_values: Sequence[str]) -> DataFrame:
     """``rows`` with ``time``, ``event`` (1 for a declared value, null for blank, else 0) and ``reason`` (null where usable)."""
@@ -61,27 +64,40 @@ def risk_score(x: DataFrame, coefs: DataFrame) -> DataFrame:
     return x.join(coefs.select("feature", "coef"), "feature").groupBy("subject").agg(F.sum(F.col("coef") * F.col("value")).alias("risk"))
 
 
-def concordance(surv: DataFrame, risk: DataFrame, blocks: int = 64) -> DataFrame:
-    """One row: comparable pairs (the shorter time had the event, times differ), concordant and tied ones, and C.
+def concordance_counts(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by.., pairs, concordant, tied, c)`` of rows ``(by.., time, event, risk, w)``; ``w`` counts a row so many times.
 
-    Times are cut into blocks. Pairs of different blocks are counted by a running count over the risks of
-    all later blocks, pairs within a block by a join, so that no step makes all pairs.
+    A pair is comparable where the shorter time had the event and the times differ. Times are numbered in order; two of them part at
+    one bit of their numbers, the highest that differs, so a row is asked once for each bit, among those it shares the higher bits with.
+    There the pairs follow from running weights over the risks, which one sum over the whole table gives for all groups
+    at once: n log n rows, no pair and no group in one task. ``by`` must not be null.
     """
-    x = surv.select("subject", "time", "event").join(risk.select("subject", "risk"), "subject").where("time is not null and event is not null and risk is not null")
-    cuts = x.agg(F.array_distinct(F.percentile_approx("time", F.array(*(F.lit(i / blocks) for i in range(1, blocks))), F.lit(10000))).alias("cuts"))
-    x = x.join(F.broadcast(cuts), F.lit(True)).withColumn("block", F.size(F.filter("cuts", lambda c: c < F.col("time")))).drop("cuts")
-    later = x.where("block > 0").select(F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("block"), "risk", F.lit(0).alias("asks"), F.lit(1).alias("is_later"))
-    asks = x.where("event = 1").select("block", "risk", F.lit(1).alias("asks"), F.lit(0).alias("is_later"))
-    per = later.unionByName(asks).groupBy("block", "risk").agg(F.sum("asks").alias("asks"), F.sum("is_later").alias("same"))
-    below = Window.partitionBy("block").orderBy("risk").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("lower", F.coalesce(F.sum("same").over(below), F.lit(0))).withColumn("every", F.sum("same").over(Window.partitionBy("block")))
-    across = per.agg(F.sum(F.col("asks") * F.col("every")).alias("pairs"), F.sum(F.col("asks") * F.col("lower")).alias("concordant"), F.sum(F.col("asks") * F.col("same")).alias("tied"))
-    i, j = x.where("event = 1").select("block", F.col("time").alias("ti"), F.col("risk").alias("ri")), x.select("block", F.col("time").alias("tj"), F.col("risk").alias("rj"))
-    inside = i.join(j, "block").where("ti < tj").agg(F.count("*").alias("pairs"), F.count_if(F.col("ri") > F.col("rj")).alias("concordant"), F.count_if(F.col("ri") == F.col("rj")).alias("tied"))
-    one = across.unionByName(inside).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("pairs", "concordant", "tied")))
+    from ..functions.stats import global_row_number
+
+    by = list(by)
+    x = rows.where("time is not null and event is not null and risk is not null").select(*by, "time", "event", "risk", F.col("w").cast("long").alias("w"))
+    times = global_row_number(x.select("time").distinct(), [F.col("time")], "t").withColumn("t", F.col("t") - 1)
+    times = materialise(times, "times")
+    bits = max(1, int((times.agg(F.max("t")).first()[0] or 0)).bit_length())
+    x = x.join(times, "time").groupBy(*by, "t", "event", "risk").agg(F.sum("w").alias("w")).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))))
+    later = F.expr("shiftright(t, level) & 1") == 1
+    x = x.withColumns({"node": F.expr("shiftright(t, level + 1)"), "asks": F.when(~later & (F.col("event") == 1), F.col("w")).otherwise(0), "later": F.when(later, F.col("w")).otherwise(0)})
+    group = [*by, "level", "node"]
+    per = x.where("asks > 0 or later > 0").groupBy(*group, "risk").agg(F.sum("asks").alias("asks"), F.sum("later").alias("later"))
+    per = global_running(per.withColumn("_order", F.struct(*group, "risk")), F.col("_order"), sums={"upto": "later"})
+    wide = lambda c: c.cast("decimal(38,0)")
+    one = per.groupBy(*group).agg(F.sum("asks").alias("a"), F.sum("later").alias("l"), F.max("upto").alias("end"), F.sum(wide(F.col("asks")) * (F.col("upto") - F.col("later"))).alias("below"), F.sum(F.col("asks") * F.col("later")).alias("tied"))
+    # What the running sum had come to before the group is taken out of each ask.
+    one = one.select(*by, (F.col("a") * F.col("l")).alias("pairs"), (F.col("below") - wide(F.col("a")) * (F.col("end") - F.col("l"))).alias("concordant"), "tied")
+    one = one.groupBy(*by).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("pairs", "concordant", "tied")))
     return one.withColumn("c", F.when(F.col("pairs") > 0, (F.col("concordant") + F.col("tied") * 0.5) / F.col("pairs")))
 
 
+def concordance(surv: DataFrame, risk: DataFrame) -> DataFrame:
+    """One row: comparable pairs (the shorter time had the event, times differ), concordant and tied ones, and C."""
+    return concordance_counts(surv.select("subject", "time", "event").join(risk.select("subject", "risk"), "subject").withColumn("w", F.lit(1)))
+
+
 def external_validation(coefs: DataFrame, scaler: DataFrame, train_risk: DataFrame, x2: DataFrame, surv2: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Risks of a second cohort by the training scale, split at the training median; and one row with C and the features found and missing."""
     risk = risk_score(apply_scaler(x2, scaler), coefs)
@@ -124,8 +140,7 @@ def log_rank(surv: DataFrame) -> DataFrame:
     first = x.agg(F.min("stratum").alias("first"))
     x = x.join(F.broadcast(first), F.lit(True)).withColumn("own", (F.col("stratum") == F.col("first")).cast("int"))
     per = x.groupBy("time").agg(F.count("*").alias("n"), F.sum("own").alias("n1"), F.sum("event").alias("d"), F.sum(F.col("event") * F.col("own")).alias("d1"))
-    down = Window.partitionBy(F.lit(1)).orderBy(F.col("time").desc())
-    per = per.withColumns({"at_risk": F.sum("n").over(down), "own_risk": F.sum("n1").over(down)}).where("d > 0")
+    per = global_running(per, F.col("time").desc(), sums={"at_risk": "n", "own_risk": "n1"}).where("d > 0")
     v = F.when(F.col("at_risk") > 1, F.col("d") * (F.col("own_risk") / F.col("at_risk")) * (1 - F.col("own_risk") / F.col("at_risk")) * (F.col("at_risk") - F.col("d")) / (F.col("at_risk") - 1)).otherwise(0.0)
     one = per.agg(F.sum("d1").cast("long").alias("observed"), F.sum(F.col("d") * F.col("own_risk") / F.col("at_risk")).alias("expected"), F.sum(v).alias("variance"))
     return one.withColumn("chi2", F.when(F.col("variance") > 0, F.pow(F.col("observed") - F.col("expected"), F.lit(2)) / F.col("variance")))
@@ -138,12 +153,16 @@ def with_chi2_p(df: DataFrame, df_col: int = 1) -> DataFrame:
 
 
 def cox_terms(x: DataFrame, surv: DataFrame, betas: DataFrame) -> DataFrame:
-    """``(feature, loglik, score, information)`` of the one-covariate Cox model of each feature at ``betas`` ``(feature, beta)``, with Efron's ties."""
+    """``(feature, loglik, score, information)`` of the one-covariate Cox model of each feature at ``betas`` ``(feature, beta)``, with Efron's ties.
+
+    A column ``w`` of ``x`` counts its rows so many times.
+    """
+    x = x if "w" in x.columns else x.withColumn("w", F.lit(1))
     r = x.join(surv.select("subject", "time", "event").where("time is not null and event is not null"), "subject").join(betas, "feature")
-    e = F.exp(F.col("beta") * F.col("value"))
+    e = F.col("w") * F.exp(F.col("beta") * F.col("value"))
     dead = F.col("event") == 1
     sums = {"s0": e, "s1": e * F.col("value"), "s2": e * F.col("value") * F.col("value")}
-    per = r.groupBy("feature", "time", "beta").agg(*(F.sum(v).alias(k) for k, v in sums.items()), *(F.coalesce(F.sum(F.when(dead, v)), F.lit(0.0)).alias(f"d{k[1]}") for k, v in sums.items()), F.sum("event").cast("int").alias("d"), F.coalesce(F.sum(F.when(dead, F.col("value"))), F.lit(0.0)).alias("xd"))
+    per = r.groupBy("feature", "time", "beta").agg(*(F.sum(v).alias(k) for k, v in sums.items()), *(F.coalesce(F.sum(F.when(dead, v)), F.lit(0.0)).alias(f"d{k[1]}") for k, v in sums.items()), F.sum(F.col("event") * F.col("w")).cast("int").alias("d"), F.coalesce(F.sum(F.when(dead, F.col("w") * F.col("value"))), F.lit(0.0)).alias("xd"))
     down = Window.partitionBy("feature").orderBy(F.col("time").desc())
     per = per.withColumns({k: F.sum(k).over(down) for k in sums}).where("d > 0")
     per = per.withColumn("l", F.explode(F.sequence(F.lit(0), F.col("d") - 1)))
@@ -156,7 +175,6 @@ def cox_terms(x: DataFrame, surv: DataFrame, betas: DataFrame) -> DataFrame:
 
 def cox_univariate(x: DataFrame, surv: DataFrame, rounds: int = 6) -> DataFrame:
     """``(feature, beta, se, hr, lower, upper, z)`` of every feature by Newton steps for all features at once."""
-    from ..session import materialise
 
     x = materialise(x, "covariates")
     betas = x.select("feature").distinct().withColumn("beta", F.lit(0.0))
@@ -185,6 +203,14 @@ def proportional_hazards_test(x: DataFrame, surv: DataFrame, betas: DataFrame) -
     return with_chi2_p(one).withColumn("verdict", F.when(F.col("p") < 0.05, "violated").otherwise("holds"))
 
 
+def lambda_path(x: DataFrame, surv: DataFrame, shares: Sequence[float] = (0.95, 0.78, 0.6, 0.3, 0.1)) -> list[float]:
+    """Penalties as shares of the least one that leaves no feature: the largest slope of the mean log-likelihood at zero, one number."""
+    terms = cox_terms(x, surv, x.select("feature").distinct().withColumn("beta", F.lit(0.0)))
+    top = terms.agg(F.max(F.abs("score"))).first()[0] or 0.0
+    events = surv.where("time is not null").agg(F.sum("event")).first()[0] or 1
+    return [round(top / events * s, 9) for s in shares]
+
+
 def cox_l1_path(x: DataFrame, surv: DataFrame, fold_table: DataFrame, lambdas: Sequence[float], rounds: int = 30) -> DataFrame:
     """``(repeat, fold, lam, feature, coef)`` of L1-penalised Cox models (Breslow ties) on all but each fold; fold 0 is the whole cohort.
 
@@ -192,7 +218,6 @@ def cox_l1_path(x: DataFrame, surv: DataFrame, fold_table: DataFrame, lambdas: S
     gradients over risk sets for every (repeat, fold, lambda); the coefficients, a small table of models by features,
     are updated on the driver.
     """
-    from ..session import materialise
 
     spark = x.sparkSession
     names = [r[0] for r in x.select("feature").distinct().orderBy("feature").collect()]
@@ -231,10 +256,7 @@ def cv_concordance(x: DataFrame, surv: DataFrame, fold_table: DataFrame, coefs:
     """``(repeat, lam, fold, c)`` of held-out subjects by the models that did not see them."""
     held = x.join(fold_table, "subject").join(coefs.where("fold > 0"), ["repeat", "fold", "feature"])
     risk = held.groupBy("repeat", "fold", "lam", "subject").agg(F.sum(F.col("coef") * F.col("value")).alias("risk")).join(surv.select("subject", "time", "event"), "subject")
-    j = risk.select("repeat", "fold", "lam", F.col("time").alias("tj"), F.col("risk").alias("rj"))
-    pairs = risk.where("event = 1").join(j, ["repeat", "fold", "lam"]).where("time < tj")
-    score = F.when(F.col("risk") > F.col("rj"), 1.0).when(F.col("risk") == F.col("rj"), 0.5).otherwise(0.0)
-    return pairs.groupBy("repeat", "fold", "lam").agg(F.avg(score).alias("c"))
+    return concordance_counts(risk.withColumn("w", F.lit(1)), ["repeat", "fold", "lam"]).where("c is not null").select("repeat", "fold", "lam", "c")
 
 
 def lambda_1se(cv: DataFrame) -> DataFrame:
@@ -289,10 +311,13 @@ def time_auc(surv: DataFrame, risk: DataFrame, horizon_table: DataFrame) -> Data
     Weighted pairs are counted by running sums over the risks, not by pairs.
     """
     x = surv.join(risk.select("subject", "risk"), "subject").select("subject", "time", "event", "risk")
-    flipped = x.withColumn("event", 1 - F.col("event")).withColumn("g", F.lit(1))
-    curve = kaplan_meier(flipped, ["g"])
-    before = Window.partitionBy(F.lit(1)).orderBy("time").rowsBetween(Window.unboundedPreceding, -1)
-    g = curve.select("time", F.coalesce(F.last("survival").over(before), F.lit(1.0)).alias("g_before"))
+    # Survival of the censoring just before each time.
+    per = x.where("time is not null and event is not null").groupBy("time").agg(F.count("*").alias("n"), F.sum(1 - F.col("event")).alias("c"))
+    per = global_running(per, F.col("time").desc(), sums={"at_risk": "n"})
+    step = 1 - F.col("c") / F.col("at_risk")
+    per = per.withColumns({"log": F.when(step > 0, F.log(step)).otherwise(0.0), "end": (step <= 0).cast("int")})
+    per = global_running(per, F.col("time").asc(), sums={"logs": "log", "ends": "end"})
+    g = per.select("time", F.when(F.col("ends") - F.col("end") > 0, 0.0).otherwise(F.exp(F.col("logs") - F.col("log"))).alias("g_before"))
     y = x.join(g, "time").join(F.broadcast(horizon_table.select("horizon")), F.lit(True))
     case, control = (F.col("time") <= F.col("horizon")) & (F.col("event") == 1), F.col("time") > F.col("horizon")
     per = y.groupBy("horizon", "risk").agg(F.sum(F.when(case & (F.col("g_before") > 0), 1 / F.col("g_before")).otherwise(0.0)).alias("w"), F.count_if(control).alias("c"), F.count_if(case).alias("cases"))
@@ -306,7 +331,7 @@ def calibration(surv: DataFrame, risk: DataFrame, horizon: float, groups: int =
     """``(bin, n, predicted, observed)``: mean Cox-predicted survival at the horizon against Kaplan-Meier, by risk quantile."""
     x = surv.join(risk.select("subject", "risk"), "subject").select("subject", "time", "event", (F.col("risk") * beta).alias("eta"))
     per = x.groupBy("time").agg(F.sum(F.exp("eta")).alias("s0"), F.sum("event").alias("d"))
-    hazard = per.withColumn("s0", F.sum("s0").over(Window.partitionBy(F.lit(1)).orderBy(F.col("time").desc()))).where((F.col("time") <= horizon) & (F.col("d") > 0)).agg(F.coalesce(F.sum(F.col("d") / F.col("s0")), F.lit(0.0)).alias("h0"))
+    hazard = global_running(per.withColumnRenamed("s0", "own"), F.col("time").desc(), sums={"s0": "own"}).where((F.col("time") <= horizon) & (F.col("d") > 0)).agg(F.coalesce(F.sum(F.col("d") / F.col("s0")), F.lit(0.0)).alias("h0"))
     cuts = x.agg(F.percentile("eta", F.array(*(F.lit(i / groups) for i in range(1, groups)))).alias("cuts"))
     x = x.join(F.broadcast(hazard.join(cuts, F.lit(True))), F.lit(True)).withColumn("bin", (F.size(F.filter("cuts", lambda c: c < F.col("eta"))) + 1)).withColumn("s", F.exp(-F.col("h0") * F.exp("eta")))
     predicted = x.groupBy("bin").agg(F.count("*").alias("n"), F.avg("s").alias("predicted"))
@@ -315,25 +340,48 @@ def calibration(surv: DataFrame, risk: DataFrame, horizon: float, groups: int =
     return predicted.join(observed, "bin")
 
 
-def optimism(surv: DataFrame, risk: DataFrame, replicates: int = 20, seed: int = 1) -> DataFrame:
-    """One row: apparent Dxy = 2C - 1 of the risk, its mean optimism over bootstrap replicates, and the corrected value.
+def optimism(surv: DataFrame, risk: DataFrame, replicates: int = 200, seed: int = 1) -> DataFrame:
+    """``(measure, apparent, training, test, optimism, corrected)`` of the Cox model on the risk, for ``dxy``, ``slope`` and ``r2``.
 
-    Each subject's weight in a replicate is a Poisson(1) draw from a hash, so replicates repeat; the optimism is
-    the weighted value less the apparent one.
+    Each replicate draws the cohort with Poisson(1) multiplicities from a hash of subject, replicate and seed, fits the model again and is measured
+    on its own draw (``training``) and on the original cohort (``test``). The mean difference is the optimism, which the
+    apparent measure is lowered by. All replicates are fitted together. ``r2`` is that of Nagelkerke. Subjects without time, event or risk don't count.
     """
-    x = surv.join(risk.select("subject", "risk"), "subject").select("subject", "time", "event", "risk").withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    x = surv.select("subject", "time", "event").join(risk.select("subject", F.col("risk").cast("double").alias("risk")), "subject").where("time is not null and event is not null and risk is not null")
+    x = x.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
     u = F.pmod(F.xxhash64("subject", "rep", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     weight, cdf, term = F.lit(0), 0.0, float(np.exp(-1))
     for k in range(8):
         cdf += term
         weight = weight + (u > cdf).cast("int")
         term /= k + 1
-    x = x.withColumn("w", F.when(F.col("rep") == 0, 1).otherwise(weight)).where("w > 0")
-    j = x.select("rep", F.col("time").alias("tj"), F.col("risk").alias("rj"), F.col("w").alias("wj"))
-    score = F.when(F.col("risk") > F.col("rj"), 1.0).when(F.col("risk") == F.col("rj"), 0.5).otherwise(0.0)
-    c = x.where("event = 1").join(j, "rep").where("time < tj").groupBy("rep").agg((2 * F.sum(score * F.col("w") * F.col("wj")) / F.sum(F.col("w") * F.col("wj")) - 1).alias("dxy"))
-    one = c.agg(F.max(F.when(F.col("rep") == 0, F.col("dxy"))).alias("apparent"), F.avg(F.when(F.col("rep") > 0, F.col("dxy"))).alias("resampled"))
-    return one.select("apparent", (F.col("resampled") - F.col("apparent")).alias("optimism"), (2 * F.col("apparent") - F.col("resampled")).alias("corrected"))
+    x = materialise(x.withColumn("w", F.when(F.col("rep") == 0, 1).otherwise(weight)).where("w > 0"), "draws")
+    cells = x.select("subject", F.col("rep").alias("feature"), F.col("risk").alias("value"), "w")
+    fits = cox_univariate(cells, x.where("rep = 0").select("subject", "time", "event")).select(F.col("feature").alias("rep"), "beta")
+    fits = materialise(fits, "fits")
+
+    def likelihood(of: DataFrame, at: Column, name: str) -> DataFrame:
+        """Log-likelihood of each replicate's model at ``at`` on the rows ``of``."""
+        return cox_terms(of, x.where("rep = 0").select("subject", "time", "event"), fits.select(F.col("rep").alias("feature"), at.alias("beta"))).select(F.col("feature").alias("rep"), F.col("loglik").alias(name))
+
+    original = cells.where("feature = 0").select("subject", "value", "w").join(F.broadcast(fits.select(F.col("rep").alias("feature"))), F.lit(True))
+    sizes = x.groupBy("rep").agg(F.sum("w").alias("n"))
+    m = fits.join(likelihood(cells, F.col("beta"), "own"), "rep").join(likelihood(cells, F.lit(0.0), "own0"), "rep").join(likelihood(original, F.col("beta"), "other"), "rep").join(sizes, "rep")
+    m = m.join(concordance_counts(x, ["rep"]).select("rep", (2 * F.col("c") - 1).alias("d")), "rep")
+    base = m.where("rep = 0").select(F.col("beta").alias("beta0"), F.col("own0").alias("ll0"), F.col("n").alias("n0"), F.col("d").alias("d0"))
+    m = m.join(F.broadcast(base), F.lit(True))
+    r2 = lambda ll, null, n: (1 - F.exp(-2 * (ll - null) / n)) / (1 - F.exp(2 * null / n))
+    side = F.signum("beta")
+    row = lambda name, training, test: F.struct(F.lit(name).alias("measure"), training.alias("training"), test.alias("test"))
+    measures = F.array(
+        row("dxy", side * F.col("d"), side * F.col("d0")),
+        row("slope", F.lit(1.0), F.col("beta0") / F.col("beta")),
+        row("r2", r2(F.col("own"), F.col("own0"), F.col("n")), r2(F.col("other"), F.col("ll0"), F.col("n0"))),
+    )
+    each = m.select("rep", F.inline(measures))
+    one = each.groupBy("measure").agg(F.max(F.when(F.col("rep") == 0, F.col("training"))).alias("apparent"), F.avg(F.when(F.col("rep") > 0, F.col("training"))).alias("training"), F.avg(F.when(F.col("rep") > 0, F.col("test"))).alias("test"))
+    gap = F.col("training") - F.col("test")
+    return one.select("measure", "apparent", "training", "test", gap.alias("optimism"), (F.col("apparent") - gap).alias("corrected"))
 
 
 def decision_curve(rows: DataFrame, points: int = 19) -> DataFrame:

@@ -75,7 +75,7 @@ def path(d: Data) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     x = materialise(sv.apply_scaler(train(d), sv.fit_scaler(train(d))), "x")
     f = materialise(sv.folds(d.surv, 3, 1), "folds")
-    return x, f, materialise(sv.cox_l1_path(x, d.surv, f, [0.005, 0.02, 0.08], 12), "path")
+    return x, f, materialise(sv.cox_l1_path(x, d.surv, f, sv.lambda_path(x, d.surv), 12), "path")
 
 
 @query("s6_cox_l1_path")
@@ -131,7 +131,7 @@ def s13_rows(d: Data) -> DataFrame:
     return x.select("subject", (F.round("risk", 6) + 0.0).alias("risk"), F.when(F.round("risk", 6) > F.col("cutoff"), "high").otherwise("low").alias("stratum"))
 
 
-@query("s13_external_concordance")
+@query("s13_external_concordance", f"WITH {_SCALER}, x AS (SELECT subject, time, event, sum(coef * value) AS risk FROM x2 JOIN co USING (feature) JOIN surv2 USING (subject) GROUP BY ALL), {_C} SELECT pairs, concordant, tied, {r('(concordant + tied * 0.5) / pairs', 'c')}, (SELECT count(*) FROM co SEMI JOIN x2 USING (feature)) AS found, (SELECT count(*) FROM co ANTI JOIN x2 USING (feature)) AS missing FROM c")
 def s13(d: Data) -> DataFrame:
     return external(d)[1]
 
@@ -214,7 +214,7 @@ def s22(d: Data) -> DataFrame:
 
 @query("s23_optimism")
 def s23(d: Data) -> DataFrame:
-    return sv.optimism(d.surv, d.risk, 20)
+    return sv.optimism(d.surv, d.risk.withColumn("risk", F.col("risk") / 10))
 
 
 _DC = "x AS (SELECT event AS outcome, risk / 20 AS risk FROM surv JOIN risk USING (subject)), c AS (SELECT quantile_cont(risk, [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]) AS q, count(*) AS n, sum(outcome) AS cases FROM x), t AS (SELECT unnest(range(19)) AS step, unnest(q) AS threshold, n, cases FROM c), k AS (SELECT step, threshold, n, cases, count(*) FILTER (risk >= threshold AND outcome = 1) AS tp, count(*) FILTER (risk >= threshold AND outcome = 0) AS fp FROM t, x WHERE threshold < 1 GROUP BY 1, 2, 3, 4)"

@@ -1,6 +1,7 @@
 """Literal cases and properties."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -234,3 +235,102 @@ def test_empty_inputs(spark):
     assert qc.pair_correlation(none).count() == 0
     assert matrix.quantile_normalise(none).count() == 0
     assert qc.box_summary(none).count() == 0
+
+
+def test_concordance_counts_by_group(spark):
+    rng = random.Random(31)
+    rows = [(g, float(rng.randint(1, 9)), rng.randint(0, 1), float(rng.randint(0, 5)), rng.randint(1, 3)) for g in "ab" for _ in range(60)] + [("c", 1.0, 1, 2.0, 1), ("a", None, 1, 1.0, 1)]
+    df = spark.createDataFrame(rows, "g string, time double, event int, risk double, w int")
+    got = {r.g: (r.pairs, r.concordant, r.tied) for r in survival.concordance_counts(df, ["g"]).collect()}
+    for g in "ab":
+        own = [r for r in rows if r[0] == g and r[1] is not None]
+        pairs = [(x[3], y[3], x[4] * y[4]) for x in own for y in own if x[2] == 1 and x[1] < y[1]]
+        assert got[g] == (sum(w for *_, w in pairs), sum(w for a, b, w in pairs if a > b), sum(w for a, b, w in pairs if a == b))
+    assert survival.concordance_counts(df.limit(0)).collect()[0].pairs == 0
+
+
+def test_optimism_equals_refits(spark):
+    """Each replicate refitted by hand: Dxy, slope and R2 of its model on its draw and on the original cohort."""
+    rng = random.Random(32)
+    people = [(i, float(rng.randint(1, 12)), rng.randint(0, 1), rng.gauss(0, 1)) for i in range(50)]
+    people = [(i, t + (3 if z < 0 else 0), e, round(z, 3)) for i, t, e, z in people]
+    df = spark.createDataFrame(people, "subject long, time double, event int, risk double")
+    reps = 6
+    u = F.pmod(F.xxhash64("subject", "rep", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    draws = df.select("subject", F.explode(F.sequence(F.lit(0), F.lit(reps))).alias("rep")).select("subject", "rep", u.alias("u")).collect()
+    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)])
+    weight = {(r.rep, r.subject): 1 if r.rep == 0 else int((r.u > cdf).sum()) for r in draws}
+
+    def terms(rows, beta):
+        ll = score = info = 0.0
+        for time in {t for _, t, e, _ in rows if e}:
+            risk = np.array([z for _, t, _, z in rows if t >= time])
+            dead = np.array([z for _, t, e, z in rows if t == time and e])
+            ll, score = ll + beta * dead.sum(), score + dead.sum()
+            for k in range(len(dead)):
+                s = [(np.exp(beta * risk) * risk**p).sum() - k / len(dead) * (np.exp(beta * dead) * dead**p).sum() for p in range(3)]
+                ll, score, info = ll - math.log(s[0]), score - s[1] / s[0], info + s[2] / s[0] - (s[1] / s[0]) ** 2
+        return ll, score, info
+
+    def fit(rows):
+        beta = 0.0
+        for _ in range(20):
+            _, score, info = terms(rows, beta)
+            beta += score / info
+        return beta
+
+    def dxy(rows, sign):
+        pairs = [(sign * x[3], sign * y[3]) for x in rows for y in rows if x[2] and x[1] < y[1]]
+        return 2 * sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs) - 1
+
+    def r2(rows, beta):
+        ll, null = terms(rows, beta)[0], terms(rows, 0.0)[0]
+        return (1 - math.exp(-2 * (ll - null) / len(rows))) / (1 - math.exp(2 * null / len(rows)))
+
+    beta0 = fit(people)
+    parts = []
+    for rep in range(1, reps + 1):
+        rows = [p for p in people for _ in range(weight[rep, p[0]])]
+        beta = fit(rows)
+        sign = np.sign(beta)
+        parts.append([(dxy(rows, sign), dxy(people, sign)), (1.0, beta0 / beta), (r2(rows, beta), r2(people, beta))])
+    training, test = np.mean(parts, 0)[:, 0], np.mean(parts, 0)[:, 1]
+    apparent = [dxy(people, np.sign(beta0)), 1.0, r2(people, beta0)]
+    got = {r.measure: r for r in survival.optimism(df, df.select("subject", "risk"), reps).collect()}
+    for k, name in enumerate(("dxy", "slope", "r2")):
+        r = got[name]
+        assert np.allclose([r.apparent, r.training, r.test, r.corrected], [apparent[k], training[k], test[k], apparent[k] - training[k] + test[k]], atol=1e-6), name
+
+
+def test_running_over_ranges(spark):
+    rng = random.Random(33)
+    values = [rng.choice([None, *range(20)]) for _ in range(300)]
+    df = spark.createDataFrame([(i, v, rng.random()) for i, v in enumerate(values)], "i int, v int, x double")
+    got = stats.global_running(df, F.col("v").asc_nulls_last(), sums={"s": F.lit(1)}, mins={"m": "x"}, partitions=7).collect()
+    rows = [(r.i, r.v, r.x) for r in got]
+    for r in got:
+        upto = [x for _, v, x in rows if v is not None and (r.v is None or v <= r.v) or r.v is None]
+        assert r.s == len(upto) and r.m == min(upto)
+    assert stats.bh_adjust(df.limit(0), "x").count() == 0
+
+
+def test_pair_correlation_in_blocks(spark, monkeypatch):
+    from cohortgrid.operators import qc
+
+    monkeypatch.setattr(qc, "BLOCK_ITEMS", 3)
+    monkeypatch.setattr(qc, "BLOCK_CELLS", 5)
+    rng = np.random.default_rng(34)
+    cells = {(f"s{i}", f"f{j:02d}"): 1e3 * i + rng.normal() for i in range(9) for j in range(17) if rng.random() < 0.8} | {("flat", f"f{j:02d}"): 0.1 for j in range(17)} | {("one", "f00"): 2.0}
+    df = spark.createDataFrame([(f, s, float(v)) for (s, f), v in cells.items()], "feature string, sample string, value double")
+    got = {(r.a, r.b): (r.n, r.r) for r in qc.pair_correlation(df).collect()}
+    names = sorted({s for s, _ in cells})
+    for a in names:
+        for b in names:
+            both = [f for f in (f"f{j:02d}" for j in range(17)) if (a, f) in cells and (b, f) in cells]
+            if a >= b or not both:
+                assert (a, b) not in got
+                continue
+            n, r = got[a, b]
+            x, y = ([cells[s, f] for f in both] for s in (a, b))
+            assert n == len(both)
+            assert r is None if n < 2 or "flat" in (a, b) else abs(r - np.corrcoef(x, y)[0, 1]) < 1e-9
