@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import bh_adjust, t_sf2
+from ..functions.stats import average_rank, bh_adjust, t_sf2
 from ..session import materialise
 from .graph import components
 from .matrix import present, row_zscore, top_variance
@@ -157,6 +157,20 @@ def relevance_vs_membership(measurements: DataFrame, traits: DataFrame, kme: Dat
     return j.select("trait", "module", "feature", "gs", "kme", zone.alias("zone"))
 
 
+def relevance_summary(relevance: DataFrame, table: DataFrame, q: float = 0.99, top: int = 5) -> DataFrame:
+    """``(trait, module, n, rho, labels)``: for each trait the module of largest absolute correlation in ``table``, Spearman's rho of relevance
+    and membership over its features, and the features beyond the quantile ``q`` of both, at most ``top`` by membership, comma-joined (null where there are none)."""
+    best = table.where("r is not null").groupBy("trait").agg(F.max_by("module", F.struct(F.abs("r"), -F.col("module"))).alias("module"))
+    x = relevance.where("gs is not null and kme is not null").join(F.broadcast(best), ["trait", "module"])
+    ranked = x.withColumns({"rg": average_rank("gs", ["trait"]), "rk": average_rank("kme", ["trait"])})
+    one = ranked.groupBy("trait", "module").agg(F.count("*").alias("n"), F.corr("rg", "rk").alias("rho"))
+    cuts = x.groupBy("trait").agg(F.percentile("gs", F.lit(q)).alias("cut_gs"), F.percentile("kme", F.lit(q)).alias("cut_kme"))
+    high = x.join(F.broadcast(cuts), "trait").where((F.col("gs") > F.col("cut_gs")) & (F.col("kme") > F.col("cut_kme")))
+    high = high.withColumn("place", F.row_number().over(Window.partitionBy("trait").orderBy(F.col("kme").desc(), "feature"))).where(F.col("place") <= top)
+    labels = high.groupBy("trait").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "feature"))), lambda v: v["feature"]), ",").alias("labels"))
+    return one.join(labels, "trait", "left")
+
+
 def module_significance(relevance: DataFrame, min_features: int = 3) -> DataFrame:
     return relevance.groupBy("trait", "module").agg(F.avg("gs").alias("significance"), F.count("*").alias("n")).where(F.col("n") >= min_features)
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.stats import global_running
 from ..session import materialise
 
+#: The normal quantile of 0.975.
+Z975 = 1.959963984540054
+
 
 def survival_table(rows: DataFrame, time_col: str, event_col: str, event_values: Sequence[str]) -> DataFrame:
     """``rows`` with ``time``, ``event`` (1 for a declared value, null for blank, else 0) and ``reason`` (null where usable)."""
@@ -128,6 +131,16 @@ def kaplan_meier(surv: DataFrame, by: Sequence[str] = ("stratum",)) -> DataFrame
     return start.unionByName(per)
 
 
+def survival_before(surv: DataFrame, ends: Column) -> DataFrame:
+    """``(time, before)``: the Kaplan-Meier survival of ``ends`` (1 or 0 a row) just before each time, in parallel ranges."""
+    per = surv.where("time is not null and event is not null").groupBy("time").agg(F.count("*").alias("n"), F.sum(ends).alias("e"))
+    per = global_running(per, F.col("time").desc(), sums={"at_risk": "n"})
+    step = 1 - F.col("e") / F.col("at_risk")
+    per = per.withColumns({"log": F.when(step > 0, F.log(step)).otherwise(0.0), "end": (step <= 0).cast("int")})
+    per = global_running(per, F.col("time").asc(), sums={"logs": "log", "ends": "end"})
+    return per.select("time", F.when(F.col("ends") - F.col("end") > 0, 0.0).otherwise(F.exp(F.col("logs") - F.col("log"))).alias("before"))
+
+
 def survival_at(curve: DataFrame, horizons: DataFrame, by: Sequence[str] = ("stratum",)) -> DataFrame:
     """``(by.., horizon, survival)``: the last step at or before each horizon."""
     j = curve.join(F.broadcast(horizons.select("horizon")), F.col("time") <= F.col("horizon"))
@@ -183,7 +196,7 @@ def cox_univariate(x: DataFrame, surv: DataFrame, rounds: int = 6) -> DataFrame:
         step = F.when(F.col("information") > 0, F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col("score") / F.col("information")))).otherwise(0.0)
         betas = materialise(betas.join(t, "feature").select("feature", (F.col("beta") + step).alias("beta")), "betas")
     out = betas.join(cox_terms(x, surv, betas), "feature").withColumn("se", F.when(F.col("information") > 0, 1 / F.sqrt("information")))
-    return out.select("feature", "beta", "se", F.exp("beta").alias("hr"), F.exp(F.col("beta") - 1.959963984540054 * F.col("se")).alias("lower"), F.exp(F.col("beta") + 1.959963984540054 * F.col("se")).alias("upper"), (F.col("beta") / F.col("se")).alias("z"))
+    return out.select("feature", "beta", "se", F.exp("beta").alias("hr"), F.exp(F.col("beta") - Z975 * F.col("se")).alias("lower"), F.exp(F.col("beta") + Z975 * F.col("se")).alias("upper"), (F.col("beta") / F.col("se")).alias("z"))
 
 
 def schoenfeld(x: DataFrame, surv: DataFrame, betas: DataFrame) -> DataFrame:
@@ -203,6 +216,77 @@ def proportional_hazards_test(x: DataFrame, surv: DataFrame, betas: DataFrame) -
     return with_chi2_p(one).withColumn("verdict", F.when(F.col("p") < 0.05, "violated").otherwise("holds"))
 
 
+def joint_rows(x: DataFrame, surv: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``(time, event, x)`` of subjects with every feature, ``x`` in the order of the names that come with it. A signature is short, so its names are."""
+    names = [r[0] for r in x.select("feature").distinct().orderBy("feature").collect()]
+    wide = x.groupBy("subject").agg(F.transform(F.array_sort(F.collect_list(F.struct("feature", "value"))), lambda v: v["value"]).alias("x")).where(F.size("x") == len(names))
+    return materialise(wide.join(surv.select("subject", "time", "event").where("time is not null and event is not null"), "subject").select("time", "event", "x"), "joint"), names
+
+
+def joint_terms(rows: DataFrame, beta: Sequence[float]) -> DataFrame:
+    """``(time, u_i.., v_i_j..)`` at each event time: score and information of the Cox model of all features at ``beta``, with Efron's ties."""
+    p = len(beta)
+    v = [F.col("x")[i] for i in range(p)]
+    e = F.exp(sum((float(b) * c for b, c in zip(beta, v)), F.lit(0.0)))
+    both = [(i, j) for i in range(p) for j in range(i, p)]
+    cells = {"s0": e} | {f"s1_{i}": e * v[i] for i in range(p)} | {f"s2_{i}_{j}": e * v[i] * v[j] for i, j in both}
+    dead = F.col("event") == 1
+    one = lambda c: F.coalesce(F.sum(F.when(dead, c)), F.lit(0.0))
+    per = rows.groupBy("time").agg(*(F.sum(c).alias(f"own_{k}") for k, c in cells.items()), *(one(c).alias(f"dead_{k}") for k, c in cells.items()), *(one(v[i]).alias(f"xd_{i}") for i in range(p)), F.sum("event").cast("int").alias("d"))
+    per = global_running(per, F.col("time").desc(), sums={k: f"own_{k}" for k in cells}).where("d > 0").withColumn("l", F.explode(F.sequence(F.lit(0), F.col("d") - 1)))
+    a = {k: F.col(k) - F.col("l") / F.col("d") * F.col(f"dead_{k}") for k in cells}
+    mean = [a[f"s1_{i}"] / a["s0"] for i in range(p)]
+    return per.groupBy("time").agg(*((F.max(f"xd_{i}") - F.sum(mean[i])).alias(f"u_{i}") for i in range(p)), *(F.sum(a[f"s2_{i}_{j}"] / a["s0"] - mean[i] * mean[j]).alias(f"v_{i}_{j}") for i, j in both))
+
+
+def _sums(terms: DataFrame, p: int, weights: Sequence[Column]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Score vector and information matrix of :func:`joint_terms` summed with each of ``weights``, in one pass."""
+    both = [(i, j) for i in range(p) for j in range(i, p)]
+    asked = [F.sum(w * F.col(c)) for w in weights for c in [*(f"u_{i}" for i in range(p)), *(f"v_{i}_{j}" for i, j in both)]]
+    got = np.array([x or 0.0 for x in terms.agg(*asked).first()], dtype=float).reshape(len(weights), -1)
+    out = []
+    for row in got:
+        m = np.zeros((p, p))
+        for (i, j), value in zip(both, row[p:]):
+            m[i, j] = m[j, i] = value
+        out.append((row[:p], m))
+    return out
+
+
+def cox_joint(rows: DataFrame, p: int, rounds: int = 20, tolerance: float = 1e-8) -> np.ndarray:
+    """Coefficients of the Cox model of all features, by Newton steps until none is beyond ``tolerance``."""
+    beta = np.zeros(p)
+    for _ in range(rounds):
+        ((score, information),) = _sums(joint_terms(rows, beta), p, [F.lit(1.0)])
+        step = np.clip(np.linalg.pinv(information) @ score, -2, 2)
+        beta += step
+        if np.abs(step).max(initial=0.0) < tolerance:
+            break
+    return beta
+
+
+def proportional_hazards_joint(x: DataFrame, surv: DataFrame) -> DataFrame:
+    """``(term, beta, chi2, df, p, verdict)`` of the joint model of a signature: each term and ``GLOBAL``.
+
+    A score test of the interaction of each covariate with one less the survival just before a time, given the fitted model.
+    The numbers of a signature of p features are p^2; sums over times and risk sets are Spark's. No subjects or features: no rows.
+    """
+    rows, names = joint_rows(x, surv)
+    p, schema = len(names), "term string, beta double, chi2 double, df int"
+    if not p:
+        return with_chi2_p(x.sparkSession.createDataFrame([], schema), 1).withColumn("verdict", F.lit(""))
+    beta = cox_joint(rows, p)
+    terms = joint_terms(rows, beta).join(survival_before(rows, F.col("event")), "time").withColumn("g", 1 - F.col("before"))
+    (_, i11), (u, i12), (_, i22) = _sums(terms, p, [F.lit(1.0), F.col("g"), F.col("g") * F.col("g")])
+    left = i22 - i12 @ np.linalg.pinv(i11) @ i12
+    out = [(n, float(b), float(s * s / m) if m > 0 else None, 1) for n, b, s, m in zip(names, beta, u, np.diag(left))]
+    out.append(("GLOBAL", None, float(u @ np.linalg.pinv(left) @ u), p))
+    from ..functions.stats import chi2_sf
+
+    table = x.sparkSession.createDataFrame(out, schema).withColumn("p", chi2_sf("chi2", F.col("df").cast("double")))
+    return table.withColumn("verdict", F.when(F.col("p") < 0.05, "violated").when(F.col("p").isNotNull(), "not_violated"))
+
+
 def lambda_path(x: DataFrame, surv: DataFrame, shares: Sequence[float] = (0.95, 0.78, 0.6, 0.3, 0.1)) -> list[float]:
     """Penalties as shares of the least one that leaves no feature: the largest slope of the mean log-likelihood at zero, one number."""
     terms = cox_terms(x, surv, x.select("feature").distinct().withColumn("beta", F.lit(0.0)))
@@ -306,25 +390,31 @@ def horizons(surv: DataFrame, q: Sequence[float] = (0.25, 0.5, 0.75), min_events
 
 
 def time_auc(surv: DataFrame, risk: DataFrame, horizon_table: DataFrame) -> DataFrame:
-    """``(horizon, n_cases, n_controls, auc)``: cases by the horizon against those beyond it, weighted by the inverse probability of censoring.
+    """``(horizon, n_cases, n_controls, n_at_risk, n_events_after, auc, se, lower, upper)``: cases by the horizon against those beyond it, weighted by the inverse probability of censoring.
 
-    Weighted pairs are counted by running sums over the risks, not by pairs.
+    Weighted pairs are counted by running sums over the risks of all horizons at once, not by pairs. The standard error is that of a weighted
+    two-sample statistic (variance of the shares of cases and of controls); the weights count as known. The interval is of 95 %.
+    Without cases or controls these are null.
     """
     x = surv.join(risk.select("subject", "risk"), "subject").select("subject", "time", "event", "risk")
-    # Survival of the censoring just before each time.
-    per = x.where("time is not null and event is not null").groupBy("time").agg(F.count("*").alias("n"), F.sum(1 - F.col("event")).alias("c"))
-    per = global_running(per, F.col("time").desc(), sums={"at_risk": "n"})
-    step = 1 - F.col("c") / F.col("at_risk")
-    per = per.withColumns({"log": F.when(step > 0, F.log(step)).otherwise(0.0), "end": (step <= 0).cast("int")})
-    per = global_running(per, F.col("time").asc(), sums={"logs": "log", "ends": "end"})
-    g = per.select("time", F.when(F.col("ends") - F.col("end") > 0, 0.0).otherwise(F.exp(F.col("logs") - F.col("log"))).alias("g_before"))
+    g = survival_before(x, 1 - F.col("event")).withColumnRenamed("before", "g_before")
     y = x.join(g, "time").join(F.broadcast(horizon_table.select("horizon")), F.lit(True))
     case, control = (F.col("time") <= F.col("horizon")) & (F.col("event") == 1), F.col("time") > F.col("horizon")
-    per = y.groupBy("horizon", "risk").agg(F.sum(F.when(case & (F.col("g_before") > 0), 1 / F.col("g_before")).otherwise(0.0)).alias("w"), F.count_if(control).alias("c"), F.count_if(case).alias("cases"))
-    below, whole = Window.partitionBy("horizon").orderBy("risk").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("horizon")
-    per = per.withColumn("lower", F.coalesce(F.sum("c").over(below), F.lit(0)))
-    one = per.groupBy("horizon").agg(F.sum("cases").alias("n_cases"), F.sum("c").alias("n_controls"), F.sum(F.col("w") * (F.col("lower") + F.col("c") * 0.5)).alias("hits"), F.sum("w").alias("w"))
-    return one.select("horizon", "n_cases", "n_controls", F.when((F.col("w") > 0) & (F.col("n_controls") > 0), F.col("hits") / (F.col("w") * F.col("n_controls"))).alias("auc"))
+    w = F.when(case & (F.col("g_before") > 0), 1 / F.col("g_before")).otherwise(0.0)
+    counts = {"cases": case, "c": control, "at_risk": F.col("time") >= F.col("horizon"), "after": control & (F.col("event") == 1)}
+    per = y.groupBy("horizon", "risk").agg(F.sum(w).alias("w"), F.sum(w * w).alias("w2"), *(F.count_if(v).alias(k) for k, v in counts.items()))
+    per = global_running(per.withColumn("_order", F.struct("horizon", "risk")), F.col("_order"), sums={"upto_w": "w", "upto_c": "c"})
+    per = materialise(per.drop("_order"), "auc")
+    whole = per.groupBy("horizon").agg(F.sum("w").alias("all_w"), F.sum("c").alias("all_c"), F.max("upto_w").alias("end_w"), F.max("upto_c").alias("end_c"))
+    per = per.join(F.broadcast(whole), "horizon")
+    # What the running sums had come to before the horizon is taken out.
+    below_c, below_w = (F.col(f"upto_{k}") - F.col(k) - (F.col(f"end_{k}") - F.col(f"all_{k}")) for k in ("c", "w"))
+    per = per.withColumns({"of_case": (below_c + F.col("c") * 0.5) / F.col("all_c"), "of_control": (F.col("all_w") - below_w - F.col("w") * 0.5) / F.col("all_w")})
+    sums = {"hits": F.col("w") * F.col("of_case"), "h1": F.col("w2") * F.col("of_case"), "h2": F.col("w2") * F.col("of_case") * F.col("of_case"), "k2": F.col("c") * F.col("of_control") * F.col("of_control"), "w2": F.col("w2"), **{f"n_{k}": F.col(k) for k in counts}}
+    one = per.groupBy("horizon", "all_w", "all_c").agg(*(F.sum(v).alias(k) for k, v in sums.items())).withColumn("auc", F.col("hits") / F.col("all_w"))
+    variance = (F.col("h2") - 2 * F.col("auc") * F.col("h1") + F.col("auc") * F.col("auc") * F.col("w2")) / (F.col("all_w") * F.col("all_w")) + (F.col("k2") / F.col("all_c") - F.col("auc") * F.col("auc")) / F.col("all_c")
+    one = one.withColumn("se", F.sqrt(F.greatest(F.lit(0.0), variance)))
+    return one.select("horizon", "n_cases", F.col("n_c").alias("n_controls"), "n_at_risk", F.col("n_after").alias("n_events_after"), "auc", "se", (F.col("auc") - Z975 * F.col("se")).alias("lower"), (F.col("auc") + Z975 * F.col("se")).alias("upper"))
 
 
 def calibration(surv: DataFrame, risk: DataFrame, horizon: float, groups: int = 4, beta: float = 1.0) -> DataFrame:

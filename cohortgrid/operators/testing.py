@@ -33,6 +33,24 @@ def paired_fit(measurements: DataFrame, samples: DataFrame, numerator: str, deno
     return fit.select("feature", "lfc", "ave", "n1", F.col("n1").alias("n0"), "s2", (F.col("n1") - 1).cast("double").alias("df"), F.sqrt(1 / F.col("n1")).alias("se_unscaled"))
 
 
+def paired_or_plain_fit(measurements: DataFrame, samples: DataFrame, numerator: str, denominator: str) -> DataFrame:
+    """:func:`paired_fit` where the pairs allow it, else :func:`two_group_fit`; ``design`` and ``reason`` say which and why.
+
+    Pairs serve where every sample of both arms has one, there are two or more, and one of them at least has both arms (the design is of full rank).
+    """
+    own = samples.where(F.col("arm").isin(numerator, denominator))
+    if "pair_id" not in samples.columns:
+        reason = "no pair_id column"
+    else:
+        pair = F.trim(F.col("pair_id").cast("string"))
+        blank = pair.isNull() | (pair == "")
+        per = own.groupBy(F.when(~blank, pair).alias("pair")).agg(F.count("*").alias("n"), F.count_distinct("arm").alias("arms"))
+        loose, levels, whole = per.agg(F.coalesce(F.sum(F.when(F.col("pair").isNull(), F.col("n"))), F.lit(0)), F.count("pair"), F.count_if(F.col("pair").isNotNull() & (F.col("arms") == 2))).first()
+        reason = "samples without a pair" if loose else "fewer than two pairs" if levels < 2 else "no pair has both arms" if not whole else None
+    fit = (two_group_fit if reason else paired_fit)(measurements, samples, numerator, denominator)
+    return fit.withColumns({"design": F.lit("two_group" if reason else "paired"), "reason": F.lit(reason).cast("string")})
+
+
 def moderate(fit: DataFrame, trend: bool = False, robust: bool = False) -> DataFrame:
     """The test table of a fit, its variances shrunk towards a prior.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import handoff, matrix, samples
+from ..session import work_path
 from ..sources import readers
 from .bindings import Data
 from .registry import query, r
@@ -19,15 +20,29 @@ def a1(d: Data) -> DataFrame:
     return readers.split_tagged(d.table("events").select(text.alias("value")))
 
 
+@query("a2_block_table", "SELECT CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INT) AS row, CAST(s_suppkey AS VARCHAR) AS id, trim(s_name) AS name, CAST(NULL AS VARCHAR) AS note FROM supplier")
+def a2(d: Data) -> DataFrame:
+    """One annotation file for each nation, with a column that no row fills."""
+    line = F.concat_ws("\t", F.col("s_suppkey").cast("string"), "s_name")
+    files = d.table("supplier").groupBy("s_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("line")))), lambda v: v["line"]), "\n").alias("lines"))
+    path = work_path(d.spark, "blocks")
+    text = F.concat(F.lit("!head\n#begin\nid\tname\tnote\n"), "lines", F.lit("\n#end"))
+    files.select(text.alias("value"), F.col("s_nationkey").alias("nation")).repartition("nation").write.partitionBy("nation").text(path)
+    rows = readers.read_block_table(d.spark, path, "#begin", "#end")
+    return rows.select(F.col("row").cast("int").alias("row"), F.col("fields")["id"].alias("id"), F.col("fields")["name"].alias("name"), F.col("fields")["note"].alias("note"))
+
+
 @query("a3_wide_to_long", "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS feature, unnest(['l_quantity', 'l_tax']) AS sample, unnest([l_quantity, l_tax]) AS value FROM lineitem")
 def a3(d: Data) -> DataFrame:
     wide = d.table("lineitem").select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"), "l_quantity", "l_tax")
     return readers.wide_to_long(wide, "id")
 
 
-@query("a4_edges", "SELECT a, b, score FROM edges WHERE score >= 2")
+@query("a4_edges", "SELECT CAST(a AS VARCHAR) AS a, CAST(b AS VARCHAR) AS b, CAST(score AS INT) AS score FROM edges WHERE score >= 2")
 def a4(d: Data) -> DataFrame:
-    return d.edges.where("score >= 2")
+    path = work_path(d.spark, "edges")
+    d.edges.write.option("sep", " ").option("header", True).option("compression", "gzip").csv(path)
+    return readers.read_edges(d.spark, path, 2)
 
 
 @query("a5_signed_sets", "SELECT source, target, sign, confidence, 'declared' AS coverage FROM (SELECT source, target, coalesce(sign, 0) AS sign, chr(65 + CAST(length(target) % 3 AS INT)) AS confidence FROM signed) WHERE confidence IN ('A', 'B')")
@@ -42,6 +57,17 @@ def a6(d: Data) -> DataFrame:
     return readers.signed_sets_vocab(rows, {"Activation": 1, "Repression": -1, "Unknown": None})
 
 
+@query("a7_result_folders", "SELECT c_nationkey, count(*) AS n, 'customers' AS dataset FROM customer GROUP BY 1 UNION ALL SELECT s_nationkey, count(*), 'suppliers' FROM supplier GROUP BY 1")
+def a7(d: Data) -> DataFrame:
+    """Two datasets in one folder; the second write of the customers replaces the first and leaves the suppliers."""
+    path = work_path(d.spark, "results")
+    per = lambda table, key: d.table(table).groupBy(F.col(key).alias("c_nationkey")).agg(F.count("*").alias("n"))
+    readers.write_results(per("orders", "o_custkey"), path, "customers")
+    readers.write_results(per("supplier", "s_nationkey"), path, "suppliers")
+    readers.write_results(per("customer", "c_nationkey"), path, "customers")
+    return d.spark.read.parquet(path).select("c_nationkey", "n", "dataset")
+
+
 @query("a8_sort_members", "SELECT o_custkey AS id, string_agg(s, '/' ORDER BY s) AS members FROM (SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS s FROM orders) GROUP BY 1")
 def a8(d: Data) -> DataFrame:
     lists = d.table("orders").groupBy(F.col("o_custkey").alias("id")).agg(F.array_join(F.collect_list(F.col("o_orderkey").cast("string")), "/").alias("members"))

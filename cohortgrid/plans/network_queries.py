@@ -222,6 +222,15 @@ def m13(d: Data) -> DataFrame:
     return relevance(d)
 
 
+@query(
+    "m13_relevance_summary",
+    f"WITH {_KME}, best AS (SELECT trait, arg_max(module, abs(r)) AS module FROM (SELECT * FROM mt ORDER BY module) GROUP BY trait), x AS (SELECT rel.* FROM rel JOIN best USING (trait, module)), k AS (SELECT *, rank() OVER (PARTITION BY trait ORDER BY gs) + (count(*) OVER (PARTITION BY trait, gs) - 1) / 2.0 AS rg, rank() OVER (PARTITION BY trait ORDER BY kme) + (count(*) OVER (PARTITION BY trait, kme) - 1) / 2.0 AS rk FROM x), c AS (SELECT trait, quantile_cont(gs, 0.6) AS cg, quantile_cont(kme, 0.6) AS ck FROM x GROUP BY trait), h AS (SELECT trait, feature, row_number() OVER (PARTITION BY trait ORDER BY kme DESC, feature) AS place FROM x JOIN c USING (trait) WHERE gs > cg AND kme > ck), l AS (SELECT trait, string_agg(feature, ',' ORDER BY place) AS labels FROM h WHERE place <= 5 GROUP BY trait), o AS (SELECT trait, module, count(*) AS n, corr(rg, rk) AS rho FROM k GROUP BY 1, 2) SELECT trait, module, n, {r('rho', 'rho')}, labels FROM o LEFT JOIN l USING (trait)",
+)
+def m13_summary(d: Data) -> DataFrame:
+    # Modules have a dozen features, so the labels are those beyond the 60 % quantiles.
+    return modules.relevance_summary(relevance(d), modules.module_trait(profile(d), traits(d)), 0.6)
+
+
 @query("m14_significance", f"WITH {_KME} SELECT trait, module, {r('avg(gs)', 'significance')}, count(*) AS n FROM rel GROUP BY 1, 2 HAVING count(*) >= 3")
 def m14(d: Data) -> DataFrame:
     return modules.module_significance(relevance(d))

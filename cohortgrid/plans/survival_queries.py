@@ -185,6 +185,11 @@ def s18(d: Data) -> DataFrame:
     return sv.proportional_hazards_test(train(d).withColumn("value", F.col("value") / 10), d.surv, chosen(d).withColumn("beta", F.lit(0.1)))
 
 
+@query("s18_proportional_hazards_joint")
+def s18_joint(d: Data) -> DataFrame:
+    return sv.proportional_hazards_joint(sv.apply_scaler(train(d), sv.fit_scaler(train(d))), d.surv)
+
+
 @query("s19_recommend", "SELECT 'epv_compliant' AS recommended, 'one_se exceeds the cap' AS reason FROM (SELECT count(DISTINCT event_type) AS n FROM events) WHERE n > 2")
 def s19(d: Data) -> DataFrame:
     n = d.table("events").agg(F.count_distinct("event_type").alias("n_features"))
@@ -199,15 +204,21 @@ def s20(d: Data) -> DataFrame:
     return sv.horizons(d.surv)
 
 
-_AUC = f"{_HOR}, x AS (SELECT time, event, risk FROM surv JOIN risk USING (subject)), cs AS (SELECT time, sum(1 - event) AS c, sum(count(*)) OVER (ORDER BY time DESC) AS n FROM x GROUP BY time), g AS (SELECT time, coalesce(exp(sum(CASE WHEN c < n THEN ln(1 - c / n) ELSE -1e9 END) OVER (ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1.0) AS g FROM cs), k AS (SELECT horizon, i.risk, CASE WHEN g > 0 THEN 1 / g ELSE 0.0 END AS w FROM hor, x i JOIN g USING (time) WHERE event = 1 AND i.time <= horizon AND later >= 10), o AS (SELECT horizon, risk FROM hor, x WHERE time > horizon AND later >= 10), s AS (SELECT k.horizon, sum(w * (CASE WHEN k.risk > o.risk THEN 1.0 WHEN k.risk = o.risk THEN 0.5 ELSE 0.0 END)) AS hits FROM k JOIN o ON k.horizon = o.horizon GROUP BY 1)"
+_AUC = f"{_HOR}, x AS (SELECT time, event, risk FROM surv JOIN risk USING (subject)), cs AS (SELECT time, sum(1 - event) AS c, sum(count(*)) OVER (ORDER BY time DESC) AS n FROM x GROUP BY time), g AS (SELECT time, coalesce(exp(sum(CASE WHEN c < n THEN ln(1 - c / n) ELSE -1e9 END) OVER (ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1.0) AS g FROM cs), k AS (SELECT row_number() OVER () AS i, horizon, i.risk, CASE WHEN g > 0 THEN 1 / g ELSE 0.0 END AS w FROM hor, x i JOIN g USING (time) WHERE event = 1 AND i.time <= horizon AND later >= 10), o AS (SELECT row_number() OVER () AS j, horizon, risk FROM hor, x WHERE time > horizon AND later >= 10)"
+
 
+_SE = "pr AS (SELECT k.horizon, k.i, o.j, w, CASE WHEN k.risk > o.risk THEN 1.0 WHEN k.risk = o.risk THEN 0.5 ELSE 0.0 END AS h FROM k JOIN o ON k.horizon = o.horizon), au AS (SELECT horizon, sum(w * h) / sum(w) AS auc FROM pr GROUP BY 1), ci AS (SELECT horizon, i, any_value(w) AS w, avg(h) AS h FROM pr GROUP BY 1, 2), cj AS (SELECT horizon, j, sum(w * h) / sum(w) AS h FROM pr GROUP BY 1, 2), v1 AS (SELECT horizon, any_value(auc) AS auc, count(*) AS n_cases, sum(pow(w * (h - auc), 2)) / pow(sum(w), 2) AS v FROM ci JOIN au USING (horizon) GROUP BY 1), v0 AS (SELECT horizon, count(*) AS n_controls, sum(pow(h - auc, 2)) / pow(count(*), 2) AS v FROM cj JOIN au USING (horizon) GROUP BY 1), s AS (SELECT horizon, n_cases, n_controls, auc, sqrt(v1.v + v0.v) AS se FROM v1 JOIN v0 USING (horizon))"
 
-@query("s21_time_auc", f"WITH {_AUC} SELECT {r('s.horizon', 'horizon')}, (SELECT count(*) FROM k WHERE k.horizon = s.horizon) AS n_cases, (SELECT count(*) FROM o WHERE o.horizon = s.horizon) AS n_controls, {r('hits / ((SELECT sum(w) FROM k WHERE k.horizon = s.horizon) * (SELECT count(*) FROM o WHERE o.horizon = s.horizon))', 'auc')} FROM s")
+
+@query("s21_time_auc", f"WITH {_AUC}, {_SE} SELECT {r('horizon', 'horizon')}, n_cases, n_controls, (SELECT count(*) FROM x WHERE time >= s.horizon) AS n_at_risk, (SELECT count(*) FROM x WHERE event = 1 AND time > s.horizon) AS n_events_after, {r('auc', 'auc')}, {r('se', 'se')}, {r('auc - 1.959963984540054 * se', 'lower')}, {r('auc + 1.959963984540054 * se', 'upper')} FROM s")
 def s21(d: Data) -> DataFrame:
     return sv.time_auc(d.surv, d.risk, sv.horizons(d.surv))
 
 
-@query("s22_calibration")
+_CAL = "x AS (SELECT time, event, risk * 0.1 AS eta FROM surv JOIN risk USING (subject)), p AS (SELECT time, sum(exp(eta)) AS own, sum(event) AS d FROM x GROUP BY time), h AS (SELECT *, sum(own) OVER (ORDER BY time DESC) AS s0 FROM p), h0 AS (SELECT coalesce(sum(d / s0), 0.0) AS h0 FROM h WHERE time <= 6 AND d > 0), q AS (SELECT quantile_cont(eta, [0.25, 0.5, 0.75]) AS c FROM x), b AS (SELECT time, event, 1 + CAST(eta > c[1] AS INT) + CAST(eta > c[2] AS INT) + CAST(eta > c[3] AS INT) AS bin, exp(-h0 * exp(eta)) AS s FROM x, q, h0), kp AS (SELECT bin, time, count(*) AS n, sum(event) AS e FROM b GROUP BY 1, 2), kr AS (SELECT *, sum(n) OVER (PARTITION BY bin ORDER BY time DESC) AS nr FROM kp), ks AS (SELECT bin, exp(sum(CASE WHEN e < nr THEN ln(1 - e / nr) ELSE -1e9 END)) AS observed FROM kr WHERE time <= 6 GROUP BY bin), pd AS (SELECT bin, count(*) AS n, avg(s) AS predicted FROM b GROUP BY bin)"
+
+
+@query("s22_calibration", f"WITH {_CAL} SELECT CAST(bin AS INT) AS bin, n, {r('predicted', 'predicted')}, {r('coalesce(observed, 1.0)', 'observed')} FROM pd LEFT JOIN ks USING (bin)")
 def s22(d: Data) -> DataFrame:
     return sv.calibration(d.surv, d.risk, 6.0, beta=0.1)
 

@@ -104,6 +104,11 @@ def e2(d: Data) -> DataFrame:
     return x.withColumns({"lfc": F.round("lfc", 4), "ave": F.round("ave", 4), "s2": F.round("s2", 2)})
 
 
+@query("e2_paired_or_plain", f"SELECT feature, {r('lfc', 'lfc')}, n1, n0, df, 'two_group' AS design, 'no pair_id column' AS reason FROM fit")
+def e2_plain(d: Data) -> DataFrame:
+    return testing.paired_or_plain_fit(d.m1, d.s1, "a1", "a0").select("feature", "lfc", "n1", "n0", "df", "design", "reason")
+
+
 @query("e3_plain_t", f"SELECT feature, {r('lfc', 'lfc')}, {r('t', 't')} FROM tstat")
 def e3(d: Data) -> DataFrame:
     return testing.plain_test(fit(d)).select("feature", "lfc", "t")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,15 +107,14 @@ def table_fingerprint(df: DataFrame, name: str, keys: Sequence[str] | None = Non
 
 def expectations(tables: Mapping[str, DataFrame], rules: Sequence[tuple[str, str, str, bool]]) -> DataFrame:
     """``(name, ok, required)`` of rules ``(name, table, SQL aggregate giving a boolean, required)``; a missing table or column is not ok."""
-    out = None
+    out, spark = None, next((t.sparkSession for t in tables.values()), None) or SparkSession.active()
     for name, table, expression, required in rules:
-        spark = next(iter(tables.values())).sparkSession
         try:
             one = tables[table].agg(F.coalesce(F.expr(expression), F.lit(False)).alias("ok")) if table in tables else None
-        except Exception:  # a column the rule names is missing
+        except AnalysisException:  # a column the rule names is missing
             one = None
         if one is None:
             one = spark.range(1).select(F.lit(False).alias("ok"))
         one = one.select(F.lit(name).alias("name"), "ok", F.lit(required).alias("required"))
         out = one if out is None else out.unionByName(one)
-    return out
+    return spark.createDataFrame([], "name string, ok boolean, required boolean") if out is None else out

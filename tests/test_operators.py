@@ -334,3 +334,65 @@ def test_pair_correlation_in_blocks(spark, monkeypatch):
             x, y = ([cells[s, f] for f in both] for s in (a, b))
             assert n == len(both)
             assert r is None if n < 2 or "flat" in (a, b) else abs(r - np.corrcoef(x, y)[0, 1]) < 1e-9
+
+
+def test_joint_proportional_hazards_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    n, p = 90, 3
+    x = np.round(rng.normal(size=(n, p)), 3)
+    time = np.ceil(rng.exponential(1 / np.exp(0.5 * x[:, 0])) * 6)
+    event = (rng.random(n) < 0.7).astype(int)
+    cells = spark.createDataFrame([(i, f"f{j}", float(x[i, j])) for i in range(n) for j in range(p)], "subject int, feature string, value double")
+    surv = spark.createDataFrame([(i, float(time[i]), int(event[i])) for i in range(n)], "subject int, time double, event int")
+
+    def terms(beta):
+        for t in sorted(set(time[event == 1])):
+            risk, dead = time >= t, (time == t) & (event == 1)
+            e, d = np.exp(x @ beta), int(dead.sum())
+            u, v = x[dead].sum(axis=0), np.zeros((p, p))
+            for k in range(d):
+                w = e * risk - k / d * e * dead
+                mean = w @ x / w.sum()
+                u, v = u - mean, v + (x.T * w) @ x / w.sum() - np.outer(mean, mean)
+            yield t, u, v
+
+    beta = np.zeros(p)
+    for _ in range(15):
+        every = list(terms(beta))
+        beta = beta + np.linalg.solve(sum(v for _, _, v in every), sum(u for _, u, _ in every))
+    gone, s = {}, 1.0
+    for t in sorted(set(time)):
+        gone[t] = 1 - s
+        s *= 1 - ((time == t) & (event == 1)).sum() / (time >= t).sum()
+    every = list(terms(beta))
+    i11, i12, i22 = (sum(v * gone[t] ** k for t, _, v in every) for k in range(3))
+    u = sum(w * gone[t] for t, w, _ in every)
+    left = i22 - i12 @ np.linalg.inv(i11) @ i12
+    wanted = {f"f{j}": u[j] ** 2 / left[j, j] for j in range(p)} | {"GLOBAL": u @ np.linalg.inv(left) @ u}
+
+    found = {r["term"]: r for r in survival.proportional_hazards_joint(cells, surv).collect()}
+    assert set(found) == set(wanted)
+    for term, chi2 in wanted.items():
+        assert found[term]["chi2"] == pytest.approx(chi2, rel=1e-6)
+    assert [found[f"f{j}"]["beta"] for j in range(p)] == pytest.approx(list(beta), rel=1e-6)
+    assert found["GLOBAL"]["df"] == p
+    assert survival.proportional_hazards_joint(cells.limit(0), surv).count() == 0
+
+
+def test_paired_fit_falls_back_with_a_reason(spark):
+    cells = spark.createDataFrame([("g", s, float(v)) for s, v in zip("abcdef", (1, 2, 4, 3, 5, 9))], "feature string, sample string, value double")
+
+    def fit(pairs):
+        rows = [(s, "t" if s in "abc" else "c", q) for s, q in zip("abcdef", pairs)]
+        one = testing.paired_or_plain_fit(cells, spark.createDataFrame(rows, "sample string, arm string, pair_id string"), "t", "c").first()
+        return one["design"], one["reason"], one["df"]
+
+    assert fit(["1", "2", "3", "1", "2", "3"]) == ("paired", None, 2.0)
+    assert fit(["1", "2", None, "1", "2", "3"]) == ("two_group", "samples without a pair", 4.0)
+    assert fit(["1"] * 6) == ("two_group", "fewer than two pairs", 4.0)
+    assert fit(["1", "2", "3", "4", "5", "6"]) == ("two_group", "no pair has both arms", 4.0)
+
+
+def test_expectations_without_tables_or_rules(spark):
+    assert readers.expectations({}, []).count() == 0
+    assert [tuple(r) for r in readers.expectations({}, [("a", "t", "count(*) > 0", True)]).collect()] == [("a", False, True)]
