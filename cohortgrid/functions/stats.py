@@ -74,6 +74,19 @@ def t_sf2(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(beta_cdf(df / (df + t * t), df / 2, np.full_like(df, 0.5)))
 
 
+@F.pandas_udf(DoubleType())
+def t_size(p: pd.Series, df: pd.Series) -> pd.Series:
+    """The size of Student's t that has the two-sided p-value ``p``, by bisection of its logarithm; null outside (0, 1]."""
+    p, df = _floats(p, df)
+    low, high = np.full_like(p, -40.0), np.full_like(p, 120.0)
+    for _ in range(70):
+        middle = (low + high) / 2
+        t = np.exp(middle)
+        above = beta_cdf(df / (df + t * t), df / 2, np.full_like(df, 0.5)) > p
+        low, high = np.where(above, middle, low), np.where(above, high, middle)
+    return pd.Series(np.where((p > 0) & (p <= 1), np.exp((low + high) / 2), np.nan)).where(lambda x: x.notna(), None)
+
+
 @F.pandas_udf(DoubleType())
 def norm_sf2(z: pd.Series) -> pd.Series:
     """Two-sided p-value of a standard normal."""

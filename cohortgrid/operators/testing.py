@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import bh_adjust, digamma_at, global_row_number, t_sf2, trigamma_inverse, digamma
+from ..functions.stats import bh_adjust, digamma_at, global_row_number, t_sf2, t_size, trigamma_inverse, digamma
 from .matrix import present
 
 TINY = 1e-300
@@ -56,7 +56,8 @@ def moderate(fit: DataFrame, trend: bool = False, robust: bool = False) -> DataF
 
     The prior's two parameters come from the mean and variance of the log variances; with ``trend`` the mean
     is a cubic in the average level, fitted by normal equations aggregated in Spark; with ``robust`` log
-    variances are pulled in to their 5 and 95 % quantiles first. Two or fewer features are not moderated.
+    variances are pulled in to their 5 and 95 % quantiles first, unless these are undefined. Two or fewer features are not moderated.
+    ``b`` is that of :func:`log_odds`.
     """
     e = fit.where("s2 > 0").withColumn("z", F.log("s2") - digamma(F.col("df") / 2) + F.log(F.col("df") / 2))
     if robust:
@@ -93,8 +94,35 @@ def moderate(fit: DataFrame, trend: bool = False, robust: bool = False) -> DataF
         post, total = F.col("s2"), F.col("df")
     else:
         post, total = (s0 * prior_df + F.col("s2") * F.col("df")) / (F.col("df") + prior_df), F.col("df") + prior_df
-    t = fit.withColumn("s2_post", post).withColumn("df_total", total).withColumn("t", F.col("lfc") / (F.sqrt("s2_post") * F.col("se_unscaled")))
-    return bh_adjust(t.withColumn("p", t_sf2("t", "df_total")), "p")
+    t = fit.withColumns({"s2_post": post, "s2_prior": s0}).withColumn("df_total", total).withColumn("t", F.col("lfc") / (F.sqrt("s2_post") * F.col("se_unscaled")))
+    t = log_odds(t.withColumn("p", t_sf2("t", "df_total")), normal=prior_df == math.inf)
+    return bh_adjust(t.drop("s2_prior"), "p")
+
+
+def log_odds(test: DataFrame, share: float = 0.01, normal: bool = False) -> DataFrame:
+    """``test`` with ``b``, the log odds that a feature differs, where a ``share`` of all do.
+
+    The variance of the true differences, in units of the residual variance, is the mean of what the largest statistics (half the share)
+    exceed chance by, each held between spreads of 0.1 and 4. Statistics of fewer degrees of freedom count as those of the most with the same p.
+    ``normal``: the variance is known, so t is normal. A null t gives a null.
+    """
+    rows = test.where("t is not null and not isnan(t)")
+    n, most, middle = rows.agg(F.count("*"), F.max("df_total"), F.median("s2_prior")).first()
+    if not n or not middle:
+        return test.withColumn("b", F.lit(None).cast("double"))
+    top = math.ceil(share / 2 * n)
+    share_top = max(top / n, share)
+    size = F.when(F.col("df_total") < most, F.coalesce(t_size("p", F.lit(float(most))), F.abs("t"))).otherwise(F.abs("t"))
+    ranked = global_row_number(rows.select("feature", size.alias("size"), "se_unscaled"), [F.col("size").desc(), F.col("feature")], "place").where(F.col("place") <= top)
+    p0 = t_sf2("size", F.lit(float(most)))
+    ranked = ranked.withColumn("p0", p0).withColumn("wanted", ((F.col("place") - 0.5) / n - (1 - share_top) * F.col("p0")) / share_top)
+    v = F.col("se_unscaled") * F.col("se_unscaled") * (F.pow(F.col("size") / t_size(F.least(F.lit(1.0), "wanted"), F.lit(float(most))), F.lit(2)) - 1)
+    v = F.when(F.col("wanted") > F.col("p0"), F.coalesce(v, F.lit(0.0))).otherwise(0.0)
+    spread = ranked.agg(F.avg(F.greatest(F.lit(0.01 / middle), F.least(F.lit(16.0 / middle), v)))).first()[0]
+    ratio = 1 + spread / (F.col("se_unscaled") * F.col("se_unscaled"))
+    t2, df = F.col("t") * F.col("t"), F.col("df_total")
+    gain = t2 * (1 - 1 / ratio) / 2 if normal else (1 + df) / 2 * F.log((t2 + df) / (t2 / ratio + df))
+    return test.withColumn("b", math.log(share / (1 - share)) - F.log(ratio) / 2 + gain)
 
 
 def plain_test(fit: DataFrame) -> DataFrame:

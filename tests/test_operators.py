@@ -396,3 +396,38 @@ def test_paired_fit_falls_back_with_a_reason(spark):
 def test_expectations_without_tables_or_rules(spark):
     assert readers.expectations({}, []).count() == 0
     assert [tuple(r) for r in readers.expectations({}, [("a", "t", "count(*) > 0", True)]).collect()] == [("a", False, True)]
+
+
+def test_log_odds_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    n, se = 700, 0.5
+    t = np.round(rng.standard_t(9, n) * np.where(np.arange(n) < 20, 4, 1), 4)
+    df = np.where(np.arange(n) % 7 == 0, 7.0, 9.0)
+    rows = spark.createDataFrame([(f"g{i:03d}", float(t[i]), float(df[i]), se, 0.8) for i in range(n)], "feature string, t double, df_total double, se_unscaled double, s2_prior double")
+    got = testing.log_odds(rows.withColumn("p", stats.t_sf2("t", "df_total"))).toPandas().set_index("feature")["b"]
+
+    grid = np.linspace(0, 400, 2_000_001)
+
+    def tail(d):
+        """Two-sided tail on the grid, by adding up the density."""
+        density = (1 + grid**2 / d) ** (-(d + 1) / 2)
+        upto = np.concatenate([[0], np.cumsum((density[1:] + density[:-1]) / 2)])
+        far = density[-1] * grid[-1] / d / (grid[1] - grid[0])
+        return (upto[-1] + far - upto) / (upto[-1] + far)
+
+    tails = {d: tail(d) for d in (7.0, 9.0)}
+    p_of = lambda x, d: np.interp(x, grid, tails[d])
+    t_of = lambda p, d: np.interp(-p, -tails[d], grid)
+    size = np.array([abs(x) if d == 9 else t_of(p_of(abs(x), d), 9.0) for x, d in zip(t, df)])
+    top = math.ceil(0.005 * n)
+    share = max(top / n, 0.01)
+    found = []
+    for place, x in enumerate(sorted(size)[::-1][:top]):
+        p0 = p_of(x, 9.0)
+        wanted = ((place + 0.5) / n - (1 - share) * p0) / share
+        v = se**2 * ((x / t_of(wanted, 9.0)) ** 2 - 1) if wanted > p0 else 0.0
+        found.append(min(16 / 0.8, max(0.01 / 0.8, v)))
+    ratio = 1 + np.mean(found) / se**2
+    b = math.log(0.01 / 0.99) - math.log(ratio) / 2 + (1 + df) / 2 * np.log((t**2 + df) / (t**2 / ratio + df))
+    assert np.allclose(got.loc[[f"g{i:03d}" for i in range(n)]], b, rtol=1e-3, atol=1e-3)
+    assert testing.log_odds(rows.limit(0).withColumn("p", F.lit(1.0))).count() == 0
