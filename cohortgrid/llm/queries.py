@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import lexical_search
+from .conversation_trie import prefix_trie, rebuild
 from .decontaminate import build_index, search
 from .embedding_dedup import near_duplicate_vectors
+from .html_extraction import extract
 from .language_id import document_evidence, fit, identify, page_evidence
 from .line_dedup import remove_boilerplate
 from .minhash_dedup import near_duplicates
@@ -89,6 +92,18 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuild(_read(spark, sf_dir, "conversations")))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_read(spark, sf_dir, "pages"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_token_ids": op2_token_ids,
@@ -100,6 +115,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_lexical_search": op13_lexical_search,
     "language_id_pages": language_id_pages,
 }
 
@@ -191,4 +209,47 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM
 comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, d.doc_id = c AS kept
 FROM d JOIN comp ON comp.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op11_conversation_trie": """
+WITH tab AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                                          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), tab),
+parts AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND pos >= h),
+seqs AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, pos) AS s FROM parts GROUP BY conv_id),
+full_seqs AS (SELECT conv_id, coalesce(s, []) AS s FROM convs LEFT JOIN seqs USING (conv_id)),
+members AS (SELECT conv_id, d AS depth, s[1:d] AS pre, len(s) = d AS ends FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM full_seqs)),
+nodes AS (
+  SELECT depth, pre, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+         CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(pre[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS words
+  FROM members GROUP BY depth, pre),
+kids AS (SELECT depth - 1 AS depth, pre[1:depth - 1] AS pre, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+named AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, pre)),
+sums AS (
+  SELECT m.depth, m.pre, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved
+  FROM named b JOIN members m ON m.conv_id = b.conv_id AND m.depth <= b.depth GROUP BY 1, 2)
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM named a JOIN sums USING (depth, pre) LEFT JOIN named up ON up.depth = a.depth - 1 AND up.pre = a.pre[1:a.depth - 1]""",
+    "op13_lexical_search": f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY 1, 2),
+sums AS (SELECT count(*) FILTER (len(t) > 0) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d),
+m AS (SELECT doc_id, t, 25 + (75 * len(t) * n) // greatest(l, 1) AS m FROM d, sums),
+posts AS (SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(t) AS term FROM m) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posts, sums GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN posts USING (term) JOIN weights USING (term) GROUP BY 1, 2)
+SELECT item_id, CAST(place AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0) WHERE place <= 10""",
 }

@@ -3,9 +3,11 @@
 import base64
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
-from cohortgrid.llm import decontaminate, embedding_dedup, encoding, language_id, line_dedup, minhash_dedup, packing, token_counts, token_ids, url_filter, warc  # noqa: E402
+from cohortgrid.llm import conversation_trie, decontaminate, embedding_dedup, encoding, html_extraction, language_id, lexical_search, line_dedup, minhash_dedup, packing, token_counts, token_ids, url_filter, warc  # noqa: E402
 from cohortgrid.llm.words import ALNUM, NONSPACE, Words  # noqa: E402
 from cohortgrid.session import work_path  # noqa: E402
 
@@ -587,3 +589,138 @@ def test_language_query_covers_pages(spark, tmp_path):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = sorted((r.doc_id or 0, r.page_id or 0, r.language) for r in op3_language_id(spark, str(tmp_path)).collect())
     assert got == [(0, 0, "und"), (0, 7, "en"), (0, 7, "fr"), (1, 0, "en"), (2, 0, "fr")]
+
+
+def brute_trie(rows):
+    """All nodes of the rebuilt conversations ``(conv_id, turn, role, text)``."""
+    given, out = {}, []
+    for c, t, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            given.setdefault(c, []).append((t is not None, t or 0, hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest(), role, text))
+    own = {c: [x[3:] for x in sorted(v)] for c, v in given.items()}
+    whole = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 4
+        whole[c] = tuple(own.get(c - int(np.fmod(c, 20)), [])[:h] + own[c][h:])
+    members, below = {}, {}
+    for c, s in whole.items():
+        for d in range(len(s) + 1):
+            members.setdefault(s[:d], []).append(c)
+    for s in members:
+        if s:
+            below.setdefault(s[:-1], []).append(s)
+    leaves, saved = {}, {}
+    for s in sorted(members, key=len, reverse=True):
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", s[-1][1])) if s else 0
+        leaves[s] = sum(leaves[x] for x in below.get(s, ())) or 1
+        saved[s] = sum(saved[x] for x in below.get(s, ())) + (len(members[s]) - 1) * words
+        ends = ",".join(str(c) for c in sorted(members[s]) if len(whole[c]) == len(s))
+        out.append((min(members[s]), len(s), min(members[s[:-1]]) if s else None, len(members[s]), len(below.get(s, ())), leaves[s], saved[s], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=lambda r: r[:2] + r[3:])
+
+
+def test_conversation_trie(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(None, 1, "user", "x"), *((c, t, "user", f"w{t} x") for c in (200, 201, 220) for t in range(300))]
+    for c in [*range(-45, 140), 1000, 1020, 1021]:
+        if c != 40:
+            rows += [(c, None if rng.random() < 0.05 else t, rng.choice(["user", "assistant", None]), rng.choice(["a b", "c", "", None, "d  e\tf"])) for t in range(rng.choice([1, 1, 2, 3, 4, 6]))]
+    rows += rows[-30:]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    wanted = brute_trie(rows)
+    found = lambda *sizes: sorted((tuple(r) for r in conversation_trie.prefix_trie(conversation_trie.rebuild(clashing(df)), *sizes).collect()), key=lambda r: r[:2] + r[3:])
+    assert found() == wanted
+    # Few members make a spine and few nodes a shard; long conversations are hashed in stretches.
+    monkeypatch.setattr(conversation_trie, "STRETCH", 50)
+    assert found(5, 10) == wanted
+    monkeypatch.setattr(conversation_trie, "SPINE", 10**9)
+    assert found(1, 3) == wanted
+    assert conversation_trie.prefix_trie(conversation_trie.rebuild(empty(df))).count() == 0
+
+
+def test_parentheses_close():
+    rng = random.Random(5)
+    for n in (1, 2, 3, 200, 4000):
+        opening, depth = [], 0
+        while len(opening) < 2 * n:
+            left = 2 * n - len(opening)
+            up = depth == 0 or (depth < left and rng.random() < (0.9 if len(opening) < n // 2 else 0.5))
+            opening.append(up)
+            depth += 1 if up else -1
+        stack, wanted = [], {}
+        for i, up in enumerate(opening):
+            if up:
+                stack.append(i)
+            else:
+                wanted[stack.pop()] = i
+        opens = np.array(sorted(wanted))
+        assert conversation_trie.Parentheses(np.array(opening)).find_close(opens).tolist() == [wanted[i] for i in opens]
+
+
+PAGE = """<html><head><title>T</title><body class=has-sidebar><header><h1>Site</h1><p>The tag line of a site that has one</p></header>
+<nav><a href=x>Home</a></nav><div class="cookie-notice"><p>We use cookies on this site for all sorts of things, you know.</p></div>
+<div id=wrap class="layout sidebar"><article class="post-12"><header><h1>Title &amp; more</h1><span>by me</span></header><p>First,<br>a  paragraph
+that is &lt;long&gt; enough.<p>Second <b>bold <i>text</b> here is long enough too <span class=share>Share!</span><ul><li>one<li><p>two</ul>
+<table><tr><td>a<td>b<tr><td>c</table><form>email <input></form><div class='ad'>buy</div><script>var t="</p>";</script><style>p{}</style><!-- <p>no</p> -->
+<blockquote>quo&nbsp;te</blockquote><div hidden>unseen</div></article></div>
+<section id=comments><article class=comment><p>I agree with this article, says a comment that is rather long, longer than all else, and I go on to say so
+again and again, since comments may well be longer than what they comment on.</p></article></section><aside>side</aside><footer>&copy;</footer>"""
+MAIN = ["Title & more", "First, a paragraph that is <long> enough.", "Second bold text here is long enough too", "one", "two", "a b", "c", "quo te"]
+
+
+def test_html_extraction(spark):
+    plain = "<div class=x{0}><p>{1}</p></div><div class=main{0}><h2>Head {0}</h2><p>{2}</p></div>"
+    long, short = "A sentence of the text that is long enough to be one. " * 8, "Another box with some words in it."
+    rows = [(1, "http://a.b/1", PAGE), (2, "http://a.b/2", None), (3, None, ""), (4, "http://a.b/2", "no markup\n at all"), (4, "http://a.b/2", "no markup\n at all"), (None, "x", "<p title='a>b'>t</p><p>&#x41;&nbsp;")]
+    rows += [(10 + i, "http://c.d/", plain.format(i, short, long)) for i in range(5)]
+    # The consensus: on this page alone the other box would win.
+    rows += [(20, "http://c.d/", plain.format(7, long, "Little."))]
+    rows += [(30, "http://e.f/", "<p>" + "x<b>y " * 20000), (31, "http://e.f/", "<p title='" * 3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_extraction.extract(clashing(df)).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert texts[1].split("\n\n") == MAIN and texts[2] == texts[3] == "" and texts[4] == "no markup at all" and texts[None] == "t\n\nA"
+    assert [texts[10 + i].split("\n\n") for i in range(5)] == [[f"Head {i}", long.strip()] for i in range(5)]
+    assert texts[20] == "Head 7\n\nLittle." and texts[30] == ("xy " * 20000).strip()
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
+    assert html_extraction.extract(empty(df)).count() == 0
+    # Too many hosts to send to all tasks are joined.
+    kept, html_extraction.MOST_BYTES = html_extraction.MOST_BYTES, 0
+    assert sorted(map(tuple, html_extraction.extract(df).collect()), key=str) == sorted(map(tuple, got), key=str)
+    html_extraction.MOST_BYTES = kept
+
+
+def brute_search(docs, queries, k):
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    counts = [(i, Counter(pattern.findall((t or "").translate(LOWER)))) for i, t in docs]
+    n, total = sum(bool(c) for _, c in counts), sum(sum(c.values()) for _, c in counts)
+    frequency = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in set(queries):
+        scored = []
+        for i, c in counts:
+            m = 25 + 75 * sum(c.values()) * n // max(1, total)
+            s = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * frequency[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in pattern.findall((text or "").translate(LOWER)) if c[t])
+            if s > 0:
+                scored.append((-s, i is None, i or 0))
+        out += [(item, rank, None if none else i, -s) for rank, (s, none, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("short", [1, 128])
+def test_lexical_search(spark, monkeypatch, short):
+    rng = random.Random(6)
+    base = edge_documents(spark).select("doc_id", "text").collect()
+    docs = [(r.doc_id, r.text) for r in base] + [(100 + i // 2, prose(random.Random(i % 7), rng.randint(0, 80), 60)) for i in range(400)] + [(None, base[6].text)]
+    queries = [(1, base[6].text[:200]), (1, base[6].text[:200]), (2, "one two One"), (3, None), (4, "..."), (None, "never-seen"), (5, docs[40][1]), (6, docs[60][1] + " " + docs[77][1]), (6, "two")]
+    monkeypatch.setattr(lexical_search, "SEGMENT_BYTES", 4000)
+    monkeypatch.setattr(lexical_search, "SHORT", short)
+    df, asked = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(queries, "item_id long, text string")
+    index = lexical_search.build_index(clashing(df))
+    wanted = brute_search(docs, queries, 10)
+    assert sorted(map(tuple, lexical_search.search(index, clashing(asked)).collect()), key=str) == wanted
+    monkeypatch.setattr(lexical_search, "BLOCK_BYTES", 300)
+    assert sorted(map(tuple, lexical_search.search(index, asked).collect()), key=str) == wanted
+    assert lexical_search.search(index, empty(asked)).count() == 0
+    assert lexical_search.search(lexical_search.build_index(empty(df)), asked).count() == 0
