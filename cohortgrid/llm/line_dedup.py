@@ -9,8 +9,13 @@ standard errors here.
 
 from __future__ import annotations
 
+from itertools import compress
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import materialise
 
@@ -39,7 +44,7 @@ def boilerplate_lines(documents: DataFrame, min_sites: int = 10, margin: float =
 
 
 def _occurrences(found: DataFrame, known: DataFrame) -> DataFrame:
-    """``found`` (``_row, line``) of which ``known`` has the line.
+    """``found`` (``row, place, line``) of which ``known`` has the line.
 
     Few lines go to all tasks. Of more, those that make up a thousandth of all occurrences each, a thousand at most, do; the others
     are joined by line, none of them common.
@@ -52,22 +57,36 @@ def _occurrences(found: DataFrame, known: DataFrame) -> DataFrame:
     return found.join(common, "line").unionByName(found.join(common, "line", "left_anti").join(others, "line"))
 
 
-def remove_boilerplate(documents: DataFrame, min_sites: int = 10, margin: float = 0.1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """All columns of ``documents`` with boilerplate lines cut from the text, and ``lines_before`` and ``lines_removed``.
+@F.pandas_udf(StringType())
+def _without(texts: pd.Series, places: pd.Series) -> pd.Series:
+    """The texts without the lines at ``places``; array functions would read all lines again for each that goes."""
+    out = []
+    for text, gone in zip(texts, places):
+        if text is None or gone is None:
+            out.append(None)
+            continue
+        keep = np.ones(text.count("\n") + 1, bool)
+        keep[gone] = False
+        out.append("\n".join(compress(text.split("\n"), keep)))
+    return pd.Series(out, dtype=object)
+
+
+def remove_boilerplate(documents: DataFrame, min_sites: int = 10, margin: float = 0.1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", counts: bool = True) -> DataFrame:
+    """All columns of ``documents`` with boilerplate lines cut from the text, and with ``counts`` the columns ``lines_before`` and ``lines_removed`` after them.
 
     Lines end at newlines; blank lines stay. Each occurrence goes, on every site, also from rows
     without a site. A null text stays null and has no lines. Ids may be null or repeated, and equal rows all stay;
-    an empty table gives no rows. Other columns stay as they are; names beginning with ``_`` are the operator's own.
+    an empty table gives no rows. Other columns stay as they are, whatever their names. The work on a document is linear in its lines.
     """
     known = materialise(boilerplate_lines(documents, min_sites, margin, text_col, site_col), "boilerplate").select("line", "n")
     text = F.col(text_col).cast("string")
-    keyed = documents.withColumn("_row", F.struct(F.xxhash64(id_col, text).alias("a"), F.xxhash64(F.lit(1), id_col, text).alias("b")))
-    found = keyed.select("_row", F.explode(F.split(text, "\n")).alias("line")).select("_row", line_key(F.col("line")).alias("line"))
-    marked = _occurrences(found, known).groupBy("_row").agg(F.collect_set("line").alias("_bad"))
-    lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_bad"), line_key(x)) | (F.trim(x) == ""))
-    out = keyed.join(marked, "_row", "left").withColumn("lines_before", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-    out = out.withColumn("_kept", F.when(F.col("_bad").isNotNull(), kept))
-    out = out.withColumn("lines_removed", F.when(F.col("_kept").isNotNull(), F.col("lines_before") - F.size("_kept")).otherwise(0).cast("long"))
-    out = out.withColumn(text_col, F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(text))
-    return out.select(*documents.columns, "lines_before", "lines_removed")
+    names = [f"`{c}`" for c in documents.columns]
+    # The row travels as one struct, so that no name of its own meets the operator's.
+    keyed = documents.select(F.struct(*names).alias("doc"), text.alias("text"), F.struct(F.xxhash64(id_col, text).alias("a"), F.xxhash64(F.lit(1), id_col, text).alias("b")).alias("row"))
+    found = keyed.select("row", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.trim("line") != "").select("row", "place", line_key(F.col("line")).alias("line"))
+    marked = _occurrences(found, known).groupBy("row").agg(F.sort_array(F.collect_set("place")).alias("bad"))
+    out = keyed.join(marked, "row", "left")
+    out = out.withColumn("clean", F.coalesce(_without(F.when(F.col("bad").isNotNull(), F.col("text")), F.col("bad")), F.col("text")))
+    columns = [F.col("clean").alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in documents.columns]
+    before, removed = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"), F.coalesce(F.size("bad"), F.lit(0)).cast("long")
+    return out.select(*columns, *([before.alias("lines_before"), removed.alias("lines_removed")] if counts else []))
