@@ -6,8 +6,8 @@ passes wrongly. Since the corpus's complete set of keys takes part, the answer i
 every row, and rows are judged without a join: the filters are scalar values of the plan.
 
 Keys are dealt to shards by their hash, as many as keep the filters of one shard near
-``SHARD_BYTES``. Each shard has a cascade of its own, built by all tasks over its keys and applied in a pass of its
-own, so that the memory of a task doesn't grow with the list.
+``SHARD_BYTES``. Each shard has a cascade of its own, built by all tasks over its keys and applied to its own part of the
+table, so that the memory of a task doesn't grow with the list.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from ..session import materialise
+from ..session import materialise, work_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: About how many bytes the filters of one shard have in all.
@@ -119,7 +120,8 @@ def filter_shape(n: int, rate: float) -> tuple[int, int]:
 def membership(asked: DataFrame, listed: DataFrame, rate: float = 0.1, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``asked`` with the column ``listed``: whether its ``key`` is a key of ``listed``. Null keys are not.
 
-    The universe of keys is grouped from both tables; then each shard is one pass over ``asked``.
+    The universe of keys is grouped from both tables. Where the list takes several shards, ``asked`` is written once by shard and the
+    pass of a shard reads its own part alone, so that the work grows with the table and not with table times list.
     """
     keys = asked.select("key", F.lit(False).alias("listed"), F.lit(True).alias("known"))
     keys = keys.unionByName(listed.select(F.col("key").cast("string").alias("key"), F.lit(True).alias("listed"), F.lit(False).alias("known"))).where("key is not null")
@@ -129,16 +131,20 @@ def membership(asked: DataFrame, listed: DataFrame, rate: float = 0.1, shard_byt
     # All levels together have at most about twice the bits of the first.
     shards = max(1, -(-2 * filter_shape(n, first_rate(n, every - n, rate))[1] // 8 // shard_bytes))
     own = F.pmod(F.xxhash64(F.lit("shard"), F.col("key")), F.lit(shards)).cast("int")
-    if shards > 1:
-        universe = materialise(universe.withColumn("shard", own).repartitionByRange("shard", "key"), "shards")
-    out = asked.withColumn("listed", F.lit(False))
+    if shards == 1:
+        cascade = Cascade(universe, rate)
+        return asked.withColumn("listed", F.when(F.col("key").isNotNull(), cascade.holds(F.col("key"))).otherwise(False))
+    spark = asked.sparkSession
+    universe = materialise(universe.withColumn("shard", own).repartitionByRange("shard", "key"), "shards")
+    # Rows are dealt by shard and a salt: one file or a few for each shard and task, however unequal the shards are.
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(8))
+    parts, answers = work_path(spark, "asked"), work_path(spark, "answers")
+    asked.withColumn("_shard", F.coalesce(own, F.lit(0))).repartition("_shard", salt).write.partitionBy("_shard").option("compression", "zstd").parquet(parts)
     for shard in range(shards):
-        cascade = Cascade(universe.where(F.col("shard") == shard) if shards > 1 else universe, rate)
-        here = F.col("key").isNotNull() & (own == shard)
-        out = out.withColumn("listed", F.col("listed") | F.when(here, cascade.holds(F.col("key"))).otherwise(False))
-        if shard + 1 < shards:
-            out = materialise(out, "pass")
-    return out
+        cascade = Cascade(universe.where(F.col("shard") == shard), rate)
+        part = spark.read.schema(StructType([*asked.schema.fields, StructField("_shard", IntegerType())])).parquet(parts).where(F.col("_shard") == shard).drop("_shard")
+        part.withColumn("listed", F.when(F.col("key").isNotNull(), cascade.holds(F.col("key"))).otherwise(False)).write.mode("append").option("compression", "zstd").parquet(answers)
+    return spark.read.schema(StructType([*asked.schema.fields, StructField("listed", BooleanType())])).parquet(answers)
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], listed: DataFrame, id_col: str = "page_id", url_col: str = "url", shard_bytes: int = SHARD_BYTES) -> DataFrame:
