@@ -24,8 +24,8 @@ from .arrow import lists, slices
 from .words import LOWER
 
 BUCKETS = 1 << 14
-#: A label is a language of the model where it is on at least this share of the labelled rows, so there are a thousand at most.
-LEAST_SHARE = 0.001
+#: Up to so many languages a task counts in one dense table.
+DENSE = 256
 #: Each character is in three trigrams, which are far from independent.
 TEMPER = 1 / 6
 
@@ -58,27 +58,29 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row[ok], code[ok].astype(np.int64)
 
 
-def fit(rows: DataFrame, languages: Sequence[str] | None = None, text_col: str = "text", label_col: str = "lang") -> Model:
-    """The model of all rows labelled with one of ``languages``; by default those on ``LEAST_SHARE`` of the labelled rows.
+def fit(rows: DataFrame, languages: Sequence[str] | None = None, text_col: str = "text", label_col: str = "lang", least_rows: int = 1) -> Model:
+    """The model of all rows labelled with one of ``languages``; by default those that label ``least_rows`` rows, however small their share.
 
     Labels are compared in lower case. Null texts and labels count for nothing; a table without labels gives a model of no language,
-    by which every text is ``und``. One table of bounded size reaches the driver.
+    by which every text is ``und``. One table reaches the driver: 128 KB a language, however many rows there are.
     """
     labelled = rows.select(F.col(text_col).cast("string").alias("text"), F.lower(F.trim(F.col(label_col).cast("string"))).alias("label")).where("label <> ''")
     if languages is None:
-        n = labelled.groupBy("label").agg(F.count("*").alias("n"))
-        total = n.agg(F.sum("n")).first()[0] or 0
-        languages = sorted(r[0] for r in n.where(F.col("n") >= LEAST_SHARE * total).collect())
+        languages = sorted(r[0] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).collect())
     names = list(languages) or ["und"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), BUCKETS), np.int64)
+        total = np.zeros(len(names) * BUCKETS if len(names) <= DENSE else 0, np.int64)
         for batch in slices(batches, "text"):
             label = pc.fill_null(pc.index_in(batch.column(1), pa.array(names)), -1).to_numpy(zero_copy_only=False)
             row, code = trigrams(batch.column(0))
-            total += np.bincount(label[row] * BUCKETS + code, minlength=total.size).reshape(total.shape)
+            if len(total):
+                total += np.bincount(label[row] * BUCKETS + code, minlength=len(total))
+            else:
+                at, n = np.unique(label[row] * BUCKETS + code, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n, pa.int64())], ["at", "n"])
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
     sums = labelled.where(F.col("label").isin(names)).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     counts = np.full(len(names) * BUCKETS, 0.1)
