@@ -247,10 +247,14 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, k:
     Documents are linked where ``100 * intersection >= percent * union`` of their sets of
     ``width``-word shingles; ``component_id`` is the smallest doc_id reachable and
     ``kept`` marks it. Null and empty texts have no shingles and stand alone. Rows that
-    repeat a doc_id are one document with several texts. A null doc_id can't be
-    named by a link: its component is null and it is kept. Other columns are ignored.
+    repeat a doc_id are one document with several texts: its rows are in one component, with all that any of its texts
+    is linked to. Equal rows, and texts with equal sets, are links like others. A null doc_id can't be
+    named by a link: its component is null and it is kept. An empty table gives no rows. Other columns are ignored.
     """
     signed = materialise(signatures(documents, width, k, id_col, text_col), "signatures")
+    several = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("h1", "h2")).alias("lo"), F.max(F.struct("h1", "h2")).alias("hi")).where("lo <> hi")
+    if several.limit(1).count():
+        return _of_repeated_ids(documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), width, percent, k)
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = materialise(usable.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     listed = materialise(listed_values(classes, k, percent), "listed")
@@ -271,3 +275,18 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, k:
     out = signed.join(named, ["h1", "h2"], "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("named", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _of_repeated_ids(documents: DataFrame, width: int, percent: int, k: int) -> DataFrame:
+    """``near_duplicates`` where ids have several texts: rows are linked by numbers of their own, then the rows of an id by the id."""
+    # Numbers are given as the table is written, so they are unique whatever is run again.
+    rows = materialise(documents.withColumn("row", F.monotonically_increasing_id()), "rows")
+    linked = near_duplicates(rows, width, percent, k, "row").select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("part"))
+    linked = materialise(linked.join(rows.select("row", "doc_id"), "row").select("doc_id", "n_shingles", "part"), "linked")
+    named = linked.where("doc_id is not null").groupBy("doc_id", "part").agg(F.count("*").alias("n"))
+    stars = named.join(named.groupBy("doc_id").agg(F.min("part").alias("low")), "doc_id").where("part <> low")
+    joined = materialise(components(stars.select(F.col("part").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "part"), "joined")
+    whole = lambda df: df.join(joined, "part", "left").withColumn("part", F.coalesce("component", "part")).drop("component")
+    first = whole(named).groupBy("part").agg(F.min("doc_id").alias("first"))
+    out = whole(linked).join(first, "part", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("first")))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
