@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -552,6 +553,51 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == ids
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    names = ["key", "doc_key", "doc", "row", "lines_before", "lines_removed", "_row", "bad", "a.b"]
+    rows = [(i, prose(rng, 40) + "\nfooter of many sites", "en", f"s{i % 12}", 1, *(f"{c}{i}" for c in names)) for i in range(24)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", `{c}` string" for c in names))
+    spark.createDataFrame([(1, "never seen here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert sorted((r[0], *r[5:]) for r in out.collect()) == sorted((r[0], *r[5:]) for r in rows)
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert corpus_pipeline.packing(spark, docs, "").select("doc_id").distinct().count() == 24
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Against brute force: a document's texts count together, whichever of them is linked."""
+    rng = random.Random(18)
+    base = [prose(rng, 60) for _ in range(12)]
+    rows = [(1, base[0]), (2, base[0]), (2, base[1]), (3, base[1]), (3, base[2] + " x"), (9, base[2]), (None, base[2]), (None, None), (4, None), (4, ""), (5, "a b c d e"), (5, "a b c d e"), (6, base[3]), (6, base[4])]
+    rows += [(rng.randint(20, 60), rng.choice(base[5:]) + rng.choice(["", " tail", " other words at the end of it all"])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in minhash_dedup.near_duplicates(clashing(df)).collect()), key=str)
+    sets = [(i, shingles(t, 5)) for i, t in rows]
+    links = [(i, j) for (i, a), (j, b) in itertools.combinations(sets, 2) if i is not None and j is not None and a and b and 100 * len(a & b) >= 80 * len(a | b)]
+    comp = components({i for i, _ in rows if i is not None}, links)
+    assert got == sorted(((i, len(s), comp.get(i), i is None or comp[i] == i) for i, s in sets), key=str)
+
+
+def test_lines_of_a_long_document(spark):
+    """Thousands of boilerplate lines in a document take no longer than as many in many documents."""
+    lines = [f"boilerplate number {i}" for i in range(4000)]
+    rows = [(i, "\n".join(x for j, x in enumerate(lines + [f"own {i}", ""] + lines) if j % 7 or i), f"s{i}") for i in range(12)]
+    began = time.time()
+    got = line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: r.text for r in got} == {i: f"own {i}\n" for i in range(12)}
+    assert time.time() - began < 30
+
+
+def test_rare_languages_are_fitted(spark):
+    rows = [(i, "the and of with", "en", "s", 1) for i in range(3000)] + [(5000, "kaikki ihmiset ovat", "fi", "s", 1)]
+    assert language_id.fit(spark.createDataFrame(rows, SCHEMA)).languages == ["en", "fi"]
+
+
 def test_pipeline_dedup_of_repeated_ids(spark):
     """Rows go by their id and text: a clean text under a repeated id stays, and so does one row of each group."""
     import corpus_pipeline
