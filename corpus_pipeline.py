@@ -1,6 +1,6 @@
 """A corpus pipeline: the stages in order, each a function of (spark, docs, sf_dir).
 
-Documents without a recognisable language go, boilerplate lines are cut, one document
+Each stage keeps every column it is given, whatever its name. Documents without a recognisable language go, boilerplate lines are cut, one document
 of each group of near-duplicates stays, documents with benchmark passages go, and what
 is left is packed into training sequences.
 """
@@ -18,14 +18,18 @@ from cohortgrid.llm.packing import pack
 from cohortgrid.session import materialise
 
 
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Rows as one struct ``doc`` with a hash ``key`` of ``columns``, so that no column of theirs meets a name used here."""
+    return docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(*columns).alias("key"))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not recognised go: null and letterless texts, and text in none of the labelled languages.
 
     Ids may be null or repeated: rows equal in id, language, source and text stay or go together. An empty table stays empty.
     """
     rejected = identify(document_evidence(docs), fit(docs)).where("not accepted").select("key").distinct()
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "lang", "source", "text"))
-    return keyed.join(rejected, "key", "left_anti").select(docs.columns)
+    return _keyed(docs, "doc_id", "lang", "source", "text").join(rejected, "key", "left_anti").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     All rows stay, repeated ones too; a null text stays null, a text of such lines alone becomes empty. An empty table stays empty.
     """
-    return remove_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return remove_boilerplate(docs, counts=False).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,16 +46,16 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Rows are told apart by doc_id and text, so ids may repeat or be null; of full repeats one row stays. Null and
     empty texts have no near-duplicates and stay, as does every row of a repeated id that no other text is near to. An empty table stays empty.
     """
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    found = materialise(near_duplicates(keyed, id_col="key").where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"), "groups")
-    named = found.join(keyed.select("key", "doc_id").distinct(), "key")
+    keyed = _keyed(docs, "doc_id", "text")
+    found = materialise(near_duplicates(keyed.select("key", "doc.text"), id_col="key").where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"), "groups")
+    named = found.join(keyed.select("key", "doc.doc_id").distinct(), "key")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("first"))
     rows = found.groupBy("key", "component_id").agg(F.count("*").alias("n")).join(first, "component_id")
     # Rows that don't simply stay: those of the other keys, and the kept key's own where they repeat.
     touched = materialise(rows.where("key <> first or n > 1").select("key", (F.col("key") == F.col("first")).alias("again")), "touched")
     repeats = keyed.join(touched.where("again").select("key"), "key", "left_semi")
-    one = repeats.groupBy("key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return keyed.join(touched, "key", "left_anti").select(docs.columns).unionByName(one)
+    one = repeats.groupBy("key").agg(F.min("doc").alias("doc")).select("doc.*")
+    return keyed.join(touched, "key", "left_anti").select("doc.*").unionByName(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +65,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = search(build_index(docs), benchmark).where("contaminated").select("doc_key").distinct()
-    return docs.withColumn("doc_key", F.xxhash64("doc_id", "text")).join(gone, "doc_key", "left_anti").select(docs.columns)
+    return _keyed(docs, "doc_id", "text").join(gone.withColumnRenamed("doc_key", "key"), "key", "left_anti").select("doc.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
