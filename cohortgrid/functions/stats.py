@@ -144,19 +144,89 @@ def digamma_at(x: float) -> float:
     return float(_psi(np.array([x]), 0)[0])
 
 
-@F.pandas_udf(DoubleType())
-def hyper_sf(k: pd.Series, universe: pd.Series, hits: pd.Series, drawn: pd.Series) -> pd.Series:
-    """P(overlap >= k) when ``drawn`` of ``universe`` are taken and ``hits`` of them count."""
-    out = []
-    for k, n, m, d in zip(*_floats(k, universe, hits, drawn)):
-        if np.isnan([k, n, m, d]).any():
-            out.append(np.nan)
+def log_factorial(n: Column) -> Column:
+    """The logarithm of n! by Stirling's series, raised by eight first."""
+    n = n.cast("double")
+    z = n + 9
+    raised = F.lit(0.0)
+    for i in range(1, 9):
+        raised = raised + F.log(n + i)
+    series = F.lit(0.0)
+    for power, c in ((1, 1 / 12), (3, -1 / 360), (5, 1 / 1260), (7, -1 / 1680), (9, 1 / 1188), (11, -691 / 360360)):
+        series = series + c / F.pow(z, F.lit(float(power)))
+    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series - raised
+
+
+def hyper_sf(k: Column | str, universe: Column | str, hits: Column | str, drawn: Column | str) -> Column:
+    """P(overlap >= k) when ``drawn`` of ``universe`` are taken and ``hits`` of them count; null where one is null.
+
+    The first term comes from logarithms of factorials, each further one from the one before, so that no Python is needed.
+    """
+    k, n, m, d = (F.col(c).cast("long") if isinstance(c, str) else c.cast("long") for c in (k, universe, hits, drawn))
+    low, top = F.greatest(k, d + m - n, F.lit(0)), F.least(m, d)
+    choose = lambda a, b: log_factorial(a) - log_factorial(b) - log_factorial(a - b)
+    first = F.exp(choose(m, low) + choose(n - m, d - low) - choose(n, d))
+    ratio = lambda j: (m - j).cast("double") * (d - j) / ((j + 1).cast("double") * (n - m - d + j + 1))
+    one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add(acc: Column, j: Column) -> Column:
+        term = acc["term"] * ratio(j)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    steps = F.when(top > low, F.sequence(low, top - 1)).otherwise(F.array().cast("array<bigint>"))
+    tail = F.least(F.lit(1.0), first * F.aggregate(steps, one, add)["total"])
+    return F.when(k.isNull() | n.isNull() | m.isNull() | d.isNull(), None).when(low > top, 0.0).otherwise(tail)
+
+
+def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float], kind: int = 7, bins: int = 512, few: int = 10_000) -> list[float | None]:
+    """Exact quantiles of a whole table without a buffer of it: type 7 (interpolated) or 1 (inverse distribution function).
+
+    Values are counted in ranges, and the range that holds a wanted place is counted in finer ones, until few enough values are left
+    to look at or all of them are equal. Nulls and NaN don't count; of no values all quantiles are null.
+    """
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    n, lo, hi = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        return [None] * len(shares)
+    place = (lambda p: p * (n - 1)) if kind == 7 else (lambda p: max(0, math.ceil(p * n - 1e-9) - 1))
+    wanted = {f(place(p)) for p in shares for f in (math.floor, math.ceil)}
+    found: dict[int, float] = {}
+    # Range: (low, high, rows in it, rows before it).
+    ranges = {r: (lo, hi, n, 0) for r in wanted}
+    while ranges:
+        for r in [r for r, (a, b, *_) in ranges.items() if a == b]:
+            found[r] = ranges.pop(r)[0]
+        small = {x for x in ranges.values() if x[2] <= few}
+        if small:
+            inside = F.lit(False)
+            for a, b, *_ in small:
+                inside = inside | F.col("v").between(a, b)
+            kept = sorted(r[0] for r in values.where(inside).collect())
+            for r in [r for r, x in ranges.items() if x in small]:
+                a, b, _, before = ranges.pop(r)
+                found[r] = [x for x in kept if a <= x <= b][r - before]
+        open_ = sorted({x for x in ranges.values()})
+        if not open_:
             continue
-        top = min(m, d)
-        i = np.arange(max(k, d + m - n, 0), top + 1)
-        choose = lambda a, b: _lgamma(a + 1) - _lgamma(b + 1) - _lgamma(a - b + 1)
-        out.append(min(1.0, float(np.exp(choose(m, i) + choose(n - m, d - i) - choose(n, d)).sum())) if len(i) else 0.0)
-    return pd.Series(out, dtype=float)
+        at = F.lit(None).cast("int")
+        for i, (a, b, *_) in reversed(list(enumerate(open_))):
+            at = F.when(F.col("v").between(a, b), i * bins + F.least(F.lit(bins - 1), F.floor((F.col("v") - a) / (b - a) * bins)).cast("int")).otherwise(at)
+        cells = sorted(tuple(r) for r in values.groupBy(at.alias("at")).agg(F.count("*").alias("n"), F.min("v"), F.max("v")).where("at is not null").collect())
+        for r, x in list(ranges.items()):
+            i, before = open_.index(x), x[3]
+            for at_, count, a, b in cells:
+                if at_ // bins == i:
+                    if r < before + count:
+                        ranges[r] = (a, b, count, before)
+                        break
+                    before += count
+    out = []
+    for p in shares:
+        at_ = place(p)
+        a, b = found[math.floor(at_)], found[math.ceil(at_)]
+        out.append(a + (b - a) * (at_ - math.floor(at_)))
+    return out
 
 
 def average_rank(value: Column | str, by: list[str]) -> Column:
@@ -206,6 +276,25 @@ def global_running(df: DataFrame, order: Column, sums: dict[str, Column | str] |
     return out.withColumns(joined).drop("_range", *(f"_to_{k}" for k in asked))
 
 
+def adjust_distinct(each: DataFrame) -> DataFrame:
+    """``(_p, _low)`` of different p-values ``_p`` that ``_n`` rows have each: dealt by range once, ranks carried upward and minima downward over the ranges."""
+    from ..session import materialise
+
+    n = int(each.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(each.repartitionByRange(n, "_p").withColumn("_range", F.spark_partition_id()), "ranges")
+    # One row for each range.
+    ends = Window.orderBy("_range")
+    sizes = dealt.groupBy("_range").agg(F.sum("_n").alias("_own"))
+    sizes = F.broadcast(sizes.select("_range", F.coalesce(F.sum("_own").over(ends.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_own").over(Window.partitionBy(F.lit(0))).alias("_m")))
+    up = Window.partitionBy("_range").orderBy("_p")
+    raw = F.col("_p") * F.col("_m") / (F.col("_before") + F.sum("_n").over(up))
+    raw = dealt.join(sizes, "_range").withColumn("_raw", raw)
+    least = raw.groupBy("_range").agg(F.min("_raw").alias("_own"))
+    least = F.broadcast(least.select("_range", F.min("_own").over(Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("_after")))
+    down = Window.partitionBy("_range").orderBy(F.desc("_p"))
+    return raw.withColumn("_min", F.min("_raw").over(down)).join(least, "_range").select("_p", F.least(F.lit(1.0), "_min", "_after").alias("_low"))
+
+
 def bh_adjust(df: DataFrame, p_col: str, by: list[str] | None = None, out: str = "adj_p") -> DataFrame:
     """Benjamini-Hochberg adjusted p-values, within ``by`` where given; null p-values are not counted and stay null.
 
@@ -213,11 +302,14 @@ def bh_adjust(df: DataFrame, p_col: str, by: list[str] | None = None, out: str =
     """
     p = F.col(p_col)
     if not by:
-        m = F.broadcast(df.agg(F.count(p_col).alias("_m")))
-        ranked = global_running(df, p.asc_nulls_last(), sums={"_rank": F.col(p_col).isNotNull().cast("long")}).join(m, F.lit(True))
-        ranked = ranked.withColumn("_raw", F.when(p.isNotNull(), p * F.col("_m") / F.col("_rank")))
-        ranked = global_running(ranked, p.desc_nulls_last(), mins={"_low": "_raw"})
-        return ranked.withColumn(out, F.when(p.isNotNull(), F.least(F.lit(1.0), "_low"))).drop("_raw", "_rank", "_m", "_low")
+        from ..session import materialise
+
+        # Equal p-values share their adjusted value, so that only the different ones are ranked, whatever share of all rows has one of them. The
+        # table is written first: sums that run again may differ in their last digit, and the values are joined.
+        df = materialise(df, "tested")
+        each = df.where(p.isNotNull()).groupBy(p.alias("_p")).agg(F.count("*").alias("_n"))
+        adjusted = adjust_distinct(each).select(F.col("_p").alias(p_col), F.col("_low").alias(out))
+        return df.join(adjusted, p_col, "left").select(*df.columns, out)
     by_all = Window.partitionBy(*by)
     up = by_all.orderBy(p.asc())
     rank = F.count(p_col).over(up.rangeBetween(Window.unboundedPreceding, Window.currentRow))

@@ -10,6 +10,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import exact_quantiles
+from ..session import materialise
+
 
 def present(measurements: DataFrame) -> DataFrame:
     """Cells with a value that is neither null nor NaN."""
@@ -94,9 +97,11 @@ def alignment_report(measurements: DataFrame, samples: DataFrame) -> DataFrame:
     return listed.join(have, "sample", "left_anti").withColumn("status", F.lit("missing")).unionByName(have.join(listed, "sample", "left_anti").withColumn("status", F.lit("extra")))
 
 
-def filter_low_information(measurements: DataFrame, min_obs: int = 2) -> DataFrame:
-    """Features with at least ``min_obs`` present cells and a standard deviation above 0."""
+def filter_low_information(measurements: DataFrame, min_obs: int = 2, least_features: int = 0) -> DataFrame:
+    """Features with at least ``min_obs`` present cells and a standard deviation above 0; fewer than ``least_features`` of them are an error."""
     good = present(measurements).groupBy("feature").agg(F.count("*").alias("n"), F.stddev_samp("value").alias("sd")).where((F.col("n") >= min_obs) & (F.col("sd") > 0))
+    if least_features and (left := good.limit(least_features).count()) < least_features:
+        raise ValueError(f"only {left} features vary, of at least {least_features}")
     return measurements.join(good.select("feature"), "feature", "left_semi")
 
 
@@ -104,16 +109,24 @@ def knn_impute(measurements: DataFrame, samples: DataFrame, k: int = 10) -> Data
     """``measurements`` with missing cells set to the mean of the ``k`` nearest features that have the sample.
 
     Distance is the mean squared difference over shared samples; ties go to the smaller
-    feature. Only features with gaps are compared, with all others. A cell none of the
+    feature. Distances follow from sums of squares and products, which are products of blocks of features, so no row is made for two
+    features and a sample. Only features with gaps look for neighbours. A cell none of the
     features has stays missing. ``imputed`` marks the new cells.
     """
-    cells = present(measurements)
+    from .qc import pair_sums
+
+    cells = materialise(present(measurements).select("feature", "sample", F.col("value").cast("double").alias("value")), "cells")
     n = samples.count()
-    gappy = cells.groupBy("feature").agg(F.count("*").alias("n")).where(F.col("n") < n).select("feature")
-    own = cells.join(gappy, "feature", "left_semi").select(F.col("feature").alias("f"), "sample", F.col("value").alias("x"))
-    near = own.join(cells.select(F.col("feature").alias("g"), "sample", F.col("value").alias("y")), "sample").where("f <> g").groupBy("f", "g").agg(F.avg(F.pow(F.col("x") - F.col("y"), 2)).alias("d"))
-    gaps = gappy.join(samples.select("sample"), F.lit(True)).join(cells, ["feature", "sample"], "left_anti").withColumnRenamed("feature", "f")
+    gappy = cells.groupBy("feature").agg(F.count("*").alias("n")).where(F.col("n") < n).select(F.col("feature").alias("f"))
+    # Differences don't change with a common level; without it the sums lose fewer digits.
+    middle = cells.agg(F.avg("value")).first()[0] or 0.0
+    sums = pair_sums(cells.select(F.col("feature").alias("item"), F.xxhash64("sample").alias("h"), (F.col("value") - middle).alias("value")))
+    sums = materialise(sums.select("a", "b", (F.greatest(F.lit(0.0), F.col("saa") + F.col("sbb") - 2 * F.col("sab")) / F.col("n")).alias("d")), "distances")
+    both = sums.select(F.col("a").alias("f"), F.col("b").alias("g"), "d").unionByName(sums.select(F.col("b").alias("f"), F.col("a").alias("g"), "d"))
+    near = both.join(gappy, "f", "left_semi")
+    gaps = gappy.join(F.broadcast(samples.select("sample")), F.lit(True)).join(cells.select(F.col("feature").alias("f"), "sample"), ["f", "sample"], "left_anti")
     options = gaps.join(near, "f").join(cells.select(F.col("feature").alias("g"), "sample", "value"), ["g", "sample"])
+    # The limit on the row number is applied before the shuffle, too.
     nearest = options.withColumn("r", F.row_number().over(Window.partitionBy("f", "sample").orderBy("d", "g"))).where(F.col("r") <= k)
     filled = nearest.groupBy(F.col("f").alias("feature"), "sample").agg(F.avg("value").alias("value"))
     return cells.select("feature", "sample", "value", F.lit(False).alias("imputed")).unionByName(filled.withColumn("imputed", F.lit(True)))
@@ -121,24 +134,33 @@ def knn_impute(measurements: DataFrame, samples: DataFrame, k: int = 10) -> Data
 
 def detect_scale(measurements: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: 1, 50 and 99 % quantiles, the share of negatives and ``scale`` (``log2`` or ``linear``)."""
-    points = F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))
-    q = F.percentile_approx("value", points, F.lit(100000)) if approximate else F.percentile("value", points)
-    one = present(measurements).agg(q.alias("q"), F.avg((F.col("value") < 0).cast("double")).alias("negative"))
-    one = one.select(F.col("q")[0].alias("q01"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q99"), "negative")
+    shares, cells = [0.01, 0.5, 0.99], present(measurements)
+    if approximate:
+        q = F.percentile_approx("value", F.array(*map(F.lit, shares)), F.lit(100000))
+    else:
+        q = F.array(*(F.lit(v).cast("double") for v in exact_quantiles(cells, "value", shares)))
+    one = cells.agg(F.avg((F.col("value") < 0).cast("double")).alias("negative"), *([q.alias("q")] if approximate else []))
+    one = (one if approximate else one.withColumn("q", q)).select(F.col("q")[0].alias("q01"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q99"), "negative")
     scale = F.when(F.col("negative") > 0.001, "log2").when(F.col("q99") > 100, "linear").when(F.col("q50") > 50, "linear").otherwise("log2")
     return one.withColumn("scale", scale)
 
 
-def to_log2(measurements: DataFrame, mode: str = "auto") -> DataFrame:
-    """``log2(value + 1)`` of linear values; ``auto`` asks :func:`detect_scale`. Negatives on a linear scale become null."""
+def to_log2(measurements: DataFrame, mode: str = "auto", early: float | None = None) -> DataFrame:
+    """``log2(value + 1)`` of linear values; ``auto`` asks :func:`detect_scale`, ``never`` changes nothing.
+
+    Negatives on a linear scale are an error. With ``early``, a rule for raw tables, a table whose median is above that is linear without further questions.
+    """
     if mode == "never":
         return measurements
-    linear = F.lit(True)
+    linear = mode != "auto"
     if mode == "auto":
-        scale = detect_scale(measurements).select((F.col("scale") == "linear").alias("_linear"))
-        measurements, linear = measurements.join(F.broadcast(scale), F.lit(True)), F.col("_linear")
-    value = F.when(linear, F.when(F.col("value") >= 0, F.log2(F.col("value") + 1))).otherwise(F.col("value"))
-    return measurements.select("feature", "sample", value.alias("value"))
+        linear = early is not None and (exact_quantiles(present(measurements), "value", [0.5])[0] or 0.0) > early
+        linear = linear or detect_scale(measurements).first()["scale"] == "linear"
+    if not linear:
+        return measurements.select("feature", "sample", "value")
+    if present(measurements).where("value < 0").limit(1).count():
+        raise ValueError("a linear scale has no negative values")
+    return measurements.select("feature", "sample", F.log2(F.col("value") + 1).alias("value"))
 
 
 def quantile_normalise(measurements: DataFrame, ties: str = "average") -> DataFrame:

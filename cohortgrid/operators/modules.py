@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import average_rank, bh_adjust, t_sf2
+from ..functions.stats import average_rank, bh_adjust, exact_quantiles, t_sf2
 from ..session import materialise
 from .graph import components
 from .matrix import present, row_zscore, top_variance
-from .qc import pair_correlation, symmetric
+from .qc import pair_correlation, pair_sums, symmetric
 
 
 def module_input(measurements: DataFrame, samples: DataFrame, arm: str, top_n: int = 5000) -> DataFrame:
@@ -69,11 +69,14 @@ def pick_power(table: DataFrame, r2: float = 0.8, min_k: float = 1.0) -> DataFra
 
 
 def topological_overlap(pairs: DataFrame, power: int, keep: float = 0.01) -> DataFrame:
-    """``(a, b, tom)`` from adjacencies of at least ``keep``; smaller ones count as zero, which bounds the join on shared neighbours."""
+    """``(a, b, tom)`` from adjacencies of at least ``keep``; smaller ones count as zero.
+
+    What two features have in common is the product of their rows of adjacencies, so the sums over neighbours are products of blocks of the sparse table.
+    """
     adj = materialise(pairs.select("a", "b", F.pow((1 + F.col("r")) / 2, F.lit(float(power))).alias("w")).where(F.col("w") >= keep), "adjacency")
     both = adj.unionByName(adj.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
     k = both.groupBy("a").agg(F.sum("w").alias("k"))
-    through = both.select(F.col("a").alias("u"), F.col("b").alias("a"), F.col("w").alias("wa")).join(both.select(F.col("a").alias("u"), F.col("b").alias("b"), F.col("w").alias("wb")), "u").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("l"))
+    through = pair_sums(both.select(F.col("a").alias("item"), F.xxhash64("b").alias("h"), F.col("w").alias("value"))).select("a", "b", F.col("sab").alias("l"))
     j = adj.join(through, ["a", "b"], "left").join(k.select("a", F.col("k").alias("ka")), "a").join(k.select(F.col("a").alias("b"), F.col("k").alias("kb")), "b")
     return j.select("a", "b", ((F.coalesce("l", F.lit(0.0)) + F.col("w")) / (F.least("ka", "kb") + 1 - F.col("w"))).alias("tom"))
 
@@ -81,8 +84,8 @@ def topological_overlap(pairs: DataFrame, power: int, keep: float = 0.01) -> Dat
 def modules(pairs: DataFrame, power: int, min_size: int = 30, quantile: float = 0.9) -> DataFrame:
     """``(feature, module)``: components of the strongest topological overlaps; those below ``min_size`` are module 0, the others numbered by size."""
     tom = materialise(topological_overlap(pairs, power), "tom")
-    limit = tom.agg(F.percentile("tom", F.lit(quantile)).alias("limit"))
-    strong = tom.join(F.broadcast(limit), F.lit(True)).where(F.col("tom") >= F.col("limit"))
+    limit = exact_quantiles(tom, "tom", [quantile])[0]
+    strong = tom.where(F.col("tom") >= F.lit(limit).cast("double"))
     named = components(strong.select("a", "b"))
     features = pairs.select(F.explode(F.array("a", "b")).alias("feature")).distinct()
     sizes = named.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= min_size)

@@ -66,7 +66,7 @@ def normal_ellipse(points: DataFrame, chi2: float = 5.991464547107979, n: int =
 
 #: Items and cells of one block of a pair product.
 BLOCK_ITEMS, BLOCK_CELLS = 256, 4096
-SUMS = ("a", "b", "n", "sa", "sb", "saa", "sbb", "sab", "ta", "tb")
+SUMS = ("a", "b", "n", "sa", "sb", "saa", "sbb", "sab")
 
 
 def _pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -88,41 +88,50 @@ def _pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
     (x, mx), (y, my) = dense(left, at[:cut]), dense(right, at[cut:])
     sums = {"n": mx @ my.T, "sa": x @ my.T, "sb": mx @ y.T, "saa": (x * x) @ my.T, "sbb": mx @ (y * y).T, "sab": x @ y.T}
     a, b = left.item.to_numpy()[:, None], right.item.to_numpy()[None, :]
-    ta, tb = left.top.to_numpy()[:, None], right.top.to_numpy()[None, :]
     parts = []
     # Each pair is named with the smaller item first, whichever block that is in.
     p, q = np.nonzero((a < b) & (sums["n"] > 0))
-    parts.append((a[p, 0], b[0, q], *(sums[c][p, q] for c in ("n", "sa", "sb", "saa", "sbb", "sab")), ta[p, 0], tb[0, q]))
+    parts.append((a[p, 0], b[0, q], *(sums[c][p, q] for c in ("n", "sa", "sb", "saa", "sbb", "sab"))))
     if not own:
         p, q = np.nonzero((a > b) & (sums["n"] > 0))
-        parts.append((b[0, q], a[p, 0], *(sums[c][p, q] for c in ("n", "sb", "sa", "sbb", "saa", "sab")), tb[0, q], ta[p, 0]))
+        parts.append((b[0, q], a[p, 0], *(sums[c][p, q] for c in ("n", "sb", "sa", "sbb", "saa", "sab"))))
     found = pd.DataFrame(dict(zip(SUMS, map(np.concatenate, zip(*parts)))))
     return found.astype({"a": object, "b": object, "n": "int64"})
 
 
+def pair_sums(cells: DataFrame) -> DataFrame:
+    """``(a, b, n, sa, sb, saa, sbb, sab)`` of every two items ``a < b`` of ``(item, h, value)`` that have a cell ``h`` in common, summed over those.
+
+    Items go in blocks, and each pair of blocks is a matrix product over a bounded slice of the cells, so no row is made
+    for a pair and a shared cell.
+    """
+    size = cells.agg(F.approx_count_distinct("item"), F.approx_count_distinct("h")).first()
+    blocks, slices = max(1, -(-size[0] // BLOCK_ITEMS)), max(1, -(-size[1] // BLOCK_CELLS))
+    rows = cells.withColumn("slice", F.pmod("h", F.lit(slices)).cast("int")).groupBy("item", "slice").agg(F.collect_list(F.struct("h", "value")).alias("cells"))
+    rows = rows.select("item", "slice", F.transform("cells", lambda c: c["h"]).alias("h"), F.transform("cells", lambda c: c["value"]).alias("v"), F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block"))
+    meets = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
+    rows = rows.withColumn("meet", F.explode(meets)).select("item", "slice", "h", "v", "meet.*")
+    kind = rows.schema["item"].dataType.simpleString()
+    sums = ("sa", "sb", "saa", "sbb", "sab")
+    found = rows.groupBy("i", "j", "slice").applyInPandas(_pair_sums, f"a {kind}, b {kind}, n long, " + ", ".join(f"{c} double" for c in sums))
+    if slices > 1:
+        found = found.groupBy("a", "b").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in sums))
+    return found
+
+
 def pair_correlation(measurements: DataFrame, axis: str = "sample", method: str = "pearson") -> DataFrame:
     """``(a, b, n, r)`` with ``a < b`` along ``axis`` over cells both have; Spearman ranks within each item first.
 
-    Items go in blocks, and each pair of blocks is a matrix product over a bounded slice of the cells, so no row is made
-    for a pair and a shared cell. A pair with one shared cell, or with equal values of an item, has a null ``r``.
+    The sums are products of blocks (:func:`pair_sums`). A pair with one shared cell, or with equal values of an item, has a null ``r``.
     """
     other = "feature" if axis == "sample" else "sample"
     cells = present(measurements).select(F.col(axis).alias("item"), F.xxhash64(F.col(other)).alias("h"), "value")
     if method == "spearman":
         cells = cells.withColumn("value", average_rank("value", ["item"]))
-    size = cells.agg(F.approx_count_distinct("item"), F.approx_count_distinct("h")).first()
-    blocks, slices = max(1, -(-size[0] // BLOCK_ITEMS)), max(1, -(-size[1] // BLOCK_CELLS))
     # Correlation doesn't change with an item's level; without it the sums lose fewer digits.
     level = cells.groupBy("item").agg(F.avg("value").alias("level"), F.max(F.abs("value")).alias("top"))
-    rows = cells.withColumn("slice", F.pmod("h", F.lit(slices)).cast("int")).groupBy("item", "slice").agg(F.collect_list(F.struct("h", "value")).alias("cells")).join(level, "item")
-    rows = rows.select("item", "slice", "top", F.transform("cells", lambda c: c["h"]).alias("h"), F.transform("cells", lambda c: c["value"] - F.col("level")).alias("v"), F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block"))
-    meets = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
-    rows = rows.withColumn("meet", F.explode(meets)).select("item", "slice", "top", "h", "v", "meet.*")
-    kind = rows.schema["item"].dataType.simpleString()
-    sums = ("sa", "sb", "saa", "sbb", "sab")
-    found = rows.groupBy("i", "j", "slice").applyInPandas(_pair_sums, f"a {kind}, b {kind}, n long, " + ", ".join(f"{c} double" for c in (*sums, "ta", "tb")))
-    if slices > 1:
-        found = found.groupBy("a", "b", "ta", "tb").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in sums))
+    cells = cells.join(level, "item").select("item", "h", (F.col("value") - F.col("level")).alias("value"))
+    found = pair_sums(cells).join(level.select(F.col("item").alias("a"), F.col("top").alias("ta")), "a").join(level.select(F.col("item").alias("b"), F.col("top").alias("tb")), "b")
     va, vb = (F.col(f"s{c}{c}") - F.col(f"s{c}") * F.col(f"s{c}") / F.col("n") for c in "ab")
     varies = (F.col("n") > 1) & (va > F.pow(F.col("ta") * 1e-12, F.lit(2)) * F.col("n")) & (vb > F.pow(F.col("tb") * 1e-12, F.lit(2)) * F.col("n"))
     r = (F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")) / (F.sqrt(va) * F.sqrt(vb))

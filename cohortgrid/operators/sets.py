@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import bh_adjust, global_row_number, hyper_sf
+from ..session import materialise
 from .graph import components
 from .matrix import first_wins
 
@@ -57,6 +62,27 @@ def leading_edge(ranked: DataFrame, sets: DataFrame) -> DataFrame:
     return inside.groupBy("set_id", "es").agg(F.array_join(F.array_sort(F.collect_list("feature")), "/").alias("edge"))
 
 
+def _draws(features: DataFrame, perms: int, size: int, seed: int) -> DataFrame:
+    """``(perm, feature, place)``: the first ``size`` features of each of ``perms`` hash orders.
+
+    Only features whose hash lies below a bound are ranked, all permutations together over ranges; where a bound was too low
+    for a permutation, it is raised.
+    """
+    n = features.count()
+    share = (size + 6 * math.sqrt(size) + 16) / max(1, n)
+    hashed = features.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(perms)))).withColumn("key", F.xxhash64("feature", "perm", F.lit(seed)))
+    while True:
+        few = materialise(hashed.where(F.col("key") < F.lit(int(-(2**63) + min(1.0, share) * 2**64 - 1))) if share < 1 else hashed, "draws")
+        counts = few.groupBy("perm").agg(F.count("*").alias("n"))
+        if share >= 1 or counts.where(F.col("n") >= min(size, n)).count() == perms:
+            break
+        share *= 2
+    ranked = global_row_number(few, [F.col("perm"), F.col("key"), F.col("feature")], "at")
+    ranked = materialise(ranked.select("perm", "feature", "at"), "ranked")
+    first = ranked.groupBy("perm").agg(F.min("at").alias("first"))
+    return ranked.join(F.broadcast(first), "perm").select("perm", "feature", (F.col("at") - F.col("first") + 1).alias("place")).where(F.col("place") <= size)
+
+
 def set_null(ranked: DataFrame, sets: DataFrame, perms: int = 200, seed: int = 1) -> DataFrame:
     """``(set_id, size, es, nes, p, adj_p)`` against random sets of the same size.
 
@@ -66,9 +92,7 @@ def set_null(ranked: DataFrame, sets: DataFrame, perms: int = 200, seed: int = 1
     observed = running_sum(ranked, sets)
     sizes = observed.select("size").distinct()
     largest = sizes.agg(F.max("size")).first()[0] or 0
-    draws = ranked.select("feature").withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(perms))))
-    order = Window.partitionBy("perm").orderBy(F.xxhash64("feature", "perm", F.lit(seed)), "feature")
-    draws = draws.withColumn("place", F.row_number().over(order)).where(F.col("place") <= largest)
+    draws = _draws(ranked.select("feature"), perms, largest, seed)
     random_sets = draws.join(F.broadcast(sizes), F.col("place") <= F.col("size")).select(F.struct("size", "perm").alias("set_id"), "feature")
     null = running_sum(ranked, random_sets).select(F.col("set_id.size").alias("size"), F.col("es").alias("null_es"))
     per = observed.join(null, "size").groupBy("set_id", "size", "es").agg(
@@ -110,21 +134,81 @@ def stack_common(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+#: Lists of more sets than ``SHORT`` are compared in blocks of ``BLOCK`` sets.
+SHORT, BLOCK = 64, 512
+
+
+def _compare(threshold: float):
+    """Pairs of two blocks of a list that reach the threshold, by counting common members of one set with all others at once."""
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf.i.iat[0] == pdf.j.iat[0]
+        left, right = (pdf, pdf) if own else (pdf[pdf.side == 0], pdf[pdf.side == 1])
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=["a", "b", "jaccard"])
+        names = right.set_id.to_numpy()
+        sizes = right.members.map(len).to_numpy()
+        flat = np.concatenate(list(right.members))
+        owner = np.repeat(np.arange(len(right)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        out = []
+        for name, x in zip(left.set_id, left.members):
+            first = np.searchsorted(flat, x, "left")
+            spans = np.searchsorted(flat, x, "right") - first
+            shared = np.bincount(owner[np.repeat(first - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())], minlength=len(right))
+            jaccard = shared / (len(x) + sizes - shared)
+            at = np.flatnonzero((jaccard >= threshold) & (names > name if own else names != name))
+            out += [(min(name, names[k]), max(name, names[k]), float(jaccard[k])) for k in at]
+        return pd.DataFrame(out, columns=["a", "b", "jaccard"])
+
+    return compare
+
+
 def jaccard_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, jaccard)`` of sets that share a member and reach the threshold."""
-    sizes = members.groupBy("set_id").agg(F.count("*").alias("n"))
-    m = members.join(sizes, "set_id")
-    both = m.select(F.col("set_id").alias("a"), "feature", F.col("n").alias("na")).join(m.select(F.col("set_id").alias("b"), "feature", F.col("n").alias("nb")), "feature").where("a < b")
+    """``(a, b, jaccard)`` of sets that share a member and reach the threshold.
+
+    Two sets at the threshold share one of the rarest members of each, as many as leave too few for it; only these list a set. The
+    sets of a long list are compared in blocks, so that a member of very many sets makes no row for each two of them; those of short ones by
+    a join, of at most ``SHORT`` rows a listed set. A set must fit a row. Null members and sets of none don't count.
+    """
+    each = members.where("set_id is not null and feature is not null").select("set_id", F.xxhash64("feature").alias("h"), "feature").distinct()
+    df = each.groupBy("feature").agg(F.count("*").alias("df"))
+    whole = each.join(df, "feature").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("m"))
+    size = F.size("m")
+    first = F.greatest(F.lit(1), F.least(size, size - F.ceil(size * F.lit(threshold) - 1e-9).cast("int") + 1))
+    whole = materialise(whole.select("set_id", F.transform("m", lambda x: x["h"]).alias("members"), F.transform(F.slice("m", F.lit(1), first), lambda x: x["h"]).alias("first")), "sets")
+    listed = whole.select("set_id", F.size("members").alias("size"), F.explode("first").alias("h"))
+    n = listed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    listed = materialise(listed.join(n, "h"), "lists")
+    short = listed.where(F.col("n") <= SHORT)
+    pair = short.select("h", F.col("set_id").alias("a"), F.col("size").alias("na")).join(short.select("h", F.col("set_id").alias("b"), F.col("size").alias("nb")), "h")
     # Sets of too different sizes can't reach the threshold.
-    both = both.where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("i"))
-    return both.select("a", "b", (F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    pair = pair.where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
+    side = lambda name, x: whole.select(F.col("set_id").alias(name), F.col("members").alias(x))
+    near = pair.join(side("a", "x"), "a").join(side("b", "y"), "b").withColumn("i", F.size(F.array_intersect("x", "y")))
+    near = near.select("a", "b", (F.col("i") / (F.size("x") + F.size("y") - F.col("i"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    rows = listed.where(F.col("n") > SHORT).join(whole.select("set_id", "members"), "set_id").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set_id", "h"), F.col("blocks")).cast("int"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
+    rows = rows.withColumn("meet", F.explode(meets)).select("h", "set_id", "members", "meet.*")
+    kind = members.schema["set_id"].dataType.simpleString()
+    return near.unionByName(rows.groupBy("h", "i", "j").applyInPandas(_compare(threshold), f"a {kind}, b {kind}, jaccard double")).distinct()
 
 
 def fold_redundant(terms: DataFrame, members: DataFrame, jaccard: float = 0.5) -> DataFrame:
-    """``terms`` ``(set_id, adj_p)`` with ``cluster, cluster_size, representative``: single linkage by Jaccard, the lowest adjusted p represents. A threshold of 1 or more folds nothing."""
+    """``terms`` ``(set_id, adj_p)`` with ``cluster, cluster_size, representative``: single linkage by Jaccard, the lowest adjusted p represents. A threshold of 1 or more folds nothing.
+
+    Equal sets are linked to the smallest name among them, which alone is compared with others.
+    """
     held = members.join(terms.select("set_id"), "set_id", "left_semi").select("set_id", "feature").distinct()
     if jaccard < 1:
-        found = components(jaccard_pairs(held, jaccard).select("a", "b")).select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
+        held = materialise(held, "held")
+        hash_of = F.struct(F.xxhash64(F.array_sort(F.collect_list("feature"))).alias("a"), F.count("*").alias("n"), F.bit_xor(F.xxhash64(F.lit(1), "feature")).alias("b"))
+        equal = materialise(held.groupBy("set_id").agg(hash_of.alias("content")), "contents")
+        equal = equal.join(equal.groupBy("content").agg(F.min("set_id").alias("first")), "content").select("set_id", "first")
+        alone = held.join(equal.where(F.col("set_id") == F.col("first")).select("set_id"), "set_id", "left_semi")
+        links = jaccard_pairs(alone, jaccard).select("a", "b").unionByName(equal.where(F.col("set_id") != F.col("first")).select(F.col("set_id").alias("a"), F.col("first").alias("b")))
+        found = components(links).select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
         named = terms.join(found, "set_id", "left").withColumn("cluster", F.coalesce("cluster", "set_id"))
     else:
         named = terms.withColumn("cluster", F.col("set_id"))

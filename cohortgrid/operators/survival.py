@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import global_running
+from ..functions.stats import exact_quantiles, global_running
 from ..session import materialise
 
 #: The normal quantile of 0.975.
@@ -56,10 +56,15 @@ def apply_scaler(x: DataFrame, scaler: DataFrame) -> DataFrame:
 
 
 def folds(ids: DataFrame, k: int = 10, repeats: int = 5, seed: int = 1) -> DataFrame:
-    """``(subject, repeat, fold)``: balanced folds by the order of an MD5 hash of seed, repeat and subject."""
+    """``(subject, repeat, fold)``: balanced folds by the order of an MD5 hash of seed, repeat and subject, all repeats ranked together over ranges."""
+    from ..functions.stats import global_row_number
+
     x = ids.select("subject").distinct().withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("repeat").cast("string"), F.col("subject").cast("string")))
-    return x.withColumn("fold", (F.row_number().over(Window.partitionBy("repeat").orderBy(h, "subject")) - 1) % k + 1)
+    ranked = global_row_number(x.withColumn("_h", h), [F.col("repeat"), F.col("_h"), F.col("subject")], "_at")
+    ranked = materialise(ranked.select("subject", "repeat", "_at"), "folds")
+    first = ranked.groupBy("repeat").agg(F.min("_at").alias("_first"))
+    return ranked.join(F.broadcast(first), "repeat").select("subject", "repeat", ((F.col("_at") - F.col("_first")) % k + 1).cast("int").alias("fold"))
 
 
 def risk_score(x: DataFrame, coefs: DataFrame) -> DataFrame:
@@ -104,12 +109,17 @@ def concordance(surv: DataFrame, risk: DataFrame) -> DataFrame:
 def external_validation(coefs: DataFrame, scaler: DataFrame, train_risk: DataFrame, x2: DataFrame, surv2: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Risks of a second cohort by the training scale, split at the training median; and one row with C and the features found and missing."""
     risk = risk_score(apply_scaler(x2, scaler), coefs)
-    cutoff = train_risk.agg(F.median("risk").alias("cutoff"))
+    cutoff = median_cutoff(train_risk)
     rows = risk_strata(risk, cutoff)
     found = coefs.join(x2.select("feature").distinct().withColumn("hit", F.lit(1)), "feature", "left").agg(F.count("hit").alias("found"), F.count_if(F.col("hit").isNull()).alias("missing"))
     return rows, concordance(surv2, risk).join(found, F.lit(True))
 
 
+def median_cutoff(risk: DataFrame) -> DataFrame:
+    """One row: the median risk as ``cutoff``."""
+    return risk.sparkSession.createDataFrame([(exact_quantiles(risk, "risk", [0.5])[0],)], "cutoff double")
+
+
 def risk_strata(risk: DataFrame, cutoff: DataFrame) -> DataFrame:
     """``risk`` with ``stratum``: ``high`` above the one value in ``cutoff``, else ``low``."""
     return risk.join(F.broadcast(cutoff.select("cutoff")), F.lit(True)).withColumn("stratum", F.when(F.col("risk") > F.col("cutoff"), "high").otherwise("low"))
@@ -295,45 +305,11 @@ def lambda_path(x: DataFrame, surv: DataFrame, shares: Sequence[float] = (0.95,
     return [round(top / events * s, 9) for s in shares]
 
 
-def cox_l1_path(x: DataFrame, surv: DataFrame, fold_table: DataFrame, lambdas: Sequence[float], rounds: int = 30) -> DataFrame:
-    """``(repeat, fold, lam, feature, coef)`` of L1-penalised Cox models (Breslow ties) on all but each fold; fold 0 is the whole cohort.
+def cox_l1_path(x: DataFrame, surv: DataFrame, fold_table: DataFrame, lambdas: Sequence[float], tolerance: float = 1e-7) -> DataFrame:
+    """``(repeat, fold, lam, feature, coef)`` of L1-penalised Cox models (Breslow ties) on all but each fold; fold 0 is the whole cohort. See :mod:`cox_path`."""
+    from .cox_path import fit_path
 
-    All models advance together by accelerated proximal gradient steps. Per round Spark sums
-    gradients over risk sets for every (repeat, fold, lambda); the coefficients, a small table of models by features,
-    are updated on the driver.
-    """
-
-    spark = x.sparkSession
-    names = [r[0] for r in x.select("feature").distinct().orderBy("feature").collect()]
-    p = len(names)
-    wide = x.groupBy("subject").agg(F.transform(F.array_sort(F.collect_list(F.struct("feature", "value"))), lambda v: v["value"]).alias("x")).where(F.size("x") == p)
-    rows = wide.join(surv.select("subject", "time", "event").where("time is not null and event is not null"), "subject")
-    k = [tuple(r) for r in fold_table.select("repeat", "fold").distinct().collect()]
-    train = rows.join(fold_table, "subject").withColumn("out", F.col("fold"))
-    folds_of = F.array(*(F.lit(int(f)) for f in sorted({f for _, f in k})))
-    train = train.withColumn("fold", F.explode(F.filter(folds_of, lambda f: f != F.col("out")))).select("repeat", "fold", "time", "event", "x")
-    train = materialise(train.unionByName(rows.select(F.lit(0).alias("repeat"), F.lit(0).alias("fold"), "time", "event", "x")), "train")
-    models = [(int(r), int(f), float(lam)) for r, f in [*sorted(k), (0, 0)] for lam in lambdas]
-    beta = np.zeros((len(models), p))
-    ahead, pace, width = beta.copy(), 1.0, None
-    down = Window.partitionBy("m").orderBy(F.col("time").desc())
-    for _ in range(rounds):
-        table = spark.createDataFrame([(i, r, f, [float(v) for v in ahead[i]]) for i, (r, f, _) in enumerate(models)], "m int, repeat int, fold int, b array<double>")
-        j = train.join(F.broadcast(table), ["repeat", "fold"]).withColumn("e", F.exp(F.aggregate(F.zip_with("x", "b", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)))
-        dead = F.col("event") == 1
-        per = j.groupBy("m", "time").agg(F.sum("e").alias("s0"), F.sum("event").alias("d"), *(F.sum(F.col("e") * F.col("x")[i]).alias(f"s1_{i}") for i in range(p)), *(F.coalesce(F.sum(F.when(dead, F.col("x")[i])), F.lit(0.0)).alias(f"xd_{i}") for i in range(p)))
-        per = per.withColumns({"s0": F.sum("s0").over(down), **{f"s1_{i}": F.sum(f"s1_{i}").over(down) for i in range(p)}}).where("d > 0")
-        grad = per.groupBy("m").agg(F.sum("d").alias("d"), *(F.sum(F.col(f"xd_{i}") - F.col("d") * F.col(f"s1_{i}") / F.col("s0")).alias(f"g{i}") for i in range(p))).toPandas().set_index("m").reindex(range(len(models))).fillna(0)
-        events = np.maximum(grad["d"].to_numpy(float), 1)
-        g = grad[[f"g{i}" for i in range(p)]].to_numpy(float) / events[:, None]
-        width = 1.0 / max(1.0, p * 0.5)
-        step = ahead + width * g
-        lam = np.array([m[2] for m in models])[:, None] * width
-        new = np.sign(step) * np.maximum(np.abs(step) - lam, 0)
-        after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        ahead, beta, pace = new + (pace - 1) / after * (new - beta), new, after
-    out = [(r, f, lam, name, float(b)) for (r, f, lam), row in zip(models, beta) for name, b in zip(names, row)]
-    return spark.createDataFrame(out, "repeat int, fold int, lam double, feature string, coef double")
+    return fit_path(x, surv, fold_table, lambdas, tolerance)
 
 
 def cv_concordance(x: DataFrame, surv: DataFrame, fold_table: DataFrame, coefs: DataFrame) -> DataFrame:
@@ -383,9 +359,8 @@ def horizons(surv: DataFrame, q: Sequence[float] = (0.25, 0.5, 0.75), min_events
     """``(q, horizon, later)``: quantiles of the event times (inverse distribution function) with at least ``min_events`` events after them."""
     times = surv.where("event = 1").groupBy("time").agg(F.count("*").alias("n"))
     n = surv.agg(F.sum("event").alias("events"))
-    exact = surv.where("event = 1").agg(*(F.expr(f"percentile_disc({v}) WITHIN GROUP (ORDER BY time)").alias(f"q{i}") for i, v in enumerate(q)))
-    rows = exact.select(F.inline(F.array(*(F.struct(F.lit(v).alias("q"), F.col(f"q{i}").alias("horizon")) for i, v in enumerate(q)))))
-    after = rows.join(times, F.col("time") > F.col("horizon")).groupBy("q", "horizon").agg(F.sum("n").alias("later"))
+    rows = surv.sparkSession.createDataFrame(list(zip(q, exact_quantiles(surv.where("event = 1"), "time", list(q), kind=1))), "q double, horizon double")
+    after = F.broadcast(rows).join(times, F.col("time") > F.col("horizon")).groupBy("q", "horizon").agg(F.sum("n").alias("later"))
     return after.join(F.broadcast(n), F.lit(True)).where((F.col("later") >= min_events) & (F.col("events") >= min_events)).select("q", "horizon", "later")
 
 
@@ -422,8 +397,11 @@ def calibration(surv: DataFrame, risk: DataFrame, horizon: float, groups: int =
     x = surv.join(risk.select("subject", "risk"), "subject").select("subject", "time", "event", (F.col("risk") * beta).alias("eta"))
     per = x.groupBy("time").agg(F.sum(F.exp("eta")).alias("s0"), F.sum("event").alias("d"))
     hazard = global_running(per.withColumnRenamed("s0", "own"), F.col("time").desc(), sums={"s0": "own"}).where((F.col("time") <= horizon) & (F.col("d") > 0)).agg(F.coalesce(F.sum(F.col("d") / F.col("s0")), F.lit(0.0)).alias("h0"))
-    cuts = x.agg(F.percentile("eta", F.array(*(F.lit(i / groups) for i in range(1, groups)))).alias("cuts"))
-    x = x.join(F.broadcast(hazard.join(cuts, F.lit(True))), F.lit(True)).withColumn("bin", (F.size(F.filter("cuts", lambda c: c < F.col("eta"))) + 1)).withColumn("s", F.exp(-F.col("h0") * F.exp("eta")))
+    cuts = exact_quantiles(x, "eta", [i / groups for i in range(1, groups)])
+    place = F.lit(1)
+    for c in cuts:
+        place = place + (F.col("eta") > F.lit(c).cast("double")).cast("int")
+    x = x.join(F.broadcast(hazard), F.lit(True)).withColumn("bin", place).withColumn("s", F.exp(-F.col("h0") * F.exp("eta")))
     predicted = x.groupBy("bin").agg(F.count("*").alias("n"), F.avg("s").alias("predicted"))
     at = x.sparkSession.createDataFrame([(float(horizon),)], "horizon double")
     observed = survival_at(kaplan_meier(x, ["bin"]), at, ["bin"]).select("bin", F.col("survival").alias("observed"))
@@ -477,8 +455,8 @@ def optimism(surv: DataFrame, risk: DataFrame, replicates: int = 200, seed: int
 def decision_curve(rows: DataFrame, points: int = 19) -> DataFrame:
     """``(step, threshold, net_benefit, treat_all)`` of ``(outcome, risk)`` where risk is a probability, at quantiles of the risk."""
     at = [(i + 1) / (points + 1) for i in range(points)]
-    cuts = rows.agg(F.percentile("risk", F.array(*(F.lit(v) for v in at))).alias("cuts"), F.count("*").alias("n"), F.sum("outcome").alias("cases"))
-    cuts = cuts.select("n", "cases", F.posexplode("cuts").alias("step", "threshold")).where("threshold < 1")
+    steps = rows.sparkSession.createDataFrame(list(enumerate(exact_quantiles(rows, "risk", at))), "step int, threshold double").where("threshold < 1")
+    cuts = rows.agg(F.count("*").alias("n"), F.sum("outcome").alias("cases")).join(F.broadcast(steps), F.lit(True))
     j = rows.join(F.broadcast(cuts), F.lit(True)).groupBy("step", "threshold", "n", "cases").agg(F.count_if((F.col("risk") >= F.col("threshold")) & (F.col("outcome") == 1)).alias("tp"), F.count_if((F.col("risk") >= F.col("threshold")) & (F.col("outcome") == 0)).alias("fp"))
     odds = F.col("threshold") / (1 - F.col("threshold"))
     return j.select("step", "threshold", (F.col("tp") / F.col("n") - F.col("fp") / F.col("n") * odds).alias("net_benefit"), (F.col("cases") / F.col("n") - (F.col("n") - F.col("cases")) / F.col("n") * odds).alias("treat_all"))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import bh_adjust, digamma_at, global_row_number, t_sf2, t_size, trigamma_inverse, digamma
+from ..functions.stats import bh_adjust, digamma_at, exact_quantiles, global_row_number, t_sf2, t_size, trigamma_inverse, digamma
 from .matrix import present
 
 TINY = 1e-300
@@ -61,8 +61,8 @@ def moderate(fit: DataFrame, trend: bool = False, robust: bool = False) -> DataF
     """
     e = fit.where("s2 > 0").withColumn("z", F.log("s2") - digamma(F.col("df") / 2) + F.log(F.col("df") / 2))
     if robust:
-        q = e.agg(F.percentile("z", F.array(F.lit(0.05), F.lit(0.95))).alias("q")).first()[0]
-        if q:
+        q = exact_quantiles(e, "z", [0.05, 0.95])
+        if q[0] is not None:
             e = e.withColumn("z", F.greatest(F.lit(q[0]), F.least(F.lit(q[1]), F.col("z"))))
     centre = F.lit(0.0)
     if trend:
@@ -107,7 +107,8 @@ def log_odds(test: DataFrame, share: float = 0.01, normal: bool = False) -> Data
     ``normal``: the variance is known, so t is normal. A null t gives a null.
     """
     rows = test.where("t is not null and not isnan(t)")
-    n, most, middle = rows.agg(F.count("*"), F.max("df_total"), F.median("s2_prior")).first()
+    n, most = rows.agg(F.count("*"), F.max("df_total")).first()
+    middle = exact_quantiles(rows, "s2_prior", [0.5])[0]
     if not n or not middle:
         return test.withColumn("b", F.lit(None).cast("double"))
     top = math.ceil(share / 2 * n)
@@ -170,15 +171,15 @@ def p_value_diagnosis(test: DataFrame) -> DataFrame:
 
 
 def select_features(test: DataFrame, adj_p: float = 0.05, lfc: float = 1.0, min_n: int = 5, fallback_n: int = 500) -> DataFrame:
-    """Significant features, or where there are fewer than ``min_n`` the ``fallback_n`` smallest p-values beyond ``lfc``, labelled ``ranked_fallback``.
+    """Significant features, or where there are fewer than ``min_n`` the ``fallback_n`` smallest p-values beyond ``lfc``, labelled ``ranked_fallback``; ``reason`` says why, and is null for significant ones.
 
     One plan: the count of significant rows is a scalar, and the ranking a sort with a limit.
     """
     sig = significant(test, adj_p, lfc).select("feature", "lfc", "p", "adj_p", "direction")
     n = sig.agg(F.count("*").alias("n_significant"))
     ranked = test.where(F.abs("lfc") > lfc).orderBy("p", "feature").limit(fallback_n).select("feature", "lfc", "p", "adj_p", F.when(F.col("lfc") > 0, "up").otherwise("down").alias("direction"))
-    a = sig.join(F.broadcast(n), F.lit(True)).where(F.col("n_significant") >= min_n).withColumn("selection", F.lit("fdr"))
-    b = ranked.join(F.broadcast(n), F.lit(True)).where(F.col("n_significant") < min_n).withColumn("selection", F.lit("ranked_fallback"))
+    a = sig.join(F.broadcast(n), F.lit(True)).where(F.col("n_significant") >= min_n).withColumns({"selection": F.lit("fdr"), "reason": F.lit(None).cast("string")})
+    b = ranked.join(F.broadcast(n), F.lit(True)).where(F.col("n_significant") < min_n).withColumns({"selection": F.lit("ranked_fallback"), "reason": F.concat(F.lit("only "), F.col("n_significant").cast("string"), F.lit(f" significant features, of at least {min_n}"))})
     return a.unionByName(b)
 
 

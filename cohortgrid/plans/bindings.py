@@ -43,8 +43,7 @@ class Data:
     @property
     def m3(self) -> DataFrame:
         """Many features: documents as samples, words as features."""
-        docs = self.table("documents").join(self.table("labels").select("doc_id"), "doc_id", "left_semi")
-        words = docs.select(F.col("doc_id").cast("string").alias("sample"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("feature"))
+        words = self.table("documents").select(F.col("doc_id").cast("string").alias("sample"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("feature"))
         return words.groupBy("feature", "sample").agg(F.log2(F.count("*") + 1).alias("value"))
 
     @property
@@ -144,7 +143,7 @@ SQL = {
     "m1_arms": "SELECT m1.* FROM m1 SEMI JOIN s1 USING (sample)",
     "m2": "SELECT p_brand AS feature, CAST(o_custkey AS VARCHAR) AS sample, round(sum(l_extendedprice), 2) AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2",
     "s2": "SELECT CAST(c_custkey AS VARCHAR) AS sample, c_mktsegment AS arm FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING')",
-    "m3": "SELECT feature, sample, log2(count(*) + 1) AS value FROM (SELECT CAST(doc_id AS VARCHAR) AS sample, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS feature FROM documents SEMI JOIN labels USING (doc_id)) GROUP BY 1, 2",
+    "m3": "SELECT feature, sample, log2(count(*) + 1) AS value FROM (SELECT CAST(doc_id AS VARCHAR) AS sample, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS feature FROM documents) GROUP BY 1, 2",
     "s3": "SELECT CAST(doc_id AS VARCHAR) AS sample, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS arm FROM labels",
     "pairs": "SELECT p_brand AS feature, CAST(l_suppkey AS VARCHAR) || l_linestatus AS sample, avg(l_extendedprice) AS value FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2",
     "pair_samples": "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) || l_linestatus AS sample, l_linestatus AS arm, l_suppkey AS pair_id FROM lineitem",

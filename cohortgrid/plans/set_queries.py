@@ -40,7 +40,7 @@ def f3(d: Data) -> DataFrame:
 
 @query("f4_set_null")
 def f4(d: Data) -> DataFrame:
-    return sets.set_null(ranked(d), members(d), 50)
+    return sets.set_null(ranked(d), members(d))
 
 
 @query("f5_leading_edge", f"WITH x AS (SELECT walk.*, es FROM walk JOIN es USING (set_id)), e AS (SELECT set_id, min(rank) FILTER (hit_at = es) AS hi, max(rank) FILTER (hit_before = es) AS lo FROM x GROUP BY set_id) SELECT set_id, {r('es', 'es')}, string_agg(feature, '/' ORDER BY feature) AS edge FROM x JOIN e USING (set_id) WHERE CASE WHEN es >= 0 THEN rank <= hi ELSE rank >= lo END GROUP BY set_id, es")
@@ -56,9 +56,9 @@ def f6_counts(d: Data) -> DataFrame:
     return sets.overlap_counts(selected(d), members(d), d.part_stat.select("feature"))
 
 
-@query("f6_overlap_test", f"WITH {_COUNTS} SELECT direction, set_id, k, set_size, n_input, n_universe, {r('p', 'p')} FROM tail WHERE n_input >= 5")
+@query("f6_overlap_test", f"WITH {_COUNTS} SELECT direction, set_id, k, set_size, n_input, n_universe, {r('p', 'p')}, {r('adj', 'adj_p')}, {r('adj * CASE WHEN pi0 > 0 THEN least(1.0, pi0) ELSE 1.0 END', 'q')} FROM (SELECT *, least(1.0, min(p * m / place) OVER (PARTITION BY direction ORDER BY p DESC)) AS adj FROM (SELECT *, count(*) OVER (PARTITION BY direction) AS m, count(*) OVER (PARTITION BY direction ORDER BY p) AS place, count(*) FILTER (p > 0.5) OVER (PARTITION BY direction) / (count(*) OVER (PARTITION BY direction) * 0.5) AS pi0 FROM tail WHERE n_input >= 5))")
 def f6(d: Data) -> DataFrame:
-    return sets.overlap_test(selected(d), members(d), d.part_stat.select("feature")).drop("adj_p", "q")
+    return sets.overlap_test(selected(d), members(d), d.part_stat.select("feature"))
 
 
 @query("f7_universe", "SELECT feature FROM part_stat")
@@ -107,10 +107,21 @@ def t1(d: Data) -> DataFrame:
     return signed.signed_set_overlap(d.signed, chosen_words(d), d.m3).drop("p", "adj_p")
 
 
-@query("t1_signed_overlap_p")
+_HYPER = "lgamma(n_targets + 1) - lgamma(j + 1) - lgamma(n_targets - j + 1) + lgamma(n_detected - n_targets + 1) - lgamma(n_selected - j + 1) - lgamma(n_detected - n_targets - n_selected + j + 1) - lgamma(n_detected + 1) + lgamma(n_selected + 1) + lgamma(n_detected - n_selected + 1)"
+
+
+@query(
+    "t1_signed_overlap_p",
+    f"WITH {_OVER}, tp AS (SELECT source, (SELECT least(1.0, sum(exp({_HYPER}))) FROM (SELECT unnest(generate_series(greatest(overlap, n_targets + n_selected - n_detected), least(n_targets, n_selected))) AS j)) AS p FROM o) SELECT source, {r('p', 'p')}, {r('least(1.0, min(p * m / place) OVER (ORDER BY p DESC))', 'adj_p')} FROM (SELECT *, count(*) OVER () AS m, count(*) OVER (ORDER BY p) AS place FROM tp)",
+)
 def t1_p(d: Data) -> DataFrame:
+    return signed.signed_set_overlap(d.signed, chosen_words(d), d.m3).select("source", "p", "adj_p")
+
+
+@query("t1_conditional_odds")
+def t1_odds(d: Data) -> DataFrame:
     x = signed.signed_set_overlap(d.signed, chosen_words(d), d.m3)
-    return x.select("source", "p", "adj_p").join(signed.conditional_odds(x), "source")
+    return signed.conditional_odds(x)
 
 
 @query("t2_activity", f"SELECT source, sample, {r('activity', 'activity')}, n_targets FROM activity")

@@ -74,8 +74,8 @@ def path(d: Data) -> tuple[DataFrame, DataFrame, DataFrame]:
     from ..session import materialise
 
     x = materialise(sv.apply_scaler(train(d), sv.fit_scaler(train(d))), "x")
-    f = materialise(sv.folds(d.surv, 3, 1), "folds")
-    return x, f, materialise(sv.cox_l1_path(x, d.surv, f, sv.lambda_path(x, d.surv), 12), "path")
+    f = materialise(sv.folds(d.surv), "folds")
+    return x, f, materialise(sv.cox_l1_path(x, d.surv, f, sv.lambda_path(x, d.surv)), "path")
 
 
 @query("s6_cox_l1_path")
@@ -101,7 +101,9 @@ def s9(d: Data) -> DataFrame:
 
 @query("s10_capped_signature")
 def s10(d: Data) -> DataFrame:
-    return sv.capped_signature(path(d)[2].where("fold = 0").select("lam", "feature", "coef"), 2)
+    x = sv.apply_scaler(train(d), sv.fit_scaler(train(d)))
+    whole = sv.cox_l1_path(x, d.surv, sv.folds(d.surv).limit(0), sv.lambda_path(x, d.surv))
+    return sv.capped_signature(whole.select("lam", "feature", "coef"), 2)
 
 
 def risk1(d: Data) -> DataFrame:
@@ -138,7 +140,7 @@ def s13(d: Data) -> DataFrame:
 
 @query("s14_strata", f"SELECT subject, {r('risk', 'risk')}, {r('(SELECT median(risk) FROM risk SEMI JOIN surv USING (subject))', 'cutoff')}, CASE WHEN risk > (SELECT median(risk) FROM risk SEMI JOIN surv USING (subject)) THEN 'high' ELSE 'low' END AS stratum FROM risk")
 def s14(d: Data) -> DataFrame:
-    return sv.risk_strata(d.risk, d.risk.join(d.surv, "subject", "left_semi").agg(F.median("risk").alias("cutoff")))
+    return sv.risk_strata(d.risk, sv.median_cutoff(d.risk.join(d.surv, "subject", "left_semi")))
 
 
 @query("s15_kaplan_meier", f"SELECT stratum, {r('time', 'time')}, CAST(n_risk AS BIGINT) AS n_risk, CAST(events AS BIGINT) AS events, CAST(censored AS BIGINT) AS censored, {r('survival', 'survival')} FROM km UNION ALL SELECT stratum, 0.0, CAST(max(n_risk) AS BIGINT), 0, 0, 1.0 FROM km GROUP BY stratum")
@@ -240,4 +242,4 @@ def s24(d: Data) -> DataFrame:
 
 @query("s25_risk_order", f"SELECT subject, {r('risk', 'risk')}, CASE WHEN risk > (SELECT median(risk) FROM risk) THEN 'high' ELSE 'low' END AS stratum, row_number() OVER (ORDER BY risk, subject) AS place FROM risk")
 def s25(d: Data) -> DataFrame:
-    return sv.risk_order(sv.risk_strata(d.risk, d.risk.agg(F.median("risk").alias("cutoff"))))
+    return sv.risk_order(sv.risk_strata(d.risk, sv.median_cutoff(d.risk)))

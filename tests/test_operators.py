@@ -145,16 +145,62 @@ def test_cox_univariate(spark):
     assert math.isclose(got["beta"], beta, rel_tol=1e-5) and math.isclose(got["se"], 1 / math.sqrt(v), rel_tol=1e-4)
 
 
-def test_cox_l1_path_shrinks(spark):
-    rng = np.random.default_rng(6)
-    x = rng.normal(size=(80, 2))
-    t = rng.exponential(np.exp(-1.5 * x[:, 0])) + 0.01
-    cov = spark.createDataFrame([(i, f"f{j}", float(x[i, j])) for i in range(80) for j in range(2)], "subject int, feature string, value double")
-    s = surv(spark, [(float(a), 1) for a in t])
-    got = survival.cox_l1_path(cov, s, survival.folds(s, 2, 1), [0.01, 5.0], 8).where("fold = 0").toPandas()
-    assert (got[got.lam == 5.0].coef == 0).all()
-    small = got[got.lam == 0.01].set_index("feature").coef
-    assert small["f0"] > abs(small["f1"])
+def l1_case(rng, n, p, ties=True):
+    x = np.round(rng.normal(size=(n, p)), 3)
+    t = rng.exponential(np.exp(-1.2 * x[:, 0] + 0.8 * x[:, 1])) * 4 + 0.1
+    t, e = np.ceil(t) if ties else t, (rng.random(n) < 0.75).astype(int)
+    return x, t, e, np.argsort(rng.random(n)) % 3 + 1
+
+
+def l1_gradient(x, t, e, beta):
+    """The mean gradient of the Breslow log-likelihood, sum by sum."""
+    w, g = np.exp(x @ beta), np.zeros(x.shape[1])
+    for s in np.unique(t[e == 1]):
+        risk, dead = t >= s, (t == s) & (e == 1)
+        g += x[dead].sum(0) - dead.sum() * (w[risk] @ x[risk]) / w[risk].sum()
+    return g / e.sum()
+
+
+def l1_tables(spark, x, t, e, fold):
+    n, p = x.shape
+    cov = spark.createDataFrame([(i, f"f{j:04d}", float(x[i, j])) for i in range(n) for j in range(p)], "subject int, feature string, value double")
+    s = spark.createDataFrame([(i, float(t[i]), int(e[i])) for i in range(n)], "subject int, time double, event int")
+    return cov, s, spark.createDataFrame([(i, 1, int(fold[i])) for i in range(n)], "subject int, repeat int, fold int")
+
+
+def l1_check(found, x, t, e, fold, folds, lambdas):
+    p = x.shape[1]
+    found = found.toPandas()
+    assert len(found) == len(folds) * len(lambdas) * p
+    for (f, lam), own in found.groupby(["fold", "lam"]):
+        beta = own.sort_values("feature").coef.to_numpy()
+        train = fold != f
+        g = l1_gradient(x[train], t[train], e[train], beta)
+        assert np.abs(g[beta != 0] - lam * np.sign(beta[beta != 0])).max(initial=0) < 1e-6
+        assert np.abs(g[beta == 0]).max(initial=0) < lam + 1e-6
+    return found
+
+
+def test_cox_l1_path_meets_its_conditions(spark, monkeypatch):
+    from cohortgrid.operators import cox_path
+
+    monkeypatch.setattr(cox_path, "FEATURES", 4)
+    x, t, e, fold = l1_case(np.random.default_rng(6), 80, 9)
+    cov, s, folds = l1_tables(spark, x, t, e, fold)
+    found = l1_check(survival.cox_l1_path(cov, s, folds, [0.05, 0.2, 5.0]), x, t, e, fold, (0, 1, 2, 3), (0.05, 0.2, 5.0))
+    # Sums along the times as tables, in windows of a few times.
+    monkeypatch.setattr(cox_path, "TIMES", 5)
+    monkeypatch.setattr(cox_path, "MOST_SUMS", 0)
+    l1_check(survival.cox_l1_path(cov, s, folds.where("fold = 1"), [0.3]), x, t, e, fold, (0, 1), (0.3,))
+    assert (found[found.lam == 5.0].coef == 0).all() and (found[(found.lam == 0.2) & (found.feature == "f0000")].coef != 0).all()
+    assert survival.cox_l1_path(cov.limit(0), s, folds, [0.1]).count() == survival.cox_l1_path(cov, s.limit(0), folds, [0.1]).count() == 0
+
+
+def test_cox_l1_path_of_many_features(spark):
+    x, t, e, fold = l1_case(np.random.default_rng(7), 100, 2000, ties=False)
+    cov, s, folds = l1_tables(spark, x, t, e, fold)
+    found = l1_check(survival.cox_l1_path(cov, s, folds.limit(0), [0.4, 0.3]), x, t, e, np.full(100, -1), (0,), (0.3, 0.4))
+    assert 0 < (found[found.lam == 0.3].coef != 0).sum() < 200
 
 
 def test_eigen_profiles(spark):
@@ -431,3 +477,138 @@ def test_log_odds_by_brute_force(spark):
     b = math.log(0.01 / 0.99) - math.log(ratio) / 2 + (1 + df) / 2 * np.log((t**2 + df) / (t**2 / ratio + df))
     assert np.allclose(got.loc[[f"g{i:03d}" for i in range(n)]], b, rtol=1e-3, atol=1e-3)
     assert testing.log_odds(rows.limit(0).withColumn("p", F.lit(1.0))).count() == 0
+
+
+def test_exact_quantiles(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.lognormal(size=3000), np.full(1500, 2.5), [1e9, -1e9]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (math.nan,)], "v double")
+    shares = [0.0, 0.01, 0.25, 0.5, 0.7, 0.99, 1.0]
+    for few in (10_000, 20):
+        assert np.allclose(stats.exact_quantiles(df, "v", shares, few=few, bins=16), np.quantile(x, shares), rtol=1e-12)
+        assert stats.exact_quantiles(df, F.col("v"), shares, kind=1, few=few) == np.quantile(x, shares, method="inverted_cdf").tolist()
+    assert stats.exact_quantiles(df.limit(0), "v", [0.5]) == [None]
+
+
+def test_hypergeometric_tails_by_summing(spark):
+    rng = random.Random(9)
+    cases = [(0, 5, 0, 3), (3, 10, 5, 2), (60, 20000, 900, 700), (1, 1, 1, 1), (None, 5, 1, 1)]
+    for _ in range(60):
+        n = rng.randint(1, 400)
+        cases.append((rng.randint(0, 40), n, rng.randint(0, n), rng.randint(0, n)))
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, k int, n int, m int, d int")
+    got = {r.i: r.p for r in df.select("i", stats.hyper_sf("k", "n", "m", "d").alias("p")).collect()}
+    for i, (k, n, m, d) in enumerate(cases):
+        if k is None:
+            assert got[i] is None
+            continue
+        p = sum(math.comb(m, j) * math.comb(n - m, d - j) for j in range(k, min(m, d) + 1)) / math.comb(n, d)
+        assert math.isclose(got[i], p, rel_tol=1e-9, abs_tol=1e-300)
+
+
+def test_bh_with_many_equal_p(spark):
+    rng = random.Random(10)
+    p = [rng.choice([None, 1.0, 1.0, round(rng.random(), 2)]) for _ in range(400)]
+    got = {r.i: r.adj_p for r in stats.bh_adjust(spark.createDataFrame(list(enumerate(p)), "i int, p double"), "p").collect()}
+    known = sorted((x, i) for i, x in enumerate(p) if x is not None)
+    least = 1.0
+    for place in range(len(known), 0, -1):
+        x, i = known[place - 1]
+        least = min(least, x * len(known) / place)
+        assert math.isclose(got[i], least)
+    assert all(got[i] is None for i, x in enumerate(p) if x is None)
+
+
+@pytest.mark.parametrize("threshold", [0.16, 0.5, 0.8])
+def test_jaccard_pairs_equal_all_pairs(spark, monkeypatch, threshold):
+    """One feature is in every set and some sets are near copies; short and long lists."""
+    rng = random.Random(11)
+    base = [rng.sample(range(60), 12) for _ in range(6)]
+    table = {f"s{i:02d}": {0, *(x for x in rng.choice(base) if rng.random() < 0.9)} for i in range(40)} | {"alone": {0}, "alike": {0}}
+    df = spark.createDataFrame([(s, str(x)) for s, xs in table.items() for x in xs] + [("s00", None), (None, "1")], "set_id string, feature string")
+    wanted = {(a, b): len(table[a] & table[b]) / len(table[a] | table[b]) for a in table for b in table if a < b}
+    wanted = {k: v for k, v in wanted.items() if v >= threshold}
+    for short, block in ((64, 512), (3, 4)):
+        monkeypatch.setattr(sets, "SHORT", short)
+        monkeypatch.setattr(sets, "BLOCK", block)
+        got = {(r.a, r.b): r.jaccard for r in sets.jaccard_pairs(df, threshold).collect()}
+        assert got.keys() == wanted.keys() and all(math.isclose(got[k], v) for k, v in wanted.items())
+    terms = spark.createDataFrame([(s, 0.1) for s in table], "set_id string, adj_p double")
+    low = {s: s for s in table}
+    for _ in table:
+        for a, b in wanted:
+            low[a] = low[b] = min(low[a], low[b])
+    assert dict(values(sets.fold_redundant(terms, df, threshold), "set_id", "cluster")) == low
+
+
+def test_topological_overlap_and_modules_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(qc, "BLOCK_ITEMS", 4)
+    monkeypatch.setattr(qc, "BLOCK_CELLS", 6)
+    rng = np.random.default_rng(12)
+    n = 16
+    m = rng.normal(size=(n, 8)) + np.repeat(rng.normal(size=(4, 8)), 4, 0) * 2
+    r = np.corrcoef(m)
+    pairs = spark.createDataFrame([(f"f{i:02d}", f"f{j:02d}", float(r[i, j])) for i in range(n) for j in range(i + 1, n)], "a string, b string, r double")
+    w = ((1 + r) / 2) ** 4
+    w[w < 0.05] = 0
+    np.fill_diagonal(w, 0)
+    k = w.sum(1)
+    tom = (w @ w + w) / (np.minimum(k[:, None], k) + 1 - w)
+    got = {(x.a, x.b): x.tom for x in modules.topological_overlap(pairs, 4, 0.05).collect()}
+    wanted = {(f"f{i:02d}", f"f{j:02d}"): tom[i, j] for i in range(n) for j in range(i + 1, n) if w[i, j] > 0}
+    assert got.keys() == wanted.keys() and all(math.isclose(got[x], v, rel_tol=1e-9) for x, v in wanted.items())
+
+    t = {(x.a, x.b): x.tom for x in modules.topological_overlap(pairs, 4).collect()}
+    limit = np.quantile(list(t.values()), 0.8)
+    low = {f"f{i:02d}": f"f{i:02d}" for i in range(n)}
+    for _ in range(n):
+        for (a, b), v in t.items():
+            if v >= limit:
+                low[a] = low[b] = min(low[a], low[b])
+    groups = {}
+    for f, c in low.items():
+        groups.setdefault(c, []).append(f)
+    large = sorted((c for c in groups if len(groups[c]) >= 2), key=lambda c: (-len(groups[c]), c))
+    assert dict(values(modules.modules(pairs, 4, 2, 0.8), "feature", "module")) == {f: large.index(c) + 1 if c in large else 0 for f, c in low.items()}
+
+
+def test_neighbours_by_brute_force(spark):
+    rng = np.random.default_rng(13)
+    table = {(f"g{i}", f"s{j}"): 1e4 + float(rng.normal() + i // 3) for i in range(9) for j in range(12) if rng.random() < 0.85}
+    names, sample_names = sorted({f for f, _ in table}), sorted({s for _, s in table})
+    df = spark.createDataFrame([(f, s, v) for (f, s), v in table.items()] + [("g0", "s0", None)] * (("g0", "s0") not in table), "feature string, sample string, value double")
+    got = {(r.feature, r.sample): r.value for r in matrix.knn_impute(df, df.select("sample").distinct(), 3).collect()}
+    for f in names:
+        for s in sample_names:
+            if (f, s) in table:
+                assert got[f, s] == table[f, s]
+                continue
+            near = []
+            for g in names:
+                both = [t for t in sample_names if (f, t) in table and (g, t) in table]
+                if g != f and both and (g, s) in table:
+                    near.append((np.mean([(table[f, t] - table[g, t]) ** 2 for t in both]), g))
+            assert math.isclose(got[f, s], np.mean([table[g, s] for _, g in sorted(near)[:3]]), rel_tol=1e-12)
+
+
+def test_draws_are_the_first_of_each_order(spark):
+    features = spark.createDataFrame([(f"f{i}",) for i in range(500)], "feature string")
+    for size in (1, 7, 499, 600):
+        keyed = features.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn("key", F.xxhash64("feature", "perm", F.lit(3))).collect()
+        wanted = sorted((p, place, f) for p in range(1, 6) for place, (_, f) in enumerate(sorted((r.key, r.feature) for r in keyed if r.perm == p)[:size], 1))
+        assert values(sets._draws(features, 5, size, 3), "perm", "place", "feature") == wanted
+    fold = survival.folds(spark.range(95).select(F.col("id").alias("subject")), 10, 3)
+    assert sorted({r["count"] for r in fold.groupBy("repeat", "fold").count().collect()}) == [9, 10]
+
+
+def test_guards_of_cleaning(spark):
+    x = cells(spark, {"a": (1, 2, 900), "b": (3, 2, 800)})
+    assert matrix.filter_low_information(x, 2, 2).select("feature").distinct().count() == 2
+    with pytest.raises(ValueError, match="only 2 features"):
+        matrix.filter_low_information(x, 2, 100)
+    with pytest.raises(ValueError, match="negative"):
+        matrix.to_log2(cells(spark, {"a": (-1, 2, 900)}), "always")
+    assert matrix.to_log2(cells(spark, {"a": (60, 61, 62)}), early=50).first()["value"] == math.log2(61)
+    assert matrix.detect_scale(x.limit(0)).first()["q50"] is None
+    test = spark.createDataFrame([("a", 2.0, 0.01, 0.02), ("b", 3.0, 0.5, 0.9)], "feature string, lfc double, p double, adj_p double")
+    assert values(testing.select_features(test), "feature", "reason") == [("a", "only 1 significant features, of at least 5"), ("b", "only 1 significant features, of at least 5")]
