@@ -89,6 +89,16 @@ def network_route(edges: DataFrame, measurements: DataFrame, selected: DataFrame
     return found.withColumn("method", F.lit("coexpression"))
 
 
+def network_status(routed: DataFrame, r: float = 0.9) -> DataFrame:
+    """One row ``(status, method, n_edges, n_nodes, caveat, reason)`` of what :func:`network_route` found: ``ok``, ``fallback`` with a caveat, or ``skipped`` with a reason."""
+    nodes = routed.select(F.explode(F.array("a", "b")).alias("node")).agg(F.count_distinct("node").alias("n_nodes"))
+    one = routed.agg(F.max("method").alias("method"), F.count("*").alias("n_edges")).join(nodes, F.lit(True))
+    status = F.when(F.col("n_edges") == 0, "skipped").when(F.col("method") == "edge_table", "ok").otherwise("fallback")
+    caveat = F.when(F.col("method") == "coexpression", F.lit(f"not a network of known links: features whose rank correlation is at least {r} in size"))
+    reason = F.when(F.col("n_edges") == 0, F.lit(f"no known edge between the selected features, and no rank correlation of at least {r} in size"))
+    return one.select(status.alias("status"), "method", "n_edges", "n_nodes", caveat.alias("caveat"), reason.alias("reason"))
+
+
 def largest_component(edges: DataFrame) -> DataFrame:
     """Edges of the component with most nodes, of equals the one with the smallest name."""
     named = components(edges)

@@ -43,6 +43,31 @@ def signature_candidates(measurements: DataFrame, surv: DataFrame, features: Dat
     return measurements.join(features.select("feature").distinct(), "feature", "left_semi").join(surv.select("subject").distinct(), "subject", "left_semi")
 
 
+def modelling_input(measurements: DataFrame, surv: DataFrame, test: DataFrame, adj_p: float = 0.05, lfc: float = 1.0, min_features: int = 5, fallback_n: int = 500, min_subjects: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Cells to model, and one row ``(status, reason, n_subjects, n_events, mode, n_candidates)``.
+
+    Candidates are the significant features of the test table that are measured (``fdr``); fewer than ``min_features`` of them give way to the ``fallback_n``
+    smallest p-values, whatever the size of the difference (``ranked_fallback``). With fewer than ``min_subjects`` subjects that have both cells and a usable time there are
+    no cells, and the status says so.
+    """
+    from .testing import significant
+
+    spark = measurements.sparkSession
+    measured = materialise(measurements.select("feature").distinct(), "measured")
+    chosen, mode = materialise(significant(test, adj_p, lfc).select("feature").distinct().join(measured, "feature", "left_semi"), "candidates"), "fdr"
+    if chosen.limit(min_features).count() < min_features:
+        ranked = test.where("p is not null").orderBy("p", "feature").limit(fallback_n)
+        chosen, mode = materialise(ranked.select("feature").distinct().join(measured, "feature", "left_semi"), "candidates"), "ranked_fallback"
+    usable = surv.where("time is not null and event is not null").join(measurements.select("subject").distinct(), "subject", "left_semi")
+    n, events = usable.agg(F.count_distinct("subject"), F.coalesce(F.sum("event"), F.lit(0))).first()
+    enough = n >= min_subjects
+    reason = None if enough else f"only {n} subjects have both measurements and a usable time, of at least {min_subjects}"
+    row = (("ok" if enough else "too_few_subjects"), reason, n, int(events), mode, chosen.count())
+    status = spark.createDataFrame([row], "status string, reason string, n_subjects long, n_events long, mode string, n_candidates long")
+    cells = signature_candidates(measurements, usable, chosen)
+    return (cells if enough else cells.limit(0)), status
+
+
 def fit_scaler(x: DataFrame) -> DataFrame:
     """``(feature, centre, scale)``; a zero or undefined scale is 1."""
     s = x.groupBy("feature").agg(F.avg("value").alias("centre"), F.stddev_samp("value").alias("scale"))
@@ -152,9 +177,25 @@ def survival_before(surv: DataFrame, ends: Column) -> DataFrame:
 
 
 def survival_at(curve: DataFrame, horizons: DataFrame, by: Sequence[str] = ("stratum",)) -> DataFrame:
-    """``(by.., horizon, survival)``: the last step at or before each horizon."""
-    j = curve.join(F.broadcast(horizons.select("horizon")), F.col("time") <= F.col("horizon"))
-    return j.groupBy(*by, "horizon").agg(F.max_by("survival", "time").alias("survival"))
+    """``(by.., horizon, survival)``: the last step at or before each horizon, of every group that has one.
+
+    Steps and horizons are dealt together by range; each range carries its last step on, and the last steps of the ranges before, one
+    row for each range and group in it, fill what begins without one. No step meets a horizon in a join.
+    """
+    by = list(by)
+    groups = curve.select(*by).distinct()
+    asked = groups.join(F.broadcast(horizons.select("horizon").distinct()), F.lit(True)).select(*by, F.col("horizon").alias("time"), F.lit(None).cast("double").alias("survival"), F.lit(1).alias("asked"))
+    rows = curve.select(*by, "time", "survival", F.lit(0).alias("asked")).unionByName(asked)
+    n = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(rows.repartitionByRange(n, *by, "time", "asked").withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_range", *by).orderBy("time", "asked")
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = dealt.groupBy("_range", *by).agg(F.max_by("survival", F.when(F.col("asked") == 0, F.col("time"))).alias("end"))
+    ends = ends.select("_range", *by, F.last("end", ignorenulls=True).over(before).alias("carried"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"e.{c}")) for c in ("_range", *by)]
+    told = dealt.withColumn("own", F.last("survival", ignorenulls=True).over(inside)).where("asked = 1")
+    out = told.alias("d").join(F.broadcast(ends).alias("e"), same)
+    return out.select(*(F.col(f"d.{c}") for c in by), F.col("d.time").alias("horizon"), F.coalesce("own", "carried").alias("survival")).where("survival is not null")
 
 
 def log_rank(surv: DataFrame) -> DataFrame:
@@ -334,6 +375,12 @@ def selection_stability(selected: DataFrame) -> DataFrame:
     return per.join(F.broadcast(n), F.lit(True)).select("feature", "times", (F.col("times") / F.col("n")).alias("frequency"), (F.col("times") == F.col("n")).alias("stable"))
 
 
+def selection_summary(selected: DataFrame) -> DataFrame:
+    """One row ``(n_repeats, median_size, min_size, max_size, signature_stable)`` of the sets ``(repeat, feature)``: stable where every repeat chose the same features. A null feature stands for a repeat that chose none."""
+    per = selected.groupBy("repeat").agg(F.count_distinct("feature").cast("long").alias("size"), F.array_sort(F.collect_set("feature")).alias("chosen"))
+    return per.agg(F.count("*").alias("n_repeats"), F.median("size").alias("median_size"), F.min("size").alias("min_size"), F.max("size").alias("max_size"), (F.count_distinct("chosen") == 1).alias("signature_stable"))
+
+
 def signature(coefs: DataFrame, cap: int) -> DataFrame:
     """Features with a coefficient, by its size, with ``exceeds_epv`` where there are more than ``cap``."""
     x = coefs.where("coef <> 0")

@@ -51,6 +51,11 @@ def g5(d: Data) -> DataFrame:
     return graph.network_route(d.edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "score"), d.m1, d.m1.select("feature").distinct(), 0.05)
 
 
+@query("g5_network_status", "WITH k AS (SELECT feature, sample, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS value FROM m1), p AS (SELECT x.feature AS a, y.feature AS b, corr(x.value, y.value) AS r FROM k x JOIN k y ON x.sample = y.sample AND x.feature < y.feature GROUP BY 1, 2), e AS (SELECT a, b FROM p WHERE abs(r) >= 0.05) SELECT 'fallback' AS status, 'coexpression' AS method, count(*) AS n_edges, (SELECT count(DISTINCT f) FROM (SELECT a AS f FROM e UNION ALL SELECT b FROM e)) AS n_nodes, 'not a network of known links: features whose rank correlation is at least 0.05 in size' AS caveat, CAST(NULL AS VARCHAR) AS reason FROM e")
+def g5_status(d: Data) -> DataFrame:
+    return graph.network_status(g5(d), 0.05)
+
+
 _STRONG = "str AS (SELECT a, b FROM edges WHERE score >= 2), sym AS (SELECT a, b FROM str UNION SELECT b, a FROM str), reach(a, b) AS (SELECT a, a FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a), comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a)"
 
 

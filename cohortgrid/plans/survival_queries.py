@@ -42,6 +42,13 @@ def s3(d: Data) -> DataFrame:
     return sv.signature_candidates(d.covariates, d.surv, chosen(d))
 
 
+@query("s3_modelling_status", "SELECT 'ok' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) AS n_subjects, CAST(sum(event) AS BIGINT) AS n_events, 'ranked_fallback' AS mode, 2 AS n_candidates FROM surv SEMI JOIN covariates USING (subject)")
+def s3_status(d: Data) -> DataFrame:
+    """Without significant features the two of smallest p are the candidates."""
+    test = chosen(d).select("feature", F.lit(0.0).alias("lfc"), F.length("feature").cast("double").alias("p"), F.lit(1.0).alias("adj_p"))
+    return sv.modelling_input(d.covariates, d.surv, test, fallback_n=2)[1]
+
+
 def train(d: Data) -> DataFrame:
     return sv.signature_candidates(d.covariates, d.surv, chosen(d))
 
@@ -94,6 +101,11 @@ def s8(d: Data) -> DataFrame:
     return sv.selection_stability(d.covariates.where("value > 12").select((F.col("subject") % 4).alias("repeat"), "feature").distinct())
 
 
+@query("s8_summary", "WITH sel AS (SELECT DISTINCT subject % 4 AS repeat, feature FROM covariates WHERE value > 12), per AS (SELECT repeat, count(*) AS size, string_agg(feature, ',' ORDER BY feature) AS chosen FROM sel GROUP BY 1) SELECT count(*) AS n_repeats, median(size) AS median_size, min(size) AS min_size, max(size) AS max_size, count(DISTINCT chosen) = 1 AS signature_stable FROM per")
+def s8_summary(d: Data) -> DataFrame:
+    return sv.selection_summary(d.covariates.where("value > 12").select((F.col("subject") % 4).alias("repeat"), "feature").distinct())
+
+
 @query("s9_signature", f"WITH {_SCALER}, n AS (SELECT count(*) > 2 AS exceeds_epv FROM co WHERE coef <> 0) SELECT feature, {r('coef', 'coef')}, CAST(row_number() OVER (ORDER BY abs(coef) DESC, feature) AS INT) AS place, exceeds_epv FROM co, n WHERE coef <> 0")
 def s9(d: Data) -> DataFrame:
     return sv.signature(coefs(d), 2)

@@ -612,3 +612,32 @@ def test_guards_of_cleaning(spark):
     assert matrix.detect_scale(x.limit(0)).first()["q50"] is None
     test = spark.createDataFrame([("a", 2.0, 0.01, 0.02), ("b", 3.0, 0.5, 0.9)], "feature string, lfc double, p double, adj_p double")
     assert values(testing.select_features(test), "feature", "reason") == [("a", "only 1 significant features, of at least 5"), ("b", "only 1 significant features, of at least 5")]
+
+
+def test_survival_at_many_horizons(spark):
+    rng = np.random.default_rng(14)
+    steps = {g: np.unique(np.round(rng.exponential(5, 400), 3)) for g in ("a", "b", None)}
+    curve = spark.createDataFrame([(g, float(t), 1.0 - i / 1000) for g, ts in steps.items() for i, t in enumerate(ts)], "stratum string, time double, survival double")
+    horizons = spark.range(100_000).select((F.col("id") / 4000.0).alias("horizon"))
+    got = survival.survival_at(curve, horizons).toPandas()
+    at = np.arange(100_000) / 4000.0
+    for g, ts in steps.items():
+        own = got[got.stratum.isna() if g is None else got.stratum == g].sort_values("horizon")
+        place = np.searchsorted(ts, at, "right") - 1
+        assert np.array_equal(own.horizon, at[place >= 0]) and np.allclose(own.survival, 1 - place[place >= 0] / 1000)
+
+
+def test_modelling_input_and_summaries(spark):
+    x = spark.createDataFrame([(i, f"f{j}", float(i + j)) for i in range(25) for j in range(8)], "subject int, feature string, value double")
+    s = spark.createDataFrame([(i, 1.0 + i, i % 2) for i in range(24)] + [(24, None, 1)], "subject int, time double, event int")
+    test = spark.createDataFrame([(f"f{j}", 2.0, 0.001 * j, 0.01 if j < 6 else 0.9) for j in range(9)], "feature string, lfc double, p double, adj_p double")
+    cells_, status = survival.modelling_input(x, s, test)
+    assert tuple(status.first()) == ("ok", None, 24, 12, "fdr", 6) and cells_.count() == 24 * 6
+    assert survival.modelling_input(x, s, test.withColumn("adj_p", F.lit(1.0)), fallback_n=3)[1].first()["n_candidates"] == 3
+    cells_, status = survival.modelling_input(x, s.where("subject < 5"), test)
+    assert status.first()["status"] == "too_few_subjects" and "only 5" in status.first()["reason"] and cells_.count() == 0
+    one = survival.selection_summary(spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, None)], "repeat int, feature string")).first()
+    assert tuple(one) == (3, 1.0, 0, 2, False)
+    none = spark.createDataFrame([], "a string, b string, score double, method string")
+    assert graph.network_status(none).first()["status"] == "skipped" and "0.9" in graph.network_status(none).first()["reason"]
+
