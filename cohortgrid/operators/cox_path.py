@@ -234,7 +234,8 @@ def fit_path(x: DataFrame, surv: DataFrame, fold_table: DataFrame, lambdas: Sequ
     full = cohort.whole_gradient(cohort.residuals(beta[:, :0], hazard))
     before = float(np.abs(full).max(initial=0.0))
     for lam in sorted({float(v) for v in lambdas}, reverse=True):
-        keep = (beta != 0).any(0) | (np.abs(full) >= 2 * lam - max(before, lam)).any(0)
+        # Far below the penalty before, the rule would let in most features; what it is held to here is made good by the check of all conditions.
+        keep = (beta != 0).any(0) | (np.abs(full) >= max(2 * lam - max(before, lam), 0.8 * lam)).any(0)
         while True:
             own = np.flatnonzero(keep)
             cohort.admit(own.tolist())

@@ -199,7 +199,7 @@ def test_cox_l1_path_meets_its_conditions(spark, monkeypatch):
 def test_cox_l1_path_of_many_features(spark):
     x, t, e, fold = l1_case(np.random.default_rng(7), 100, 2000, ties=False)
     cov, s, folds = l1_tables(spark, x, t, e, fold)
-    found = l1_check(survival.cox_l1_path(cov, s, folds.limit(0), [0.35]), x, t, e, np.full(100, -1), (0,), (0.35,))
+    found = l1_check(survival.cox_l1_path(cov, s, folds.limit(0), [0.4]), x, t, e, np.full(100, -1), (0,), (0.4,))
     assert 0 < (found.coef != 0).sum() < 200
 
 
