@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import average_rank
+from ..session import materialise
 from .graph import components
 from .matrix import present, top_variance
+from .subspace import large_pca
 
 
 def box_summary(measurements: DataFrame, by: tuple[str, ...] = ("sample",)) -> DataFrame:
@@ -34,18 +36,26 @@ def density_bins(measurements: DataFrame, bins: int = 32) -> DataFrame:
     return n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("sample")))
 
 
+#: Features up to which the covariance matrix is made.
+MOST_COLUMNS = 2000
+
+
 def pca(measurements: DataFrame, k: int = 3, top_n: int = 2000) -> DataFrame:
-    """``(sample, component, score, share)``: centred, unscaled components of samples over the features of most variance.
+    """``(sample, component, score, share)``: centred, unscaled components of samples over the ``top_n`` features of most variance, all where it is not positive.
 
-    Features become columns, so ``top_n`` bounds the covariance matrix; samples may be any
-    number. Features with gaps are left out. The sign is such that the largest loading is positive.
+    Up to ``MOST_COLUMNS`` features become columns with a covariance matrix; of more, no matrix is made (:func:`.subspace.large_pca`), so that features and
+    samples may be any number. Features with gaps are left out. The sign is such that the largest loading is positive. Fewer
+    features than ``k`` give as many components; an empty table, or one whose features all have gaps, gives no rows.
     """
-    cells = present(top_variance(measurements, top_n))
+    cells = materialise(present(top_variance(measurements, top_n)).select("sample", "feature", F.col("value").cast("double").alias("value")), "cells")
     n = cells.select("sample").distinct().count()
     full = cells.groupBy("feature").agg(F.count("*").alias("c"), F.avg("value").alias("mean")).where(F.col("c") == n)
     centred = cells.join(full, "feature").select("sample", "feature", (F.col("value") - F.col("mean")).alias("value"))
+    width = full.count()
+    if not width or width > MOST_COLUMNS:
+        return large_pca(materialise(centred, "centred"), k)
     wide = centred.groupBy("sample").agg(F.transform(F.array_sort(F.collect_list(F.struct("feature", "value"))), lambda x: x["value"]).alias("v")).withColumn("features", array_to_vector("v"))
-    model = PCA(k=k, inputCol="features", outputCol="scores").fit(wide)
+    model = PCA(k=min(k, width), inputCol="features", outputCol="scores").fit(wide)
     loadings, share = model.pc.toArray(), model.explainedVariance.toArray()
     sign = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(loadings.shape[1])]
     out = model.transform(wide).select("sample", vector_to_array("scores").alias("s"))

@@ -226,6 +226,37 @@ def test_pca_sign_and_scores(spark):
         assert np.allclose(got[got.component == j + 1].set_index("sample").score[[f"s{i}" for i in range(15)]], want, atol=1e-8)
 
 
+def test_pca_with_both_sides_large(spark, monkeypatch):
+    """Components of 3,000 features equal those of the SVD, also where the spectrum is flat after the leading ones, and nothing covers a covariance."""
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(60, 6)) @ np.diag([9, 7, 5, 3, 2, 1.5]) @ rng.normal(size=(6, 3000)) / 10 + rng.normal(size=(60, 3000)) * 0.3 + 4
+    monkeypatch.setattr(qc, "PCA", None)
+    wide = spark.createDataFrame([(f"s{i:02d}", [float(x) for x in m[i]]) for i in range(60)], "sample string, v array<double>")
+    long = wide.select("sample", F.posexplode("v").alias("feature", "value")).withColumn("feature", F.format_string("f%04d", "feature"))
+    got = qc.pca(long, 3, top_n=0).toPandas()
+    u, s, vt = np.linalg.svd(m - m.mean(0), full_matrices=False)
+    for j in range(3):
+        one = got[got.component == j + 1].set_index("sample").sort_index()
+        assert np.allclose(one.score, u[:, j] * s[j] * np.sign(vt[j][np.abs(vt[j]).argmax()]), atol=1e-6)
+        assert np.allclose(one.share, s[j] ** 2 / (s**2).sum(), atol=1e-9)
+
+
+def test_pca_of_small_rank_and_without_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    m = np.outer(rng.normal(size=12), rng.normal(size=30)) + np.outer(rng.normal(size=12), rng.normal(size=30))
+    x = cells(spark, {f"s{i:02d}": m[i] for i in range(12)})
+    monkeypatch.setattr(qc, "MOST_COLUMNS", 0)
+    got = qc.pca(x, 4).toPandas()
+    u, s, vt = np.linalg.svd(m - m.mean(0), full_matrices=False)
+    assert set(got.component) == {1, 2}
+    for j in range(2):
+        one = got[got.component == j + 1].set_index("sample").sort_index()
+        assert np.allclose(one.score, u[:, j] * s[j] * np.sign(vt[j][np.abs(vt[j]).argmax()]), atol=1e-8)
+    assert qc.pca(x.where("feature is null"), 2).count() == 0
+    assert qc.pca(cells(spark, {"a": (1, None), "b": (None, 2)}), 2).count() == 0
+    assert qc.pca(cells(spark, {"a": (1, 1), "b": (1, 1)}), 2).count() == 0
+
+
 def test_conditional_odds(spark):
     over = spark.createDataFrame([("a", 3, 20, 6, 5), ("b", 0, 20, 6, 5)], "source string, overlap int, n_detected int, n_targets int, n_selected int")
     got = {r.source: r.odds for r in signed.conditional_odds(over).collect()}
