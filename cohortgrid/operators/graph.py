@@ -12,13 +12,32 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+#: A node is a hub with more rows than this and than this share of all rows; so there are at most ``1 / HUB_SHARE`` of them.
+HUB_ROWS, HUB_SHARE = 100_000, 0.001
+
+
+def _with_least(rows: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """``rows`` ``(a, b)`` with the ``m`` of their ``a`` in ``least`` ``(a, m, n)``, ``n`` being the number of rows of ``a``, of ``total`` at most.
+
+    Hubs, a thousand at most, are broadcast, so that their rows stay where they are; only the rows of other nodes are shuffled to join.
+    """
+    if total <= HUB_ROWS:
+        return rows.join(least.select("a", "m"), "a")
+    limit = max(HUB_ROWS, total * HUB_SHARE)
+    hubs = least.where(F.col("n") > limit).select("a", F.col("m").alias("hub"))
+    marked = rows.join(F.broadcast(hubs), "a", "left")
+    rest = marked.where("hub is null").select("a", "b").join(least.where(F.col("n") <= limit).select("a", "m"), "a")
+    return marked.where("hub is not null").select("a", "b", F.col("hub").alias("m")).unionByName(rest.select("a", "b", "m"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components: ``(node, component)``, the component named by its smallest node.
 
     Alternating star contraction: each round hangs the larger neighbours of a node on
     the smallest node in reach, so that the rounds grow with the logarithm of the
     longest path. Every round is written to the shared folder. Self loops give a node of
-    its own, edges with a null end are ignored, repeated edges count once.
+    its own, edges with a null end are ignored, repeated edges count once. The rows of a hub are neither grouped nor joined in one task
+    (:func:`_with_least`); least neighbours are combined before their shuffle.
     """
     ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     nodes = ends.where("a = b").select(F.col("a").alias("node"))
@@ -28,10 +47,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if not state[0]:
             break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = both.groupBy("a").agg(F.least(F.min("b"), "a").alias("m"), F.count("*").alias("n"))
+        large = _with_least(both.where("b > a"), low, 2 * state[0]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        if state[0] > HUB_ROWS:  # read twice below
+            large = materialise(large, "large")
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = _with_least(large, low, state[0]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = materialise(small.unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
         before, state = state, _state(e)
         if state == before:

@@ -111,6 +111,45 @@ def test_components(spark):
     assert graph.components(path.where("a < 0")).count() == 0
 
 
+def test_components_of_hubs(spark):
+    """A star of a million leaves, whose rows no task holds, with chains on some of its leaves and a component apart."""
+    star = spark.range(1, 1_000_001).select(F.lit(500_000_000).cast("long").alias("a"), F.col("id").alias("b"))
+    chains = spark.range(1, 1001).select(F.col("id").alias("a"), (F.col("id") + 2_000_000).alias("b"))
+    apart = spark.range(3_000_000, 3_000_100).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    edges = star.unionByName(chains).unionByName(apart)
+    got = graph.components(edges).groupBy("component").agg(F.count("*").alias("n"))
+    assert values(got, "component", "n") == [(1, 1_001_001), (3_000_000, 101)]
+
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    joined = graph._with_least(both, least, 2_002_200)
+    assert joined.exceptAll(both.join(least.select("a", "m"), "a").select("a", "b", "m")).count() == 0 and joined.count() == both.count()
+    rows = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(rows) < 3 * sorted(rows)[len(rows) // 2]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_equal_search_with_hubs(spark, monkeypatch, seed):
+    """Random links, of which nodes above a low limit count as hubs, against a search by hand."""
+    monkeypatch.setattr(graph, "HUB_ROWS", 20)
+    rng = random.Random(seed)
+    links = [(rng.choice((3, 77, rng.randrange(400))), rng.randrange(400)) for _ in range(260)]
+    links += [(a, b) for a, b in ((None, 5), (6, None), (900, 900))]
+    parent = {n: n for a, b in links if a is not None and b is not None for n in (a, b)}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        if a is not None and b is not None:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    got = graph.components(spark.createDataFrame(links, "a long, b long"))
+    assert values(got, "node", "component") == sorted((n, find(n)) for n in parent)
+
+
 def test_two_group_and_moderated(spark):
     rng = np.random.default_rng(0)
     table = {f"s{i}": rng.normal(i % 2 * 2 * (np.arange(40) < 5), 1) for i in range(12)}
