@@ -45,6 +45,14 @@ def a4(d: Data) -> DataFrame:
     return readers.read_edges(d.spark, path, 2)
 
 
+@query("a4_edge_copy", "SELECT CAST(a AS VARCHAR) AS a, CAST(b AS VARCHAR) AS b, CAST(score AS INT) AS score FROM edges WHERE score >= 3")
+def a4_copy(d: Data) -> DataFrame:
+    """The stronger half of a sorted copy that starts from a score of 2."""
+    source, copy = work_path(d.spark, "edges"), work_path(d.spark, "edge_copy")
+    d.edges.write.option("sep", " ").option("header", True).option("compression", "gzip").csv(source)
+    return readers.stored_edges(d.spark, source, copy, 3, least=2)
+
+
 @query("a5_signed_sets", "SELECT source, target, sign, confidence, 'declared' AS coverage FROM (SELECT source, target, coalesce(sign, 0) AS sign, chr(65 + CAST(length(target) % 3 AS INT)) AS confidence FROM signed) WHERE confidence IN ('A', 'B')")
 def a5(d: Data) -> DataFrame:
     rows = d.signed.select("source", "target", F.coalesce("sign", F.lit(0)).cast("double").alias("mor"), F.char(65 + F.length("target") % 3).alias("confidence"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 
 def read_tagged_records(spark: SparkSession, path: str, record_tag: str) -> DataFrame:
     """``(record_id, key, value, pos)`` of text dumps in which a line ``^TAG = id`` opens a record and ``!key = value`` lines follow.
@@ -26,19 +28,44 @@ def split_tagged(records: DataFrame) -> DataFrame:
     return rows.where(F.col("line").rlike(r"^![^=]+=")).select("record_id", key.alias("key"), F.trim(value).alias("value"), F.col("pos").cast("long").alias("pos"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Lines ``(file, split, id, value)`` of text files, and ``(file, split, first, base)`` of their splits: line ``id`` is number ``base + id - first`` of its file, from 0.
+
+    Files are read in splits, whose lines have consecutive ids. The lines are written once, since ids hang on the reading. Only one row
+    for each split takes part in the numbering.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
+    lines = materialise(lines.withColumn("id", F.monotonically_increasing_id()), "lines")
+    splits = lines.groupBy("file", "split").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    return lines, materialise(splits.select("file", "split", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "splits")
+
+
 def read_block_table(spark: SparkSession, path: str, begin: str, end: str, sep: str = "\t") -> DataFrame:
     """``(file, row, fields)`` of the delimited block between two marker lines: a map from header to trimmed text.
 
-    Short rows are padded with nulls and surplus fields dropped. A file is one row here, so this is for annotation files, not for matrices.
+    A block reaches from the first line of a file that begins with the pattern ``begin`` to the next that begins with ``end``; files without
+    both have no rows. Its first line is the header, and ``row`` counts the lines from there on. Blank lines are no rows. Short rows are padded with nulls
+    and surplus fields dropped. Files may be of any size and many splits: a block is an interval of line numbers, which each
+    split is told, so that lines meet it by split and not by file.
     """
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    block = F.regexp_extract("value", rf"(?s)(?:^|\n){begin}[^\n]*\n(.*?)\n{end}", 1)
-    lines = files.select("file", F.split(block, r"\r?\n").alias("lines"))
-    head = F.split(F.get("lines", 0), sep)
-    rows = lines.select("file", head.alias("head"), F.posexplode("lines").alias("row", "line")).where((F.col("row") > 0) & (F.col("line") != ""))
-    cells = F.split("line", sep, -1)
-    fields = F.map_from_arrays(F.transform("head", F.trim), F.transform("head", lambda h, i: F.trim(F.get(cells, i))))
-    return rows.select("file", "row", fields.alias("fields"))
+    lines, splits = numbered_lines(spark, path)
+    number = F.col("base") + F.col("id") - F.col("first")
+    marks = lines.where(F.col("value").rlike(f"^(?:{begin}|{end})")).join(splits, ["file", "split"])
+    marks = materialise(marks.select("file", "split", number.alias("line"), F.col("value").rlike(f"^{begin}").alias("opens"), F.col("value").rlike(f"^{end}").alias("closes")), "marks")
+    opened = marks.where("opens").groupBy("file").agg(F.min("line").alias("begin"))
+    # The first closing line after the opening one: within a split first, then over the splits of a file.
+    spread = splits.select("file", "split").join(opened, "file")
+    closed = marks.where("closes").join(spread, ["file", "split"]).where("line > begin").groupBy("file", "split", "begin").agg(F.min("line").alias("end"))
+    blocks = closed.groupBy("file", "begin").agg(F.min("end").alias("end"))
+    parts = splits.join(blocks, "file")
+    # Headers are found once for each file, and told to its splits.
+    heads = lines.join(parts, ["file", "split"]).where((number == F.col("begin") + 1) & (number < F.col("end"))).select("file", F.split("value", sep).alias("head"))
+    parts = materialise(parts.join(heads, "file"), "blocks")
+    rows = lines.where(F.col("value") != "").join(parts, ["file", "split"]).where((number > F.col("begin") + 1) & (number < F.col("end")))
+    cells = F.split("value", sep, -1)
+    fields = F.map_from_arrays(F.transform("head", lambda h: F.trim(h)), F.transform("head", lambda h, i: F.trim(F.get(cells, i))))
+    return rows.select("file", (number - F.col("begin") - 1).cast("int").alias("row"), fields.alias("fields"))
 
 
 def wide_to_long(wide: DataFrame, id_col: str) -> DataFrame:
@@ -58,6 +85,32 @@ def read_edges(spark: SparkSession, path: str, min_score: int = 400) -> DataFram
     return rows.where(F.col("score") >= min_score)
 
 
+def write_edges(edges: DataFrame, path: str, least: int = 400, group_bytes: int = 32 << 20) -> None:
+    """A Parquet copy of the edges from score ``least`` on, sorted by score, so that files and row groups below an asked score are skipped.
+
+    Ranges of score hold about equal numbers of rows, ties being spread by their ends. ``least`` is kept with the column.
+    """
+    kept = edges.where(F.col("score") >= least).withColumn("score", F.col("score").alias("score", metadata={"least": least}))
+    kept.repartitionByRange("score", "a", "b").sortWithinPartitions("score", "a", "b").write.mode("overwrite").option("parquet.block.size", group_bytes).parquet(path)
+
+
+def stored_edges(spark: SparkSession, source: str, copy: str, min_score: int = 400, least: int = 400) -> DataFrame:
+    """``(a, b, score)`` from ``min_score`` on, read from the pre-filtered ``copy`` of the edge list ``source``, which is made where it is missing.
+
+    A score below that the copy starts from is answered by the source. A copy is not renewed when its source changes: remove it for that.
+    """
+    if min_score < least:
+        return read_edges(spark, source, min_score)
+    try:
+        stored = spark.read.parquet(copy)
+    except AnalysisException:  # no copy yet
+        write_edges(read_edges(spark, source, least), copy, least)
+        stored = spark.read.parquet(copy)
+    if min_score < stored.schema["score"].metadata.get("least", least):
+        return read_edges(spark, source, min_score)
+    return stored.where(F.col("score") >= min_score)
+
+
 def signed_sets(rows: DataFrame, confidence: Sequence[str] | None = None) -> DataFrame:
     """``(source, target, sign, confidence, coverage)`` of declared confidence levels; all where none are named."""
     kept = rows.where(F.col("confidence").isin(list(confidence))) if confidence else rows

@@ -309,6 +309,57 @@ def test_set_null_is_repeatable(spark):
     assert a == b and all(-1 <= es <= 1 and 0 < p <= 1 for _, es, p in a)
 
 
+def test_block_tables_of_many_splits(spark, tmp_path):
+    """Blocks that begin and end in different splits, with end lines before and after them, blank and short lines, and files without a whole block."""
+    rng, want = random.Random(4), set()
+    for name, (top, size) in {"a": (700, 3000), "b": (0, 40), "c": (2500, 1)}.items():
+        lines = [f"!end of nothing {i}" if i % 100 == 0 else f"!note {i} {'x' * rng.randrange(60)}" for i in range(top)] + ["!begin of table", "id\t name\tnote"]
+        for i in range(1, size + 1):
+            cells = [f"{name}{i}", f" n{i} ", "t" * rng.randrange(40)][: rng.choice((1, 2, 3, 3))]
+            lines.append("\t".join(cells + ["surplus"]) if len(cells) == 3 else "\t".join(cells))
+            if i % 50 == 7:
+                lines[-1] = ""
+                continue
+            padded = [c.strip() for c in cells] + [None] * (3 - len(cells))
+            want.add((name, i, *padded))
+        lines += ["!end", "!begin", "id\tother", "1\t2", "!end"] + [f"after {i}" for i in range(900)]
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    (tmp_path / "open.txt").write_text("!end\n!begin\nid\n1\n")
+    (tmp_path / "none.txt").write_text("id\n1\n")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "bare.txt").write_text("!begin\n!end\n")
+    asked = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(k) for k in asked]
+    try:
+        for k, v in zip(asked, ("16384", "1024")):
+            spark.conf.set(k, v)
+        assert spark.read.text(str(tmp_path / "a.txt")).rdd.getNumPartitions() > 4
+        got = readers.read_block_table(spark, str(tmp_path), "!begin", "!end").collect()
+    finally:
+        for k, v in zip(asked, old):
+            spark.conf.set(k, v)
+    found = [(r.file.rsplit("/", 1)[1][:-4], r.row, r.fields["id"], r.fields["name"], r.fields["note"]) for r in got]
+    assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_edge_copy_is_pruned_by_score(spark, tmp_path):
+    """Of a sorted copy only the rows of few row groups are read for a high score; lower scores than the copy holds come from the source."""
+    source, copy = str(tmp_path / "source"), str(tmp_path / "copy")
+    edges = spark.range(200_000).select(F.concat(F.lit("n"), F.col("id")).alias("a"), F.concat(F.lit("m"), F.col("id") * 7).alias("b"), (F.abs(F.xxhash64("id")) % 1000).cast("int").alias("score"))
+    edges.write.option("sep", " ").option("header", True).option("compression", "gzip").csv(source)
+    high = readers.stored_edges(spark, source, copy, 950)
+    rows = high.collect()
+    assert len(rows) == edges.where("score >= 950").count() and min(r.score for r in rows) == 950
+    read = high._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+    stored = spark.read.parquet(copy)
+    assert stored.agg(F.min("score")).first()[0] == 400 and len(rows) <= read < stored.count() / 3
+    assert readers.stored_edges(spark, source, copy, 100).count() == edges.where("score >= 100").count()
+    # The copy starts from 400, whatever a later call says.
+    assert readers.stored_edges(spark, source, copy, 200, least=200).count() == edges.where("score >= 200").count()
+    readers.write_edges(edges.where("score is null"), str(tmp_path / "no"), 400)
+    assert readers.stored_edges(spark, source, str(tmp_path / "no"), 500).count() == 0
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "soft").mkdir()
     (tmp_path / "soft/a.txt").write_text("^SAMPLE = S1\n!age = 3\n!note = a = b\n^SAMPLE = S2\n!age = 4\n")
