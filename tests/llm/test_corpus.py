@@ -96,6 +96,26 @@ def library_ids(df, name):
     return {r.doc_id: np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4") for r in df.collect()}
 
 
+def test_lookup_reads_row_groups(spark):
+    """A document is found by reading the row group that holds it, of 8; ids between those written are ruled out by Bloom filters."""
+    docs = spark.range(8000).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    path = work_path(spark, "lookup")
+    token_ids.write_token_ids(docs, path, public_tokenizers.path("byte_bpe_50k.json"), partitions=2)
+
+    def read(doc_id):
+        found = token_ids.lookup(spark, path, doc_id)
+        rows = found.collect()
+        return len(rows), found._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    for doc_id in (0, 2468, 9000, 15998):
+        n, scanned = read(doc_id)
+        assert n == 1 and 1 <= scanned <= 1000
+    absent = [read(doc_id) for doc_id in range(501, 15000, 1000)]
+    assert all(n == 0 for n, _ in absent) and sum(scanned for _, scanned in absent) <= 2000
+    assert read(-5) == (0, 0) and read(90_000) == (0, 0)
+
+
+
 def test_token_ids(spark):
     df = edge_documents(spark)
     ids = library_ids(df, "byte_bpe_50k.json")
