@@ -42,7 +42,9 @@ def is_refseq(col: Column) -> Column:
 
 
 def route_coverage(features: DataFrame, routes: Mapping[str, tuple[Column, DataFrame]]) -> DataFrame:
-    """``(route, position, n, covered, coverage, n_targets)``: each route looks up a key expression in a table ``(key, target)``."""
+    """``(route, position, n, covered, coverage, n_targets)``: each route looks up a key expression in a table ``(key, target)``; no routes give no rows."""
+    if not routes:
+        return features.sparkSession.createDataFrame([], "route string, position int, n long, covered long, n_targets long, coverage double")
     parts = []
     for i, (name, (key, table)) in enumerate(routes.items()):
         found = features.withColumn("key", key).join(first_wins(table, ["key"], "target").select("key", "target"), "key", "left")

@@ -128,9 +128,9 @@ def find_endpoints(profile: DataFrame, event_values: Sequence[str], attrs: DataF
     """``(event, time, shared_words, events, cap10, cap5)``: event columns, whose values are all of ``event_values``, paired with the time column that shares most words of more than 3 letters."""
     n = F.col("present") + F.col("missing")
     ok = profile.where(F.col("present") >= n * min_cover)
-    values = attrs.groupBy("key").agg(F.collect_set(F.lower("value")).alias("values"), F.count_if(F.lower("value").isin([v.lower() for v in event_values[:1]])).alias("events"))
-    allowed = F.array(*(F.lit(v.lower()) for v in event_values))
-    events = ok.join(values, "key").where((F.size(F.array_except("values", allowed)) == 0)).select(F.col("key").alias("event"), "events")
+    is_in = lambda allowed: F.lower("value").isin([v.lower() for v in allowed])
+    values = attrs.groupBy("key").agg(F.count_if(~is_in(event_values)).alias("others"), F.count_if(is_in(event_values[:1])).alias("events"))
+    events = ok.join(values, "key").where("others = 0").select(F.col("key").alias("event"), "events")
     times = ok.where(F.col("is_numeric") & F.col("key").rlike(time_re)).select(F.col("key").alias("time"))
     words = lambda c: F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: F.length(w) > 3)
     pairs = events.join(F.broadcast(times), F.col("event") != F.col("time")).withColumn("shared_words", F.size(F.array_intersect(words("event"), words("time"))))

@@ -126,7 +126,9 @@ def overlap_test(selected: DataFrame, sets: DataFrame, universe: DataFrame, min_
 
 
 def stack_common(frames: list[DataFrame]) -> DataFrame:
-    """Rows of all frames on the columns they share, in the order of the first."""
+    """Rows of all frames on the columns they share, in the order of the first; of no frames there are no columns, so that is an error."""
+    if not frames:
+        raise ValueError("no tables to stack")
     shared = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
     out = frames[0].select(shared)
     for f in frames[1:]:

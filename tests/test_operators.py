@@ -296,6 +296,23 @@ def test_pca_of_small_rank_and_without_rows(spark, monkeypatch):
     assert qc.pca(cells(spark, {"a": (1, 1), "b": (1, 1)}), 2).count() == 0
 
 
+def test_endpoints_have_event_values_only(spark):
+    rows = [(s, k, v) for s, (dead, odd) in enumerate([("Yes", "yes"), ("no", "no"), ("YES", "unknown"), (None, None)]) for k, v in (("overall death", dead), ("other death", odd), ("overall days", str(s)))]
+    attrs = spark.createDataFrame(rows, "sample int, key string, value string").withColumn("sample", F.col("sample").cast("string"))
+    profile = spark.createDataFrame([("overall death", 3, 1, False), ("other death", 3, 1, False), ("overall days", 4, 0, True)], "key string, present long, missing long, is_numeric boolean")
+    got = samples.find_endpoints(profile, ["yes", "no"], attrs)
+    assert values(got, "event", "time", "shared_words", "events") == [("overall death", "overall days", 1, 2)]
+
+
+def test_nothing_to_stack_or_route(spark):
+    with pytest.raises(ValueError, match="no tables"):
+        sets.stack_common([])
+    features = spark.createDataFrame([("a",)], "feature string")
+    none = matrix.route_coverage(features, {})
+    one = matrix.route_coverage(features, {"own": (F.col("feature"), spark.createDataFrame([("a", "x")], "key string, target string"))})
+    assert none.count() == 0 and {(f.name, f.dataType) for f in none.schema} == {(f.name, f.dataType) for f in one.schema}
+
+
 def test_conditional_odds(spark):
     over = spark.createDataFrame([("a", 3, 20, 6, 5), ("b", 0, 20, 6, 5)], "source string, overlap int, n_detected int, n_targets int, n_selected int")
     got = {r.source: r.odds for r in signed.conditional_odds(over).collect()}
