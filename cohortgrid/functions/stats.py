@@ -276,6 +276,35 @@ def global_running(df: DataFrame, order: Column, sums: dict[str, Column | str] |
     return out.withColumns(joined).drop("_range", *(f"_to_{k}" for k in asked))
 
 
+def deal_groups(df: DataFrame, by: list[str], order: str, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt by ranges of ``by`` and ``order`` and written, with the range in ``_range``: a group of any size is cut into ranges, equal rows of it share one."""
+    from ..session import materialise
+
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(df.repartitionByRange(n, *by, order).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def group_running(dealt: DataFrame, by: list[str], order: str, sums: dict[str, Column | str], down: bool = False) -> DataFrame:
+    """Running sums in ``order`` (from the end where ``down``) within each group of a table from :func:`deal_groups`, rows of equal order at their common end.
+
+    A group that goes on in a further range finds there what its earlier ranges come to. Only the first group of a range can have begun before it (the
+    last one, where ``down``), so at most one row for each range is broadcast.
+    """
+    column = lambda v: F.col(v) if isinstance(v, str) else v
+    way = F.col(order).desc() if down else F.col(order).asc()
+    ranges = F.col("_range").desc() if down else F.col("_range").asc()
+    inside = Window.partitionBy("_range", *by).orderBy(way)
+    earlier = Window.partitionBy(*by).orderBy(ranges).rowsBetween(Window.unboundedPreceding, -1)
+    whole = dealt.groupBy("_range", *by).agg(*(F.sum(column(v)).alias(f"_of_{k}") for k, v in sums.items()), F.lit(1).alias("_one"))
+    carried = whole.select("_range", *by, F.sum("_one").over(earlier).alias("_before"), *(F.sum(f"_of_{k}").over(earlier).alias(f"_to_{k}") for k in sums)).where("_before > 0").drop("_before")
+    out = dealt.withColumns({k: F.sum(column(v)).over(inside) for k, v in sums.items()})
+    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("_range", *by)]
+    joined = out.alias("o").join(F.broadcast(carried).alias("c"), same, "left")
+    # A sum of nothing but nulls is null; what was carried to it still counts.
+    total = lambda k: F.when(F.col(f"o.{k}").isNull(), F.col(f"c._to_{k}")).otherwise(F.col(f"o.{k}") + F.coalesce(f"c._to_{k}", F.lit(0)))
+    return joined.select(*(total(c).alias(c) if c in sums else F.col(f"o.{c}") for c in out.columns))
+
+
 def adjust_distinct(each: DataFrame) -> DataFrame:
     """``(_p, _low)`` of different p-values ``_p`` that ``_n`` rows have each: dealt by range once, ranks carried upward and minima downward over the ranges."""
     from ..session import materialise

@@ -1,7 +1,7 @@
 """Survival: tables ``(subject, time, event)``, risks ``(subject, risk)``, covariates long ``(subject, feature, value)``.
 
-Cumulative sums run over distinct times, which a grouped sum makes first, and windows are
-split by stratum, feature or model.
+Cumulative sums run over distinct times, which a grouped sum makes first, in ranges of stratum or
+feature and time, so that neither few strata nor one feature with very many times is a single task.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_quantiles, global_running
+from ..functions.stats import deal_groups, exact_quantiles, global_running, group_running
 from ..session import materialise
 
 #: The normal quantile of 0.975.
@@ -151,16 +151,15 @@ def risk_strata(risk: DataFrame, cutoff: DataFrame) -> DataFrame:
 
 
 def kaplan_meier(surv: DataFrame, by: Sequence[str] = ("stratum",)) -> DataFrame:
-    """``(by.., time, n_risk, events, censored, survival)``, one row for each distinct time and a start at (0, 1)."""
+    """``(by.., time, n_risk, events, censored, survival)``, one row for each distinct time and a start at (0, 1); no subjects give no rows."""
     by = list(by)
     per = surv.where("time is not null and event is not null").groupBy(*by, "time").agg(F.count("*").alias("n"), F.sum("event").cast("long").alias("events"))
-    down, up = Window.partitionBy(*by).orderBy(F.col("time").desc()), Window.partitionBy(*by).orderBy("time")
-    per = per.withColumn("n_risk", F.sum("n").over(down))
-    step = 1 - F.col("events") / F.col("n_risk")
+    per = group_running(deal_groups(per, by, "time"), by, "time", {"n_risk": "n"}, down=True)
     # A step to zero has no logarithm; from there on survival is zero.
-    log = F.sum(F.when(step > 0, F.log(step)).otherwise(0.0)).over(up)
-    gone = F.max((step <= 0).cast("int")).over(up) == 1
-    per = per.select(*by, "time", "n_risk", "events", (F.col("n") - F.col("events")).alias("censored"), F.when(gone, 0.0).otherwise(F.exp(log)).alias("survival"))
+    step = 1 - F.col("events") / F.col("n_risk")
+    per = per.withColumns({"log": F.when(step > 0, F.log(step)).otherwise(0.0), "end": (step <= 0).cast("int")})
+    per = group_running(per, by, "time", {"logs": "log", "ends": "end"})
+    per = per.select(*by, "time", "n_risk", "events", (F.col("n") - F.col("events")).alias("censored"), F.when(F.col("ends") > 0, 0.0).otherwise(F.exp("logs")).alias("survival"))
     zero = F.lit(0).cast("long")
     start = per.groupBy(*by).agg(F.max("n_risk").alias("n_risk")).select(*by, F.lit(0.0).alias("time"), "n_risk", zero.alias("events"), zero.alias("censored"), F.lit(1.0).alias("survival"))
     return start.unionByName(per)
@@ -227,8 +226,8 @@ def cox_terms(x: DataFrame, surv: DataFrame, betas: DataFrame) -> DataFrame:
     dead = F.col("event") == 1
     sums = {"s0": e, "s1": e * F.col("value"), "s2": e * F.col("value") * F.col("value")}
     per = r.groupBy("feature", "time", "beta").agg(*(F.sum(v).alias(k) for k, v in sums.items()), *(F.coalesce(F.sum(F.when(dead, v)), F.lit(0.0)).alias(f"d{k[1]}") for k, v in sums.items()), F.sum(F.col("event") * F.col("w")).cast("int").alias("d"), F.coalesce(F.sum(F.when(dead, F.col("w") * F.col("value"))), F.lit(0.0)).alias("xd"))
-    down = Window.partitionBy("feature").orderBy(F.col("time").desc())
-    per = per.withColumns({k: F.sum(k).over(down) for k in sums}).where("d > 0")
+    per = per.withColumnsRenamed({k: f"own_{k}" for k in sums})
+    per = group_running(deal_groups(per, ["feature"], "time"), ["feature"], "time", {k: f"own_{k}" for k in sums}, down=True).where("d > 0")
     per = per.withColumn("l", F.explode(F.sequence(F.lit(0), F.col("d") - 1)))
     part = F.col("l") / F.col("d")
     a0, a1, a2 = (F.col(f"s{i}") - part * F.col(f"d{i}") for i in range(3))
@@ -251,17 +250,18 @@ def cox_univariate(x: DataFrame, surv: DataFrame, rounds: int = 6) -> DataFrame:
 
 
 def schoenfeld(x: DataFrame, surv: DataFrame, betas: DataFrame) -> DataFrame:
-    """``(feature, time, residual)`` at each event: the covariate less its mean over the risk set (Breslow)."""
-    r = x.join(surv.select("subject", "time", "event"), "subject").join(betas.select("feature", "beta"), "feature").withColumn("e", F.exp(F.col("beta") * F.col("value")))
-    per = r.groupBy("feature", "time").agg(F.sum("e").alias("s0"), F.sum(F.col("e") * F.col("value")).alias("s1"))
-    down = Window.partitionBy("feature").orderBy(F.col("time").desc())
-    per = per.select("feature", "time", (F.sum("s1").over(down) / F.sum("s0").over(down)).alias("mean"))
-    return r.where("event = 1").join(per, ["feature", "time"]).select("feature", "subject", "time", (F.col("value") - F.col("mean")).alias("residual"))
+    """``(feature, subject, time, residual, rank)`` at each event: the covariate less its mean over the risk set (Breslow), and the rank of the time among the feature's events, equal times at the first place."""
+    r = x.join(surv.select("subject", "time", "event").where("time is not null and event is not null"), "subject").join(betas.select("feature", "beta"), "feature").withColumn("e", F.exp(F.col("beta") * F.col("value")))
+    per = r.groupBy("feature", "time").agg(F.sum("e").alias("own_s0"), F.sum(F.col("e") * F.col("value")).alias("own_s1"), F.sum("event").cast("long").alias("d"))
+    per = group_running(deal_groups(per, ["feature"], "time"), ["feature"], "time", {"s0": "own_s0", "s1": "own_s1"}, down=True)
+    per = group_running(per, ["feature"], "time", {"upto": "d"})
+    per = per.where("d > 0").select("feature", "time", (F.col("s1") / F.col("s0")).alias("mean"), (F.col("upto") - F.col("d") + 1).cast("double").alias("rank"))
+    return r.where("event = 1").join(per, ["feature", "time"]).select("feature", "subject", "time", (F.col("value") - F.col("mean")).alias("residual"), "rank")
 
 
 def proportional_hazards_test(x: DataFrame, surv: DataFrame, betas: DataFrame) -> DataFrame:
     """``(feature, n_events, rho, chi2, p, verdict)``: correlation of Schoenfeld residuals with the rank of time, each feature in its own model."""
-    res = schoenfeld(x, surv, betas).withColumn("rank", F.rank().over(Window.partitionBy("feature").orderBy("time")).cast("double"))
+    res = schoenfeld(x, surv, betas)
     one = res.groupBy("feature").agg(F.count("*").alias("n_events"), F.corr("rank", "residual").alias("rho"))
     one = one.withColumn("chi2", F.col("n_events") * F.pow("rho", F.lit(2)))
     return with_chi2_p(one).withColumn("verdict", F.when(F.col("p") < 0.05, "violated").otherwise("holds"))

@@ -779,3 +779,53 @@ def test_modelling_input_and_summaries(spark):
     none = spark.createDataFrame([], "a string, b string, score double, method string")
     assert graph.network_status(none).first()["status"] == "skipped" and "0.9" in graph.network_status(none).first()["reason"]
 
+
+
+@pytest.mark.parametrize("down", [False, True])
+def test_group_running_over_ranges(spark, down):
+    """One group holds most rows and spans ranges; null is a group, and sums of nulls alone stay null."""
+    rng = random.Random(35)
+    rows = [(rng.choice([None, "a", *["hot"] * 6, "z"]), rng.randrange(40), rng.choice([None, 1, 2, 5])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, o int, v int").groupBy("g", "o").agg(F.sum("v").alias("v"))
+    dealt = stats.deal_groups(df, ["g"], "o", 9)
+    assert dealt.where("g = 'hot'").select("_range").distinct().count() > 2
+    got = stats.group_running(dealt, ["g"], "o", {"s": "v", "n": F.lit(1)}, down).collect()
+    assert len(got) == df.count()
+    for x in got:
+        upto = [r.v for r in got if r.g == x.g and (r.o >= x.o if down else r.o <= x.o)]
+        known = [v for v in upto if v is not None]
+        assert x.n == len(upto) and x.s == (sum(known) if known else None)
+    assert stats.group_running(stats.deal_groups(df.limit(0), ["g"], "o"), ["g"], "o", {"s": "v"}).count() == 0
+
+
+def test_kaplan_meier_of_strata_by_brute_force(spark):
+    rng = np.random.default_rng(36)
+    rows = [("ab"[int(rng.random() < 0.1)], float(t), int(e)) for t, e in zip(rng.integers(1, 60, 500), rng.random(500) < 0.6)]
+    got = survival.kaplan_meier(spark.createDataFrame(rows, "stratum string, time double, event int")).collect()
+    for s in "ab":
+        own = [(t, e) for g, t, e in rows if g == s]
+        left, want = 1.0, [(0.0, len(own), 0, 0, 1.0)]
+        for t in sorted({t for t, _ in own}):
+            n, d, c = sum(u >= t for u, _ in own), sum(u == t and e for u, e in own), sum(u == t and not e for u, e in own)
+            left *= 1 - d / n
+            want.append((t, n, d, c, left))
+        found = sorted((r.time, r.n_risk, r.events, r.censored, r.survival) for r in got if r.stratum == s)
+        assert np.allclose(np.array(found, float), np.array(want, float))
+    assert survival.kaplan_meier(spark.createDataFrame([], "stratum string, time double, event int")).count() == 0
+
+
+def test_schoenfeld_residuals_by_brute_force(spark):
+    rng = np.random.default_rng(37)
+    x, t, e = rng.normal(size=(2, 80)), rng.integers(1, 25, 80).astype(float), (rng.random(80) < 0.7).astype(int)
+    cells_ = spark.createDataFrame([(i, f"f{j}", float(x[j, i])) for i in range(80) for j in range(2)], "subject int, feature string, value double")
+    table = spark.createDataFrame([(i, float(t[i]), int(e[i])) for i in range(80)], "subject int, time double, event int")
+    betas = spark.createDataFrame([("f0", 0.3), ("f1", -0.4)], "feature string, beta double")
+    got = {(r.feature, r.subject): r for r in survival.schoenfeld(cells_, table, betas).collect()}
+    assert len(got) == 2 * e.sum()
+    for j, beta in enumerate((0.3, -0.4)):
+        w = np.exp(beta * x[j])
+        for i in np.flatnonzero(e):
+            risk = t >= t[i]
+            r = got[f"f{j}", int(i)]
+            assert math.isclose(r.residual, x[j, i] - (w * x[j])[risk].sum() / w[risk].sum(), abs_tol=1e-9)
+            assert r.rank == 1 + ((t < t[i]) & (e == 1)).sum()
