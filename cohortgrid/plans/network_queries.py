@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph, modules, qc
 from .bindings import Data
-from .registry import query, r
+from .registry import bh, query, r, t_p
 
 
 def nodes(d: Data) -> DataFrame:
@@ -46,12 +46,15 @@ def g4(d: Data) -> DataFrame:
     return graph.coexpression_edges(d.m1, d.m1, 0.05)
 
 
-@query("g5_network_route")
+_CO = "k AS (SELECT feature, sample, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS value FROM m1), p AS (SELECT x.feature AS a, y.feature AS b, corr(x.value, y.value) AS r FROM k x JOIN k y ON x.sample = y.sample AND x.feature < y.feature GROUP BY 1, 2), e AS (SELECT a, b, r FROM p WHERE abs(r) >= 0.05)"
+
+
+@query("g5_network_route", f"WITH {_CO} SELECT a, b, CAST(round(abs(r) * 1000) AS DOUBLE) AS score, 'coexpression' AS method FROM e")
 def g5(d: Data) -> DataFrame:
     return graph.network_route(d.edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "score"), d.m1, d.m1.select("feature").distinct(), 0.05)
 
 
-@query("g5_network_status", "WITH k AS (SELECT feature, sample, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS value FROM m1), p AS (SELECT x.feature AS a, y.feature AS b, corr(x.value, y.value) AS r FROM k x JOIN k y ON x.sample = y.sample AND x.feature < y.feature GROUP BY 1, 2), e AS (SELECT a, b FROM p WHERE abs(r) >= 0.05) SELECT 'fallback' AS status, 'coexpression' AS method, count(*) AS n_edges, (SELECT count(DISTINCT f) FROM (SELECT a AS f FROM e UNION ALL SELECT b FROM e)) AS n_nodes, 'not a network of known links: features whose rank correlation is at least 0.05 in size' AS caveat, CAST(NULL AS VARCHAR) AS reason FROM e")
+@query("g5_network_status", f"WITH {_CO} SELECT 'fallback' AS status, 'coexpression' AS method, count(*) AS n_edges, (SELECT count(DISTINCT f) FROM (SELECT a AS f FROM e UNION ALL SELECT b FROM e)) AS n_nodes, 'not a network of known links: features whose rank correlation is at least 0.05 in size' AS caveat, CAST(NULL AS VARCHAR) AS reason FROM e")
 def g5_status(d: Data) -> DataFrame:
     return graph.network_status(g5(d), 0.05)
 
@@ -74,12 +77,25 @@ def g7(d: Data) -> DataFrame:
     return graph.thin(d.edges, 20, 60)
 
 
-@query("g8_communities")
+def _labels(rounds: int) -> str:
+    """SQL of so many rounds of label propagation, each node with a link of its own largest weight, as tables ``c0, c1, ..``."""
+    parts = ["one AS (SELECT a, b, score FROM edges UNION ALL SELECT b, a, score FROM edges)", "links AS MATERIALIZED (SELECT * FROM one UNION ALL SELECT a, a, max(score) FROM one GROUP BY a)", "c0 AS MATERIALIZED (SELECT DISTINCT a AS node, a AS label FROM links)"]
+    for i in range(rounds):
+        parts.append(f"w{i} AS (SELECT a, label, sum(score) AS w FROM links JOIN c{i} ON b = node GROUP BY 1, 2)")
+        parts.append(f"c{i + 1} AS MATERIALIZED (SELECT a AS node, label FROM w{i} QUALIFY row_number() OVER (PARTITION BY a ORDER BY w DESC, label) = 1)")
+    sizes = f"lz AS (SELECT label, count(*) AS size FROM c{rounds} GROUP BY label), lk AS (SELECT *, row_number() OVER (ORDER BY size DESC, label) AS k FROM lz)"
+    return ", ".join(parts) + f", {sizes}, com AS MATERIALIZED (SELECT node, CASE WHEN k <= 4 THEN CAST(k AS VARCHAR) ELSE 'other' END AS community, size FROM c{rounds} JOIN lk USING (label))"
+
+
+@query("g8_communities", f"WITH {_labels(10)} SELECT node, community, size FROM com")
 def g8(d: Data) -> DataFrame:
     return graph.communities(d.edges)
 
 
-@query("g8_modularity")
+_DIV = "mm AS (SELECT sum(score) AS m FROM edges), ins AS (SELECT coalesce(sum(score) FILTER (x.community = y.community), 0) AS inside FROM edges JOIN com x ON x.node = a JOIN com y ON y.node = b), kn AS (SELECT community, sum(score) AS k FROM (SELECT a AS node, score FROM edges UNION ALL SELECT b, score FROM edges) JOIN com USING (node) GROUP BY 1), kq AS (SELECT sum(k * 1.0 * k) AS kk FROM kn)"
+
+
+@query("g8_modularity", f"WITH {_labels(10)}, {_DIV} SELECT {r('inside / m - kk / pow(2 * m, 2)', 'modularity')} FROM mm, ins, kq")
 def g8_modularity(d: Data) -> DataFrame:
     return graph.modularity(d.edges, graph.communities(d.edges))
 
@@ -121,7 +137,17 @@ def m1_gates(d: Data) -> DataFrame:
     return modules.input_gates(d.m1)
 
 
-@query("m2_good_samples")
+def _good(rounds: int) -> str:
+    """SQL of so many rounds of dropping features and samples with gaps in more than half, as tables ``x0, x1, ..``."""
+    parts = ["x0 AS MATERIALIZED (SELECT feature, sample, value FROM m2)"]
+    for i in range(rounds):
+        parts.append(f"f{i} AS MATERIALIZED (SELECT feature FROM x{i} GROUP BY feature HAVING count(*) >= (SELECT count(DISTINCT sample) FROM x{i}) * 0.5 AND var_samp(value) > 0)")
+        parts.append(f"y{i} AS MATERIALIZED (SELECT * FROM x{i} SEMI JOIN f{i} USING (feature))")
+        parts.append(f"x{i + 1} AS MATERIALIZED (SELECT * FROM y{i} WHERE sample IN (SELECT sample FROM y{i} GROUP BY sample HAVING count(*) >= (SELECT count(*) FROM f{i}) * 0.5))")
+    return ", ".join(parts)
+
+
+@query("m2_good_samples", f"WITH {_good(10)} SELECT feature, sample, {r('value', 'value')} FROM x10")
 def m2(d: Data) -> DataFrame:
     return modules.good_samples_features(d.m2)
 
@@ -149,12 +175,18 @@ def named(d: Data) -> DataFrame:
     return modules.modules(feature_pairs(d), 4, 3, 0.97)
 
 
-@query("m6_topological_overlap", f"WITH w AS (SELECT a, b, pow((1 + r) / 2, 4) AS w FROM fsym WHERE pow((1 + r) / 2, 4) >= 0.01), k AS (SELECT a, sum(w) AS k FROM w GROUP BY a), l AS (SELECT x.b AS a, y.b AS b, sum(x.w * y.w) AS l FROM w x JOIN w y ON x.a = y.a AND x.b < y.b GROUP BY 1, 2) SELECT w.a, w.b, {r('(coalesce(l, 0.0) + w) / (least(ka.k, kb.k) + 1 - w)', 'tom')} FROM w LEFT JOIN l ON l.a = w.a AND l.b = w.b JOIN k ka ON ka.a = w.a JOIN k kb ON kb.a = w.b WHERE w.a < w.b")
+_TOM = "w AS (SELECT a, b, pow((1 + r) / 2, 4) AS w FROM fsym WHERE pow((1 + r) / 2, 4) >= 0.01), k AS (SELECT a, sum(w) AS k FROM w GROUP BY a), l AS (SELECT x.b AS a, y.b AS b, sum(x.w * y.w) AS l FROM w x JOIN w y ON x.a = y.a AND x.b < y.b GROUP BY 1, 2)"
+
+
+@query("m6_topological_overlap", f"WITH {_TOM} SELECT w.a, w.b, {r('(coalesce(l, 0.0) + w) / (least(ka.k, kb.k) + 1 - w)', 'tom')} FROM w LEFT JOIN l ON l.a = w.a AND l.b = w.b JOIN k ka ON ka.a = w.a JOIN k kb ON kb.a = w.b WHERE w.a < w.b")
 def m6_tom(d: Data) -> DataFrame:
     return modules.topological_overlap(feature_pairs(d), 4)
 
 
-@query("m6_modules")
+_OVER = "tom AS MATERIALIZED (SELECT w.a, w.b, (coalesce(l, 0.0) + w) / (least(ka.k, kb.k) + 1 - w) AS tom FROM w LEFT JOIN l ON l.a = w.a AND l.b = w.b JOIN k ka ON ka.a = w.a JOIN k kb ON kb.a = w.b WHERE w.a < w.b), cut AS (SELECT quantile_cont(tom, 0.97) AS cut FROM tom), hi AS MATERIALIZED (SELECT a, b FROM tom, cut WHERE tom >= cut), hs AS MATERIALIZED (SELECT a, b FROM hi UNION SELECT b, a FROM hi), reach(a, b) AS (SELECT a, a FROM hs UNION SELECT reach.a, hs.b FROM reach JOIN hs ON reach.b = hs.a), cp AS (SELECT a AS feature, min(b) AS component FROM reach GROUP BY a), cs AS (SELECT component, row_number() OVER (ORDER BY count(*) DESC, component) AS module FROM cp GROUP BY component HAVING count(*) >= 3)"
+
+
+@query("m6_modules", f"WITH {_TOM}, {_OVER} SELECT feature, CAST(coalesce(module, 0) AS INT) AS module FROM (SELECT DISTINCT feature FROM m1) LEFT JOIN cp USING (feature) LEFT JOIN cs USING (component)", recursive=True)
 def m6(d: Data) -> DataFrame:
     return named(d)
 
@@ -177,12 +209,24 @@ def m8(d: Data) -> DataFrame:
     return modules.module_sizes(given(d))
 
 
-@query("m9_eigen_profiles")
+def _power(rounds: int) -> str:
+    """SQL of so many power iterations for the first component of each module, and the signed profiles as table ``eig``."""
+    z = "z AS MATERIALIZED (SELECT module, feature, sample, CASE WHEN stddev_samp(value) OVER w > 0 THEN (value - avg(value) OVER w) / stddev_samp(value) OVER w ELSE 0.0 END AS value FROM m1 JOIN mods USING (feature) WHERE module > 0 WINDOW w AS (PARTITION BY feature))"
+    norm = lambda v: f"SELECT module, sample, v / l AS v FROM (SELECT module, sample, v, sqrt(sum(v * v) OVER (PARTITION BY module)) AS l FROM ({v})) WHERE l > 0"
+    parts = [_MODS, z, "mean0 AS MATERIALIZED (SELECT module, sample, avg(value) AS v FROM z GROUP BY 1, 2)", f"v0 AS MATERIALIZED ({norm('FROM mean0')})"]
+    for i in range(rounds):
+        parts.append(f"u{i} AS MATERIALIZED (SELECT module, feature, sum(value * v) AS u FROM z JOIN v{i} USING (module, sample) GROUP BY 1, 2)")
+        new = f"SELECT module, sample, sum(value * u) AS v FROM z JOIN u{i} USING (module, feature) GROUP BY 1, 2"
+        parts.append(f"v{i + 1} AS MATERIALIZED ({norm(new)})")
+    return ", ".join(parts) + f", sg AS (SELECT module, CASE WHEN sum(p.v * mean0.v) < 0 THEN -1.0 ELSE 1.0 END AS s FROM v{rounds} p JOIN mean0 USING (module, sample) GROUP BY 1), eig AS MATERIALIZED (SELECT module, sample, v * s AS value FROM v{rounds} JOIN sg USING (module))"
+
+
+@query("m9_eigen_profiles", f"WITH {_power(30)} SELECT module, sample, {r('value', 'value')} FROM eig")
 def m9(d: Data) -> DataFrame:
     return modules.eigen_profiles(d.m1, given(d))
 
 
-@query("m10_membership")
+@query("m10_membership", f"WITH {_power(30)}, kms AS (SELECT module, feature, corr(m1.value, eig.value) AS kme FROM m1 JOIN mods USING (feature) JOIN eig USING (module, sample) GROUP BY 1, 2) SELECT module, feature, {r('kme', 'kme')}, CAST(row_number() OVER (PARTITION BY module ORDER BY kme DESC, feature) AS INT) AS place FROM kms")
 def m10(d: Data) -> DataFrame:
     x = d.m1
     return modules.membership(x, modules.eigen_profiles(x, given(d)), given(d))
@@ -205,7 +249,10 @@ def m11(d: Data) -> DataFrame:
     return modules.module_trait(profile(d), traits(d))
 
 
-@query("m11_module_trait_p")
+_MT = f"{_PROF}, tt AS (SELECT module, trait, n, r * sqrt((n - 2) / (1 - r * r)) AS t FROM mt), pv AS (SELECT module, trait, {t_p('t', '(n - 2)')} AS p FROM tt)"
+
+
+@query("m11_module_trait_p", f"WITH {_MT} SELECT module, trait, {r('p', 'p')}, {r('adj_p', 'adj_p')} FROM ({bh('pv')})")
 def m11_p(d: Data) -> DataFrame:
     return modules.with_p(modules.module_trait(profile(d), traits(d))).select("module", "trait", "p", "adj_p")
 

@@ -1,7 +1,7 @@
 """All queries of the library proper, with their SQL.
 
-P-values of the t, chi-square and normal distributions have no SQL; queries that only order or adjust
-p-values take ``rough_p`` of the statistic, which both engines can compute.
+DuckDB lacks the t, chi-square and normal distributions; their SQL here is a power series. Queries that only
+order or adjust p-values take ``rough_p`` of the statistic, which both engines have.
 """
 
 from __future__ import annotations
@@ -38,6 +38,28 @@ def query(name: str, sql: str | None = None, recursive: bool = False):
     return add
 
 
+def chi2_p(x: str, df: int = 1) -> str:
+    """SQL of the chi-square tail beyond ``x``: one less the series of the lower incomplete gamma function."""
+    h = f"(({x}) / 2)"
+    series = f"list_sum([exp(({df} / 2.0 + step_) * ln({h}) - {h} - lgamma({df} / 2.0 + step_ + 1)) FOR step_ IN range(0, CAST({h} * 3 AS BIGINT) + 200)])"
+    return f"CASE WHEN ({x}) > 0 THEN greatest(0.0, 1 - {series}) WHEN ({x}) = 0 THEN 1.0 END"
+
+
+def t_p(t: str, df: str) -> str:
+    """SQL of the two-sided tail of Student's t: series of the incomplete beta function of the smaller of both arguments."""
+    x, a = f"({df} / ({df} + pow({t}, 2)))", f"({df} / 2.0)"
+    y = f"(pow({t}, 2) / ({df} + pow({t}, 2)))"
+    steps = f"range(0, CAST({df} AS BIGINT) + 200)"
+    far = f"list_sum([exp(({a} + step_) * ln({x}) + 0.5 * ln({y}) + lgamma({a} + 0.5 + step_) - lgamma({a} + 1 + step_) - lgamma(0.5)) FOR step_ IN {steps}])"
+    near = f"1 - list_sum([exp((0.5 + step_) * ln({y}) + {a} * ln({x}) + lgamma({a} + 0.5 + step_) - lgamma(1.5 + step_) - lgamma({a})) FOR step_ IN {steps}])"
+    return f"CASE WHEN {t} = 0 THEN 1.0 WHEN pow({t}, 2) > {df} THEN {far} ELSE {near} END"
+
+
+def bh(table: str, p: str = "p") -> str:
+    """SQL of ``table`` with ``adj_p``; null p-values are not counted."""
+    return f"SELECT * EXCLUDE (m, k), CASE WHEN {p} IS NOT NULL THEN least(1.0, min({p} * m / k) OVER (ORDER BY {p} DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) END AS adj_p FROM (SELECT *, count({p}) OVER () AS m, count({p}) OVER (ORDER BY {p} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM {table})"
+
+
 def rough_p(t: Column) -> Column:
     """About the two-sided normal tail, in functions that both engines have."""
     return F.least(F.lit(1.0), F.exp(-0.717 * F.abs(t) - 0.416 * t * t))

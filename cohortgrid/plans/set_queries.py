@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import sets, signed
 from ..functions.stats import bh_adjust
 from .bindings import Data
-from .registry import query, r, rough_p
+from .registry import bh, chi2_p, query, r, rough_p
 
 
 def ranked(d: Data) -> DataFrame:
@@ -138,9 +138,13 @@ def t3(d: Data) -> DataFrame:
     return signed.two_arm_scores(x, d.s3).drop("p", "adj_p")
 
 
-@query("t3_two_arm_p")
+_TWO_P = f"{_TWO}, zz AS (SELECT source, CASE WHEN sd > 0 THEN (u - sign(u) * 0.5) / sd ELSE 0.0 END AS z FROM u), pv AS (SELECT source, {chi2_p('z * z')} AS p FROM zz)"
+
+
+@query("t3_two_arm_p", f"WITH {_TWO_P} SELECT source, {r('p', 'p')}, {r('adj_p', 'adj_p')} FROM ({bh('pv')})")
 def t3_p(d: Data) -> DataFrame:
-    return signed.two_arm_scores(signed.signed_set_activity(d.m3, d.signed), d.s3).select("source", "p", "adj_p")
+    x = signed.signed_set_activity(d.m3, d.signed).withColumn("activity", F.round("activity", 9))
+    return signed.two_arm_scores(x, d.s3).select("source", "p", "adj_p")
 
 
 @query("t4_overlap_input", f"WITH n AS (SELECT count(*) AS n FROM test WHERE adj_p < 0.05) SELECT feature, {r('p', 'p')}, 'fdr' AS selection FROM test, n WHERE adj_p < 0.05 AND n > 0 UNION ALL SELECT * FROM (SELECT feature, {r('p', 'p')}, 'ranked_fallback' FROM test, n WHERE n = 0 ORDER BY test.p, feature LIMIT 20)")

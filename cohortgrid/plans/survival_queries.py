@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import survival as sv
 from .bindings import Data
-from .registry import query, r
+from .registry import chi2_p, query, r
 
 
 def rows(d: Data) -> DataFrame:
@@ -174,7 +174,7 @@ def s16(d: Data) -> DataFrame:
     return sv.log_rank(d.visits.withColumnRenamed("cohort", "stratum"))
 
 
-@query("s16_log_rank_p")
+@query("s16_log_rank_p", f"WITH {_LR}, x AS (SELECT *, pow(observed - expected, 2) / variance AS chi2 FROM s) SELECT observed, {r('expected', 'expected')}, {r('variance', 'variance')}, {r('chi2', 'chi2')}, {r(chi2_p('chi2'), 'p')} FROM x")
 def s16_p(d: Data) -> DataFrame:
     return sv.with_chi2_p(sv.log_rank(d.visits.withColumnRenamed("cohort", "stratum")))
 
@@ -189,12 +189,29 @@ def s17_terms(d: Data) -> DataFrame:
     return t.select("feature", *(F.round(c, 4).alias(c) for c in ("loglik", "score", "information")))
 
 
-@query("s17_cox_univariate")
+def newton(rounds: int) -> str:
+    """SQL of that many Newton steps from 0 for each feature, and the terms at their end, as tables ``b0, t0, b1, ..``."""
+    parts = ["x AS MATERIALIZED (SELECT subject, feature, value / 10 AS value, time, event FROM covariates JOIN surv USING (subject) WHERE feature <> 'purchase')", "b0 AS MATERIALIZED (SELECT DISTINCT feature, 0.0 :: DOUBLE AS beta FROM x)"]
+    for i in range(rounds + 1):
+        sums = ", ".join(f"sum(e * pow(value, {k})) AS s{k}, coalesce(sum(e * pow(value, {k})) FILTER (event = 1), 0) AS d{k}" for k in range(3))
+        parts.append(f"p{i} AS (SELECT feature, time, {sums}, sum(event) AS d, coalesce(sum(value) FILTER (event = 1), 0) AS xd FROM (SELECT x.*, exp(beta * value) AS e FROM x JOIN b{i} USING (feature)) GROUP BY 1, 2)")
+        parts.append(f"q{i} AS (SELECT feature, d0, d1, d2, CAST(d AS BIGINT) AS d, xd, sum(s0) OVER w AS s0, sum(s1) OVER w AS s1, sum(s2) OVER w AS s2 FROM p{i} WINDOW w AS (PARTITION BY feature ORDER BY time DESC))")
+        parts.append(f"a{i} AS (SELECT feature, l, xd, s0 - l * 1.0 / d * d0 AS a0, s1 - l * 1.0 / d * d1 AS a1, s2 - l * 1.0 / d * d2 AS a2 FROM (SELECT *, unnest(generate_series(0, d - 1)) AS l FROM q{i} WHERE d > 0))")
+        parts.append(f"t{i} AS MATERIALIZED (SELECT feature, sum(CASE WHEN l = 0 THEN xd ELSE 0 END - a1 / a0) AS u, sum(a2 / a0 - pow(a1 / a0, 2)) AS v FROM a{i} GROUP BY feature)")
+        if i < rounds:
+            parts.append(f"b{i + 1} AS MATERIALIZED (SELECT feature, beta + CASE WHEN v > 0 THEN greatest(-2.0, least(2.0, u / v)) ELSE 0.0 END AS beta FROM b{i} JOIN t{i} USING (feature))")
+    return ", ".join(parts)
+
+
+@query("s17_cox_univariate", f"WITH {newton(6)}, z AS (SELECT feature, beta, CASE WHEN v > 0 THEN 1 / sqrt(v) END AS se FROM b6 JOIN t6 USING (feature)) SELECT feature, {r('beta', 'beta')}, {r('se', 'se')}, {r('exp(beta)', 'hr')}, {r('exp(beta - 1.959963984540054 * se)', 'lower')}, {r('exp(beta + 1.959963984540054 * se)', 'upper')}, {r('beta / se', 'z')} FROM z")
 def s17(d: Data) -> DataFrame:
     return sv.cox_univariate(train(d).withColumn("value", F.col("value") / 10), d.surv)
 
 
-@query("s18_proportional_hazards")
+_PH = "x AS (SELECT subject, feature, value / 10 AS value, time, event, exp(0.1 * value / 10) AS e FROM covariates JOIN surv USING (subject) WHERE feature <> 'purchase'), p AS (SELECT feature, time, sum(e) AS s0, sum(e * value) AS s1 FROM x GROUP BY 1, 2), mean AS (SELECT feature, time, sum(s1) OVER w / sum(s0) OVER w AS mean FROM p WINDOW w AS (PARTITION BY feature ORDER BY time DESC)), res AS (SELECT feature, value - mean AS residual, rank() OVER (PARTITION BY feature ORDER BY time) AS k FROM x JOIN mean USING (feature, time) WHERE event = 1), ph AS (SELECT feature, count(*) AS n_events, corr(k, residual) AS rho, count(*) * pow(corr(k, residual), 2) AS chi2 FROM res GROUP BY feature)"
+
+
+@query("s18_proportional_hazards", f"WITH {_PH}, pp AS (SELECT *, {chi2_p('chi2')} AS p FROM ph) SELECT feature, n_events, {r('rho', 'rho')}, {r('chi2', 'chi2')}, {r('p', 'p')}, CASE WHEN p < 0.05 THEN 'violated' ELSE 'holds' END AS verdict FROM pp")
 def s18(d: Data) -> DataFrame:
     return sv.proportional_hazards_test(train(d).withColumn("value", F.col("value") / 10), d.surv, chosen(d).withColumn("beta", F.lit(0.1)))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import bh_adjust
 from ..operators import qc, testing
 from .bindings import Data
-from .registry import query, r, rough_p
+from .registry import bh, query, r, rough_p, t_p
 
 LFC = 0.01
 
@@ -109,9 +109,9 @@ def e2_plain(d: Data) -> DataFrame:
     return testing.paired_or_plain_fit(d.m1, d.s1, "a1", "a0").select("feature", "lfc", "n1", "n0", "df", "design", "reason")
 
 
-@query("e3_plain_t", f"SELECT feature, {r('lfc', 'lfc')}, {r('t', 't')} FROM tstat")
+@query("e3_plain_t", f"WITH pv AS (SELECT feature, lfc, t, {t_p('t', 'df')} AS p FROM tstat) SELECT feature, {r('lfc', 'lfc')}, {r('t', 't')}, {r('p', 'p')}, {r('adj_p', 'adj_p')} FROM ({bh('pv')})")
 def e3(d: Data) -> DataFrame:
-    return testing.plain_test(fit(d)).select("feature", "lfc", "t")
+    return testing.plain_test(fit(d)).select("feature", "lfc", "t", "p", "adj_p")
 
 
 @query("e3_moderated")
