@@ -829,3 +829,24 @@ def test_schoenfeld_residuals_by_brute_force(spark):
             r = got[f"f{j}", int(i)]
             assert math.isclose(r.residual, x[j, i] - (w * x[j])[risk].sum() / w[risk].sum(), abs_tol=1e-9)
             assert r.rank == 1 + ((t < t[i]) & (e == 1)).sum()
+
+
+def test_merge_modules_by_brute_force(spark):
+    """Modules 1 and 3 follow one factor and become 1; 2 stays, and so do the unassigned."""
+    rng = np.random.default_rng(38)
+    a, b = rng.normal(size=(2, 20))
+    base = {1: a, 2: b, 3: a}
+    x = {f"m{m}g{i}": (m, base.get(m, rng.normal(size=20)) + 0.2 * rng.normal(size=20)) for m in range(4) for i in range(4)}
+
+    def profile(names):
+        z = np.array([(x[f][1] - x[f][1].mean()) / x[f][1].std(ddof=1) for f in names])
+        v = np.linalg.svd(z, full_matrices=False)[2][0]
+        return v * (-1 if v @ z.mean(0) < 0 else 1)
+
+    of = {m: [f for f in x if x[f][0] == m] for m in (1, 2, 3)}
+    r = {(p, q): np.corrcoef(profile(of[p]), profile(of[q]))[0, 1] for p in of for q in of if p < q}
+    assert [k for k, v in r.items() if v > 0.75] == [(1, 3)]
+    long = spark.createDataFrame([(f, f"s{i:02d}", float(v)) for f, (_, vs) in x.items() for i, v in enumerate(vs)], "feature string, sample string, value double")
+    named = spark.createDataFrame([(f, m) for f, (m, _) in x.items()], "feature string, module int")
+    got = dict(values(modules.merge_modules(long, named, 0.25), "feature", "module"))
+    assert got == {f: {3: 1}.get(m, m) for f, (m, _) in x.items()}
