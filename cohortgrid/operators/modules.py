@@ -11,7 +11,7 @@ from ..functions.stats import average_rank, bh_adjust, exact_quantiles, t_sf2
 from ..session import materialise
 from .graph import components
 from .matrix import present, row_zscore, top_variance
-from .qc import pair_correlation, pair_sums, symmetric
+from .qc import correlation_sums, pair_correlation, pair_sums, symmetric
 
 
 def module_input(measurements: DataFrame, samples: DataFrame, arm: str, top_n: int = 5000) -> DataFrame:
@@ -42,11 +42,13 @@ def good_samples_features(measurements: DataFrame, min_fraction: float = 0.5, ro
     return x
 
 
-def sample_outliers(pairs: DataFrame, factor: float = 1.5) -> DataFrame:
+def sample_outliers(measurements: DataFrame, factor: float = 1.5) -> DataFrame:
     """``(sample, distance, outlier)``: mean ``1 - r`` to the other samples, above ``factor`` times the median."""
-    d = symmetric(pairs).groupBy(F.col("a").alias("sample")).agg(F.avg(1 - F.col("r")).alias("distance"))
-    m = d.agg((F.median("distance") * factor).alias("limit"))
-    return d.join(F.broadcast(m), F.lit(True)).select("sample", "distance", (F.col("distance") > F.col("limit")).alias("outlier"))
+    every = present(measurements).select(F.col("sample").alias("item"), F.lit(0).alias("label")).distinct()
+    mean = F.when(F.col("n_same") > 0, 1 - F.col("same") / F.col("n_same"))
+    d = materialise(correlation_sums(measurements, every).select(F.col("item").alias("sample"), mean.alias("distance")), "distances")
+    middle = exact_quantiles(d, "distance", [0.5])[0]
+    return d.withColumn("outlier", F.col("distance") > F.lit(None if middle is None else middle * factor).cast("double"))
 
 
 def soft_threshold_table(pairs: DataFrame, powers: Sequence[int] = (*range(1, 11), *range(12, 21, 2)), bins: int = 10) -> DataFrame:

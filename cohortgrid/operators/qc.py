@@ -8,13 +8,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import average_rank
 from ..session import materialise
 from .graph import components
 from .matrix import present, top_variance
+from .pairs import all_pairs, close_pairs, least, narrow, sums, visit_pairs
 from .subspace import large_pca
 
 
@@ -129,15 +130,23 @@ def pair_sums(cells: DataFrame) -> DataFrame:
     return found
 
 
+def _cells(measurements: DataFrame, axis: str) -> DataFrame:
+    other = "feature" if axis == "sample" else "sample"
+    return present(measurements).select(F.col(axis).alias("item"), F.xxhash64(F.col(other)).alias("h"), F.col("value").cast("double").alias("value"))
+
+
 def pair_correlation(measurements: DataFrame, axis: str = "sample", method: str = "pearson") -> DataFrame:
     """``(a, b, n, r)`` with ``a < b`` along ``axis`` over cells both have; Spearman ranks within each item first.
 
-    The sums are products of blocks (:func:`pair_sums`). A pair with one shared cell, or with equal values of an item, has a null ``r``.
+    Items of few cells are compared whole (:mod:`.pairs`), of more by sums over slices of the cells (:func:`pair_sums`).
+    A pair with one shared cell, or with equal values of an item, has a null ``r``.
     """
-    other = "feature" if axis == "sample" else "sample"
-    cells = present(measurements).select(F.col(axis).alias("item"), F.xxhash64(F.col(other)).alias("h"), "value")
+    cells = _cells(measurements, axis)
     if method == "spearman":
         cells = cells.withColumn("value", average_rank("value", ["item"]))
+    if narrow(measurements, axis):
+        kind = cells.schema["item"].dataType.simpleString()
+        return visit_pairs(cells, all_pairs, f"a {kind}, b {kind}, n long, r double")
     # Correlation doesn't change with an item's level; without it the sums lose fewer digits.
     level = cells.groupBy("item").agg(F.avg("value").alias("level"), F.max(F.abs("value")).alias("top"))
     cells = cells.join(level, "item").select("item", "h", (F.col("value") - F.col("level")).alias("value"))
@@ -157,14 +166,43 @@ def correlation_outliers(pairs: DataFrame, threshold: float = 0.8) -> DataFrame:
     return symmetric(pairs).groupBy(F.col("a").alias("sample")).agg(F.min("r").alias("min_r")).withColumn("outlier", F.col("min_r") < threshold)
 
 
-def arm_correlation(pairs: DataFrame, samples: DataFrame) -> DataFrame:
-    """``(sample, arm, within, between)`` of each sample, and the same over all pairs in a row with null sample."""
-    arm = samples.select("sample", "arm")
-    both = symmetric(pairs).join(arm.select(F.col("sample").alias("a"), F.col("arm").alias("arm_a")), "a").join(arm.select(F.col("sample").alias("b"), F.col("arm").alias("arm_b")), "b")
-    within, between = F.avg(F.when(F.col("arm_a") == F.col("arm_b"), F.col("r"))), F.avg(F.when(F.col("arm_a") != F.col("arm_b"), F.col("r")))
-    each = both.groupBy(F.col("a").alias("sample"), F.col("arm_a").alias("arm")).agg(within.alias("within"), between.alias("between"))
-    overall = both.agg(within.alias("within"), between.alias("between"))
-    return each.unionByName(overall.withColumns({"sample": F.lit(None).cast("string"), "arm": F.lit(None).cast("string")}))
+def sample_correlation_outliers(measurements: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """:func:`correlation_outliers` of the samples of a matrix, without a table of pairs where they have few cells."""
+    if not narrow(measurements):
+        return correlation_outliers(pair_correlation(measurements), threshold)
+    cells = _cells(measurements, "sample")
+    found = visit_pairs(cells, least, f"item {cells.schema['item'].dataType.simpleString()}, least double")
+    return found.groupBy(F.col("item").alias("sample")).agg(F.min("least").alias("min_r")).withColumn("outlier", F.col("min_r") < threshold)
+
+
+def correlation_sums(measurements: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(item, label, same, n_same, other, n_other)``: sums and numbers of the correlations of each sample with samples of its label and of others.
+
+    ``labels`` is ``(item, label)``, with one label an item; a sample without one doesn't count.
+    """
+    if narrow(measurements):
+        cells, kinds = _cells(measurements, "sample"), dict(labels.dtypes)
+        found = visit_pairs(cells, sums, f"item {kinds['item']}, label {kinds['label']}, same double, n_same long, other double, n_other long", labels)
+        return found.groupBy("item", "label").agg(*(F.sum(c).alias(c) for c in ("same", "n_same", "other", "n_other")))
+    side = lambda c: labels.select(F.col("item").alias(c), F.col("label").alias(f"l{c}"))
+    both = symmetric(pair_correlation(measurements)).join(side("a"), "a").join(side("b"), "b")
+    same = F.col("la") == F.col("lb")
+    parts = [(F.coalesce(F.sum(F.when(c, F.col("r"))), F.lit(0.0)).alias(k), F.count(F.when(c, F.col("r"))).alias(f"n_{k}")) for k, c in (("same", same), ("other", ~same))]
+    return both.groupBy(F.col("a").alias("item"), F.col("la").alias("label")).agg(*(c for part in parts for c in part))
+
+
+def _mean(total: Column, n: Column) -> Column:
+    return F.when(n > 0, total / n)
+
+
+def arm_correlation(measurements: DataFrame, samples: DataFrame) -> DataFrame:
+    """``(sample, arm, within, between)`` of each sample, its mean correlation with samples of its arm and of others, and the same over all pairs in a row with null sample."""
+    labels = samples.where("arm is not null").select(F.col("sample").alias("item"), F.col("arm").alias("label"))
+    one = materialise(correlation_sums(measurements, labels), "arms")
+    each = one.select(F.col("item").alias("sample"), F.col("label").alias("arm"), _mean(F.col("same"), F.col("n_same")).alias("within"), _mean(F.col("other"), F.col("n_other")).alias("between"))
+    total = one.agg(*(F.sum(c).alias(c) for c in ("same", "n_same", "other", "n_other")))
+    overall = total.select(F.lit(None).cast("string").alias("sample"), F.lit(None).cast("string").alias("arm"), _mean(F.col("same"), F.col("n_same")).alias("within"), _mean(F.col("other"), F.col("n_other")).alias("between"))
+    return each.unionByName(overall)
 
 
 def shift_confounded(arm_corr: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -172,16 +210,23 @@ def shift_confounded(arm_corr: DataFrame, threshold: float = 0.8) -> DataFrame:
     return arm_corr.where("sample is null").select("within", "between", (F.col("between") < threshold).alias("shift_confounded"))
 
 
-def correlation_clusters(pairs: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """``(sample, cluster)``: samples connected by correlations of at least ``threshold``; the others alone."""
-    names = symmetric(pairs).select(F.col("a").alias("sample")).distinct()
-    found = components(pairs.where(F.col("r") >= threshold).select("a", "b"))
-    return names.join(found.select(F.col("node").alias("sample"), F.col("component").alias("cluster")), "sample", "left").withColumn("cluster", F.coalesce("cluster", "sample"))
+def correlation_clusters(measurements: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """``(sample, cluster)``: samples connected by correlations of at least ``threshold``; the others alone. Only such pairs become rows."""
+    if narrow(measurements):
+        cells = _cells(measurements, "sample")
+        kind = cells.schema["item"].dataType.simpleString()
+        near = visit_pairs(cells, close_pairs(threshold), f"a {kind}, b {kind}")
+    else:
+        pairs = materialise(pair_correlation(measurements), "pairs")
+        near = pairs.where(F.col("r") >= threshold).select("a", "b").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("a")).distinct().select("a", F.col("a").alias("b")))
+    return components(near).select(F.col("node").alias("sample"), F.col("component").alias("cluster"))
 
 
-def cluster_verdict(pairs: DataFrame, clusters: DataFrame, gap: float = 0.1) -> DataFrame:
+def cluster_verdict(measurements: DataFrame, clusters: DataFrame, gap: float = 0.1) -> DataFrame:
     """One row: number of clusters, mean correlation within and between them, and ``one_cluster``, ``separated`` or ``weak``."""
-    named = pairs.join(clusters.select(F.col("sample").alias("a"), F.col("cluster").alias("ca")), "a").join(clusters.select(F.col("sample").alias("b"), F.col("cluster").alias("cb")), "b")
-    means = named.agg(F.avg(F.when(F.col("ca") == F.col("cb"), F.col("r"))).alias("within"), F.avg(F.when(F.col("ca") != F.col("cb"), F.col("r"))).alias("between"))
+    clusters = materialise(clusters, "clusters")
+    total = correlation_sums(measurements, clusters.select(F.col("sample").alias("item"), F.col("cluster").alias("label")))
+    total = total.agg(*(F.sum(c).alias(c) for c in ("same", "n_same", "other", "n_other")))
+    means = total.select(_mean(F.col("same"), F.col("n_same")).alias("within"), _mean(F.col("other"), F.col("n_other")).alias("between"))
     one = clusters.agg(F.count_distinct("cluster").alias("n_clusters")).join(means, F.lit(True))
     return one.withColumn("verdict", F.when(F.col("n_clusters") == 1, "one_cluster").when(F.col("within") - F.col("between") >= gap, "separated").otherwise("weak"))

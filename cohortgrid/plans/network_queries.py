@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph, modules, qc
+from ..session import materialise
 from .bindings import Data
 from .registry import bh, query, r, t_p
 
@@ -97,7 +98,8 @@ _DIV = "mm AS (SELECT sum(score) AS m FROM edges), ins AS (SELECT coalesce(sum(s
 
 @query("g8_modularity", f"WITH {_labels(10)}, {_DIV} SELECT {r('inside / m - kk / pow(2 * m, 2)', 'modularity')} FROM mm, ins, kq")
 def g8_modularity(d: Data) -> DataFrame:
-    return graph.modularity(d.edges, graph.communities(d.edges))
+    edges = materialise(d.edges, "edges")
+    return graph.modularity(edges, graph.communities(edges))
 
 
 _RING = f"{_DEG}, k AS (SELECT node, node % 4 AS community, degree, row_number() OVER (ORDER BY degree DESC, node) AS k, count(*) OVER () AS n, least(3, greatest(1, count(*) OVER () // 12)) AS rings FROM deg), c AS (SELECT *, CASE rings WHEN 1 THEN n WHEN 2 THEN greatest(1, round(n / 2.72)) ELSE greatest(1, round(n / 5.16)) END AS c1, CASE rings WHEN 3 THEN greatest(1, round(n / 5.16)) + greatest(1, round(n * 1.72 / 5.16)) ELSE n END AS c2 FROM k), g AS (SELECT *, CASE WHEN k <= c1 THEN 1 WHEN k <= c2 THEN 2 ELSE 3 END AS ring FROM c), p AS (SELECT node, ring, row_number() OVER (PARTITION BY ring ORDER BY community, degree DESC, node) AS place, count(*) OVER (PARTITION BY ring) AS m FROM g), q AS (SELECT *, 2 * pi() * (place - 1) / m + pi() / 2 AS angle, 1 + 0.72 * (ring - 1) AS radius FROM p)"
@@ -154,7 +156,7 @@ def m2(d: Data) -> DataFrame:
 
 @query("m3_sample_outliers", f"WITH dd AS (SELECT a AS sample, avg(1 - r) AS distance FROM csym GROUP BY a) SELECT sample, {r('distance', 'distance')}, distance > 1.5 * (SELECT median(distance) FROM dd) AS outlier FROM dd")
 def m3(d: Data) -> DataFrame:
-    return modules.sample_outliers(qc.pair_correlation(d.m1))
+    return modules.sample_outliers(d.m1)
 
 
 _SOFT = "k AS (SELECT a, power, sum(pow((1 + r) / 2, power)) AS k FROM fsym, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 16, 18, 20]) AS power) GROUP BY 1, 2), e AS (SELECT power, min(k) AS lo, max(k) AS hi, avg(k) AS mean_k, median(k) AS median_k, count(*) AS n FROM k GROUP BY power), bins AS (SELECT power, n, mean_k, median_k, avg(k) AS kb, count(*) AS nb FROM k JOIN e USING (power) GROUP BY power, n, mean_k, median_k, least(floor((k - lo) / (hi - lo) * 10), 9)), soft AS (SELECT power, mean_k, median_k, regr_slope(log10(nb * 1.0 / n), log10(kb)) AS slope, regr_r2(log10(nb * 1.0 / n), log10(kb)) AS fit FROM bins GROUP BY power, mean_k, median_k)"

@@ -59,7 +59,7 @@ def d6(d: Data) -> DataFrame:
 
 @query("d7_outliers", f"SELECT a AS sample, {r('min(r)', 'min_r')}, min(r) < 0.8 AS outlier FROM csym GROUP BY a")
 def d7(d: Data) -> DataFrame:
-    return qc.correlation_outliers(qc.pair_correlation(d.m1))
+    return qc.sample_correlation_outliers(d.m1)
 
 
 _ARM = "arms AS (SELECT c.a, x.arm AS arm_a, y.arm AS arm_b, r FROM csym c JOIN s1 x ON x.sample = c.a JOIN s1 y ON y.sample = c.b)"
@@ -67,17 +67,17 @@ _ARM = "arms AS (SELECT c.a, x.arm AS arm_a, y.arm AS arm_b, r FROM csym c JOIN
 
 @query("d8_arm_correlation", f"WITH {_ARM} SELECT a AS sample, arm_a AS arm, {r('avg(r) FILTER (arm_a = arm_b)', 'within')}, {r('avg(r) FILTER (arm_a <> arm_b)', 'between')} FROM arms GROUP BY a, arm_a UNION ALL SELECT NULL, NULL, {r('avg(r) FILTER (arm_a = arm_b)', 'within')}, {r('avg(r) FILTER (arm_a <> arm_b)', 'between')} FROM arms")
 def d8(d: Data) -> DataFrame:
-    return qc.arm_correlation(qc.pair_correlation(d.m1), d.s1)
+    return qc.arm_correlation(d.m1, d.s1)
 
 
 @query("d9_shift_confounded", f"WITH {_ARM} SELECT {r('avg(r) FILTER (arm_a = arm_b)', 'within')}, {r('avg(r) FILTER (arm_a <> arm_b)', 'between')}, avg(r) FILTER (arm_a <> arm_b) < 0.8 AS shift_confounded FROM arms")
 def d9(d: Data) -> DataFrame:
-    return qc.shift_confounded(qc.arm_correlation(qc.pair_correlation(d.m1), d.s1))
+    return qc.shift_confounded(qc.arm_correlation(d.m1, d.s1))
 
 
 @query("d10_clusters", "WITH e AS (SELECT a, b FROM csym WHERE r >= 0.9), nodes AS (SELECT DISTINCT a FROM csym), reach(a, b) AS (SELECT a, a FROM nodes UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a) SELECT a AS sample, min(b) AS cluster FROM reach GROUP BY a", recursive=True)
 def d10(d: Data) -> DataFrame:
-    return qc.correlation_clusters(qc.pair_correlation(d.m1))
+    return qc.correlation_clusters(d.m1)
 
 
 @query(
@@ -86,8 +86,7 @@ def d10(d: Data) -> DataFrame:
     recursive=True,
 )
 def d10_verdict(d: Data) -> DataFrame:
-    pairs = qc.pair_correlation(d.m1)
-    return qc.cluster_verdict(pairs, qc.correlation_clusters(pairs))
+    return qc.cluster_verdict(d.m1, qc.correlation_clusters(d.m1))
 
 
 @query("e1_two_group_fit", f"SELECT feature, {r('lfc', 'lfc')}, {r('ave', 'ave')}, n1, n0, {r('s2', 's2')}, df, {r('sqrt(1.0 / n1 + 1.0 / n0)', 'se_unscaled')} FROM fit")
