@@ -8,6 +8,31 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 
+#: Nodes of one list of a group, and pairs that one task adds up.
+LONGEST, TASK_PAIRS = 4096, 2_000_000
+
+
+def shared_edges(members: DataFrame, node: str, group: str) -> DataFrame:
+    """``(a, b, score)`` with ``a < b``: the number of groups two nodes have in common.
+
+    A group's nodes become one sorted list, and each node is sent what follows it there, once for all; where a node is, its pairs are counted, so that no row is
+    shuffled for a pair and a group. Tasks are as many as the pairs need. Groups of very many nodes are cut into lists that meet each other.
+    """
+    rows = members.select(F.col(node).alias("node"), F.col(group).alias("via")).where("node is not null and via is not null")
+    sizes = rows.groupBy("via").agg(F.count("*").alias("n"))
+    most, pairs = sizes.agg(F.max("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int((pairs or 0) // TASK_PAIRS) + 1)
+    if (most or 0) <= LONGEST:
+        lists = rows.repartition(max(tasks // 8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "via").distinct().groupBy("via").agg(F.sort_array(F.collect_list("node")).alias("x"))
+        ends = lists.select("x", F.posexplode("x").alias("i", "a")).select("a", F.slice("x", F.col("i") + 2, F.size("x")).alias("bs"))
+    else:
+        cut = rows.distinct().join(sizes, "via").withColumn("k", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / LONGEST)))
+        lists = materialise(cut.groupBy("via", "k").agg(F.sort_array(F.collect_list("node")).alias("x")), "lists")
+        ends = lists.select("via", "x").join(lists.select("via", F.col("x").alias("y")), "via")
+        ends = ends.select(F.explode("x").alias("a"), "y").select("a", F.filter("y", lambda b: b > F.col("a")).alias("bs"))
+    return ends.where("size(bs) > 0").repartition(tasks, "a").select("a", F.explode("bs").alias("b")).groupBy("a", "b").agg(F.count("*").alias("score"))
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
@@ -122,13 +147,15 @@ def network_status(routed: DataFrame, r: float = 0.9) -> DataFrame:
 
 def largest_component(edges: DataFrame) -> DataFrame:
     """Edges of the component with most nodes, of equals the one with the smallest name."""
-    named = components(edges)
+    edges = materialise(edges, "edges")
+    named = materialise(components(edges), "components")
     top = named.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "component").limit(1)
     return induced_edges(edges, named.join(top, "component", "left_semi").select("node"))
 
 
 def thin(edges: DataFrame, max_nodes: int = 200, max_edges: int = 450) -> DataFrame:
     """Edges among the ``max_nodes`` nodes of largest degree, of these the ``max_edges`` strongest."""
+    edges = materialise(edges, "edges")
     kept = induced_edges(edges, hubs(edges, max_nodes).select("node"))
     return kept.orderBy(F.col("score").desc(), "a", "b").limit(max_edges)
 
@@ -138,13 +165,15 @@ def communities(edges: DataFrame, top: int = 4, rounds: int = 10) -> DataFrame:
 
     The ``top`` largest communities are numbered, the others are ``other``.
     """
-    both = edges.select("a", "b", "score").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+    edges = materialise(edges.select("a", "b", "score"), "edges")
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
     loops = both.groupBy("a").agg(F.max("score").alias("score")).select("a", F.col("a").alias("b"), "score")
-    both = materialise(both.unionByName(loops), "links")
+    # Links of a node lie together, so that each round adds most of them up before its shuffle.
+    both = materialise(both.unionByName(loops).repartitionByRange("a", "b").sortWithinPartitions("a", "b"), "links")
     labels = materialise(both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), "labels")
     for _ in range(rounds):
         weight = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a", "label").agg(F.sum("score").alias("w"))
-        best = weight.groupBy("a").agg(F.max("w").alias("w")).join(weight, ["a", "w"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label"))
+        best = weight.groupBy(F.col("a").alias("node")).agg(F.min_by("label", F.struct(-F.col("w"), F.col("label"))).alias("label"))
         new = materialise(best, "labels")
         moved = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count()
         labels = new
@@ -157,6 +186,8 @@ def communities(edges: DataFrame, top: int = 4, rounds: int = 10) -> DataFrame:
 
 def modularity(edges: DataFrame, named: DataFrame) -> DataFrame:
     """One row with the modularity of a division ``(node, community)``."""
+    edges = materialise(edges.select("a", "b", "score"), "edges")
+    named = materialise(named, "named")
     m = edges.agg(F.sum("score").alias("m"))
     label = lambda c: named.select(F.col("node").alias(c), F.col("community").alias(f"c{c}"))
     inside = edges.join(label("a"), "a").join(label("b"), "b").agg(F.coalesce(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("score"))), F.lit(0)).alias("inside"))
@@ -172,6 +203,7 @@ def ring_layout(nodes: DataFrame, rings: int = 3, gap: float = 0.72) -> DataFram
     """
     from ..functions.stats import global_row_number
 
+    nodes = materialise(nodes, "nodes")
     n = nodes.count()
     radii = [1 + gap * i for i in range(min(rings, max(1, n // 12)))]
     sizes = [max(1, round(n * r / sum(radii))) for r in radii[:-1]]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import shared_edges
+
 
 class Data:
     """Tables below a folder, and the inputs derived from them."""
@@ -114,9 +116,7 @@ class Data:
     @property
     def edges(self) -> DataFrame:
         """Parts that orders have in common by supplier: suppliers linked by the number of parts they share."""
-        x = self.table("lineitem").select("l_suppkey", "l_partkey").distinct()
-        y = x.select(F.col("l_suppkey").alias("b"), "l_partkey")
-        return x.withColumnRenamed("l_suppkey", "a").join(y, "l_partkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("score"))
+        return shared_edges(self.table("lineitem"), "l_suppkey", "l_partkey")
 
     @property
     def attrs(self) -> DataFrame:
