@@ -178,14 +178,18 @@ def hyper_sf(k: Column | str, universe: Column | str, hits: Column | str, drawn:
     return F.when(k.isNull() | n.isNull() | m.isNull() | d.isNull(), None).when(low > top, 0.0).otherwise(tail)
 
 
-def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float], kind: int = 7, bins: int = 512, few: int = 10_000) -> list[float | None]:
+def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float], kind: int = 7, bins: int = 512, few: int = 10_000, written: bool = False) -> list[float | None]:
     """Exact quantiles of a whole table without a buffer of it: type 7 (interpolated) or 1 (inverse distribution function).
 
     Values are counted in ranges, and the range that holds a wanted place is counted in finer ones, until few enough values are left
     to look at or all of them are equal. Nulls and NaN don't count; of no values all quantiles are null.
+    The values are written first, since they are read several times, unless ``df`` is a table that is ``written`` already.
     """
+    from ..session import materialise
+
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    values = values if written else materialise(values, "values")
     n, lo, hi = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not n:
         return [None] * len(shares)
@@ -229,6 +233,22 @@ def exact_quantiles(df: DataFrame, value: Column | str, shares: list[float], kin
     return out
 
 
+def group_quantiles(df: DataFrame, by: str, value: str, shares: list[float]) -> DataFrame:
+    """``(by, q)``: the exact interpolated quantiles of each group as an array, a group of any size being cut into ranges; nulls don't count."""
+    per = df.where(F.col(by).isNotNull() & F.col(value).isNotNull()).groupBy(by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    run = group_running(deal_groups(per, [by], "_v"), [by], "_v", {"_upto": "_n"})
+    total = run.groupBy(by).agg(F.sum("_n").alias("_all"))
+    run = run.join(F.broadcast(total), by)
+    ends = []
+    for i, p in enumerate(shares):
+        place = F.lit(p) * (F.col("_all") - 1)
+        for name, at in ((f"_a{i}", F.floor(place)), (f"_b{i}", F.ceil(place))):
+            ends.append(F.max(F.when((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n")), F.col("_v"))).alias(name))
+    found = run.groupBy(by, "_all").agg(*ends)
+    share = lambda p: F.lit(p) * (F.col("_all") - 1) - F.floor(F.lit(p) * (F.col("_all") - 1))
+    return found.select(by, F.array(*(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * share(p) for i, p in enumerate(shares))).alias("q"))
+
+
 def average_rank(value: Column | str, by: list[str]) -> Column:
     """Rank within ``by`` with ties at their mean."""
     value = F.col(value) if isinstance(value, str) else value

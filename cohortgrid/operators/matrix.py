@@ -100,8 +100,8 @@ def alignment_report(measurements: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 def filter_low_information(measurements: DataFrame, min_obs: int = 2, least_features: int = 0) -> DataFrame:
-    """Features with at least ``min_obs`` present cells and a standard deviation above 0; fewer than ``least_features`` of them are an error."""
-    good = present(measurements).groupBy("feature").agg(F.count("*").alias("n"), F.stddev_samp("value").alias("sd")).where((F.col("n") >= min_obs) & (F.col("sd") > 0))
+    """Features with at least ``min_obs`` present cells that are not all equal (a standard deviation of equal values may round to more than 0); fewer than ``least_features`` of them are an error."""
+    good = present(measurements).groupBy("feature").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).where((F.col("n") >= min_obs) & (F.col("lo") < F.col("hi")))
     if least_features and (left := good.limit(least_features).count()) < least_features:
         raise ValueError(f"only {left} features vary, of at least {least_features}")
     return measurements.join(good.select("feature"), "feature", "left_semi")
@@ -136,11 +136,12 @@ def knn_impute(measurements: DataFrame, samples: DataFrame, k: int = 10) -> Data
 
 def detect_scale(measurements: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: 1, 50 and 99 % quantiles, the share of negatives and ``scale`` (``log2`` or ``linear``)."""
-    shares, cells = [0.01, 0.5, 0.99], present(measurements)
+    shares, cells = [0.01, 0.5, 0.99], present(measurements).select(F.col("value").cast("double").alias("value"))
+    cells = cells if approximate else materialise(cells, "values")
     if approximate:
         q = F.percentile_approx("value", F.array(*map(F.lit, shares)), F.lit(100000))
     else:
-        q = F.array(*(F.lit(v).cast("double") for v in exact_quantiles(cells, "value", shares)))
+        q = F.array(*(F.lit(v).cast("double") for v in exact_quantiles(cells, "value", shares, written=True)))
     one = cells.agg(F.avg((F.col("value") < 0).cast("double")).alias("negative"), *([q.alias("q")] if approximate else []))
     one = (one if approximate else one.withColumn("q", q)).select(F.col("q")[0].alias("q01"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q99"), "negative")
     scale = F.when(F.col("negative") > 0.001, "log2").when(F.col("q99") > 100, "linear").when(F.col("q50") > 50, "linear").otherwise("log2")
@@ -155,6 +156,7 @@ def to_log2(measurements: DataFrame, mode: str = "auto", early: float | None = N
     if mode == "never":
         return measurements
     linear = mode != "auto"
+    measurements = materialise(measurements.select("feature", "sample", "value"), "cells")
     if mode == "auto":
         linear = early is not None and (exact_quantiles(present(measurements), "value", [0.5])[0] or 0.0) > early
         linear = linear or detect_scale(measurements).first()["scale"] == "linear"

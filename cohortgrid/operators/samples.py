@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import group_quantiles
+from ..session import materialise
+
 
 def gates(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """``(rule, n_rows, n_pass, pass)``: each rule must hold in every row; null counts as a failure and an empty table passes nothing."""
@@ -150,7 +153,8 @@ def code_traits(attrs: DataFrame, samples: DataFrame, min_cover: float = 0.8) ->
 
 def quartile_bins(traits: DataFrame) -> DataFrame:
     """``traits`` with ``quartile`` 1-4 of the trait's values; the lowest is closed below."""
-    q = traits.groupBy("trait").agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    # Written, so that its size is known and the traits' rows stay where they are.
+    q = materialise(group_quantiles(traits, "trait", "x", [0.25, 0.5, 0.75]), "quartiles")
     at = lambda i: F.col("q")[i]
     return traits.join(q, "trait").withColumn("quartile", F.when(F.col("x") <= at(0), 1).when(F.col("x") <= at(1), 2).when(F.col("x") <= at(2), 3).otherwise(4)).drop("q")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import handoff, matrix, samples
-from ..session import work_path
+from ..session import materialise, work_path
 from ..sources import readers
 from .bindings import Data
 from .registry import query, r
@@ -253,7 +253,7 @@ def c7_report(d: Data) -> DataFrame:
     return matrix.alignment_report(d.m2, d.s2)
 
 
-@query("c8_low_information", f"SELECT feature, sample, {r('value', 'value')} FROM m3 SEMI JOIN (SELECT feature FROM m3 GROUP BY feature HAVING count(*) >= 20 AND stddev_samp(value) > 0) USING (feature)")
+@query("c8_low_information", f"SELECT feature, sample, {r('value', 'value')} FROM m3 SEMI JOIN (SELECT feature FROM m3 GROUP BY feature HAVING count(*) >= 20 AND min(value) < max(value)) USING (feature)")
 def c8(d: Data) -> DataFrame:
     return matrix.filter_low_information(d.m3, 20)
 
@@ -302,7 +302,8 @@ def c15(d: Data) -> DataFrame:
 
 @query("c16_cleaning_report", "SELECT (SELECT count(DISTINCT feature) FROM m2) AS features_before, (SELECT count(DISTINCT sample) FROM m2) AS samples_before, (SELECT count(*) FROM m2) AS cells_before, count(DISTINCT feature) AS features_after, count(DISTINCT sample) AS samples_after, count(*) AS cells_after, 'linear' AS scale FROM m2 SEMI JOIN s2 USING (sample)")
 def c16(d: Data) -> DataFrame:
-    return matrix.cleaning_report(d.m2, d.m2.join(d.s2, "sample", "left_semi"))
+    raw = materialise(d.m2, "raw")
+    return matrix.cleaning_report(raw, raw.join(d.s2, "sample", "left_semi"))
 
 
 _H1 = "SELECT 'stat' AS source, feature, abs(t) AS key, row_number() OVER (ORDER BY abs(t) DESC, feature) AS source_rank FROM part_stat ORDER BY abs(t) DESC, feature LIMIT 200"
