@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import bh_adjust, digamma_at, exact_quantiles, global_row_number, t_sf2, t_size, trigamma_inverse, digamma
+from ..session import materialise
 from .matrix import present
 
 TINY = 1e-300
@@ -59,6 +60,7 @@ def moderate(fit: DataFrame, trend: bool = False, robust: bool = False) -> DataF
     variances are pulled in to their 5 and 95 % quantiles first, unless these are undefined. Two or fewer features are not moderated.
     ``b`` is that of :func:`log_odds`.
     """
+    fit = materialise(fit, "fit")  # read many times below
     e = fit.where("s2 > 0").withColumn("z", F.log("s2") - digamma(F.col("df") / 2) + F.log(F.col("df") / 2))
     if robust:
         q = exact_quantiles(e, "z", [0.05, 0.95])
@@ -95,7 +97,7 @@ def moderate(fit: DataFrame, trend: bool = False, robust: bool = False) -> DataF
     else:
         post, total = (s0 * prior_df + F.col("s2") * F.col("df")) / (F.col("df") + prior_df), F.col("df") + prior_df
     t = fit.withColumns({"s2_post": post, "s2_prior": s0}).withColumn("df_total", total).withColumn("t", F.col("lfc") / (F.sqrt("s2_post") * F.col("se_unscaled")))
-    t = log_odds(t.withColumn("p", t_sf2("t", "df_total")), normal=prior_df == math.inf)
+    t = log_odds(materialise(t.withColumn("p", t_sf2("t", "df_total")), "moderated"), normal=prior_df == math.inf)
     return bh_adjust(t.drop("s2_prior"), "p")
 
 
