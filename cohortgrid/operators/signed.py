@@ -83,7 +83,10 @@ def two_arm_scores(activity: DataFrame, samples: DataFrame) -> DataFrame:
     u = F.col("w") - F.col("n2") * (F.col("n2") + 1) / 2 - F.col("n1") * F.col("n2") / 2
     sd = F.sqrt(F.col("n1") * F.col("n2") / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     z = F.when(sd > 0, (u - F.signum(u) * 0.5) / sd).otherwise(0.0)
-    per = per.select("source", F.col("n1").alias("n_first"), F.col("n2").alias("n_second"), (F.col("m2") - F.col("m1")).alias("difference"), ((F.col("m2") - F.col("m1")) / F.sqrt((F.col("v1") + F.col("v2")) / 2)).alias("cohens_d"), z.alias("z"))
+    gap, spread = F.col("m2") - F.col("m1"), F.sqrt((F.col("v1") + F.col("v2")) / 2)
+    # Without spread any difference is infinitely many of them, and none is no number.
+    d = F.when(spread > 0, gap / spread).when(spread == 0, F.when(gap == 0, float("nan")).otherwise(F.signum(gap) * float("inf")))
+    per = per.select("source", F.col("n1").alias("n_first"), F.col("n2").alias("n_second"), gap.alias("difference"), d.alias("cohens_d"), z.alias("z"))
     return bh_adjust(per.withColumn("p", norm_sf2("z")), "p")
 
 
