@@ -55,9 +55,9 @@ def g5(d: Data) -> DataFrame:
     return graph.network_route(d.edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "score"), d.m1, d.m1.select("feature").distinct(), 0.05)
 
 
-@query("g5_network_status", f"WITH {_CO} SELECT 'fallback' AS status, 'coexpression' AS method, count(*) AS n_edges, (SELECT count(DISTINCT f) FROM (SELECT a AS f FROM e UNION ALL SELECT b FROM e)) AS n_nodes, 'not a network of known links: features whose rank correlation is at least 0.05 in size' AS caveat, CAST(NULL AS VARCHAR) AS reason FROM e")
+@query("g5_network_status", f"WITH {_CO} SELECT CASE WHEN count(*) = 0 THEN 'skipped' ELSE 'fallback' END AS status, CASE WHEN count(*) > 0 THEN 'coexpression' END AS method, count(*) AS n_edges, (SELECT count(DISTINCT f) FROM (SELECT a AS f FROM e UNION ALL SELECT b FROM e)) AS n_nodes, CASE WHEN count(*) > 0 THEN 'not a network of known links: features whose rank correlation is at least 0.05 in size' END AS caveat, CASE WHEN count(*) = 0 THEN 'no known edge between the selected features, and no rank correlation of at least 0.05 in size' END AS reason FROM e")
 def g5_status(d: Data) -> DataFrame:
-    return graph.network_status(g5(d), 0.05)
+    return graph.network_status(materialise(g5(d), "routed"), 0.05)
 
 
 _STRONG = "str AS (SELECT a, b FROM edges WHERE score >= 2), sym AS (SELECT a, b FROM str UNION SELECT b, a FROM str), reach(a, b) AS (SELECT a, a FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a), comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a)"
