@@ -132,8 +132,9 @@ def concordance(surv: DataFrame, risk: DataFrame) -> DataFrame:
 
 
 def external_validation(coefs: DataFrame, scaler: DataFrame, train_risk: DataFrame, x2: DataFrame, surv2: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Risks of a second cohort by the training scale, split at the training median; and one row with C and the features found and missing."""
-    risk = risk_score(apply_scaler(x2, scaler), coefs)
+    """Risks (to six digits) of a second cohort by the training scale, split at the training median; and one row with C and the features found and missing."""
+    # Sums in another order differ in their last digits, which must not part equal risks.
+    risk = risk_score(apply_scaler(x2, scaler), coefs).withColumn("risk", F.round("risk", 6) + 0.0)
     cutoff = median_cutoff(train_risk)
     rows = risk_strata(risk, cutoff)
     found = coefs.join(x2.select("feature").distinct().withColumn("hit", F.lit(1)), "feature", "left").agg(F.count("hit").alias("found"), F.count_if(F.col("hit").isNull()).alias("missing"))

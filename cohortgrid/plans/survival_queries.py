@@ -145,7 +145,7 @@ def s13_rows(d: Data) -> DataFrame:
     return x.select("subject", (F.round("risk", 6) + 0.0).alias("risk"), F.when(F.round("risk", 6) > F.col("cutoff"), "high").otherwise("low").alias("stratum"))
 
 
-@query("s13_external_concordance", f"WITH {_SCALER}, x AS (SELECT subject, time, event, sum(coef * value) AS risk FROM x2 JOIN co USING (feature) JOIN surv2 USING (subject) GROUP BY ALL), {_C} SELECT pairs, concordant, tied, {r('(concordant + tied * 0.5) / pairs', 'c')}, (SELECT count(*) FROM co SEMI JOIN x2 USING (feature)) AS found, (SELECT count(*) FROM co ANTI JOIN x2 USING (feature)) AS missing FROM c")
+@query("s13_external_concordance", f"WITH {_SCALER}, x AS (SELECT subject, time, event, round(sum(coef * value), 6) + 0.0 AS risk FROM x2 JOIN co USING (feature) JOIN surv2 USING (subject) GROUP BY ALL), {_C} SELECT pairs, concordant, tied, {r('(concordant + tied * 0.5) / pairs', 'c')}, (SELECT count(*) FROM co SEMI JOIN x2 USING (feature)) AS found, (SELECT count(*) FROM co ANTI JOIN x2 USING (feature)) AS missing FROM c")
 def s13(d: Data) -> DataFrame:
     return external(d)[1]
 
