@@ -103,22 +103,38 @@ def module_sizes(named: DataFrame) -> DataFrame:
 def eigen_profiles(measurements: DataFrame, named: DataFrame, rounds: int = 30) -> DataFrame:
     """``(module, sample, value)``: the first principal component of each module's standardised members, signed like their mean.
 
-    Power iteration on the long table, all modules at once, so that no module has to fit one task.
+    Power iteration, all modules at once, so that no module has to fit one task. A sample's cells of a module are one row, written once; a round is a pass over
+    these rows that sends each of them the module's weights, one number a feature, and adds up new weights, so that no cell is shuffled.
     """
-    z = materialise(row_zscore(measurements).join(named.where("module > 0"), "feature"), "z")
-    mean = z.groupBy("module", "sample").agg(F.avg("value").alias("v"))
-    norm = lambda d: d.join(d.groupBy("module").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("l")), "module").where("l > 0").select("module", "sample", (F.col("v") / F.col("l")).alias("v"))
-    v = materialise(norm(mean), "profile")
-    for i in range(rounds):
-        u = z.join(v, ["module", "sample"]).groupBy("module", "feature").agg(F.sum(F.col("value") * F.col("v")).alias("u"))
-        new = norm(z.join(u, ["module", "feature"]).groupBy("module", "sample").agg(F.sum(F.col("value") * F.col("u")).alias("v")))
-        new = materialise(new, "profile")
-        moved = new.join(v.withColumnRenamed("v", "old"), ["module", "sample"]).agg(F.max(F.abs(F.col("v") - F.col("old")))).first()[0]
-        v = new
-        if moved is None or moved < 1e-9:
+    cells = present(measurements).join(named.where("module > 0").select("feature", "module"), "feature")
+    features = cells.groupBy("module", "feature").agg(F.avg("value").alias("centre"), F.stddev_samp("value").alias("sd"))
+    features = materialise(features.withColumn("at", F.row_number().over(Window.partitionBy("module").orderBy("feature")) - 1), "features")
+    z = F.when(F.col("sd") > 0, (F.col("value") - F.col("centre")) / F.col("sd")).otherwise(0.0)
+    rows = cells.join(features, ["module", "feature"]).groupBy("module", "sample").agg(F.collect_list(F.struct("at", z.alias("z"))).alias("c"), F.avg(z).alias("mean"))
+    rows = materialise(rows, "rows")
+
+    def weighted(weights: DataFrame) -> DataFrame:
+        """``rows`` with ``y``, each one's cells times the weights of its module."""
+        u = weights.groupBy("module").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "u"))), lambda x: x["u"]).alias("u"))
+        return rows.join(u, "module").withColumn("y", F.aggregate("c", F.lit(0.0), lambda acc, x: acc + x["z"] * F.get("u", x["at"]))).drop("u")
+
+    def gathered(df: DataFrame, y: str) -> DataFrame:
+        """New weights ``(module, at, u)`` of unit length; a module without any variance has none."""
+        u = df.select("module", y, F.explode("c").alias("x")).groupBy("module", F.col("x.at").alias("at")).agg(F.sum(F.col("x.z") * F.col(y)).alias("u"))
+        size = u.groupBy("module").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("l")).where("l > 0")
+        return u.join(size, "module").select("module", "at", (F.col("u") / F.col("l")).alias("u"))
+
+    u = materialise(gathered(rows, "mean"), "weights")
+    for _ in range(rounds - 1):
+        new = materialise(gathered(weighted(u), "y"), "weights")
+        # Profiles move by no more than about twice what the weights of unit length do.
+        moved = new.join(u.withColumnRenamed("u", "old"), ["module", "at"]).groupBy("module").agg(F.sqrt(F.sum(F.pow(F.col("u") - F.col("old"), F.lit(2)))).alias("d")).agg(F.max("d")).first()[0]
+        u = new
+        if moved is None or moved < 1e-10:
             break
-    sign = v.join(mean.withColumnRenamed("v", "mean"), ["module", "sample"]).groupBy("module").agg(F.when(F.sum(F.col("v") * F.col("mean")) < 0, -1.0).otherwise(1.0).alias("s"))
-    return v.join(sign, "module").select("module", "sample", (F.col("v") * F.col("s")).alias("value"))
+    v = weighted(u)
+    size = v.groupBy("module").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("l"), F.when(F.sum(F.col("y") * F.col("mean")) < 0, -1.0).otherwise(1.0).alias("s")).where("l > 0")
+    return v.join(materialise(size, "sizes"), "module").select("module", "sample", (F.col("y") / F.col("l") * F.col("s")).alias("value"))
 
 
 def merge_modules(measurements: DataFrame, named: DataFrame, cut: float = 0.25, rounds: int = 5) -> DataFrame:

@@ -91,3 +91,22 @@ def test_no_edge_is_skipped_in_sql_too(spark):
     none = spark.createDataFrame([], "a string, b string, score double, method string")
     row = graph.network_status(none, 0.05).first()
     assert (status, method, n_edges, n_nodes, caveat, reason) == tuple(row)
+
+
+def test_profiles_equal_principal_components(spark):
+    from cohortgrid.operators import modules
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6, 1)) @ rng.normal(size=(1, 40)) + 0.2 * rng.normal(size=(6, 40))
+    x[5] = 3.0
+    df = spark.createDataFrame([(f"f{i}", f"s{j:02}", float(v)) for i, row in enumerate(x) for j, v in enumerate(row) if (i, j) != (1, 7)], "feature string, sample string, value double")
+    named = spark.createDataFrame([(f"f{i}", 1) for i in range(5)] + [("f5", 2)], "feature string, module int")
+    out = modules.eigen_profiles(df, named)
+    got = {(r.module, r["sample"]): r.value for r in out.collect()}
+    x[1, 7] = np.nan
+    z = np.nan_to_num((x[:5] - np.nanmean(x[:5], 1, keepdims=True)) / np.nanstd(x[:5], 1, ddof=1, keepdims=True))
+    v = np.linalg.svd(z)[2][0]
+    v *= np.sign(v @ z.mean(0))
+    assert {m for m, _ in got} == {1} and np.allclose([got[1, f"s{j:02}"] for j in range(40)], v, atol=1e-6)
+    # The cells are not shuffled to meet the weights.
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
