@@ -12,14 +12,15 @@ from ..session import materialise
 LONGEST, TASK_PAIRS = 4096, 2_000_000
 
 
-def shared_edges(members: DataFrame, node: str, group: str) -> DataFrame:
-    """``(a, b, score)`` with ``a < b``: the number of groups two nodes have in common.
+def shared_edges(members: DataFrame, node: str, group: str, sizes: DataFrame | None = None) -> DataFrame:
+    """``(a, b, score)`` with ``a < b``: the number of groups two nodes have in common. ``sizes`` ``(via, n)`` of the groups may be given.
 
     A group's nodes become one sorted list, and each node is sent what follows it there, once for all; where a node is, its pairs are counted, so that no row is
     shuffled for a pair and a group. Tasks are as many as the pairs need. Groups of very many nodes are cut into lists that meet each other.
     """
     rows = members.select(F.col(node).alias("node"), F.col(group).alias("via")).where("node is not null and via is not null")
-    sizes = rows.groupBy("via").agg(F.count("*").alias("n"))
+    if sizes is None:
+        sizes = rows.groupBy("via").agg(F.count("*").alias("n"))
     most, pairs = sizes.agg(F.max("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int((pairs or 0) // TASK_PAIRS) + 1)
     if (most or 0) <= LONGEST:

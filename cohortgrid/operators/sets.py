@@ -6,12 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import bh_adjust, global_row_number, hyper_sf
 from ..session import materialise
-from .graph import components
+from .graph import components, shared_edges
 from .matrix import first_wins
 
 
@@ -138,6 +138,8 @@ def stack_common(frames: list[DataFrame]) -> DataFrame:
 
 #: Lists of more sets than ``SHORT`` are compared in blocks of ``BLOCK`` sets.
 SHORT, BLOCK = 64, 512
+#: Up to this threshold all members list a set, unless they make more than ``MOST_COUNTED`` pairs for each set.
+ALL_MEMBERS, MOST_COUNTED = 0.3, 20_000
 
 
 def _compare(threshold: float):
@@ -167,33 +169,73 @@ def _compare(threshold: float):
     return compare
 
 
+def _one_row(members: DataFrame) -> DataFrame:
+    """``(set_id, members, content)`` of each set, written: the sorted hashes of its members, and what tells equal sets. Null members and sets don't count."""
+    named = members.where("set_id is not null and feature is not null").groupBy("set_id").agg(F.array_sort(F.collect_set("feature")).alias("f"))
+    content = F.struct(F.xxhash64("f").alias("a"), F.size("f").alias("n"), F.aggregate("f", F.lit(0).cast("long"), lambda x, f: x.bitwiseXOR(F.xxhash64(F.lit(1), f))).alias("b"))
+    return materialise(named.select("set_id", content.alias("content"), F.array_sort(F.transform("f", lambda f: F.xxhash64(f))).alias("members")), "sets")
+
+
+def _first(size: Column, threshold: float) -> Column:
+    """So many of the rarest members must hold one that a set at the threshold has too."""
+    return F.greatest(F.lit(1), F.least(size, size - F.ceil(size * F.lit(threshold) - 1e-9).cast("int") + 1))
+
+
+def _shared(lists: DataFrame, sizes: DataFrame, numbers: DataFrame, threshold: float, lacking: bool) -> DataFrame:
+    """``(a, b, na, nb, score)`` of numbers of sets with ``score`` equal ``h`` in ``lists`` ``(number, h)`` of ``sizes`` ``(via, n)``, where these may do for the threshold.
+
+    ``numbers`` ``(number, size, set_id)`` are in the order of size. Pairs are counted where a set's followers in all lists are (:func:`shared_edges`), so none is a row
+    before it is counted. Where ``lacking``, the lists are of the rarest members, and the others of either set count as common.
+    """
+    end = lambda c: numbers.select(F.col("number").alias(c), F.col("size").alias(f"n{c}"))
+    reach = lambda most, other: most >= (F.col("na") + other - most) * F.lit(threshold) - 1e-9
+    pair = shared_edges(lists, "number", "h", sizes).join(end("a"), "a")
+    if not lacking:
+        pair = pair.where(reach(F.col("score"), F.col("na")))
+    pair = pair.join(end("b"), "b")
+    most = F.col("score") + F.greatest(*(F.col(n) - _first(F.col(n), threshold) for n in ("na", "nb"))) if lacking else F.col("score")
+    return pair.where(reach(F.least(most, F.col("na")), F.col("nb"))).select("a", "b", "na", "nb", "score")
+
+
 def jaccard_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, jaccard)`` of sets that share a member and reach the threshold.
+    """``(a, b, jaccard)`` of sets that share a member and reach the threshold. A set must fit a row. Null members and sets of none don't count."""
+    return _similar(_one_row(members), threshold)
+
+
+def _similar(whole: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of :func:`jaccard_pairs` among rows ``(set_id, members)``.
 
-    Two sets at the threshold share one of the rarest members of each, as many as leave too few for it; only these list a set. The
-    sets of a long list are compared in blocks, so that a member of very many sets makes no row for each two of them; those of short ones by
-    a join, of at most ``SHORT`` rows a listed set. A set must fit a row. Null members and sets of none don't count.
+    Two sets at the threshold share one of the rarest members of each, as many as leave too few for it. Where these make much fewer pairs than all members, only these
+    list a set; pairs are counted in place, and those whose count, with all that the lists lack, may reach the threshold are compared. Otherwise
+    all members list a set, and the count is the number of common ones. The sets of a list of more than ``SHORT`` rare members are compared in blocks, so that a member
+    of very many sets makes no pair for each two of them.
     """
-    each = members.where("set_id is not null and feature is not null").select("set_id", F.xxhash64("feature").alias("h"), "feature").distinct()
-    df = each.groupBy("feature").agg(F.count("*").alias("df"))
-    whole = each.join(df, "feature").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("m"))
-    size = F.size("m")
-    first = F.greatest(F.lit(1), F.least(size, size - F.ceil(size * F.lit(threshold) - 1e-9).cast("int") + 1))
-    whole = materialise(whole.select("set_id", F.transform("m", lambda x: x["h"]).alias("members"), F.transform(F.slice("m", F.lit(1), first), lambda x: x["h"]).alias("first")), "sets")
-    listed = whole.select("set_id", F.size("members").alias("size"), F.explode("first").alias("h"))
-    n = listed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    listed = materialise(listed.join(n, "h"), "lists")
-    short = listed.where(F.col("n") <= SHORT)
-    pair = short.select("h", F.col("set_id").alias("a"), F.col("size").alias("na")).join(short.select("h", F.col("set_id").alias("b"), F.col("size").alias("nb")), "h")
-    # Sets of too different sizes can't reach the threshold.
-    pair = pair.where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
+    numbered = global_row_number(whole.select("set_id", F.size("members").alias("size")), [F.col("size"), F.col("set_id")], "number")
+    numbers = materialise(numbered.select("set_id", "size", F.col("number").cast("int").alias("number")), "numbers")
+    each = whole.select("set_id", F.explode("members").alias("h"))
+    df = materialise(each.groupBy("h").agg(F.count("*").alias("df")), "frequencies")
+    every = df.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0] or 0
+    name = lambda pair: pair.join(numbers.select(F.col("number").alias("a"), F.col("set_id").alias("x")), "a").join(numbers.select(F.col("number").alias("b"), F.col("set_id").alias("y")), "b")
+    jaccard = lambda shared: (shared / (F.col("na") + F.col("nb") - shared)).alias("jaccard")
+    ends = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+    # Below a threshold of 0.3 the rarest are more than two thirds of a set, and spare less than half the pairs.
+    if threshold <= ALL_MEMBERS and every <= MOST_COUNTED * max(1, whole.count()):
+        pair = _shared(whole.join(numbers, "set_id").select("number", F.explode("members").alias("h")), df.select(F.col("h").alias("via"), F.col("df").alias("n")), numbers, threshold, False)
+        return name(pair).select(*ends, jaccard(F.col("score"))).where(F.col("jaccard") >= threshold)
+    ranked = each.join(df, "h").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("m"))
+    first = F.transform(F.slice("m", F.lit(1), _first(F.size("m"), threshold)), lambda x: x["h"])
+    listed = materialise(ranked.select("set_id", F.explode(first).alias("h")), "first")
+    n = materialise(listed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "lengths")
+    listed = materialise(listed.join(n, "h").join(numbers, "set_id"), "lists")
+    # A pair that a long list holds as well is compared there.
+    pair = _shared(listed.where(F.col("n") <= SHORT).select("number", "h"), n.where(F.col("n") <= SHORT).select(F.col("h").alias("via"), "n"), numbers, threshold, True)
     side = lambda name, x: whole.select(F.col("set_id").alias(name), F.col("members").alias(x))
-    near = pair.join(side("a", "x"), "a").join(side("b", "y"), "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-    near = near.select("a", "b", (F.col("i") / (F.size("x") + F.size("y") - F.col("i"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
-    rows = listed.where(F.col("n") > SHORT).join(whole.select("set_id", "members"), "set_id").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set_id", "h"), F.col("blocks")).cast("int"))
+    near = name(pair).select("x", "y", "na", "nb").join(side("x", "mx"), "x").join(side("y", "my"), "y")
+    near = near.select(*ends, jaccard(F.size(F.array_intersect("mx", "my")))).where(F.col("jaccard") >= threshold)
+    rows = listed.where(F.col("n") > SHORT).select("set_id", "h", "n").join(whole.select("set_id", "members"), "set_id").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("set_id", "h"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
     rows = rows.withColumn("meet", F.explode(meets)).select("h", "set_id", "members", "meet.*")
-    kind = members.schema["set_id"].dataType.simpleString()
+    kind = whole.schema["set_id"].dataType.simpleString()
     return near.unionByName(rows.groupBy("h", "i", "j").applyInPandas(_compare(threshold), f"a {kind}, b {kind}, jaccard double")).distinct()
 
 
@@ -202,14 +244,11 @@ def fold_redundant(terms: DataFrame, members: DataFrame, jaccard: float = 0.5) -
 
     Equal sets are linked to the smallest name among them, which alone is compared with others.
     """
-    held = members.join(terms.select("set_id"), "set_id", "left_semi").select("set_id", "feature").distinct()
     if jaccard < 1:
-        held = materialise(held, "held")
-        hash_of = F.struct(F.xxhash64(F.array_sort(F.collect_list("feature"))).alias("a"), F.count("*").alias("n"), F.bit_xor(F.xxhash64(F.lit(1), "feature")).alias("b"))
-        equal = materialise(held.groupBy("set_id").agg(hash_of.alias("content")), "contents")
-        equal = equal.join(equal.groupBy("content").agg(F.min("set_id").alias("first")), "content").select("set_id", "first")
-        alone = held.join(equal.where(F.col("set_id") == F.col("first")).select("set_id"), "set_id", "left_semi")
-        links = jaccard_pairs(alone, jaccard).select("a", "b").unionByName(equal.where(F.col("set_id") != F.col("first")).select(F.col("set_id").alias("a"), F.col("first").alias("b")))
+        whole = _one_row(members.select("set_id", "feature").join(terms.select("set_id"), "set_id", "left_semi"))
+        equal = whole.select("set_id", "content").join(whole.groupBy("content").agg(F.min("set_id").alias("first")), "content").select("set_id", "first")
+        alone = whole.select("set_id", "members").join(equal.where(F.col("set_id") == F.col("first")).select("set_id"), "set_id", "left_semi")
+        links = _similar(alone, jaccard).select("a", "b").unionByName(equal.where(F.col("set_id") != F.col("first")).select(F.col("set_id").alias("a"), F.col("first").alias("b")))
         found = components(links).select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
         named = terms.join(found, "set_id", "left").withColumn("cluster", F.coalesce("cluster", "set_id"))
     else:

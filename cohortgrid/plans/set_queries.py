@@ -77,7 +77,7 @@ _FOLD = "mem AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS set_id, CAST(l_pa
 
 @query("f9_fold_redundant", f"WITH {_FOLD} SELECT set_id, {r('1.0 / (CAST(set_id AS INT) + 1)', 'adj_p')}, cluster, count(*) OVER (PARTITION BY cluster) AS cluster_size, row_number() OVER (PARTITION BY cluster ORDER BY 1.0 / (CAST(set_id AS INT) + 1), set_id) = 1 AS representative FROM comp", recursive=True)
 def f9(d: Data) -> DataFrame:
-    mem = d.table("lineitem").select(F.col("l_suppkey").cast("string").alias("set_id"), F.col("l_partkey").cast("string").alias("feature")).distinct()
+    mem = d.table("lineitem").select(F.col("l_suppkey").cast("string").alias("set_id"), F.col("l_partkey").cast("string").alias("feature"))
     terms = mem.select("set_id").distinct().withColumn("adj_p", 1.0 / (F.col("set_id").cast("int") + 1))
     return sets.fold_redundant(terms, mem, 0.16).select("set_id", "adj_p", "cluster", "cluster_size", "representative")
 

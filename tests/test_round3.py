@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cohortgrid.functions import stats
-from cohortgrid.operators import graph, matrix, samples, signed, survival
+from cohortgrid.operators import graph, matrix, samples, sets, signed, survival
 
 
 def test_scores_without_spread(spark):
@@ -110,3 +110,23 @@ def test_profiles_equal_principal_components(spark):
     assert {m for m, _ in got} == {1} and np.allclose([got[1, f"s{j:02}"] for j in range(40)], v, atol=1e-6)
     # The cells are not shuffled to meet the weights.
     assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_similar_sets_make_no_row_for_a_pair_before_it_is_counted(spark, monkeypatch):
+    """Sets of many members that meet in short lists: pairs are counted in place, and only those that may reach the threshold are looked at again."""
+    rng = np.random.default_rng(5)
+    table = {f"s{i:02d}": {int(x) for x in rng.choice(400, 40 + i, False)} for i in range(20)}
+    table |= {f"t{i:02d}": (set(list(table[f"s{i:02d}"])[:-9]) if i % 2 else set(list(table[f"s{i:02d}"])[:20])) for i in range(10)}
+    df = spark.createDataFrame([(s, str(x)) for s, xs in table.items() for x in xs], "set_id string, feature string")
+    counted = []
+    real = sets.shared_edges
+    monkeypatch.setattr(sets, "shared_edges", lambda *a: counted.append(a[0]) or real(*a))
+    for threshold in (0.16, 0.3, 0.55):
+        wanted = {(a, b): len(table[a] & table[b]) / len(table[a] | table[b]) for a in table for b in table if a < b}
+        wanted = {k: v for k, v in wanted.items() if v >= threshold}
+        for most in (20_000, 0):
+            monkeypatch.setattr(sets, "MOST_COUNTED", most)
+            got = sets.jaccard_pairs(df, threshold)
+            found = {(r.a, r.b): r.jaccard for r in got.collect()}
+            assert found.keys() == wanted.keys() and all(math.isclose(found[k], v) for k, v in wanted.items())
+    assert len(counted) == 6
