@@ -130,3 +130,32 @@ def test_similar_sets_make_no_row_for_a_pair_before_it_is_counted(spark, monkeyp
             found = {(r.a, r.b): r.jaccard for r in got.collect()}
             assert found.keys() == wanted.keys() and all(math.isclose(found[k], v) for k, v in wanted.items())
     assert len(counted) == 6
+
+
+def test_sums_along_times_are_sent_by_block(spark, monkeypatch):
+    """Equal times over several blocks: log-likelihood and gradient by hand, and nothing for each time on the driver."""
+    from cohortgrid.operators import cox_path
+
+    rng = np.random.default_rng(8)
+    n, p = 90, 2
+    x, t, e, fold = rng.normal(size=(n, p)), np.minimum(rng.integers(0, 40, n), 25).astype(float), rng.integers(0, 2, n), rng.integers(1, 3, n)
+    cov = spark.createDataFrame([(i, f"f{j}", float(x[i, j])) for i in range(n) for j in range(p)], "subject int, feature string, value double")
+    surv = spark.createDataFrame([(i, float(t[i]), int(e[i])) for i in range(n)], "subject int, time double, event int")
+    folds = spark.createDataFrame([(i, 1, int(fold[i])) for i in range(n)], "subject int, repeat int, fold int")
+    beta = np.array([[0.5, -0.3], [0.1, 0.2], [-0.4, 0.0]])
+    for size in (7, 1000):
+        monkeypatch.setattr(cox_path, "TIMES", size)
+        cohort = cox_path._Cohort(cov, surv, folds)
+        cohort.admit([0, 1])
+        value, sums = cohort.hazards(beta)
+        assert all(s.shape == (-(-n // size), 3) for s in sums)
+        gradient, whole = cohort.gradient(beta, sums)[0], cohort.whole_gradient(beta, sums)
+        for m in range(3):
+            at = fold != m
+            w, wanted, slope = np.exp(x @ beta[m]), 0.0, np.zeros(p)
+            for i in np.flatnonzero(at & (e == 1)):
+                risk = at & (t >= t[i])
+                wanted += x[i] @ beta[m] - math.log(w[risk].sum())
+                slope += x[i] - w[risk] @ x[risk] / w[risk].sum()
+            events = e[at].sum()
+            assert math.isclose(value[m], wanted / events) and np.allclose(gradient[m], slope / events) and np.allclose(whole[m], slope / events)
