@@ -100,29 +100,14 @@ def risk_score(x: DataFrame, coefs: DataFrame) -> DataFrame:
 def concordance_counts(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``(by.., pairs, concordant, tied, c)`` of rows ``(by.., time, event, risk, w)``; ``w`` counts a row so many times.
 
-    A pair is comparable where the shorter time had the event and the times differ. Times are numbered in order; two of them part at
-    one bit of their numbers, the highest that differs, so a row is asked once for each bit, among those it shares the higher bits with.
-    There the pairs follow from running weights over the risks, which one sum over the whole table gives for all groups
-    at once: n log n rows, no pair and no group in one task. ``by`` must not be null.
+    A pair is comparable where the shorter time had the event and the times differ. See :mod:`concordance`. ``by`` must not be null.
     """
-    from ..functions.stats import global_row_number
+    from .concordance import weighted_concordance
 
     by = list(by)
-    x = rows.where("time is not null and event is not null and risk is not null").select(*by, "time", "event", "risk", F.col("w").cast("long").alias("w"))
-    times = global_row_number(x.select("time").distinct(), [F.col("time")], "t").withColumn("t", F.col("t") - 1)
-    times = materialise(times, "times")
-    bits = max(1, int((times.agg(F.max("t")).first()[0] or 0)).bit_length())
-    x = x.join(times, "time").groupBy(*by, "t", "event", "risk").agg(F.sum("w").alias("w")).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))))
-    later = F.expr("shiftright(t, level) & 1") == 1
-    x = x.withColumns({"node": F.expr("shiftright(t, level + 1)"), "asks": F.when(~later & (F.col("event") == 1), F.col("w")).otherwise(0), "later": F.when(later, F.col("w")).otherwise(0)})
-    group = [*by, "level", "node"]
-    per = x.where("asks > 0 or later > 0").groupBy(*group, "risk").agg(F.sum("asks").alias("asks"), F.sum("later").alias("later"))
-    per = global_running(per.withColumn("_order", F.struct(*group, "risk")), F.col("_order"), sums={"upto": "later"})
-    wide = lambda c: c.cast("decimal(38,0)")
-    one = per.groupBy(*group).agg(F.sum("asks").alias("a"), F.sum("later").alias("l"), F.max("upto").alias("end"), F.sum(wide(F.col("asks")) * (F.col("upto") - F.col("later"))).alias("below"), F.sum(F.col("asks") * F.col("later")).alias("tied"))
-    # What the running sum had come to before the group is taken out of each ask.
-    one = one.select(*by, (F.col("a") * F.col("l")).alias("pairs"), (F.col("below") - wide(F.col("a")) * (F.col("end") - F.col("l"))).alias("concordant"), "tied")
-    one = one.groupBy(*by).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("pairs", "concordant", "tied")))
+    x = rows.where("time is not null and event is not null and risk is not null").select(*by, F.col("time").cast("double").alias("time"), "event", (F.col("risk").cast("double") + 0.0).alias("risk"), F.col("w").cast("long").alias("w"))
+    x = materialise(x.groupBy(*by, "time", "event", "risk").agg(F.array(F.sum("w")).alias("w")), "asked")
+    one = weighted_concordance(x, by).groupBy(*by).agg(*(F.coalesce(F.sum(F.element_at(c, 1)), F.lit(0)).alias(c) for c in ("pairs", "concordant", "tied")))
     return one.withColumn("c", F.when(F.col("pairs") > 0, (F.col("concordant") + F.col("tied") * 0.5) / F.col("pairs")))
 
 
@@ -356,8 +341,12 @@ def cox_l1_path(x: DataFrame, surv: DataFrame, fold_table: DataFrame, lambdas: S
 
 def cv_concordance(x: DataFrame, surv: DataFrame, fold_table: DataFrame, coefs: DataFrame) -> DataFrame:
     """``(repeat, lam, fold, c)`` of held-out subjects by the models that did not see them."""
-    held = x.join(fold_table, "subject").join(coefs.where("fold > 0"), ["repeat", "fold", "feature"])
-    risk = held.groupBy("repeat", "fold", "lam", "subject").agg(F.sum(F.col("coef") * F.col("value")).alias("risk")).join(surv.select("subject", "time", "event"), "subject")
+    # A subject's cells are sent once, and each of its folds is joined to the models of that fold.
+    cells = x.join(F.broadcast(coefs.select("feature").distinct()), "feature", "left_semi").groupBy("subject").agg(F.array_sort(F.collect_list(F.struct("feature", "value"))).alias("x"))
+    models = coefs.where("fold > 0").groupBy("repeat", "fold", "lam").agg(F.map_from_entries(F.collect_list(F.struct("feature", "coef"))).alias("coef"))
+    held = cells.join(surv.select("subject", "time", "event"), "subject").join(fold_table, "subject").join(F.broadcast(models), ["repeat", "fold"])
+    score = F.aggregate("x", F.lit(0.0), lambda total, c: total + F.coalesce(F.try_element_at("coef", c["feature"]), F.lit(0.0)) * c["value"])
+    risk = held.select("repeat", "fold", "lam", "time", "event", score.alias("risk"))
     return concordance_counts(risk.withColumn("w", F.lit(1)), ["repeat", "fold", "lam"]).where("c is not null").select("repeat", "fold", "lam", "c")
 
 
@@ -463,27 +452,33 @@ def optimism(surv: DataFrame, risk: DataFrame, replicates: int = 200, seed: int
     on its own draw (``training``) and on the original cohort (``test``). The mean difference is the optimism, which the
     apparent measure is lowered by. All replicates are fitted together. ``r2`` is that of Nagelkerke. Subjects without time, event or risk don't count.
     """
-    x = surv.select("subject", "time", "event").join(risk.select("subject", F.col("risk").cast("double").alias("risk")), "subject").where("time is not null and event is not null and risk is not null")
-    x = x.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    u = F.pmod(F.xxhash64("subject", "rep", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    weight, cdf, term = F.lit(0), 0.0, float(np.exp(-1))
-    for k in range(8):
-        cdf += term
-        weight = weight + (u > cdf).cast("int")
-        term /= k + 1
-    x = materialise(x.withColumn("w", F.when(F.col("rep") == 0, 1).otherwise(weight)).where("w > 0"), "draws")
-    cells = x.select("subject", F.col("rep").alias("feature"), F.col("risk").alias("value"), "w")
-    fits = cox_univariate(cells, x.where("rep = 0").select("subject", "time", "event")).select(F.col("feature").alias("rep"), "beta")
-    fits = materialise(fits, "fits")
-
-    def likelihood(of: DataFrame, at: Column, name: str) -> DataFrame:
-        """Log-likelihood of each replicate's model at ``at`` on the rows ``of``."""
-        return cox_terms(of, x.where("rep = 0").select("subject", "time", "event"), fits.select(F.col("rep").alias("feature"), at.alias("beta"))).select(F.col("feature").alias("rep"), F.col("loglik").alias(name))
-
-    original = cells.where("feature = 0").select("subject", "value", "w").join(F.broadcast(fits.select(F.col("rep").alias("feature"))), F.lit(True))
-    sizes = x.groupBy("rep").agg(F.sum("w").alias("n"))
-    m = fits.join(likelihood(cells, F.col("beta"), "own"), "rep").join(likelihood(cells, F.lit(0.0), "own0"), "rep").join(likelihood(original, F.col("beta"), "other"), "rep").join(sizes, "rep")
-    m = m.join(concordance_counts(x, ["rep"]).select("rep", (2 * F.col("c") - 1).alias("d")), "rep")
+    from .concordance import weighted_concordance
+    from .cox_replicates import Replicates
+
+    x = surv.select("subject", F.col("time").cast("double").alias("time"), "event").join(risk.select("subject", F.col("risk").cast("double").alias("risk")), "subject").where("time is not null and event is not null and risk is not null")
+    u = lambda rep: F.pmod(F.xxhash64("subject", rep, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+
+    def weight(rep: Column) -> Column:
+        cdf, term, limits = 0.0, float(np.exp(-1)), []
+        for k in range(8):
+            cdf += term
+            limits.append(cdf)
+            term /= k + 1
+        above = F.array(*map(F.lit, limits))
+        return F.when(rep == 0, 1).otherwise(F.size(F.filter(above, lambda c: u(rep) > c))).cast("tinyint")
+
+    x = x.select("time", F.col("event").cast("int").alias("event"), (F.col("risk") + 0.0).alias("risk"), F.transform(F.sequence(F.lit(0), F.lit(replicates)), weight).alias("w"))
+    x = materialise(x, "draws")
+    if not x.limit(1).count():
+        return x.sparkSession.createDataFrame([], "measure string, apparent double, training double, test double, optimism double, corrected double")
+    fits = Replicates(x, replicates + 1)
+    beta, own0 = fits.fit()
+    own, other = fits.loglik(beta), fits.loglik(beta, drawn=False)
+    rows = [(i, *map(float, v)) for i, v in enumerate(zip(beta, own, own0, other, fits.sizes))]
+    m = x.sparkSession.createDataFrame(rows, "rep int, beta double, own double, own0 double, other double, n double")
+    pairs = weighted_concordance(x).select(F.posexplode(F.arrays_zip("pairs", "concordant", "tied")).alias("rep", "p"))
+    c = F.when(F.col("p.pairs") > 0, (F.col("p.concordant") + F.col("p.tied") * 0.5) / F.col("p.pairs"))
+    m = m.join(pairs.select("rep", (2 * c - 1).alias("d")), "rep")
     base = m.where("rep = 0").select(F.col("beta").alias("beta0"), F.col("own0").alias("ll0"), F.col("n").alias("n0"), F.col("d").alias("d0"))
     m = m.join(F.broadcast(base), F.lit(True))
     r2 = lambda ll, null, n: (1 - F.exp(-2 * (ll - null) / n)) / (1 - F.exp(2 * null / n))

@@ -159,3 +159,43 @@ def test_sums_along_times_are_sent_by_block(spark, monkeypatch):
                 slope += x[i] - w[risk] @ x[risk] / w[risk].sum()
             events = e[at].sum()
             assert math.isclose(value[m], wanted / events) and np.allclose(gradient[m], slope / events) and np.allclose(whole[m], slope / events)
+
+
+def test_concordance_over_many_blocks(spark, monkeypatch):
+    """Times and risks cut into blocks, one of them of many equal values, with several weights."""
+    from cohortgrid.operators import concordance
+
+    rng = np.random.default_rng(4)
+    n = 150
+    t, r = np.where(rng.random(n) < 0.3, 20.0, rng.integers(0, 40, n)), np.where(rng.random(n) < 0.3, 5.0, rng.integers(0, 12, n))
+    e, w, g = rng.integers(0, 2, n), rng.integers(0, 4, (n, 3)), rng.integers(0, 2, n)
+    df = spark.createDataFrame([(int(g[i]), float(t[i]), int(e[i]), float(r[i]), [int(x) for x in w[i]]) for i in range(n)], "g int, time double, event int, risk double, w array<byte>")
+    monkeypatch.setattr(concordance, "AT_ONCE", 2)
+    for rows in (10, 1000):
+        monkeypatch.setattr(concordance, "ROWS", rows)
+        got = {x.g: (x.pairs, x.concordant, x.tied) for x in concordance.weighted_concordance(df, ["g"]).collect()}
+        got |= {None: tuple(concordance.weighted_concordance(df.drop("g")).first())}
+        for group in (0, 1, None):
+            own = np.flatnonzero((g == group) | (group is None))
+            pairs = [(i, j) for i in own for j in own if e[i] and t[i] < t[j]]
+            of = lambda keep: [sum(int(w[i, m] * w[j, m]) for i, j in pairs if keep(r[i], r[j])) for m in range(3)]
+            assert got[group] == (of(lambda a, b: True), of(lambda a, b: a > b), of(lambda a, b: a == b))
+
+
+def test_optimism_of_times_over_several_blocks(spark, monkeypatch):
+    """Blocks of three rows, with times that fill several of them, give what one block gives; a row is sent once for all replicates."""
+    from cohortgrid.operators import cox_replicates
+
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, float(t), int(rng.integers(0, 2)), float(round(rng.normal() - t / 9, 2))) for i, t in enumerate(rng.choice([1, 2, 2, 2, 3, 4, 5, 5], 60))], "subject long, time double, event int, risk double")
+    made = []
+    real = cox_replicates.time_blocks
+    monkeypatch.setattr(cox_replicates, "time_blocks", lambda rows, size: made.append((rows.count(), size)) or real(rows, size))
+    results = []
+    for values in (1 << 20, 15):
+        monkeypatch.setattr(cox_replicates, "VALUES", values)
+        got = survival.optimism(df.select("subject", "time", "event"), df.select("subject", "risk"), 4).collect()
+        results.append({r.measure: list(r)[1:] for r in got})
+    assert made == [(60, (1 << 20) // 5), (60, 3)]
+    assert all(np.allclose(results[0][k], results[1][k]) for k in ("dxy", "slope", "r2"))
+    assert survival.optimism(df.limit(0).select("subject", "time", "event"), df.select("subject", "risk"), 4).count() == 0
