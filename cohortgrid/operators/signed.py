@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import average_rank, bh_adjust, hyper_sf, norm_sf2
+from ..session import materialise
 from .matrix import row_zscore
 from .testing import significant
 
 
 def signed_set_overlap(signed: DataFrame, selected: DataFrame, detected: DataFrame, min_targets: int = 5) -> DataFrame:
     """One-sided exact test of each source's targets among the selected features, within the detected ones."""
-    inside = signed.select("source", F.col("target").alias("feature")).join(detected.select("feature").distinct(), "feature", "left_semi").distinct()
-    chosen = selected.join(detected.select("feature"), "feature", "left_semi").select("feature").distinct().withColumn("hit", F.lit(1))
+    # The detected features are asked for four times; measurements are read for them once.
+    detected = materialise(detected.select("feature").distinct(), "detected")
+    inside = signed.select("source", F.col("target").alias("feature")).join(detected, "feature", "left_semi").distinct()
+    chosen = selected.join(detected, "feature", "left_semi").select("feature").distinct().withColumn("hit", F.lit(1))
     per = inside.join(chosen, "feature", "left").groupBy("source").agg(F.count("*").alias("n_targets"), F.count("hit").alias("overlap")).where(F.col("n_targets") >= min_targets)
-    counts = detected.select("feature").distinct().agg(F.count("*").alias("n_detected")).join(chosen.agg(F.count("*").alias("n_selected")), F.lit(True))
+    counts = detected.agg(F.count("*").alias("n_detected")).join(chosen.agg(F.count("*").alias("n_selected")), F.lit(True))
     per = per.join(F.broadcast(counts), F.lit(True))
     a, b = F.col("overlap"), F.col("n_targets") - F.col("overlap")
     c = F.col("n_selected") - F.col("overlap")
@@ -27,31 +31,38 @@ def signed_set_overlap(signed: DataFrame, selected: DataFrame, detected: DataFra
     return bh_adjust(per.withColumn("p", hyper_sf("overlap", "n_detected", "n_targets", "n_selected")), "p")
 
 
+def _conditional_odds(k: int, n: int, m: int, d: int) -> float:
+    """The log odds at which the mean overlap is ``k``, by bisection, with the ends met by Newton steps that stay inside them."""
+    lo, hi = max(0, d + m - n), min(m, d)
+    if k <= lo or k >= hi:
+        return 0.0 if k <= lo else math.inf
+    i = np.arange(lo, hi)
+    # Logarithms of the weights less that of the first, from the ratios of neighbours.
+    logs = np.concatenate([[0.0], np.cumsum(np.log(m - i) + np.log(d - i) - np.log(i + 1.0) - np.log(n - m - d + i + 1.0))])
+    i = np.arange(lo, hi + 1, dtype=float)
+    a, b, x = -40.0, 40.0, 0.0
+    for _ in range(200):
+        w = logs + x * i
+        w = np.exp(w - w.max())
+        w /= w.sum()
+        mean = w @ i
+        a, b = (x, b) if mean < k else (a, x)
+        var = w @ (i - mean) ** 2
+        to = x + (k - mean) / var if var > 0 else math.inf
+        to = to if a < to < b else (a + b) / 2
+        done = abs(to - x) <= 1e-14 * max(1.0, abs(x))
+        x = to
+        if done:
+            break
+    return math.exp(x)
+
+
 def conditional_odds(overlap: DataFrame) -> DataFrame:
     """``(source, odds)``: the odds ratio of greatest conditional likelihood, given the margins."""
 
     @F.pandas_udf("double")
     def odds(k: pd.Series, n: pd.Series, m: pd.Series, d: pd.Series) -> pd.Series:
-        out = []
-        for k, n, m, d in zip(k, n, m, d):
-            lo, hi = max(0, d + m - n), min(m, d)
-            logs = [math.lgamma(m + 1) - math.lgamma(i + 1) - math.lgamma(m - i + 1) + math.lgamma(n - m + 1) - math.lgamma(d - i + 1) - math.lgamma(n - m - d + i + 1) for i in range(lo, hi + 1)]
-
-            def mean(x: float) -> float:
-                w = [v + x * i for v, i in zip(logs, range(lo, hi + 1))]
-                top = max(w)
-                e = [math.exp(v - top) for v in w]
-                return sum(v * i for v, i in zip(e, range(lo, hi + 1))) / sum(e)
-
-            if k <= lo or k >= hi:
-                out.append(0.0 if k <= lo else math.inf)
-                continue
-            a, b = -40.0, 40.0
-            for _ in range(100):
-                mid = (a + b) / 2
-                a, b = (mid, b) if mean(mid) < k else (a, mid)
-            out.append(math.exp((a + b) / 2))
-        return pd.Series(out, dtype=float)
+        return pd.Series([_conditional_odds(*map(int, row)) for row in zip(k, n, m, d)], dtype=float)
 
     return overlap.select("source", odds("overlap", "n_detected", "n_targets", "n_selected").alias("odds"))
 

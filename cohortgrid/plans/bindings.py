@@ -109,7 +109,11 @@ class Data:
     @property
     def signed(self) -> DataFrame:
         """Signed sets: words by their first two letters."""
-        w = self.m3.select("feature").distinct().where("length(feature) > 1")
+        return self.signed_words(self.m3)
+
+    @staticmethod
+    def signed_words(words: DataFrame) -> DataFrame:
+        w = words.select("feature").distinct().where("length(feature) > 1")
         n = F.length("feature")
         return w.select(F.substring("feature", 1, 2).alias("source"), F.col("feature").alias("target"), F.when(n % 5 == 0, None).when(n % 2 == 0, 1).otherwise(-1).alias("sign"))
 

@@ -95,8 +95,20 @@ def f11(d: Data) -> DataFrame:
     return sets.q_values(test(d).select("feature", "p"), "p", [])
 
 
-def chosen_words(d: Data) -> DataFrame:
-    return d.m3.groupBy("feature").agg(F.count("*").alias("n")).where("n >= 20").select("feature")
+def words(d: Data) -> DataFrame:
+    """``(feature, n)``: in how many documents each word is, so that the texts are read once for all that the overlap asks of them."""
+    from ..session import materialise
+
+    return materialise(d.m3.groupBy("feature").agg(F.count("*").alias("n")), "words")
+
+
+def chosen_words(detected: DataFrame) -> DataFrame:
+    return detected.where("n >= 20").select("feature")
+
+
+def overlap(d: Data) -> DataFrame:
+    w = words(d)
+    return signed.signed_set_overlap(d.signed_words(w), chosen_words(w), w)
 
 
 _OVER = "det AS (SELECT DISTINCT feature FROM m3), sel AS (SELECT feature FROM m3 GROUP BY feature HAVING count(*) >= 20), per AS (SELECT source, count(*) AS n_targets, count(sel.feature) AS overlap FROM signed JOIN det ON det.feature = target LEFT JOIN sel ON sel.feature = target GROUP BY source HAVING count(*) >= 5), o AS (SELECT *, (SELECT count(*) FROM det) AS n_detected, (SELECT count(*) FROM sel) AS n_selected FROM per)"
@@ -104,7 +116,7 @@ _OVER = "det AS (SELECT DISTINCT feature FROM m3), sel AS (SELECT feature FROM m
 
 @query("t1_signed_overlap", f"WITH {_OVER} SELECT source, n_targets, overlap, n_detected, n_selected, {r('n_targets * 1.0 * n_selected / n_detected', 'expected')}, {r('CASE WHEN (n_targets - overlap) * (n_selected - overlap) > 0 THEN overlap * 1.0 * (n_detected - n_targets - n_selected + overlap) / ((n_targets - overlap) * (n_selected - overlap)) END', 'cross_odds')} FROM o")
 def t1(d: Data) -> DataFrame:
-    return signed.signed_set_overlap(d.signed, chosen_words(d), d.m3).drop("p", "adj_p")
+    return overlap(d).drop("p", "adj_p")
 
 
 _HYPER = "lgamma(n_targets + 1) - lgamma(j + 1) - lgamma(n_targets - j + 1) + lgamma(n_detected - n_targets + 1) - lgamma(n_selected - j + 1) - lgamma(n_detected - n_targets - n_selected + j + 1) - lgamma(n_detected + 1) + lgamma(n_selected + 1) + lgamma(n_detected - n_selected + 1)"
@@ -115,12 +127,12 @@ _HYPER = "lgamma(n_targets + 1) - lgamma(j + 1) - lgamma(n_targets - j + 1) + lg
     f"WITH {_OVER}, tp AS (SELECT source, (SELECT least(1.0, sum(exp({_HYPER}))) FROM (SELECT unnest(generate_series(greatest(overlap, n_targets + n_selected - n_detected), least(n_targets, n_selected))) AS j)) AS p FROM o) SELECT source, {r('p', 'p')}, {r('least(1.0, min(p * m / place) OVER (ORDER BY p DESC))', 'adj_p')} FROM (SELECT *, count(*) OVER () AS m, count(*) OVER (ORDER BY p) AS place FROM tp)",
 )
 def t1_p(d: Data) -> DataFrame:
-    return signed.signed_set_overlap(d.signed, chosen_words(d), d.m3).select("source", "p", "adj_p")
+    return overlap(d).select("source", "p", "adj_p")
 
 
 @query("t1_conditional_odds")
 def t1_odds(d: Data) -> DataFrame:
-    x = signed.signed_set_overlap(d.signed, chosen_words(d), d.m3)
+    x = overlap(d)
     return signed.conditional_odds(x)
 
 

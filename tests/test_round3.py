@@ -199,3 +199,24 @@ def test_optimism_of_times_over_several_blocks(spark, monkeypatch):
     assert made == [(60, (1 << 20) // 5), (60, 3)]
     assert all(np.allclose(results[0][k], results[1][k]) for k in ("dxy", "slope", "r2"))
     assert survival.optimism(df.limit(0).select("subject", "time", "event"), df.select("subject", "risk"), 4).count() == 0
+
+
+def test_conditional_odds_of_large_tables(spark):
+    """The mean overlap at the odds is the overlap, also with a hundred thousand terms."""
+    for k, n, m, d in ((3, 20, 6, 5), (70, 1000, 200, 300), (30_000, 1_000_000, 100_000, 120_000), (1, 1_000_000, 100_000, 120_000), (99_999, 1_000_000, 100_000, 120_000)):
+        odds = signed._conditional_odds(k, n, m, d)
+        i = np.arange(max(0, d + m - n), min(m, d) + 1)
+        logs = np.array([-math.lgamma(v + 1) - math.lgamma(m - v + 1) - math.lgamma(d - v + 1) - math.lgamma(n - m - d + v + 1) for v in i.tolist()]) + math.log(odds) * i
+        w = np.exp(logs - logs.max())
+        assert math.isclose(w @ i / w.sum(), k, rel_tol=1e-6)
+    assert signed._conditional_odds(0, 20, 6, 5) == 0.0 and signed._conditional_odds(5, 20, 6, 5) == math.inf
+
+
+def test_overlap_reads_texts_once(spark, monkeypatch):
+    from cohortgrid.plans import bindings, set_queries
+
+    read = []
+    docs = spark.createDataFrame([(i, f"ab{i % 3} abc abd abe abf abg ac{'x' * (i % 7)}") for i in range(30)], "doc_id long, text string")
+    monkeypatch.setattr(bindings.Data, "table", lambda self, name: read.append(name) or docs)
+    rows = set_queries.overlap(bindings.Data(spark, "")).collect()
+    assert read == ["documents"] and {r.source for r in rows} == {"ab", "ac"}
