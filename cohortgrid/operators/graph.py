@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,12 +166,85 @@ def thin(edges: DataFrame, max_nodes: int = 200, max_edges: int = 450) -> DataFr
     return kept.orderBy(F.col("score").desc(), "a", "b").limit(max_edges)
 
 
-def communities(edges: DataFrame, top: int = 4, rounds: int = 10) -> DataFrame:
-    """``(node, community, size)`` by weighted label propagation: each node takes the label of most weight around it, of equals the smallest.
+#: Nodes of a graph up to which the label of each is sent to every task, links of a node up to which they are one list, and cells of a table of weights.
+MOST_NODES, MOST_LINKS, CELLS = 1 << 20, 1 << 22, 1 << 22
+
+#: Columns of a block of nodes with all their links: their numbers as bytes, which no reader or writer takes one by one.
+_BLOCK = {"node": np.int32, "n": np.int32, "other": np.int32, "score": np.float64}
+
+
+def _blocks(lists: DataFrame) -> DataFrame:
+    """Blocks of ``(node, other, score)``, a node and the lists of its links. A link of its own largest score is added to each node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n = (x.to_numpy(zero_copy_only=False) for x in (batch.column("node"), pc.list_value_length(batch.column("other"))))
+            if not len(node):
+                continue
+            other, score = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("other", "score"))
+            ends = np.cumsum(n)
+            loops = np.maximum.reduceat(score, ends - n)
+            columns = node, n + 1, np.insert(other, ends, node), np.insert(score, ends, loops)
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype(kind).tobytes()]) for x, kind in zip(columns, _BLOCK.values())], list(_BLOCK))
+
+    return materialise(lists.mapInArrow(run, ", ".join(f"{c} binary" for c in _BLOCK)), "blocks")
+
+
+def _best(size: np.ndarray, label: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
+    """Of each node with ``size`` links of ``score`` to others of ``label`` (less than ``n``), the label of most weight, of equals the least."""
+    at = np.concatenate([[0], np.cumsum(size)])
+    if len(size) * n > 16 * len(label) or score.min() <= 0:
+        key = np.repeat(np.arange(len(size)) * n, size) + label
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        owner, name, weight = key[order][first] // n, key[order][first] % n, np.add.reduceat(score[order], first)
+        most = np.flatnonzero(weight == np.maximum.reduceat(weight, np.flatnonzero(np.diff(owner, prepend=-1)))[owner])
+        return name[most[np.unique(owner[most], return_index=True)[1]]]
+    best, step = np.zeros(len(size), np.int64), max(1, CELLS // n)
+    for i in range(0, len(size), step):
+        k = size[i : i + step]
+        own = slice(at[i], at[i + len(k)])
+        best[i : i + step] = np.bincount(np.repeat(np.arange(len(k)) * n, k) + label[own], score[own], len(k) * n).reshape(len(k), n).argmax(1)
+    return best
+
+
+def _labels_by_blocks(edges: DataFrame, numbers: DataFrame, n: int, rounds: int) -> DataFrame:
+    """``(node, label)`` of :func:`communities`: links stay in their blocks, and every task has the labels of all nodes."""
+    spark = edges.sparkSession
+    end = lambda c: F.broadcast(numbers.select(F.col("node").alias(c), F.col("i").alias(f"i{c}")))
+    both = edges.join(end("a"), "a").join(end("b"), "b").select("ia", "ib", F.col("score").cast("double").alias("score"))
+    both = both.select(F.inline(F.array(F.struct(F.col("ia").alias("a"), F.col("ib").alias("b")), F.struct(F.col("ib").alias("a"), F.col("ia").alias("b")))), "score")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * edges.count() // TASK_PAIRS + 1)
+    blocks = _blocks(both.repartition(parts, "a").groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("other"), F.collect_list("score").alias("score")))
+
+    def run(labels: np.ndarray) -> np.ndarray:
+        names, own = np.unique(labels, return_inverse=True)
+        sent = spark.sparkContext.broadcast((names.astype(np.int32), own.astype(np.int32)))
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, own = sent.value
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    node, size, other, score = (np.frombuffer(batch.column(c)[r].as_buffer(), kind) for c, kind in _BLOCK.items())
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(names[_best(size, own[other], score, len(names))])], ["i", "label"])
+
+        found = blocks.mapInArrow(choose, "i int, label int").toArrow()
+        sent.destroy()
+        new = np.empty_like(labels)
+        new[found.column("i").to_numpy()] = found.column("label").to_numpy()
+        return new
+
+    labels = np.arange(n, dtype=np.int32)
+    for _ in range(rounds):
+        before, labels = labels, run(labels)
+        if (before == labels).all():
+            break
+    chosen = spark.createDataFrame(pa.table({"i": np.arange(n, dtype=np.int32), "l": labels}))
+    return numbers.join(chosen, "i").join(numbers.select(F.col("i").alias("l"), F.col("node").alias("label")), "l").select("node", "label")
 
-    The ``top`` largest communities are numbered, the others are ``other``.
-    """
-    edges = materialise(edges.select("a", "b", "score"), "edges")
+
+def _labels_by_joins(edges: DataFrame, rounds: int) -> DataFrame:
+    """``(node, label)`` of :func:`communities`, for any number of nodes."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
     loops = both.groupBy("a").agg(F.max("score").alias("score")).select("a", F.col("a").alias("b"), "score")
     # Links of a node lie together, so that each round adds most of them up before its shuffle.
@@ -180,20 +258,42 @@ def communities(edges: DataFrame, top: int = 4, rounds: int = 10) -> DataFrame:
         labels = new
         if not moved:
             break
+    return labels
+
+
+def communities(edges: DataFrame, top: int = 4, rounds: int = 10) -> DataFrame:
+    """``(node, community, size)`` by weighted label propagation: each node takes the label of most weight around it, of equals the smallest.
+
+    The ``top`` largest communities are numbered, the others are ``other``. ``edges`` is a table that may be read several times. Up to ``MOST_NODES`` nodes, of up
+    to ``MOST_LINKS`` links each, links are shuffled once for all rounds; else labels are joined to the links in each.
+    """
+    from ..functions.stats import global_row_number
+
+    edges = edges.select("a", "b", "score").where("a is not null and b is not null and score is not null")
+    nodes = materialise(degree(edges), "nodes")
+    n, most = nodes.agg(F.count("*"), F.max("degree")).first()
+    if n <= MOST_NODES and (most or 0) <= MOST_LINKS:
+        numbers = materialise(global_row_number(nodes, [F.col("node")], "nth").select("node", (F.col("nth") - 1).cast("int").alias("i")), "numbers")
+        labels = _labels_by_blocks(edges, numbers, n, rounds)
+    else:
+        labels = _labels_by_joins(edges, rounds)
+    labels = materialise(labels, "labels")
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     ranked = sizes.orderBy(F.col("size").desc(), "label").limit(top).withColumn("community", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("size").desc(), "label")).cast("string"))
     return labels.join(sizes, "label").join(ranked.select("label", "community"), "label", "left").select("node", F.coalesce("community", F.lit("other")).alias("community"), "size")
 
 
 def modularity(edges: DataFrame, named: DataFrame) -> DataFrame:
-    """One row with the modularity of a division ``(node, community)``."""
-    edges = materialise(edges.select("a", "b", "score"), "edges")
-    named = materialise(named, "named")
-    m = edges.agg(F.sum("score").alias("m"))
+    """One row with the modularity of a division ``(node, community)``. ``edges`` is a table that may be read several times."""
     label = lambda c: named.select(F.col("node").alias(c), F.col("community").alias(f"c{c}"))
-    inside = edges.join(label("a"), "a").join(label("b"), "b").agg(F.coalesce(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("score"))), F.lit(0)).alias("inside"))
-    k = edges.select(F.explode(F.array("a", "b")).alias("node"), "score").groupBy("node").agg(F.sum("score").alias("k")).join(named, "node").groupBy("community").agg(F.sum("k").alias("k")).agg(F.sum(F.pow("k", F.lit(2))).alias("kk"))
-    return m.join(inside, F.lit(True)).join(k, F.lit(True)).select((F.col("inside") / F.col("m") - F.col("kk") / F.pow(2 * F.col("m"), F.lit(2))).alias("modularity"))
+    named = materialise(named, "named")
+    edges = edges.select("a", "b", "score")
+    # Edges are added up by the communities of their ends; the rest is read from these sums. A node without a community counts in the whole sum only.
+    pairs = materialise(edges.join(label("a"), "a", "left").join(label("b"), "b", "left").groupBy("ca", "cb").agg(F.sum("score").alias("s")), "sums")
+    one = pairs.agg(F.sum("s").alias("m"), F.coalesce(F.sum(F.when(F.col("ca") == F.col("cb"), F.col("s"))), F.lit(0)).alias("inside"))
+    ends = pairs.select(F.explode(F.array("ca", "cb")).alias("community"), "s").where("community is not null")
+    kk = ends.groupBy("community").agg(F.sum("s").alias("k")).agg(F.sum(F.pow("k", F.lit(2))).alias("kk"))
+    return one.join(kk, F.lit(True)).select((F.col("inside") / F.col("m") - F.col("kk") / F.pow(2 * F.col("m"), F.lit(2))).alias("modularity"))
 
 
 def ring_layout(nodes: DataFrame, rings: int = 3, gap: float = 0.72) -> DataFrame:

@@ -90,7 +90,7 @@ def _labels(rounds: int) -> str:
 
 @query("g8_communities", f"WITH {_labels(10)} SELECT node, community, size FROM com")
 def g8(d: Data) -> DataFrame:
-    return graph.communities(d.edges)
+    return graph.communities(materialise(d.edges, "edges"))
 
 
 _DIV = "mm AS (SELECT sum(score) AS m FROM edges), ins AS (SELECT coalesce(sum(score) FILTER (x.community = y.community), 0) AS inside FROM edges JOIN com x ON x.node = a JOIN com y ON y.node = b), kn AS (SELECT community, sum(score) AS k FROM (SELECT a AS node, score FROM edges UNION ALL SELECT b, score FROM edges) JOIN com USING (node) GROUP BY 1), kq AS (SELECT sum(k * 1.0 * k) AS kk FROM kn)"
