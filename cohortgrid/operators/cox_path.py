@@ -35,7 +35,8 @@ FEW_SUMS = 1 << 12
 def time_blocks(rows: DataFrame, size: int) -> DataFrame:
     """``rows`` with a ``time`` as ``(block, column..)``: blocks of ``size`` rows in order of time, every column an array. Equal times may be parted."""
     numbered = global_row_number(rows, [F.col("time")], "nth").withColumn("block", F.floor((F.col("nth") - 1) / size).cast("int"))
-    own = numbered.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("nth", *rows.columns))).alias("c"))
+    # A number of partitions that is asked for is kept, however small they are: later passes are tasks by file.
+    own = numbered.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("nth", *rows.columns))).alias("c"))
     return materialise(own.select("block", *(F.col(f"c.{n}").alias(n) for n in rows.columns)), "blocks")
 
 

@@ -6,9 +6,10 @@ feature and time, so that neither few strata nor one feature with very many time
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -456,18 +457,17 @@ def optimism(surv: DataFrame, risk: DataFrame, replicates: int = 200, seed: int
     from .cox_replicates import Replicates
 
     x = surv.select("subject", F.col("time").cast("double").alias("time"), "event").join(risk.select("subject", F.col("risk").cast("double").alias("risk")), "subject").where("time is not null and event is not null and risk is not null")
-    u = lambda rep: F.pmod(F.xxhash64("subject", rep, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-
-    def weight(rep: Column) -> Column:
-        cdf, term, limits = 0.0, float(np.exp(-1)), []
-        for k in range(8):
-            cdf += term
-            limits.append(cdf)
-            term /= k + 1
-        above = F.array(*map(F.lit, limits))
-        return F.when(rep == 0, 1).otherwise(F.size(F.filter(above, lambda c: u(rep) > c))).cast("tinyint")
-
-    x = x.select("time", F.col("event").cast("int").alias("event"), (F.col("risk") + 0.0).alias("risk"), F.transform(F.sequence(F.lit(0), F.lit(replicates)), weight).alias("w"))
+    u = F.transform(F.sequence(F.lit(0), F.lit(replicates)), lambda rep: F.pmod(F.xxhash64("subject", rep, F.lit(seed)), F.lit(1 << 30)).cast("int"))
+    limits = np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 8)])) * (1 << 30)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = np.searchsorted(limits, batch.column("w").flatten().to_numpy()).astype(np.int8).reshape(-1, replicates + 1)
+            w[:, 0] = 1
+            own = pa.ListArray.from_arrays(pa.array(np.arange(len(w) + 1, dtype=np.int32) * (replicates + 1)), pa.array(w.ravel()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("time", "event", "risk")), own], ["time", "event", "risk", "w"])
+
+    x = x.select("time", F.col("event").cast("int").alias("event"), (F.col("risk") + 0.0).alias("risk"), u.alias("w")).mapInArrow(draw, "time double, event int, risk double, w array<tinyint>")
     x = materialise(x, "draws")
     if not x.limit(1).count():
         return x.sparkSession.createDataFrame([], "measure string, apparent double, training double, test double, optimism double, corrected double")

@@ -5,8 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cohortgrid.operators import graph
+from cohortgrid.operators import cox_replicates, graph
 
 
 def propagated(edges, rounds):
@@ -70,3 +71,47 @@ def test_labels_by_hand(spark, monkeypatch, path, positive):
 
 def test_no_edge_has_no_community(spark):
     assert graph.communities(spark.createDataFrame([], "a int, b int, score long")).count() == 0
+
+
+@pytest.mark.parametrize("values", [1 << 20, 21])
+def test_replicates_run_all_tasks_at_once(spark, monkeypatch, values):
+    """Log-likelihood, score and information by hand, with few and very many ties, and one job for a pass over any number of files."""
+    rng = np.random.default_rng(6)
+    n, m = 40, 3
+    t, e, x = rng.integers(0, 25, n).astype(float), rng.integers(0, 2, n), rng.normal(size=n)
+    w = np.stack([rng.integers(0, 3, n), np.ones(n, int), rng.integers(0, 90, n)], 1)
+    df = spark.createDataFrame([(float(t[i]), int(e[i]), float(x[i]), [int(v) for v in w[i]]) for i in range(n)], "time double, event int, risk double, w array<tinyint>")
+    monkeypatch.setattr(cox_replicates, "VALUES", values)
+    monkeypatch.setattr(cox_replicates, "MODELS", 2)
+    fits = cox_replicates.Replicates(df, m)
+    assert fits.scan.n == (1 if values > n * m else 6) and list(fits.sizes) == list(w.sum(0))
+    beta = np.array([0.3, -0.5, 1.0])
+    spark.sparkContext.setJobGroup(f"pass{values}", "")
+    found = fits.terms(beta)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"pass{values}")) == 2
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for k in range(m):
+        want, own = np.zeros(3), np.exp(beta[k] * x) * w[:, k]
+        for time in np.unique(t):
+            risk, dead = t >= time, (t == time) & (e == 1)
+            d = int(w[dead, k].sum())
+            want[:2] += np.array([beta[k], 1.0]) * (w[dead, k] * x[dead]).sum()
+            for tie in range(d):
+                a = [(own[risk] * x[risk] ** q).sum() - tie / d * (own[dead] * x[dead] ** q).sum() for q in range(3)]
+                want += [-math.log(a[0]), -a[1] / a[0], a[2] / a[0] - (a[1] / a[0]) ** 2]
+        assert np.allclose(found[:, k], want)
+
+
+def test_draws_are_those_of_the_hash(spark, monkeypatch):
+    """Multiplicities are the number of steps of the Poisson distribution below a hash of subject, replicate and seed."""
+    from cohortgrid.operators import survival
+
+    df = spark.createDataFrame([(i, float(i % 7) + 1, i % 2, i / 50) for i in range(50)], "subject long, time double, event int, risk double")
+    kept = []
+    real = survival.materialise
+    monkeypatch.setattr(survival, "materialise", lambda df, name="table": kept.append(real(df, name)) or kept[-1])
+    survival.optimism(df.select("subject", "time", "event"), df.select("subject", "risk"), 30).collect()
+    draws = {r.risk: list(r.w) for r in kept[0].collect()}
+    u = df.select("risk", *((F.pmod(F.xxhash64("subject", F.lit(i), F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias(str(i)) for i in range(31))).collect()
+    steps = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
+    assert len(draws) == 50 and all(draws[r.risk] == [1, *(sum(v > s for s in steps) for v in list(r)[2:])] for r in u)
