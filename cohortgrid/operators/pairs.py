@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,13 +18,25 @@ from pyspark.sql import functions as F
 MOST_CELLS, BLOCK_VALUES, LEAST_BLOCKS, TILE = 4096, 1 << 21, 8, 1024
 
 
+def _column(rows: pa.Table, name: str) -> pa.Array:
+    return rows.column(name).combine_chunks()
+
+
+def _flat(rows: pa.Table, name: str) -> np.ndarray:
+    return _column(rows, name).flatten().to_numpy(zero_copy_only=False)
+
+
+def _sizes(rows: pa.Table) -> np.ndarray:
+    return pc.list_value_length(_column(rows, "h")).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class Side:
     """The items of one block as dense rows over the cells of both."""
 
-    def __init__(self, rows: pd.DataFrame, at: np.ndarray, width: int):
-        self.item, self.label = rows.item.to_numpy(), rows.label.to_numpy()
-        sizes = rows.h.map(len).to_numpy()
-        owner, flat = np.repeat(np.arange(len(rows)), sizes), np.concatenate(list(rows.v)) if len(rows) else np.zeros(0)
+    def __init__(self, rows: pa.Table, at: np.ndarray, width: int):
+        self.item, self.label = _column(rows, "item"), _column(rows, "label")
+        sizes, flat = _sizes(rows), _flat(rows, "v")
+        owner = np.repeat(np.arange(len(rows)), sizes)
         # Correlation doesn't change with an item's level; without it the sums lose fewer digits.
         self.top = np.zeros(len(rows))
         np.maximum.at(self.top, owner, np.abs(flat))
@@ -42,7 +55,7 @@ def _tile(left: Side, right: Side, p: slice, q: slice) -> tuple[np.ndarray, np.n
     """Shared cells and correlation of each item of one tile with each of another; a correlation that is not defined is NaN."""
     if left.whole and right.whole:
         r = left.z[p] @ right.z[q].T
-        return np.full(r.shape, left.x.shape[1]), np.clip(r, -1, 1, out=r)
+        return np.broadcast_to(left.x.shape[1], r.shape), np.clip(r, -1, 1, out=r)
     x, mx, y, my = left.x[p], left.has[p], right.x[q], right.has[q]
     n = mx @ my.T
     with np.errstate(all="ignore"):
@@ -64,11 +77,12 @@ def _tiles(left: Side, right: Side) -> Tiles:
             n, r = _tile(left, right, p, q)
             if left is right and i == j:
                 lower = np.tril_indices(len(n))
+                n = n.copy()
                 n[lower], r[lower] = 0, np.nan
             yield p, q, n, r
 
 
-Visit = Callable[[Side, Side, Tiles], Iterator[pd.DataFrame]]
+Visit = Callable[[Side, Side, Tiles], Iterator[pa.RecordBatch]]
 
 
 def narrow(measurements: DataFrame, axis: str = "sample") -> bool:
@@ -88,53 +102,57 @@ def visit_pairs(cells: DataFrame, visit: Visit, schema: str, labels: DataFrame |
     meets = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda j: F.struct(F.least(j, F.col("block")).alias("i"), F.greatest(j, F.col("block")).alias("j"), F.when(j < F.col("block"), 1).otherwise(0).alias("side")))
     rows = rows.withColumn("meet", F.explode(meets)).select("item", "h", "v", "label", "meet.*")
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True)
-        own = pdf.i.iat[0] == pdf.j.iat[0]
-        first, second = (pdf, pdf) if own else (pdf[pdf.side == 0], pdf[pdf.side == 1])
-        if first.empty or second.empty:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        own = table.column("i")[0] == table.column("j")[0]
+        parts = [table] if own else [table.filter(pc.equal(table.column("side"), side)) for side in (0, 1)]
+        if not all(map(len, parts)):
             return
-        parts = [first] if own else [first, second]
-        names, at = np.unique(np.concatenate([h for part in parts for h in part.h]), return_inverse=True)
-        cut = int(first.h.map(len).sum())
-        left = Side(first, at[:cut], len(names))
-        right = left if own else Side(second, at[cut:], len(names))
+        names, at = np.unique(np.concatenate([_flat(part, "h") for part in parts]), return_inverse=True)
+        cut = int(_sizes(parts[0]).sum())
+        left = Side(parts[0], at[:cut], len(names))
+        right = left if own else Side(parts[1], at[cut:], len(names))
         yield from visit(left, right, _tiles(left, right))
 
     # With many blocks each pair of them is a task of its own, of bounded size.
-    return rows.repartition(blocks * (blocks + 1) // 2, "i", "j").groupBy("i", "j").applyInPandas(compare, schema)
+    return rows.repartition(blocks * (blocks + 1) // 2, "i", "j").groupBy("i", "j").applyInArrow(compare, schema)
 
 
-def _frame(**columns: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame(columns)
+def _batch(**columns: pa.Array | np.ndarray) -> pa.RecordBatch:
+    """Columns as they are, or of numbers, where NaN is null."""
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v, from_pandas=True) for k, v in columns.items()})
 
 
-def all_pairs(left: Side, right: Side, tiles: Tiles) -> Iterator[pd.DataFrame]:
-    """``(a, b, n, r)`` with ``a < b``."""
+def all_pairs(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
+    """``(a, b, n, r)`` with ``a < b``. Names are compared once for each item, and looked up by their numbers."""
+    both = left.item if left is right else pa.concat_arrays([left.item, right.item])
+    names = both.take(pc.sort_indices(both))
+    place = pc.index_in(both, names).to_numpy().astype(np.int32)
+    first, second = place[: len(left.item)], place[-len(right.item) :]
     for p, q, n, r in tiles:
         i, j = np.nonzero(n > 0)
-        a, b = left.item[p][i], right.item[q][j]
-        swap = a > b
-        yield _frame(a=np.where(swap, b, a), b=np.where(swap, a, b), n=n[i, j].astype("int64"), r=r[i, j])
+        x, y = first[p][i], second[q][j]
+        yield _batch(a=names.take(pa.array(np.minimum(x, y))), b=names.take(pa.array(np.maximum(x, y))), n=n[i, j].astype("int64"), r=r[i, j])
 
 
 def close_pairs(threshold: float) -> Visit:
     """``(a, b)`` of correlations of at least ``threshold``, and ``(a, a)`` of every item that has a cell in common with another."""
 
-    def visit(left: Side, right: Side, tiles: Tiles) -> Iterator[pd.DataFrame]:
+    def visit(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
         met = [np.zeros(len(left.item), bool), np.zeros(len(right.item), bool)]
         for p, q, n, r in tiles:
             met[0][p] |= (n > 0).any(1)
             met[1][q] |= (n > 0).any(0)
             i, j = np.nonzero(r >= threshold)
-            yield _frame(a=left.item[p][i], b=right.item[q][j])
+            yield _batch(a=left.item.take(pa.array(i + p.start)), b=right.item.take(pa.array(j + q.start)))
         for side, seen in zip((left, right), met):
-            yield _frame(a=side.item[seen], b=side.item[seen])
+            own = side.item.filter(pa.array(seen))
+            yield _batch(a=own, b=own)
 
     return visit
 
 
-def least(left: Side, right: Side, tiles: Tiles) -> Iterator[pd.DataFrame]:
+def least(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
     """``(item, least)``: the least correlation of each item that has a cell in common with another, null where none is defined."""
     found = [(np.full(len(s.item), np.inf), np.zeros(len(s.item), bool)) for s in (left, right)]
     for p, q, n, r in tiles:
@@ -143,15 +161,15 @@ def least(left: Side, right: Side, tiles: Tiles) -> Iterator[pd.DataFrame]:
             low[at] = np.minimum(low[at], high.min(axis))
             met[at] |= (n > 0).any(axis)
     for side, (low, met) in zip((left, right), found):
-        yield _frame(item=side.item[met], least=np.where(np.isinf(low), np.nan, low)[met])
+        yield _batch(item=side.item.filter(pa.array(met)), least=np.where(np.isinf(low), np.nan, low)[met])
 
 
-def sums(left: Side, right: Side, tiles: Tiles) -> Iterator[pd.DataFrame]:
+def sums(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
     """``(item, label, same, n_same, other, n_other)``: sums and numbers of the correlations of each item with items of the same label and of others."""
     found = [np.zeros((4, len(s.item))) for s in (left, right)]
     met = [np.zeros(len(s.item), bool) for s in (left, right)]
     # Labels may be text; numbers compare faster.
-    codes = np.split(pd.factorize(np.concatenate([left.label, right.label]))[0], [len(left.label)])
+    codes = np.split(pa.concat_arrays([left.label, right.label]).dictionary_encode().indices.to_numpy(), [len(left.label)])
     for p, q, n, r in tiles:
         known, r = ~np.isnan(r), np.nan_to_num(r)
         same = codes[0][p][:, None] == codes[1][q][None, :]
@@ -163,4 +181,5 @@ def sums(left: Side, right: Side, tiles: Tiles) -> Iterator[pd.DataFrame]:
             met[k][part] |= (n > 0).any(axis)
     for side, total, seen in zip((left, right), found, met):
         same, n_same, other, n_other = total[:, seen]
-        yield _frame(item=side.item[seen], label=side.label[seen], same=same, n_same=n_same.astype("int64"), other=other, n_other=n_other.astype("int64"))
+        known = pa.array(seen)
+        yield _batch(item=side.item.filter(known), label=side.label.filter(known), same=same, n_same=n_same.astype("int64"), other=other, n_other=n_other.astype("int64"))
