@@ -1,7 +1,7 @@
 """Correlations of all pairs of items, looked at where they are made: block by block, tile by tile.
 
 Each task compares two blocks of items and gives only what is asked of their correlations, so that no row is made, shuffled or joined
-for a pair that isn't part of the result. Time stays quadratic in the items.
+for a pair that isn't part of the result. Time stays quadratic in the items, but for sums over items that have every cell (:func:`whole_sums`).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 #: Cells of an item up to which it is compared whole, values of one block of items, the least number of blocks, and items of one tile.
 MOST_CELLS, BLOCK_VALUES, LEAST_BLOCKS, TILE = 4096, 1 << 21, 8, 1024
 
@@ -135,11 +137,33 @@ def all_pairs(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]
         yield _batch(a=names.take(pa.array(np.minimum(x, y))), b=names.take(pa.array(np.maximum(x, y))), n=n[i, j].astype("int64"), r=r[i, j])
 
 
+def _near(left: Side, right: Side, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of whole items whose correlation is at least ``threshold``, each once: products in single precision leave out what is below it by more than their error, the others are computed again."""
+    x, y = (np.nan_to_num(s.z).astype(np.float32) for s in (left, right))
+    limit = np.float32(threshold - (x.shape[1] + 8) * 2.0**-22)
+    for i in range(0, len(x), TILE):
+        for j in range(i if left is right else 0, len(y), TILE):
+            r = x[i : i + TILE] @ y[j : j + TILE].T
+            if r.max() < limit:
+                continue
+            a, b = np.nonzero(np.triu(r >= limit, 1) if left is right and i == j else r >= limit)
+            for c in range(0, len(a), 16 * TILE):
+                p, q = a[c : c + 16 * TILE] + i, b[c : c + 16 * TILE] + j
+                near = np.einsum("ij,ij->i", left.z[p], right.z[q]) >= threshold
+                yield p[near], q[near]
+
+
 def close_pairs(threshold: float) -> Visit:
     """``(a, b)`` of correlations of at least ``threshold``, and ``(a, a)`` of every item that has a cell in common with another."""
 
     def visit(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
         met = [np.zeros(len(left.item), bool), np.zeros(len(right.item), bool)]
+        if left.whole and right.whole:
+            for i, j in _near(left, right, threshold):
+                yield _batch(a=left.item.take(pa.array(i)), b=right.item.take(pa.array(j)))
+            for seen in met:
+                seen[:] = left is not right or len(seen) > 1
+            tiles = ()
         for p, q, n, r in tiles:
             met[0][p] |= (n > 0).any(1)
             met[1][q] |= (n > 0).any(0)
@@ -183,3 +207,38 @@ def sums(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
         same, n_same, other, n_other = total[:, seen]
         known = pa.array(seen)
         yield _batch(item=side.item.filter(known), label=side.label.filter(known), same=same, n_same=n_same.astype("int64"), other=other, n_other=n_other.astype("int64"))
+
+
+def every_cell(cells: DataFrame) -> bool:
+    """Whether all items of ``(item, h, value)`` have the same cells."""
+    each = cells.groupBy("item").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"))
+    low, high, first, last = each.agg(F.min("n"), F.max("n"), F.min("x"), F.max("x")).first()
+    return low is not None and (low, first) == (high, last) and cells.select("h").distinct().count() == low
+
+
+def whole_sums(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """What :func:`sums` gives for each item, of items that all have the same cells: a correlation is a product of unit vectors there, and a sum of products is the product with a sum, so no pair is looked at."""
+    lists = cells.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("h", "value"))).alias("cells"))
+    lists = lists.select("item", F.transform("cells", lambda c: c["value"]).alias("z")).join(labels.select("item", "label"), "item")
+
+    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("z").flatten().to_numpy().reshape(batch.num_rows, -1)
+            top, width = np.abs(x).max(1, initial=0), x.shape[1]
+            x = x - x.mean(1, keepdims=True)
+            x -= x.mean(1, keepdims=True)
+            square = (x * x).sum(1)
+            varies = (width > 1) & (square > (top * 1e-12) ** 2 * width)
+            z = np.where(varies[:, None], x / np.sqrt(np.where(varies, square, 1.0))[:, None], 0.0)
+            own = pa.ListArray.from_arrays(pa.array(np.arange(len(z) + 1, dtype=np.int32) * width), pa.array(z.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("item"), batch.column("label"), own, pa.array(varies)], ["item", "label", "z", "varies"])
+
+    kinds = dict(lists.dtypes)
+    units = materialise(lists.select("item", "label", "z").mapInArrow(unit, f"item {kinds['item']}, label {kinds['label']}, z array<double>, varies boolean"), "units")
+    added = lambda rows, *by: rows.select(*by, F.posexplode("z").alias("at", "s")).groupBy(*by, "at").agg(F.sum("s").alias("s")).groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "s"))), lambda c: c["s"]).alias("sum"))
+    own = added(units, "label").join(units.groupBy("label").agg(F.count_if("varies").alias("n")), "label")
+    every = added(units).withColumnRenamed("sum", "total").join(units.agg(F.count_if("varies").alias("known"), F.count("*").alias("items")), F.lit(True)).where("items > 1")
+    dot = lambda c: F.aggregate(F.zip_with("z", c, lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+    found = units.join(own, "label").join(F.broadcast(every), F.lit(True)).withColumns({"own": dot("sum"), "all": dot("total")})
+    of = lambda x, none: F.when(F.col("varies"), x).otherwise(none)
+    return found.select("item", "label", of(F.col("own") - 1, 0.0).alias("same"), of(F.col("n") - 1, 0).alias("n_same"), of(F.col("all") - F.col("own"), 0.0).alias("other"), of(F.col("known") - F.col("n"), 0).alias("n_other"))

@@ -15,7 +15,7 @@ from ..functions.stats import average_rank
 from ..session import materialise
 from .graph import components
 from .matrix import present, top_variance
-from .pairs import all_pairs, close_pairs, least, narrow, sums, visit_pairs
+from .pairs import all_pairs, close_pairs, every_cell, least, narrow, sums, visit_pairs, whole_sums
 from .subspace import large_pca
 
 
@@ -182,6 +182,8 @@ def correlation_sums(measurements: DataFrame, labels: DataFrame) -> DataFrame:
     """
     if narrow(measurements):
         cells, kinds = _cells(measurements, "sample"), dict(labels.dtypes)
+        if every_cell(cells):
+            return whole_sums(cells, labels)
         found = visit_pairs(cells, sums, f"item {kinds['item']}, label {kinds['label']}, same double, n_same long, other double, n_other long", labels)
         return found.groupBy("item", "label").agg(*(F.sum(c).alias(c) for c in ("same", "n_same", "other", "n_other")))
     side = lambda c: labels.select(F.col("item").alias(c), F.col("label").alias(f"l{c}"))
@@ -215,7 +217,8 @@ def correlation_clusters(measurements: DataFrame, threshold: float = 0.9) -> Dat
     if narrow(measurements):
         cells = _cells(measurements, "sample")
         kind = cells.schema["item"].dataType.simpleString()
-        near = visit_pairs(cells, close_pairs(threshold), f"a {kind}, b {kind}")
+        # Read twice by the components.
+        near = materialise(visit_pairs(cells, close_pairs(threshold), f"a {kind}, b {kind}"), "near")
     else:
         pairs = materialise(pair_correlation(measurements), "pairs")
         near = pairs.where(F.col("r") >= threshold).select("a", "b").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("a")).distinct().select("a", F.col("a").alias("b")))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortgrid.operators import cox_replicates, graph
+from cohortgrid.operators import cox_replicates, graph, pairs, qc
 
 
 def propagated(edges, rounds):
@@ -115,3 +115,66 @@ def test_draws_are_those_of_the_hash(spark, monkeypatch):
     u = df.select("risk", *((F.pmod(F.xxhash64("subject", F.lit(i), F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias(str(i)) for i in range(31))).collect()
     steps = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
     assert len(draws) == 50 and all(draws[r.risk] == [1, *(sum(v > s for s in steps) for v in list(r)[2:])] for r in u)
+
+
+def test_sums_over_whole_samples_look_at_no_pair(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(40, 6)) + 100
+    x[3] = 5.0
+    x[4] = x[5]
+    rows = [(f"f{j}", f"s{i:02d}", float(v)) for i, row in enumerate(x) for j, v in enumerate(row)]
+    schema, label = "feature string, sample string, value double", {f"s{i:02d}": i % 3 if i else 9 for i in range(38)}
+    labels = spark.createDataFrame(list(label.items()), "item string, label int")
+    by_pairs = qc.visit_pairs
+    monkeypatch.setattr(qc, "visit_pairs", None)
+    got = {r[0]: list(r)[1:] for r in qc.correlation_sums(spark.createDataFrame(rows, schema), labels).collect()}
+    r = np.corrcoef(np.delete(x, 3, 0))
+    r = np.insert(np.insert(r, 3, np.nan, 0), 3, np.nan, 1)
+    for i, (item, own) in enumerate(label.items()):
+        same = [r[i, j] for j, o in enumerate(label.values()) if i != j and o == own and not np.isnan(r[i, j])]
+        other = [r[i, j] for j, o in enumerate(label.values()) if o != own and not np.isnan(r[i, j])]
+        assert got[item][0] == own and got[item][2::2] == [len(same), len(other)] and np.allclose(got[item][1::2], [sum(same), sum(other)])
+    assert len(got) == 38
+    # With a gap pairs are looked at, and one sample alone is in no pair.
+    assert qc.correlation_sums(spark.createDataFrame(rows, schema), labels.limit(1)).count() == 0
+    monkeypatch.setattr(qc, "visit_pairs", by_pairs)
+    assert qc.correlation_sums(spark.createDataFrame(rows[1:], schema), labels).count() == 38
+    assert not pairs.every_cell(qc._cells(spark.createDataFrame(rows[1:], schema), "sample"))
+
+
+def test_close_pairs_near_the_threshold(monkeypatch):
+    """Single precision only leaves out pairs: those within its error of the threshold are decided in double."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(pairs, "TILE", 16)
+    rng = np.random.default_rng(8)
+    u = rng.normal(size=(60, 64))
+    u -= u.mean(1, keepdims=True)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w = u[1::2] - (u[1::2] * u[::2]).sum(1, keepdims=True) * u[::2]
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    r = 0.9 + np.repeat([1e-9, -1e-9], 15)[:, None]
+    u[1::2] = r * u[::2] + np.sqrt(1 - r * r) * w
+    table = pa.table({"item": pa.array(range(60)), "label": pa.array([0] * 60), "h": pa.array([list(range(64))] * 60), "v": pa.array(u.tolist())})
+    side = lambda rows: pairs.Side(rows, np.tile(np.arange(64), len(rows)), 64)
+    both = side(table)
+    found = {(i, j) for batch in pairs._near(both, both, 0.9) for i, j in zip(*map(np.ndarray.tolist, batch))}
+    assert found == {(i, i + 1) for i in range(0, 30, 2)}
+    even, odd = side(table.take(list(range(0, 60, 2)))), side(table.take(list(range(1, 60, 2))))
+    assert {(i, j) for batch in pairs._near(even, odd, 0.9) for i, j in zip(*map(np.ndarray.tolist, batch))} == {(i, i) for i in range(15)}
+
+
+def test_clusters_look_at_pairs_once(spark, monkeypatch):
+    made = []
+    real = qc.visit_pairs
+    df = spark.createDataFrame([(f"f{j}", f"s{i}", float((i * j) % 7)) for i in range(12) for j in range(5)], "feature string, sample string, value double")
+    count = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            count.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(qc, "visit_pairs", lambda *a: made.append(real(*a)) or made[-1].mapInArrow(counted, made[-1].schema))
+    assert qc.correlation_clusters(df).count() == 12
+    assert count.value == made[0].count()
