@@ -153,25 +153,39 @@ def _near(left: Side, right: Side, threshold: float) -> Iterator[tuple[np.ndarra
                 yield p[near], q[near]
 
 
+def _hang(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the trees that ``a`` and ``b`` are in; ``root`` has the least place of each tree."""
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while len(a) and (root[root] != root).any():
+            root[:] = root[root]
+
+
 def close_pairs(threshold: float) -> Visit:
-    """``(a, b)`` of correlations of at least ``threshold``, and ``(a, a)`` of every item that has a cell in common with another."""
+    """``(a, b)`` that connect the items which correlations of at least ``threshold`` do, one row an item of two blocks at most, and ``(a, a)`` of every item that has a cell in common with another."""
 
     def visit(left: Side, right: Side, tiles: Tiles) -> Iterator[pa.RecordBatch]:
-        met = [np.zeros(len(left.item), bool), np.zeros(len(right.item), bool)]
-        if left.whole and right.whole:
-            for i, j in _near(left, right, threshold):
-                yield _batch(a=left.item.take(pa.array(i)), b=right.item.take(pa.array(j)))
-            for seen in met:
-                seen[:] = left is not right or len(seen) > 1
-            tiles = ()
-        for p, q, n, r in tiles:
-            met[0][p] |= (n > 0).any(1)
-            met[1][q] |= (n > 0).any(0)
-            i, j = np.nonzero(r >= threshold)
-            yield _batch(a=left.item.take(pa.array(i + p.start)), b=right.item.take(pa.array(j + q.start)))
-        for side, seen in zip((left, right), met):
-            own = side.item.filter(pa.array(seen))
-            yield _batch(a=own, b=own)
+        own = left is right
+        items, shift = (left.item, 0) if own else (pa.concat_arrays([left.item, right.item]), len(left.item))
+        root, met = np.arange(len(items)), np.zeros(len(items), bool)
+
+        def near() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for p, q, n, r in tiles:
+                met[p] |= (n > 0).any(1)
+                met[q.start + shift : q.stop + shift] |= (n > 0).any(0)
+                i, j = np.nonzero(r >= threshold)
+                yield i + p.start, j + q.start
+
+        whole = left.whole and right.whole
+        for i, j in _near(left, right, threshold) if whole else near():
+            _hang(root, i, j + shift)
+        seen = items.filter(pa.array(met | (whole and len(items) > 1)))
+        yield _batch(a=seen, b=seen)
+        hung = np.flatnonzero(root != np.arange(len(items)))
+        yield _batch(a=items.take(pa.array(hung)), b=items.take(pa.array(root[hung])))
 
     return visit
 

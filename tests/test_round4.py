@@ -178,3 +178,16 @@ def test_clusters_look_at_pairs_once(spark, monkeypatch):
     monkeypatch.setattr(qc, "visit_pairs", lambda *a: made.append(real(*a)) or made[-1].mapInArrow(counted, made[-1].schema))
     assert qc.correlation_clusters(df).count() == 12
     assert count.value == made[0].count()
+
+
+def test_a_group_of_copies_is_a_row_for_each_sample(spark):
+    """Not one for each two of them: two blocks give one row for each of their samples, with gaps and without."""
+    rng = np.random.default_rng(10)
+    base = rng.normal(size=6)
+    rows = [(f"f{j}", f"s{i:03d}", float(v)) for i in range(200) for j, v in enumerate(base * (1 + i % 3) if i % 4 else rng.normal(size=6))]
+    schema = "feature string, sample string, value double"
+    for df in (spark.createDataFrame(rows, schema), spark.createDataFrame(rows[1:], schema)):
+        near = pairs.visit_pairs(qc._cells(df, "sample"), pairs.close_pairs(0.999), "a string, b string").where("a <> b")
+        assert near.count() < 4 * 200
+        sizes = [r["count"] for r in qc.correlation_clusters(df, 0.999).groupBy("cluster").count().collect()]
+        assert max(sizes) == 150
